@@ -20,10 +20,18 @@ from ..functions.text import norm_key
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``limit(n+1).count()`` stops reading once n+1 rows are found, so on a
+    large table this reads a few splits, not the table.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows; otherwise leave the join to Spark."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def _key(c: str | Column, normalize: bool) -> Column:

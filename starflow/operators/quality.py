@@ -62,25 +62,51 @@ def schema_problems(df: DataFrame, expected: T.StructType | Sequence[str]) -> li
     return problems
 
 
-def check_table(df: DataFrame, table: str, exp: Expectation) -> DataFrame:
-    """Evaluate all expectations of one table in one aggregate pass."""
-    spark = df.sparkSession
-    aggs: list[tuple[str, Column, int, str]] = [("row_count", F.count(F.lit(1)), exp.min_rows, ">=")]
+def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence[str] | None = None) -> DataFrame:
+    """Evaluate all expectations of one table in one aggregate pass.
+
+    With ``key``, the key-uniqueness check (V6) joins the same pass: rows are
+    first counted per key (partial aggregation map-side, so a hot key costs
+    one row per task), then one final aggregate sums the per-key counts and
+    counts keys seen more than once. ``required_values`` must then be on key
+    columns.
+    """
+    # (name, per-row predicate or None, final aggregate builder, threshold, op)
+    row_preds: list[tuple[str, Column, int, str]] = []
     for c in exp.not_null:
-        aggs.append((f"null_{c}", F.count_if(F.col(c).isNull()), 0, "=="))
+        row_preds.append((f"null_{c}", F.col(c).isNull(), 0, "=="))
     for c in exp.non_negative:
-        aggs.append((f"invalid_{c}", F.count_if(F.col(c).isNull() | (F.col(c) < 0) | F.isnan(F.col(c))), 0, "=="))
-    for c, values in exp.required_values.items():
-        present = F.count_distinct(F.when(F.col(c).isin(list(values)), F.col(c)))
-        aggs.append((f"required_{c}", present, len(set(values)), ">="))
+        row_preds.append((f"invalid_{c}", F.col(c).isNull() | (F.col(c) < 0) | F.isnan(F.col(c)), 0, "=="))
     for name, pred, minimum in exp.min_rows_where:
-        aggs.append((name, F.count_if(pred), minimum, ">="))
-    row = df.agg(*[a.cast("long").alias(f"_c{i}") for i, (_, a, _, _) in enumerate(aggs)])
+        row_preds.append((name, pred, minimum, ">="))
+
+    checks: list[tuple[str, Column, int, str]] = []
+    if key is None:
+        checks.append(("row_count", F.count(F.lit(1)), exp.min_rows, ">="))
+        checks += [(n, F.count_if(p), t, op) for n, p, t, op in row_preds]
+        for c, values in exp.required_values.items():
+            present = F.count_distinct(F.when(F.col(c).isin(list(values)), F.col(c)))
+            checks.append((f"required_{c}", present, len(set(values)), ">="))
+        row = df.agg(*[a.cast("long").alias(f"_c{i}") for i, (_, a, _, _) in enumerate(checks)])
+    else:
+        keys = [key] if isinstance(key, str) else list(key)
+        bad = [c for c in exp.required_values if c not in keys]
+        if bad:
+            raise ValueError(f"required_values on non-key columns {bad} cannot share the keyed pass")
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                        *[F.count_if(p).alias(f"_p{i}") for i, (_, p, _, _) in enumerate(row_preds)])
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+        checks.append(("row_count", total("_n"), exp.min_rows, ">="))
+        checks += [(n, total(f"_p{i}"), t, op) for i, (n, _, t, op) in enumerate(row_preds)]
+        for c, values in exp.required_values.items():
+            checks.append((f"required_{c}", F.count_if(F.col(c).isin(list(values))), len(set(values)), ">="))
+        checks.append(("duplicate_keys", F.count_if(F.col("_n") > 1), 0, "=="))
+        row = per_key.agg(*[a.cast("long").alias(f"_c{i}") for i, (_, a, _, _) in enumerate(checks)])
     # Unpivot the one-row result into (check, observed) rows without another pass.
     stacked = F.explode(F.array(*[
         F.struct(F.lit(name).alias("check_name"), F.col(f"_c{i}").alias("observed"),
                  F.lit(threshold).cast("long").alias("threshold"), F.lit(op).alias("op"))
-        for i, (name, _, threshold, op) in enumerate(aggs)
+        for i, (name, _, threshold, op) in enumerate(checks)
     ])).alias("r")
     out = row.select(stacked).select("r.*")
     passed = F.when(F.col("op") == ">=", F.col("observed") >= F.col("threshold")) \

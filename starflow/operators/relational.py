@@ -50,3 +50,15 @@ def distinct_values(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """Distinct values (aggregate with map-side partial dedup)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     return df.select(*cols).distinct()
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition *only* when the input has fewer partitions than the cluster has slots.
+
+    For CPU-heavy per-row work (regex parsing, hashing) on an input that
+    arrives as a handful of splits (one row group per file, say). At scale a
+    scan already yields far more splits than slots and this is a no-op, so
+    no shuffle is added where it buys nothing.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

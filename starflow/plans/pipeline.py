@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import Expectation, check_table, enforce, schema_problems
-from ..operators.quality import key_check, orphan_keys
+from ..operators.quality import orphan_keys
 from ..sources import read_csv
 from . import dims, facts, staging, warehouse
 
@@ -96,20 +96,21 @@ def build(frames: dict[str, DataFrame], spark: SparkSession, unmatched: str = "d
 def table_checks(tables: dict[str, DataFrame], th: Thresholds) -> DataFrame:
     """V4-V10 on *written* tables: one aggregate pass per table plus key/orphan checks."""
     fact = tables["fact_ingress"]
+    k = schemas.TABLE_KEYS
     parts = [
-        check_table(tables["dim_date"], "dim_date", Expectation(min_rows=th.tables.get("dim_date", 0))),
+        check_table(tables["dim_date"], "dim_date", Expectation(min_rows=th.tables.get("dim_date", 0)),
+                    key=k["dim_date"]),
         check_table(tables["dim_country"], "dim_country",
-                    Expectation(min_rows=th.tables.get("dim_country", 0), non_negative=["gdp_per_capita"])),
+                    Expectation(min_rows=th.tables.get("dim_country", 0), non_negative=["gdp_per_capita"]),
+                    key=k["dim_country"]),
         check_table(tables["dim_airport"], "dim_airport",
                     Expectation(min_rows=th.tables.get("dim_airport", 0),
-                                required_values={"airport_id": list(th.major_airports)})),
+                                required_values={"airport_id": list(th.major_airports)}), key=k["dim_airport"]),
         check_table(fact, "fact_ingress", Expectation(
             min_rows=th.tables.get("fact_ingress", 0), not_null=["date_id", "country_id", "airport_id"],
             min_rows_where=[(f"rows_{th.busiest_airport}", F.col("airport_id") == th.busiest_airport,
-                             th.busiest_airport_min_rows)])),
+                             th.busiest_airport_min_rows)]), key=k["fact_ingress"]),
     ]
-    for name in ("dim_date", "dim_country", "dim_airport", "fact_ingress"):
-        parts.append(key_check(tables[name], name, schemas.TABLE_KEYS[name]))
     for fk, dim in (("date_id", "dim_date"), ("country_id", "dim_country"), ("airport_id", "dim_airport")):
         n = orphan_keys(fact, tables[dim], fk, schemas.TABLE_KEYS[dim]).agg(F.count(F.lit(1)).alias("observed"))
         parts.append(n.select(F.lit("fact_ingress").alias("table_name"), F.lit(f"orphan_{fk}").alias("check_name"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.joins import bounded_broadcast
 
 DIMENSIONS = ("dim_airport", "dim_country", "dim_date")
 FACT = "fact_ingress"
@@ -139,20 +140,31 @@ def load_fact(spark: SparkSession, fact: DataFrame, mode: str = "partition_overw
 
 def star_query(fact: DataFrame, dim_date_df: DataFrame, dim_country_df: DataFrame, dim_airport_df: DataFrame,
                date_where: Column | None = None, airport_where: Column | None = None,
-               country_where: Column | None = None) -> DataFrame:
+               country_where: Column | None = None, broadcast_rows: int | None = 1_000_000) -> DataFrame:
     """The fact joined to its three dimensions, each dimension filtered first.
 
-    Dimension predicates are applied before the joins; with the fact stored
-    partitioned by year, dynamic partition pruning skips unrelated years.
-    Join keys appear once (no ``SELECT *`` duplicates). Dimensions are small
-    and hinted for broadcast by Spark's size estimate / AQE, not forced.
+    Star-join plan: every filtered dimension is broadcast once its row count
+    is proven under ``broadcast_rows``, so the fact streams through hash
+    joins without being shuffled; the date dimension (usually the most
+    selective filter) joins first so later joins see fewer rows. With the
+    fact stored partitioned by year, the date filter also prunes files.
+    Join keys appear once (no ``SELECT *`` duplicates). ``broadcast_rows=None``
+    means the caller has already proven the dimensions small (they are hinted
+    without another counting job); ``0`` leaves the join strategy to Spark.
     """
+    def small(df: DataFrame) -> DataFrame:
+        if broadcast_rows is None:
+            return F.broadcast(df)
+        return bounded_broadcast(df, broadcast_rows) if broadcast_rows > 0 else df
+
     d = dim_date_df if date_where is None else dim_date_df.where(date_where)
     a = dim_airport_df if airport_where is None else dim_airport_df.where(airport_where)
     c = dim_country_df if country_where is None else dim_country_df.where(country_where)
     a = a.select("airport_id", F.col("name").alias("airport_name"), "municipality", "state")
     c = c.select("country_id", F.col("name").alias("country_name"), "languages", "gdp_per_capita")
-    return fact.join(a, "airport_id").join(c, "country_id").join(d, "date_id")
+    j = fact.join(small(d), "date_id")
+    j = j.join(small(a), "airport_id")
+    return j.join(small(c), "country_id")
 
 
 def month_at_airport(year: int, month: int, airport_id: str) -> dict[str, Column]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions._util import as_col
 from ..functions.text import unescape_html
+from ..operators.relational import spread
 
 
 def _inner(tag: str) -> str:
@@ -42,7 +43,7 @@ def html_table_pairs(df: DataFrame, html_col: str = "html", first_cell_pattern:
     pairs are formed within a row, and header rows of ``<th>`` (no cells)
     are skipped rather than failing.
     """
-    rows = df.select(*keep, F.explode(html_rows(html_col)).alias("_row"))
+    rows = spread(df).select(*keep, F.explode(html_rows(html_col)).alias("_row"))
     cells = rows.select(*keep, html_cells("_row").alias("_cells"))
     kept = cells.where((F.size("_cells") > 0) & F.get("_cells", 0).rlike(first_cell_pattern))
     pairs = kept.select(*keep, "_cells", F.explode(F.sequence(F.lit(0), F.size("_cells") - 1, F.lit(2))).alias("_i"))
@@ -58,6 +59,6 @@ def html_links(df: DataFrame, html_col: str = "html", text_pattern: str | None =
     h = F.col(html_col)
     pairs = F.arrays_zip(F.regexp_extract_all(h, F.lit(LINK), 1).alias("href"),
                          F.regexp_extract_all(h, F.lit(LINK), 2).alias("text"))
-    out = df.select(*keep, F.posexplode(pairs).alias("link_pos", "_p")) \
+    out = spread(df).select(*keep, F.posexplode(pairs).alias("link_pos", "_p")) \
         .select(*keep, "link_pos", F.col("_p.href").alias("href"), _clean(F.col("_p.text")).alias("text"))
     return out.where(F.col("text").rlike(text_pattern)) if text_pattern else out

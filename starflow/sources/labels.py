@@ -11,11 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A block: "value NAME" at line start, then quoted strings or other text up to the first ';' outside quotes.
-BLOCK = r"(?im)^[ \t]*value[ \t]+\$?\w+(?:'(?:[^']|'')*'|[^';])*;"
-NAME = r"(?i)^\s*value\s+\$?(\w+)"
-# An entry line: 'code' or digits, '=', 'label' (a doubled quote is an escaped quote).
-ENTRY = r"^\s*(?:'((?:[^']|'')*)'|(-?\d+))\s*=\s*'((?:[^']|'')*)'"
+from ..operators.relational import spread
+
+# A file is cut into blocks at every line that starts with "value"; a block ends at its first ';'
+# (as the format defines: the terminator may sit on the last entry line or on its own line).
+BLOCK_START = r"(?im)^[ \t]*value[ \t]+"
+NAME = r"^\$?(\w+)"
+# An entry line: 'code' or digits, '=', 'label'; a doubled quote is an escaped quote.
+# Unrolled quoted-string form ([^']*(?:''[^']*)*): linear, no per-character backtracking.
+ENTRY = r"^\s*(?:'([^']*(?:''[^']*)*)'|(-?\d+))\s*=\s*'([^']*(?:''[^']*)*)'"
 
 
 def read_label_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -32,9 +36,10 @@ def parse_label_text(df: DataFrame, text_col: str = "text", keep: Sequence[str]
     quotes are unescaped, code and label are trimmed. ``lists`` restricts to
     some block names (lower case, without ``$``).
     """
-    blocks = df.select(*keep, F.explode(F.regexp_extract_all(F.col(text_col), F.lit(BLOCK), 0)).alias("_b"))
-    named = blocks.select(*keep, F.lower(F.regexp_extract("_b", NAME, 1)).alias("list_name"),
-                          F.regexp_replace("_b", NAME, "").alias("_body"))
+    pieces = spread(df).select(*keep, F.posexplode(F.split(F.col(text_col), BLOCK_START)).alias("_i", "_b")) \
+        .where(F.col("_i") > 0)
+    named = pieces.select(*keep, F.lower(F.regexp_extract("_b", NAME, 1)).alias("list_name"),
+                          F.substring_index("_b", ";", 1).alias("_body"))
     if lists is not None:
         named = named.where(F.col("list_name").isin([x.lower() for x in lists]))
     lines = named.select(*keep, "list_name", F.explode(F.split("_body", r"\r?\n")).alias("_line")) \
