@@ -54,7 +54,7 @@ def schema_problems(df: DataFrame, expected: T.StructType | Sequence[str]) -> li
         for f in expected.fields:
             if f.name not in have:
                 problems.append(f"missing column {f.name}")
-            elif have[f.name] != f.dataType:
+            elif have[f.name].simpleString() != f.dataType.simpleString():  # types, not nullability
                 problems.append(f"column {f.name} is {have[f.name].simpleString()}, "
                                 f"expected {f.dataType.simpleString()}")
     else:

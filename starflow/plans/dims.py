@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import date_columns, norm_key
 from ..operators import explode_lookup_collect, lookup_default
-from ..sources import date_spine
+from ..sources import date_spine, date_spine_between
 
 UNKNOWN_COUNTRY = "UNK"
 
@@ -23,6 +23,20 @@ def dim_date(spark: SparkSession, start: dt.date | None = None, end: dt.date | N
     return spine.select(*[c.alias(n) for n, c in date_columns("date").items()])
 
 
+def dim_date_covering(facts_dates: DataFrame, date_col: str, days: int = 3660, lead_days: int = 30) -> DataFrame:
+    """C9 widened to the data: the standard window, extended to every date in ``date_col``.
+
+    The bounds are a one-row aggregate inside the plan (no collect), so a
+    fact can never reference a day missing from the dimension.
+    """
+    end = dt.date.today() + dt.timedelta(days=lead_days)
+    start = end - dt.timedelta(days=days)
+    d = F.col(date_col).cast("date")
+    bounds = facts_dates.agg(F.least(F.min(d), F.lit(str(start)).cast("date")).alias("s"),
+                             F.greatest(F.max(d), F.lit(str(end)).cast("date")).alias("e"))
+    return date_spine_between(bounds, "s", "e").select(*[c.alias(n) for n, c in date_columns("date").items()])
+
+
 def dim_country(countries: DataFrame, languages: DataFrame, gdp: DataFrame, unknown_member: bool = False) -> DataFrame:
     """country_id (alpha-3), name, language names joined by ',', GDP per capita (0 when missing).
 

@@ -84,7 +84,7 @@ def build(frames: dict[str, DataFrame], spark: SparkSession, unmatched: str = "d
     country = dims.dim_country(frames["countries"], frames["languages"], frames["gdp"],
                                unknown_member=(unmatched == "unknown"))
     return {
-        "dim_date": dims.dim_date(spark),
+        "dim_date": dims.dim_date_covering(frames["arrivals"], "arrdate"),
         "dim_country": country,
         "dim_airport": dims.dim_airport(frames["airports"]),
         "fact_ingress": facts.fact_ingress(frames["arrivals"], frames["ports"], frames["airports"],
