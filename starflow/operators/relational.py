@@ -60,5 +60,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scan already yields far more splits than slots and this is a no-op, so
     no shuffle is added where it buys nothing.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan alone
+        return df
+    return df.repartition(target) if current < target else df

@@ -27,8 +27,14 @@ def stage_arrivals(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
     hash shuffle of the biggest input would buy nothing (R1 kept optional).
     """
     raw = scan(spark, paths, fmt, columns=schemas.ARRIVAL_COLUMNS, options=options)
+    df = clean_arrivals(raw)
+    return df.repartition("year", "i94port") if repartition else df
+
+
+def clean_arrivals(raw: DataFrame) -> DataFrame:
+    """C1 without the scan: works on a batch or a streaming frame of raw extract rows."""
     arr = from_day_number(F.col("arrdate"))
-    df = raw.where(F.col("i94mode") == AIR).select(
+    return raw.where(F.col("i94mode") == AIR).select(
         F.col("i94port"),
         F.col("i94cit").try_cast("int").alias("i94cit"),
         arr.alias("arrdate"),
@@ -37,7 +43,6 @@ def stage_arrivals(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
         age_bucket(age_from_birth_year(arr, F.col("biryear"))).alias("age_bucket"),
         date_key(arr).alias("date_id"),
     )
-    return df.repartition("year", "i94port") if repartition else df
 
 
 def stage_country_labels(df: DataFrame) -> DataFrame:
