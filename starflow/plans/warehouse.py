@@ -38,17 +38,28 @@ def with_fact_year(fact: DataFrame) -> DataFrame:
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = True,
-               partitions: int | None = None) -> None:
-    """K1 for the fact: partitioned by year, files ordered by ``date_id`` for min/max skipping (Q6).
-
-    Range-partitioning on (date_id, ingress_id) keeps each task to a few
-    adjacent days, so files per year stay few; the id in the range key
-    splits a hot day over several tasks instead of one.
+               cluster: bool = False, partitions: int | None = None, max_records_per_file: int = 0) -> None:
+    """K1 for the fact: partitioned by year, rows ordered by ``date_id`` inside each file (Q6).
+
+    Default: no shuffle. Arrival extracts arrive date-clustered (one month per
+    file), so each scan split writes about one file per year, sorted by
+    ``date_id`` for min/max skipping. ``cluster=True`` range-partitions on
+    (date_id, ingress_id) first, for inputs that are not date-clustered; the
+    id in the range key splits a hot day across tasks. Range partitioning
+    samples its input in a separate job, so the fact is computed twice then:
+    use it on a written or checkpointed fact, not on the raw join.
     """
     df = with_fact_year(fact)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.repartitionByRange(n, "date_id", "ingress_id").sortWithinPartitions("date_id")
-    write_parquet(df, path, mode=mode, partition_by=[schemas.FACT_PARTITION], dynamic=dynamic)
+    if cluster:
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, "date_id", "ingress_id")
+    df = df.sortWithinPartitions(schemas.FACT_PARTITION, "date_id")
+    w = df.write.mode(mode).partitionBy(schemas.FACT_PARTITION)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    w.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -19,7 +19,8 @@ BLOCK_START = r"(?im)^[ \t]*value[ \t]+"
 NAME = r"^\$?(\w+)"
 # An entry line: 'code' or digits, '=', 'label'; a doubled quote is an escaped quote.
 # Unrolled quoted-string form ([^']*(?:''[^']*)*): linear, no per-character backtracking.
-ENTRY = r"^\s*(?:'([^']*(?:''[^']*)*)'|(-?\d+))\s*=\s*'([^']*(?:''[^']*)*)'"
+# Multiline and confined to one line, so all entries of a block come out of one scan per group.
+ENTRY = r"(?m)^[ \t]*(?:'([^'\n]*(?:''[^'\n]*)*)'|(-?\d+))[ \t]*=[ \t]*'([^'\n]*(?:''[^'\n]*)*)'"
 
 
 def read_label_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -42,10 +43,10 @@ def parse_label_text(df: DataFrame, text_col: str = "text", keep: Sequence[str]
                           F.substring_index("_b", ";", 1).alias("_body"))
     if lists is not None:
         named = named.where(F.col("list_name").isin([x.lower() for x in lists]))
-    lines = named.select(*keep, "list_name", F.explode(F.split("_body", r"\r?\n")).alias("_line")) \
-        .where(F.col("_line").rlike(ENTRY))
-    quoted = F.col("_line").rlike(r"^\s*'")
-    code = F.when(quoted, F.regexp_extract("_line", ENTRY, 1)).otherwise(F.regexp_extract("_line", ENTRY, 2))
+    body = F.col("_body")
+    groups = F.arrays_zip(*[F.regexp_extract_all(body, F.lit(ENTRY), i).alias(f"g{i}") for i in (1, 2, 3)])
+    entries = named.select(*keep, "list_name", F.explode(groups).alias("_e"))
     unq = lambda c: F.trim(F.replace(c, F.lit("''"), F.lit("'")))
-    return lines.select(*keep, "list_name", unq(code).alias("code"),
-                        unq(F.regexp_extract("_line", ENTRY, 3)).alias("label"))
+    # Exactly one of the two code groups takes part in a match; the other comes back empty.
+    code = F.concat(F.col("_e.g1"), F.col("_e.g2"))
+    return entries.select(*keep, "list_name", unq(code).alias("code"), unq(F.col("_e.g3")).alias("label"))

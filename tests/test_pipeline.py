@@ -120,3 +120,22 @@ def test_write_csv_and_views(spark, fixtures_dir):
     assert back.count() == 4 and back.columns == ["name", "alpha2", "alpha3"]
     warehouse.register_views(spark, {"stg_ports": frames["ports"]})
     assert spark.sql("SELECT count(*) AS n FROM stg_ports WHERE state IS NOT NULL").collect()[0].n == 5
+
+
+def test_write_fact_partition_overwrite(spark):
+    from starflow.plans.warehouse import write_fact
+    rows = [(f"id{i}", d, "MEX", "KJFK", "M", "AD", "VC")
+            for i, d in enumerate([20150101, 20150102, 20160101, 20160102, 20160103])]
+    cols = "ingress_id string, date_id int, country_id string, airport_id string, gender string, " \
+           "age_bucket string, temperature_bucket string"
+    fact = spark.createDataFrame(rows, cols)
+    path = scratch_path(spark, "fact")
+    write_fact(fact, path)
+    write_fact(fact.where("date_id >= 20160000"), path)          # rerun of one year: replaced, not duplicated
+    back = spark.read.parquet(path)
+    assert back.count() == 5
+    assert {r.year: r.n for r in back.groupBy("year").agg(F.count("*").alias("n")).collect()} == {2015: 2, 2016: 3}
+    write_fact(fact, path, cluster=True, partitions=2)
+    assert spark.read.parquet(path).count() == 5
+    plan = spark.read.parquet(path).where("year = 2016")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
