@@ -21,7 +21,7 @@ from ..operators import (Expectation, bounded_broadcast, check_table, is_bounded
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
 from ..sources import date_spine_between, html_links, parse_label_text, scan
-from . import warehouse
+from . import dims, warehouse
 from .staging import stage_country_labels
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
@@ -223,6 +223,41 @@ GROUP BY c.c_custkey
 """
 
 
+# --------------------------------------------------------------------------- C10 (dims.dim_country)
+def q_dim_country_build(spark, sf):
+    """The country dimension composite over driver data: one "country" per customer, its language codes
+    the nation list above, language names from nation, GDP from a per-name table of BUILDING customers."""
+    c = _t(spark, sf, "customer")
+    countries = c.select(F.col("c_name").alias("name"), F.col("c_custkey").cast("string").alias("alpha2"),
+                         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("alpha3"),
+                         split_list(_code_list()).alias("languages"))
+    languages = _t(spark, sf, "nation").select(F.col("n_name").alias("name"), F.lit(None).cast("string").alias("alpha2"),
+                                              F.col("n_nationkey").cast("string").alias("alpha3"))
+    gdp = c.where(F.col("c_mktsegment") == "BUILDING").select(F.upper("c_name").alias("country"),
+                                                             F.col("c_acctbal").alias("gdp_per_capita"))
+    return dims.dim_country(countries, languages, gdp)
+
+
+SQL_DIM_COUNTRY_BUILD = """
+WITH c AS (SELECT c_custkey, c_name,
+                  CASE WHEN c_acctbal >= 0 THEN concat_ws(',', CAST(c_nationkey AS VARCHAR),
+                       CAST((c_nationkey + 7) % 25 AS VARCHAR), CAST(c_nationkey + 30 AS VARCHAR)) END AS codes
+           FROM customer),
+e AS (SELECT c_custkey, unnest(string_split(codes, ',')) AS code,
+             unnest(range(len(string_split(codes, ',')))) AS pos
+      FROM c WHERE codes IS NOT NULL),
+l AS (SELECT c.c_custkey, c.c_name, coalesce(nullif(string_agg(n.n_name, ',' ORDER BY e.pos), ''), 'Unknown') AS languages
+      FROM c LEFT JOIN e ON c.c_custkey = e.c_custkey
+      LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = e.code
+      GROUP BY c.c_custkey, c.c_name),
+g AS (SELECT lower(trim(upper(c_name))) AS k, max(c_acctbal) AS gdp FROM customer WHERE c_mktsegment = 'BUILDING'
+      GROUP BY 1)
+SELECT 'C' || CAST(l.c_custkey AS VARCHAR) AS country_id, l.c_name AS name, l.languages,
+       CAST(coalesce(g.gdp, 0.0) AS DOUBLE) AS gdp_per_capita
+FROM l LEFT JOIN g ON lower(trim(l.c_name)) = g.k
+"""
+
+
 # --------------------------------------------------------------------------- J2 X12 X13
 def q_left_join_default(spark, sf):
     s = _t(spark, sf, "supplier").select(
@@ -778,6 +813,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trailing_years_mean": q_trailing_years_mean,
     "first_per_group": q_first_per_group,
     "explode_lookup_collect": q_explode_lookup_collect,
+    "dim_country_build": q_dim_country_build,
     "left_join_default": q_left_join_default,
     "composite_key_join": q_composite_key_join,
     "week_enrichment_left": q_week_enrichment_left,
@@ -817,6 +853,7 @@ def oracle_sql() -> dict[str, str]:
         "trailing_years_mean": SQL_TRAILING_YEARS_MEAN,
         "first_per_group": SQL_FIRST_PER_GROUP,
         "explode_lookup_collect": SQL_EXPLODE_LOOKUP_COLLECT,
+        "dim_country_build": SQL_DIM_COUNTRY_BUILD,
         "left_join_default": SQL_LEFT_JOIN_DEFAULT,
         "composite_key_join": SQL_COMPOSITE_KEY_JOIN,
         "week_enrichment_left": SQL_WEEK_ENRICHMENT_LEFT,
