@@ -21,7 +21,7 @@ from ..operators import (Expectation, bounded_broadcast, check_table, is_bounded
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
 from ..sources import date_spine_between, html_links, parse_label_text, scan
-from . import dims, warehouse
+from . import dims, facts, staging, warehouse
 from .staging import stage_country_labels
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
@@ -436,6 +436,103 @@ f AS (
 SQL_FACT_BUILD = f"WITH {SQL_FACT_CTE} SELECT * FROM f"
 
 
+# --------------------------------------------------------------------------- C1 + C12 (staging.clean_arrivals, facts.fact_ingress)
+def _nr(spark, sf) -> DataFrame:
+    n, r = _t(spark, sf, "nation"), _t(spark, sf, "region")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "n_regionkey", "r_name")
+
+
+def _port_code(key: str):
+    return F.concat(F.lit("P"), F.lpad(F.col(key).cast("string"), 2, "0"))
+
+
+def q_fact_ingress_build(spark, sf):
+    """The fact composite over driver data: every order is an arrival (mode from status), its port and
+    origin from the customer's nation; ports/airports differ in letter case; temperature bands are trailing
+    weekly means of order prices per nation; European origins have no country and are dropped."""
+    o, c = _t(spark, sf, "orders"), _t(spark, sf, "customer")
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"])
+    status = F.col("o_orderstatus")
+    raw = oc.select(
+        _port_code("c_nationkey").alias("i94port"),
+        ((F.col("c_nationkey") + 3) % 25).cast("double").alias("i94cit"),
+        F.datediff(F.col("o_orderdate").cast("date"), F.lit("1960-01-01").cast("date")).cast("double").alias("arrdate"),
+        F.when(status == "P", 2.0).otherwise(1.0).alias("i94mode"),
+        _birth_year().alias("biryear"),
+        F.when(status == "F", "F").when(status == "O", "M").alias("gender"))
+    arrivals = staging.clean_arrivals(raw)
+    nr = _nr(spark, sf)
+    state = F.upper(F.substring("r_name", 1, 2))
+    ports = nr.where(F.col("r_name") != "MIDDLE EAST").select(
+        _port_code("n_nationkey").alias("code"), F.upper("n_name").alias("municipality"), state.alias("state"))
+    s = _t(spark, sf, "supplier")
+    airports = first_per_group(
+        s.join(nr, s["s_nationkey"] == nr["n_nationkey"]).select(
+            F.concat(F.lit("K"), F.lpad(F.col("s_suppkey").cast("string"), 5, "0")).alias("airport_id"),
+            F.col("s_name").alias("name"), F.initcap("n_name").alias("municipality"), state.alias("state")),
+        ["state", "municipality"], ["airport_id"])
+    hist = oc.join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        norm_key("n_name").alias("city"), F.col("o_orderdate").cast("date").alias("dt"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"))
+    means = weekly_mean(trailing_years(hist, "dt", 5), ["city"], "dt", "price", "m")
+    temps = means.select("city", F.col("week_of_year").cast("int").alias("week_of_year"),
+                         temperature_bucket(F.col("m") / 10000).alias("temperature_bucket"))
+    labels = stage_country_labels(_nation_labels(_t(spark, sf, "nation")).select(
+        "value", F.upper("description").alias("description")))
+    countries = nr.where(F.col("r_name") != "EUROPE").select(
+        F.initcap("n_name").alias("name"), F.lit(None).cast("string").alias("alpha2"),
+        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("alpha3"),
+        split_list(F.concat(F.col("n_regionkey").cast("string"), F.lit(",9"))).alias("languages"))
+    languages = _t(spark, sf, "region").select(F.col("r_name").alias("name"), F.lit(None).cast("string").alias("alpha2"),
+                                              F.col("r_regionkey").cast("string").alias("alpha3"))
+    cn = c.join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    gdp = cn.groupBy(F.upper("n_name").alias("country")).agg(F.max("c_acctbal").alias("gdp_per_capita"))
+    country = dims.dim_country(countries, languages, gdp)
+    fact = facts.fact_ingress(arrivals, ports, airports, temps, labels, country)
+    return fact.select("date_id", "country_id", "airport_id", "gender", "age_bucket", "temperature_bucket")
+
+
+SQL_FACT_INGRESS_BUILD = f"""
+WITH raw AS (
+  SELECT 'P' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS i94port,
+         CAST((c_nationkey + 3) % 25 AS DOUBLE) AS i94cit, CAST(o_orderdate AS DATE) AS arrdate,
+         CASE WHEN o_orderstatus = 'P' THEN 2.0 ELSE 1.0 END AS i94mode, {_BIRTH_SQL} AS biryear,
+         CASE WHEN o_orderstatus = 'F' THEN 'F' WHEN o_orderstatus = 'O' THEN 'M' END AS gender
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+arr AS (
+  SELECT i94port, CAST(i94cit AS INTEGER) AS i94cit, arrdate, coalesce(nullif(trim(gender), ''), 'U') AS gender,
+         {_age_case('(year(arrdate) - CAST(biryear AS INTEGER))')} AS age_bucket, {_date_key_sql('arrdate')} AS date_id
+  FROM raw WHERE i94mode = 1),
+nr AS (SELECT n_nationkey, n_name, n_regionkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+ports AS (SELECT 'P' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, upper(n_name) AS municipality,
+                 upper(substr(r_name, 1, 2)) AS state FROM nr WHERE r_name <> 'MIDDLE EAST'),
+airports AS (
+  SELECT min('K' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0')) AS airport_id, municipality, state
+  FROM (SELECT s_suppkey, upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) AS municipality,
+               upper(substr(r_name, 1, 2)) AS state FROM supplier JOIN nr ON s_nationkey = n_nationkey)
+  GROUP BY municipality, state),
+pa AS (SELECT p.code, a.airport_id, p.municipality FROM ports p JOIN airports a
+       ON lower(trim(p.state)) = lower(trim(a.state)) AND lower(trim(p.municipality)) = lower(trim(a.municipality))),
+hist AS (SELECT lower(trim(n_name)) AS city, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(12,2)) AS price
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+mx AS (SELECT max(year(d)) AS y FROM hist),
+tm AS (SELECT city, CAST(weekofyear(d) AS INTEGER) AS w, CAST(avg(price) AS DOUBLE) / 10000 AS m
+       FROM hist, mx WHERE year(d) > mx.y - 5 AND year(d) <= mx.y GROUP BY 1, 2),
+temps AS (SELECT city, w, {_temp_case('m')} AS temperature_bucket FROM tm),
+labels AS (SELECT TRY_CAST(lpad(CAST(n_nationkey AS VARCHAR), 3, ' ') AS INTEGER) AS value,
+                  trim(upper(n_name)) AS description FROM nation),
+dimc AS (SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS country_id,
+                upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) AS name FROM nr WHERE r_name <> 'EUROPE'),
+origin AS (SELECT l.value AS origin_code, d.country_id FROM labels l
+           JOIN dimc d ON lower(trim(l.description)) = lower(trim(d.name)))
+SELECT a.date_id, o.country_id, pa.airport_id, a.gender, a.age_bucket,
+       coalesce(t.temperature_bucket, 'UN') AS temperature_bucket
+FROM arr a JOIN pa ON a.i94port = pa.code
+LEFT JOIN temps t ON lower(trim(pa.municipality)) = t.city AND CAST(weekofyear(a.arrdate) AS INTEGER) = t.w
+JOIN origin o ON a.i94cit = o.origin_code
+"""
+
+
 # --------------------------------------------------------------------------- C17 J9 F11
 def _star_dims(spark, sf):
     dd = q_dim_date_spine(spark, sf)
@@ -820,6 +917,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cross_type_key_join": q_cross_type_key_join,
     "label_chain_join": q_label_chain_join,
     "fact_build": q_fact_build,
+    "fact_ingress_build": q_fact_ingress_build,
     "star_query": q_star_query,
     "top_k_counts": q_top_k_counts,
     "conditional_counts": q_conditional_counts,
@@ -860,6 +958,7 @@ def oracle_sql() -> dict[str, str]:
         "cross_type_key_join": SQL_CROSS_TYPE_KEY_JOIN,
         "label_chain_join": SQL_LABEL_CHAIN_JOIN,
         "fact_build": SQL_FACT_BUILD,
+        "fact_ingress_build": SQL_FACT_INGRESS_BUILD,
         "star_query": SQL_STAR_QUERY,
         "top_k_counts": SQL_TOP_K_COUNTS,
         "conditional_counts": SQL_CONDITIONAL_COUNTS,

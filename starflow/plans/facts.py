@@ -20,14 +20,14 @@ def port_airport_map(ports: DataFrame, airports: DataFrame) -> DataFrame:
     p = ports.where(F.col("code").isNotNull())
     m = lookup(p, airports.select("airport_id", F.col("municipality").alias("a_municipality"),
                                   F.col("state").alias("a_state")),
-               ["state", "municipality"], ["a_state", "a_municipality"], normalize=True, broadcast_rows=LOOKUP_MAX_ROWS)
+               ["state", "municipality"], ["a_state", "a_municipality"], normalize=True, broadcast_rows=None)
     return m.select("code", "airport_id", "municipality")
 
 
 def origin_country_map(country_labels: DataFrame, countries: DataFrame) -> DataFrame:
     """J6+J7 pre-joined: origin code (int) -> country_id, labels matched to dimension names case-insensitively."""
     m = lookup(country_labels, countries.select("country_id", F.col("name").alias("c_name")),
-               ["description"], ["c_name"], normalize=True, broadcast_rows=LOOKUP_MAX_ROWS)
+               ["description"], ["c_name"], normalize=True, broadcast_rows=None)
     return m.select(F.col("value").alias("origin_code"), "country_id")
 
 
@@ -37,7 +37,9 @@ def fact_ingress(arrivals: DataFrame, ports: DataFrame, airports: DataFrame, tem
     """Arrivals -> 7-column fact, with every lookup a broadcast hash join.
 
     The arrivals stream through once with no shuffle: the three lookup maps
-    are bounded code lists, each checked for size before it is broadcast.
+    are bounded code lists, each checked for size (once, as a finished map)
+    before it is broadcast; the small joins that build the maps are left to
+    Spark.
     ``unmatched="drop"`` drops arrivals whose origin has no country (as
     executed); ``"unknown"`` keeps them under ``UNK`` (needs the dimension
     built with ``unknown_member=True``). Countries come from the dimension

@@ -121,8 +121,10 @@ def stage_airports(spark: SparkSession, path: str | Sequence[str], country: str
                    & F.col("iata_code").isNotNull()) \
         .select(F.col("ident").alias("airport_id"), "name", "municipality",
                 strip_literal("iso_region", f"{country}-").alias("state"))
-    return first_per_group(df, ["state", "municipality"], ["airport_id"]) \
-        .select("airport_id", "name", "municipality", "state")
+    # One airport per (state, municipality) compared case-insensitively, the way ports are matched (Q21),
+    # so case variants of a city cannot both match a port and duplicate fact rows.
+    keyed = df.withColumns({"_ks": norm_key("state"), "_km": norm_key("municipality")})
+    return first_per_group(keyed, ["_ks", "_km"], ["airport_id"]).select("airport_id", "name", "municipality", "state")
 
 
 def stage_countries(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
