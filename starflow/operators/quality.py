@@ -62,7 +62,9 @@ def schema_problems(df: DataFrame, expected: T.StructType | Sequence[str]) -> li
     return problems
 
 
-def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence[str] | None = None) -> DataFrame:
+def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence[str] | None = None,
+                references: dict[str, tuple[DataFrame, str]] | None = None,
+                broadcast_rows: int = 10_000_000) -> DataFrame:
     """Evaluate all expectations of one table in one aggregate pass.
 
     With ``key``, the key-uniqueness check (V6) joins the same pass: rows are
@@ -70,7 +72,19 @@ def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence
     one row per task), then one final aggregate sums the per-key counts and
     counts keys seen more than once. ``required_values`` must then be on key
     columns.
+
+    ``references`` maps a foreign-key column to ``(dimension, key column)``;
+    each gets an ``orphan_<fk>`` check (null keys count as orphans) in the
+    same pass: the distinct dimension keys are left-joined as a broadcast
+    (once proven under ``broadcast_rows``), so the table is read once and
+    not shuffled for it.
     """
+    from .joins import bounded_broadcast  # local import: joins has no quality dependency
+
+    refs = references or {}
+    for i, (fk, (dim, pk)) in enumerate(refs.items()):
+        keys_df = dim.select(F.col(pk).alias(f"_ref{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        df = df.join(bounded_broadcast(keys_df, broadcast_rows), F.col(fk) == F.col(f"_ref{i}"), "left")
     # (name, per-row predicate or None, final aggregate builder, threshold, op)
     row_preds: list[tuple[str, Column, int, str]] = []
     for c in exp.not_null:
@@ -79,6 +93,8 @@ def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence
         row_preds.append((f"invalid_{c}", F.col(c).isNull() | (F.col(c) < 0) | F.isnan(F.col(c)), 0, "=="))
     for name, pred, minimum in exp.min_rows_where:
         row_preds.append((name, pred, minimum, ">="))
+    for i, fk in enumerate(refs):
+        row_preds.append((f"orphan_{fk}", F.col(f"_hit{i}").isNull(), 0, "=="))
 
     checks: list[tuple[str, Column, int, str]] = []
     if key is None:

@@ -141,3 +141,16 @@ def test_schema_problems(spark):
     probs = schema_problems(bad, schemas.COUNTRY_LABELS)
     assert "missing column description" in probs and any("value is string" in p for p in probs)
     assert schema_problems(df, ["value", "nope"]) == ["missing column nope"]
+
+
+def test_check_table_references_in_same_pass(spark):
+    fact = spark.createDataFrame([(1, "A"), (2, "B"), (3, None), (4, "Z"), (5, "A")], "id int, fk string")
+    dim = spark.createDataFrame([("A",), ("B",), ("B",)], "pk string")
+    res = check_table(fact, "f", Expectation(min_rows=1), references={"fk": (dim, "pk")})
+    got = {r.check_name: (r.observed, r.passed) for r in res.collect()}
+    assert got == {"row_count": (5, True), "orphan_fk": (2, False)}
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    keyed = {r.check_name: r.observed
+             for r in check_table(fact, "f", Expectation(), key="id", references={"fk": (dim, "pk")}).collect()}
+    assert keyed == {"row_count": 5, "orphan_fk": 2, "duplicate_keys": 0}
