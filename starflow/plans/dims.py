@@ -37,6 +37,22 @@ def dim_date_covering(facts_dates: DataFrame, date_col: str, days: int = 3660, l
     return date_spine_between(bounds, "s", "e").select(*[c.alias(n) for n, c in date_columns("date").items()])
 
 
+def dim_date_for_keys(spark: SparkSession, min_key: int | None, max_key: int | None, days: int = 3660,
+                      lead_days: int = 30) -> DataFrame:
+    """C9 widened to a known ``date_id`` range (e.g. observed while the fact was written)."""
+    end = dt.date.today() + dt.timedelta(days=lead_days)
+    start = end - dt.timedelta(days=days)
+
+    def as_date(k: int) -> dt.date:
+        return dt.date(k // 10000, k // 100 % 100, k % 100)
+
+    if min_key is not None:
+        start = min(start, as_date(min_key))
+    if max_key is not None:
+        end = max(end, as_date(max_key))
+    return dim_date(spark, start, end)
+
+
 def dim_country(countries: DataFrame, languages: DataFrame, gdp: DataFrame, unknown_member: bool = False) -> DataFrame:
     """country_id (alpha-3), name, language names joined by ',', GDP per capita (0 when missing).
 

@@ -66,7 +66,7 @@ def test_failed_checks_halt_the_run(spark, fixtures_dir):
 
 def test_staging_minimum_rows_enforced(spark, fixtures_dir):
     th = Thresholds(staging={"arrivals": 1_000_000})
-    with pytest.raises(ValueError, match="arrivals.row_count"):
+    with pytest.raises(ValueError, match="arrivals.min_rows"):
         pipeline.run(spark, make_inputs(fixtures_dir), scratch_path(spark, "small"), th)
 
 
