@@ -142,13 +142,6 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
     return fact.join(d, fact[fact_key] == d["_dk"], "left_anti")
 
 
-def key_check(df: DataFrame, table: str, keys: str | Sequence[str]) -> DataFrame:
-    """V6 as a result row: number of duplicated keys, must be 0."""
-    n = duplicate_keys(df, keys).agg(F.count(F.lit(1)).cast("long").alias("observed"))
-    return n.select(F.lit(table).alias("table_name"), F.lit("duplicate_keys").alias("check_name"), "observed",
-                    F.lit(0).cast("long").alias("threshold"), (F.col("observed") == 0).alias("passed"))
-
-
 def enforce(results: DataFrame | Sequence[CheckResult]) -> list[CheckResult]:
     """Raise ``ValueError`` listing every failed check; returns all results otherwise.
 
