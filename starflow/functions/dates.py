@@ -22,9 +22,9 @@ def from_day_number(days: Column | str, epoch: str = DAY_NUMBER_EPOCH) -> Column
 
 
 def to_date_col(c: Column | str, fmt: str | None = None) -> Column:
-    """string/timestamp -> date (``try_to_date`` semantics for strings)."""
+    """string/timestamp -> date; unparseable text gives null instead of failing under ANSI mode."""
     c = as_col(c)
-    return F.try_to_date(c, F.lit(fmt)) if fmt else c.cast("date")
+    return F.try_to_date(c, fmt) if fmt else c.try_cast("date")
 
 
 def date_key(d: Column | str) -> Column:

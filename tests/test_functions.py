@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starflow.functions import (age_bucket, clean_number, date_columns, date_key, day_of_week0, default_code,
-                                from_day_number, iso_week, join_or_unknown, norm_key, split_list, split_location,
+                                from_day_number, iso_week, join_or_unknown, to_date_col, norm_key, split_list, split_location,
                                 split_once, stable_id, strip_literal, temperature_bucket, unescape_html)
 
 
@@ -89,3 +89,11 @@ def test_stable_id(spark):
     import hashlib
     h = hashlib.md5(b"1|a").hexdigest()
     assert got[0] == f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}"
+
+
+def test_to_date_col(spark):
+    rows = [("2016-04-01",), ("01/04/2016",), ("junk",), (None,)]
+    got = one(spark, rows, "s string", to_date_col("s", "dd/MM/yyyy"), to_date_col("s"))
+    assert got == [(None, dt.date(2016, 4, 1)), (dt.date(2016, 4, 1), None), (None, None), (None, None)]
+    ts = one(spark, [(dt.datetime(2016, 4, 1, 23, 59),)], "t timestamp_ntz", to_date_col("t"))
+    assert ts == [(dt.date(2016, 4, 1),)]
