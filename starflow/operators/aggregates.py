@@ -43,9 +43,11 @@ def explode_lookup_collect(df: DataFrame, key_cols: Sequence[str], list_col: str
     * Unmatched codes are dropped from the list (left join, nulls skipped).
     * ``carry`` columns are functionally dependent on the key; ``min`` picks
       one deterministically when a key repeats.
-    * The regroup is by the row key, so a group holds one row's list: its
-      size is bounded by the list, not by the table. The partial aggregate
-      folds a row's exploded codes back together before the shuffle.
+    * The regroup is by the row key: with a unique key (one country per
+      alpha-3 code) a group holds one row's list, bounded by the list and
+      not by the table, and the partial aggregate folds a row's exploded
+      codes back together before the shuffle. A key repeated across many
+      rows would gather all their lists in one group, so pass a row key.
     """
     codes = df.select(*key_cols, *carry, F.posexplode_outer(F.col(list_col)).alias("_pos", "_code"))
     right = lookup_df.select(F.col(lookup_key).cast("string").alias("_code"), F.col(lookup_value).alias("_val"))

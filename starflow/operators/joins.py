@@ -48,6 +48,9 @@ def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[str | Column], r
     join is a plain equi-join Catalyst can hash-partition or broadcast, and
     the helpers are dropped afterwards. ``normalize`` applies
     ``lower(trim())`` to both sides (case-insensitive text keys, J2/J5/J7).
+    The right side is a lookup: keep it unique on its keys (a duplicated key
+    repeats left rows, as any join does) and give its other columns names
+    that differ from the left's.
     """
     if len(left_on) != len(right_on):
         raise ValueError("left_on and right_on differ in length")
