@@ -131,6 +131,8 @@ def insert(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrit
     elif mode == "overwrite":
         ordered.write.insertInto(table, overwrite=True)
     elif mode == "partition_overwrite":
+        # insertInto ignores a per-write partitionOverwriteMode option and v1 Parquet tables have no
+        # writeTo().overwritePartitions(), so the session setting is switched for this write only.
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:

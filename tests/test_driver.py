@@ -63,3 +63,11 @@ def test_uuid_ids_unique(spark):
     df = queries()["uuid_ids"](spark, SF001)
     rows = df.collect()
     assert len({r.ingress_id for r in rows}) == len(rows) > 0
+
+
+@pytest.mark.parametrize("name", ["fact_build", "star_query", "fact_ingress_build"])
+def test_fact_side_streams_through_broadcast_joins(spark, name):
+    plan = queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    for node in ("SortMergeJoin", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
+    assert "BroadcastHashJoin" in plan
