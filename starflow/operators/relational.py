@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,16 +22,33 @@ def union_all(frames: Iterable[DataFrame], by_name: bool = True, allow_missing:
     return reduce(DataFrame.union, frames)
 
 
-def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                    descending: bool = False) -> DataFrame:
-    """The first row of each group by ``order_by`` (ties broken by the remaining columns).
+def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
+                    descending: bool = False, method: str = "aggregate") -> DataFrame:
+    """The first row of each group by ``order_by``.
 
-    Planned as a hash aggregate of ``min(struct(order_by..., rest...))``
-    rather than a window: the partial aggregate runs map-side, so a group
-    holding a third of the table collapses to one row per task before the
-    shuffle and no task ever sorts or buffers a whole group.
+    ``aggregate`` (default): a hash aggregate of ``min(struct(order_by...,
+    rest...))`` (``max`` when ``descending``); ties are broken by the
+    remaining columns, so the result is deterministic. The partial
+    aggregate runs map-side, so a group holding a third of the table
+    collapses to one row per task before the shuffle and no task ever sorts
+    or buffers a whole group.
+
+    ``window``: ``row_number()`` over the group ordered by ``order_by`` (which
+    may mix directions, e.g. ``F.col("a").desc()``), keeping ``rn = 1``;
+    Catalyst plans a window group limit that also pre-filters map-side.
     """
-    keys, order_by = list(keys), list(order_by)
+    keys = list(keys)
+    if method == "window":
+        order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+        if descending:
+            order = [c.desc() if isinstance(o, str) else c for o, c in zip(order_by, order)]
+        rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("_rn", rn).where(F.col("_rn") == 1).drop("_rn")
+    if method != "aggregate":
+        raise ValueError("method must be 'aggregate' or 'window'")
+    order_by = [c for c in order_by]
+    if not all(isinstance(c, str) for c in order_by):
+        raise ValueError("the aggregate method takes column names; use method='window' for expressions")
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     packed = F.struct(*[F.col(c) for c in order_by + rest])
     pick = (F.max if descending else F.min)(packed).alias("_first")

@@ -151,7 +151,7 @@ def run(spark: SparkSession, inputs: Inputs, output_root: str, thresholds: Thres
     seen = dates.get
     tables["dim_date"] = dims.dim_date_for_keys(spark, seen.get("lo"), seen.get("hi"))
     for name in ("dim_date", "dim_country", "dim_airport"):
-        warehouse.write_dimension(tables[name], f"{output_root}/{name}")
+        warehouse.write_dimension(tables[name], f"{output_root}/{name}", key=schemas.TABLE_KEYS[name])
     written = {name: spark.read.parquet(f"{output_root}/{name}") for name in tables}
     written["fact_ingress"] = written["fact_ingress"].drop(schemas.FACT_PARTITION)
     results += enforce(table_checks(written, th))

@@ -28,9 +28,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
-def write_dimension(df: DataFrame, path: str) -> None:
-    """Dimensions are small: one file, no 200-way shuffle output of tiny files."""
-    write_parquet(df.coalesce(1), path)
+def write_dimension(df: DataFrame, path: str, key: str | None = None) -> None:
+    """Dimensions are small: one file (no 200-way shuffle output of tiny files), rows ordered by key."""
+    one = df.coalesce(1)
+    write_parquet(one.sortWithinPartitions(key) if key else one, path)
 
 
 def with_fact_year(fact: DataFrame) -> DataFrame:

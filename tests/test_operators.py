@@ -154,3 +154,16 @@ def test_check_table_references_in_same_pass(spark):
     keyed = {r.check_name: r.observed
              for r in check_table(fact, "f", Expectation(), key="id", references={"fk": (dim, "pk")}).collect()}
     assert keyed == {"row_count": 5, "orphan_fk": 2, "duplicate_keys": 0}
+
+
+def test_first_per_group_window_method(spark):
+    data = [("NY", "KLGA", 2), ("NY", "KJFK", 1), ("FL", "KMIA", 5), ("FL", "KFLL", 5)]
+    df = spark.createDataFrame(data, "state string, ident string, rank int")
+    win = first_per_group(df, ["state"], [F.col("rank").desc(), F.col("ident").asc()], method="window")
+    assert sorted(tuple(r) for r in win.collect()) == [("FL", "KFLL", 5), ("NY", "KLGA", 2)]
+    agg = first_per_group(df, ["state"], ["ident"])
+    win2 = first_per_group(df, ["state"], ["ident"], method="window")
+    assert sorted(map(tuple, agg.collect())) == sorted(map(tuple, win2.collect()))
+    assert "WindowGroupLimit" in win2._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        first_per_group(df, ["state"], [F.col("rank")])
