@@ -36,14 +36,20 @@ def html_cells(row: Column | str, tag: str = "td") -> Column:
 
 
 def html_table_pairs(df: DataFrame, html_col: str = "html", first_cell_pattern: str = r"^[A-Z]{3}$",
-                     keep: Sequence[str] = (), key: str = "code", value: str = "location") -> DataFrame:
+                     keep: Sequence[str] = (), key: str = "code", value: str = "location",
+                     rebalance_rows: bool = False) -> DataFrame:
     """Table rows whose first cell matches a pattern, cells regrouped in (key, value) pairs.
 
     A row may carry several pairs side by side (code, place, code, place);
     pairs are formed within a row, and header rows of ``<th>`` (no cells)
-    are skipped rather than failing.
+    are skipped rather than failing. Rows are independent once cut out of
+    their page, so ``rebalance_rows`` spreads them round-robin before the
+    cell extraction: one very large page then no longer sits in one task
+    (it costs a shuffle of the row texts, so it is off by default).
     """
     rows = spread(df).select(*keep, F.explode(html_rows(html_col)).alias("_row"))
+    if rebalance_rows:
+        rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
     cells = rows.select(*keep, html_cells("_row").alias("_cells"))
     kept = cells.where((F.size("_cells") > 0) & F.get("_cells", 0).rlike(first_cell_pattern))
     pairs = kept.select(*keep, "_cells", F.explode(F.sequence(F.lit(0), F.size("_cells") - 1, F.lit(2))).alias("_i"))

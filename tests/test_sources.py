@@ -79,3 +79,10 @@ def test_scan_many_files_prunes_columns(spark, fixtures_dir):
     plan = df.where(F.col("i94mode") == 1)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(i94mode), EqualTo(i94mode,1.0)]" in plan
     assert "ReadSchema: struct<i94port:string,i94mode:double>" in plan
+
+
+def test_html_table_pairs_rebalanced_rows(spark):
+    pages = spark.createDataFrame([(1, PORTS_HTML)], "page_id long, html string")
+    a = sorted((r.code, r.location) for r in html_table_pairs(pages).collect())
+    b = sorted((r.code, r.location) for r in html_table_pairs(pages, rebalance_rows=True).collect())
+    assert a == b and len(a) == 6
