@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import iso_week
 from ..functions.text import join_or_unknown
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from .joins import DEFAULT_BROADCAST_ROWS, small_side
 
 
 def trailing_years(df: DataFrame, date_col: str, years: int) -> DataFrame:
@@ -34,7 +34,7 @@ def weekly_mean(df: DataFrame, keys: Sequence[str | Column], date_col: str, valu
 def explode_lookup_collect(df: DataFrame, key_cols: Sequence[str], list_col: str, lookup_df: DataFrame,
                            lookup_key: str, lookup_value: str, out_col: str, carry: Sequence[str] = (),
                            sep: str = ",", default: str = "Unknown",
-                           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Explode a code list, look each code up, fold back into one string per key.
 
     * ``posexplode_outer`` keeps keys whose list is null or empty (they come
@@ -48,10 +48,12 @@ def explode_lookup_collect(df: DataFrame, key_cols: Sequence[str], list_col: str
       not by the table, and the partial aggregate folds a row's exploded
       codes back together before the shuffle. A key repeated across many
       rows would gather all their lists in one group, so pass a row key.
+    * ``broadcast_rows`` follows ``small_side``: the lookup is counted
+      first unless the caller passes ``None`` (already proven small).
     """
     codes = df.select(*key_cols, *carry, F.posexplode_outer(F.col(list_col)).alias("_pos", "_code"))
     right = lookup_df.select(F.col(lookup_key).cast("string").alias("_code"), F.col(lookup_value).alias("_val"))
-    right = bounded_broadcast(right, broadcast_rows)
+    right = small_side(right, broadcast_rows)
     joined = codes.join(right, on="_code", how="left")
     item = F.when(F.col("_val").isNotNull(), F.struct(F.col("_pos"), F.col("_val")))
     agg = joined.groupBy(*key_cols).agg(

@@ -34,6 +34,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
+def small_side(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast policy for the small side of a join.
+
+    ``None``: the caller has already proven ``df`` small (typically from the
+    size of the base tables it is derived from), so it is hinted without a
+    counting job. ``0``: no hint, the strategy is left to Spark. ``n > 0``:
+    hinted only after ``is_bounded(df, n)`` holds.
+    """
+    if max_rows is None:
+        return F.broadcast(df)
+    return bounded_broadcast(df, max_rows) if max_rows > 0 else df
+
+
 def _key(c: str | Column, normalize: bool) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return norm_key(c) if normalize else c
@@ -50,15 +63,15 @@ def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[str | Column], r
     ``lower(trim())`` to both sides (case-insensitive text keys, J2/J5/J7).
     The right side is a lookup: keep it unique on its keys (a duplicated key
     repeats left rows, as any join does) and give its other columns names
-    that differ from the left's.
+    that differ from the left's. ``broadcast_rows`` follows ``small_side``
+    (``None``: proven small by the caller, ``0``: no hint).
     """
     if len(left_on) != len(right_on):
         raise ValueError("left_on and right_on differ in length")
     names = [f"{prefix}{i}" for i in range(len(left_on))]
     lk = left.withColumns({n: _key(c, normalize) for n, c in zip(names, left_on)})
     rk = right.withColumns({n: _key(c, normalize) for n, c in zip(names, right_on)})
-    if broadcast_rows is not None:
-        rk = bounded_broadcast(rk, broadcast_rows)
+    rk = small_side(rk, broadcast_rows)
     return lk.join(rk, on=names, how=how).drop(*names)
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import date_columns, norm_key
-from ..operators import explode_lookup_collect, lookup_default
+from ..operators import explode_lookup_collect, lookup_default, small_side
+from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from ..sources import date_spine, date_spine_between
 
 UNKNOWN_COUNTRY = "UNK"
@@ -53,20 +54,24 @@ def dim_date_for_keys(spark: SparkSession, min_key: int | None, max_key: int | N
     return dim_date(spark, start, end)
 
 
-def dim_country(countries: DataFrame, languages: DataFrame, gdp: DataFrame, unknown_member: bool = False) -> DataFrame:
+def dim_country(countries: DataFrame, languages: DataFrame, gdp: DataFrame, unknown_member: bool = False,
+                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """country_id (alpha-3), name, language names joined by ',', GDP per capita (0 when missing).
 
     Language codes are exploded with ``explode_outer`` so a country with no
     language list stays, as ``Unknown`` (Q3). GDP joins case-insensitively
     (J2); it is first reduced to one row per name key so a duplicated name
-    cannot duplicate a country.
+    cannot duplicate a country. The language list and the reduced GDP table
+    are broadcast under the ``small_side`` policy (``None`` when the caller
+    has proven them small).
     """
     langs = explode_lookup_collect(
         countries.select(F.col("alpha3").alias("country_id"), "name", "languages"),
         key_cols=["country_id"], list_col="languages", lookup_df=languages, lookup_key="alpha3",
-        lookup_value="name", out_col="languages", carry=["name"])
+        lookup_value="name", out_col="languages", carry=["name"], broadcast_rows=broadcast_rows)
     g = gdp.groupBy(norm_key("country").alias("_gk")).agg(F.max("gdp_per_capita").alias("gdp_per_capita"))
-    out = lookup_default(langs, g, ["name"], ["_gk"], {"gdp_per_capita": 0.0}, normalize=True) \
+    g = small_side(g, broadcast_rows)
+    out = lookup_default(langs, g, ["name"], ["_gk"], {"gdp_per_capita": 0.0}, normalize=True, broadcast_rows=0) \
         .select("country_id", "name", "languages", F.col("gdp_per_capita").cast("double").alias("gdp_per_capita"))
     if unknown_member:
         spark = countries.sparkSession

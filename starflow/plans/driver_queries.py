@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from ..functions import (age_bucket, age_from_birth_year, clean_number, date_columns, date_key, default_code,
                          from_day_number, iso_week, norm_key, random_id, split_list, split_location, split_once,
                          stable_id, strip_literal, temperature_bucket)
-from ..operators import (Expectation, bounded_broadcast, check_table, is_bounded, distinct_values, duplicate_keys,
+from ..operators import (Expectation, check_table, is_bounded, small_side, distinct_values, duplicate_keys,
                          explode_lookup_collect, first_per_group, lookup, lookup_default, orphan_keys, profile, spread,
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
 from ..sources import date_spine_between, html_links, parse_label_text, scan
 from . import dims, facts, staging, warehouse
+from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from .staging import stage_country_labels
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
@@ -266,7 +267,10 @@ def q_left_join_default(spark, sf):
     g = n.join(r, n["n_regionkey"] == r["r_regionkey"]).where(F.col("r_name") != "ASIA") \
         .select(F.upper("n_name").alias("gdp_country"),
                 (F.col("n_nationkey") * 100 + F.col("n_regionkey")).cast("double").alias("gdp_per_capita"))
-    out = lookup_default(s, g, ["country"], ["gdp_country"], {"gdp_per_capita": 0.0}, normalize=True)
+    # g has at most |nation| rows: broadcast without counting it once nation is proven small.
+    rows = None if _bounded(spark, sf, "nation", 1000) else DEFAULT_BROADCAST_ROWS
+    out = lookup_default(s, g, ["country"], ["gdp_country"], {"gdp_per_capita": 0.0}, normalize=True,
+                         broadcast_rows=rows)
     return out.select("s_suppkey", "country", "gdp_per_capita")
 
 
@@ -338,7 +342,8 @@ def _nation_labels(n: DataFrame) -> DataFrame:
 
 def q_cross_type_key_join(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("i94cit"))
-    labels = bounded_broadcast(stage_country_labels(_nation_labels(_t(spark, sf, "nation"))))
+    labels = small_side(stage_country_labels(_nation_labels(_t(spark, sf, "nation"))),
+                        None if _bounded(spark, sf, "nation", 1000) else DEFAULT_BROADCAST_ROWS)
     j = c.join(labels, c["i94cit"].try_cast("int") == labels["value"])
     return j.select("c_custkey", F.col("description").alias("n_name"))
 
@@ -360,8 +365,10 @@ def q_label_chain_join(spark, sf):
         F.lower("n_name").alias("name"),
         F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("alpha3"))
     c = _t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("i94cit"))
-    j = lookup(c, labels, [F.col("i94cit").try_cast("int")], ["value"], how="left")
-    j = lookup(j, countries, ["description"], ["name"], how="left", normalize=True)
+    # labels and countries have at most |nation| rows each.
+    rows = None if _bounded(spark, sf, "nation", 1000) else DEFAULT_BROADCAST_ROWS
+    j = lookup(c, labels, [F.col("i94cit").try_cast("int")], ["value"], how="left", broadcast_rows=rows)
+    j = lookup(j, countries, ["description"], ["name"], how="left", normalize=True, broadcast_rows=rows)
     return j.select("c_custkey", "description", F.col("alpha3").alias("country_id"))
 
 
@@ -487,8 +494,15 @@ def q_fact_ingress_build(spark, sf):
                                               F.col("r_regionkey").cast("string").alias("alpha3"))
     cn = c.join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     gdp = cn.groupBy(F.upper("n_name").alias("country")).agg(F.max("c_acctbal").alias("gdp_per_capita"))
-    country = dims.dim_country(countries, languages, gdp)
-    fact = facts.fact_ingress(arrivals, ports, airports, temps, labels, country)
+    # Every lookup map here is keyed by values drawn from nation and region: ports, airports (one per
+    # (state, municipality) group), GDP names, labels and countries have at most |nation| rows each, the
+    # port->airport and origin maps at most |nation|^2, the weekly temperatures at most 53 * |nation|. With
+    # both base tables proven under 1,000 rows the maps stay under 1,000,000, so they are broadcast
+    # without counting each derived map (which would recompute the orders x customer history).
+    proven = _bounded(spark, sf, "nation", 1000) and _bounded(spark, sf, "region", 1000)
+    rows = None if proven else facts.LOOKUP_MAX_ROWS
+    country = dims.dim_country(countries, languages, gdp, broadcast_rows=rows)
+    fact = facts.fact_ingress(arrivals, ports, airports, temps, labels, country, lookup_rows=rows)
     return fact.select("date_id", "country_id", "airport_id", "gender", "age_bucket", "temperature_bucket")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import small_side
 
 DIMENSIONS = ("dim_airport", "dim_country", "dim_date")
 FACT = "fact_ingress"
@@ -172,9 +172,7 @@ def star_query(fact: DataFrame, dim_date_df: DataFrame, dim_country_df: DataFram
     without another counting job); ``0`` leaves the join strategy to Spark.
     """
     def small(df: DataFrame) -> DataFrame:
-        if broadcast_rows is None:
-            return F.broadcast(df)
-        return bounded_broadcast(df, broadcast_rows) if broadcast_rows > 0 else df
+        return small_side(df, broadcast_rows)
 
     d = dim_date_df if date_where is None else dim_date_df.where(date_where)
     a = dim_airport_df if airport_where is None else dim_airport_df.where(airport_where)
