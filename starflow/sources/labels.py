@@ -43,10 +43,10 @@ def parse_label_text(df: DataFrame, text_col: str = "text", keep: Sequence[str]
                           F.substring_index("_b", ";", 1).alias("_body"))
     if lists is not None:
         named = named.where(F.col("list_name").isin([x.lower() for x in lists]))
-    body = F.col("_body")
-    groups = F.arrays_zip(*[F.regexp_extract_all(body, F.lit(ENTRY), i).alias(f"g{i}") for i in (1, 2, 3)])
-    entries = named.select(*keep, "list_name", F.explode(groups).alias("_e"))
+    # One scan of the block finds every entry; each (short) entry is then split into its groups.
+    entries = named.select(*keep, "list_name", F.explode(F.regexp_extract_all("_body", F.lit(ENTRY), 0)).alias("_e"))
     unq = lambda c: F.trim(F.replace(c, F.lit("''"), F.lit("'")))
+    group = lambda i: F.regexp_extract("_e", ENTRY, i)
     # Exactly one of the two code groups takes part in a match; the other comes back empty.
-    code = F.concat(F.col("_e.g1"), F.col("_e.g2"))
-    return entries.select(*keep, "list_name", unq(code).alias("code"), unq(F.col("_e.g3")).alias("label"))
+    code = F.concat(group(1), group(2))
+    return entries.select(*keep, "list_name", unq(code).alias("code"), unq(group(3)).alias("label"))
