@@ -140,6 +140,6 @@ def stage_languages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
 
 
 def stage_labels(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """S6 over label files: (list_name, code, label)."""
-    from ..sources import read_label_files
-    return parse_label_text(read_label_files(spark, paths))
+    """S6 over label files: (list_name, code, label), read line by line over file splits."""
+    from ..sources import parse_label_lines
+    return parse_label_lines(spark, paths)

@@ -1,14 +1,18 @@
 """Code-label text files (S6, X24): blocks ``value NAME`` … ``code = 'label'`` … ``;``.
 
-Parsed with Spark regex functions over whole files (``wholetext``): one
-task per file, no cross-line state, so many files parse in parallel.
+Two readers with the same result:
+
+* ``parse_label_lines`` (files): line by line over Spark's file splits, so a
+  large file is read by many tasks and no task holds a whole file.
+* ``parse_label_text`` (a text column): regex functions over each document,
+  for label documents that already sit one per row in a table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.relational import spread
@@ -23,6 +27,83 @@ NAME = r"^\$?(\w+)"
 ENTRY = r"(?m)^[ \t]*(?:'([^'\n]*(?:''[^'\n]*)*)'|(-?\d+))[ \t]*=[ \t]*'([^'\n]*(?:''[^'\n]*)*)'"
 
 
+HEAD = r"(?i)^[ \t]*value[ \t]+"
+
+
+def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Sequence[str] | None = None,
+                      with_path: bool = False) -> DataFrame:
+    """S6 over label files, splittable: ``([path,] list_name, code, label)``.
+
+    Same result as ``parse_label_text(read_label_files(...))`` without
+    reading a file as one row. Each line carries its file, the start of the
+    file split it was read from and a position that grows within the split
+    (lines of one split are read in order by one task). Then:
+
+    1. within each split (a group bounded by the split size, never by the
+       file), a running window gives every line the latest block header
+       before it and whether a ``;`` line closed that block since;
+    2. a one-row-per-split summary (last header, closed after it, any ``;``)
+       is scanned per file in split order to give each split the block that
+       is open when it starts, for lines before the split's first header;
+    3. lines inside an open block (the terminator line included, up to its
+       ``;``) are matched against the entry pattern.
+    Non-splittable (compressed) files are one split each.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("_line"))
+    line = F.col("_line")
+    is_head = line.rlike(HEAD)
+    lines = raw.select("path", "_split", "_pos", "_line", is_head.alias("_head"),
+                       F.when(is_head, F.lower(F.regexp_extract(F.regexp_replace(line, HEAD, ""), NAME, 1)))
+                       .alias("_name"),
+                       line.contains(";").alias("_semi"))
+    # Only headers, ';' lines and entry lines can matter: comments and blank lines stay out of the shuffle.
+    lines = lines.where(F.col("_head") | F.col("_semi") | line.rlike(ENTRY))
+
+    split_w = Window.partitionBy("path", "_split").orderBy("_pos")
+    upto = split_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = split_w.rowsBetween(Window.unboundedPreceding, -1)
+    local = lines.select(
+        "path", "_split", "_pos", "_line", "_head",
+        F.last(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n"))),
+               ignorenulls=True).over(upto).alias("_h"),
+        F.last(F.when(F.col("_semi"), F.col("_pos")), ignorenulls=True).over(before).alias("_s"))
+
+    summary = lines.groupBy("path", "_split").agg(
+        F.max(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n")))).alias("h"),
+        F.max(F.when(F.col("_semi"), F.col("_pos"))).alias("s"))
+    summary = summary.select(
+        "path", "_split", F.col("h.n").alias("name"), F.col("h").isNotNull().alias("has_head"),
+        F.coalesce(F.col("s") >= F.col("h.p"), F.lit(False)).alias("closed_after_head"),
+        F.col("s").isNotNull().cast("int").alias("any_semi"))
+    file_w = Window.partitionBy("path").orderBy("_split")
+    semis = F.sum("any_semi").over(file_w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summary = summary.withColumn("_cs", semis)
+    prev = F.last(F.when(F.col("has_head"), F.struct("name", "closed_after_head", "_cs")), ignorenulls=True) \
+        .over(file_w.rowsBetween(Window.unboundedPreceding, -1))
+    carry = summary.select("path", "_split", prev.alias("_prev"), (F.col("_cs") - F.col("any_semi")).alias("_cs_in"))
+    carry = carry.select("path", "_split", F.col("_prev.name").alias("_in_name"),
+                         (F.col("_prev.closed_after_head") | (F.col("_cs_in") > F.col("_prev._cs"))).alias("_in_closed"))
+
+    j = local.join(carry, ["path", "_split"], "left")
+    has_local = F.col("_h").isNotNull()
+    name = F.when(has_local, F.col("_h.n")).otherwise(F.col("_in_name"))
+    closed = F.when(has_local, F.coalesce(F.col("_s") >= F.col("_h.p"), F.lit(False))) \
+        .otherwise(F.coalesce(F.col("_in_closed"), F.lit(False)) | F.col("_s").isNotNull())
+    pre = F.substring_index(F.col("_line"), ";", 1)
+    inside = j.where(~F.col("_head") & name.isNotNull() & ~closed) \
+        .select("path", name.alias("list_name"), pre.alias("_e")).where(F.col("_e").rlike(ENTRY))
+    if lists is not None:
+        inside = inside.where(F.col("list_name").isin([x.lower() for x in lists]))
+    unq = lambda c: F.trim(F.replace(c, F.lit("''"), F.lit("'")))
+    group = lambda i: F.regexp_extract("_e", ENTRY, i)
+    out = inside.select("path", "list_name", unq(F.concat(group(1), group(2))).alias("code"),
+                        unq(group(3)).alias("label"))
+    return out if with_path else out.drop("path")
+
+
 def read_label_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Whole label files as rows ``(path, text)``."""
     paths = [paths] if isinstance(paths, str) else list(paths)

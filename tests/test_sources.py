@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from fixtures import LABEL_TEXT, PORTS_HTML
 from starflow.plans import staging
-from starflow.sources import (date_spine, html_links, html_table_pairs, parse_label_text, read_label_files,
-                              read_preamble_csv, scan)
+from starflow.sources import (date_spine, html_links, html_table_pairs, parse_label_lines, parse_label_text,
+                              read_label_files, read_preamble_csv, scan)
 
 
 def test_label_text_blocks(spark):
@@ -32,6 +32,43 @@ def test_label_files_and_port_split(spark, fixtures_dir):
     assert c[582] == "MEXICO" and c[996] == "No Country Code (996)" and len(c) == 5
 
 
+def _many_blocks(n_blocks: int = 40) -> str:
+    """Blocks closed every way the format allows, plus text outside blocks and after terminators."""
+    out = ["libname x 'y' ;\n", "  1 = 'outside any block'\n"]
+    for b in range(n_blocks):
+        out.append(f"/* block {b} */\n  VALUE {'$' if b % 2 else ''}list{b % 7}{';' if b % 5 == 4 else ''}\n")
+        out += [f"   {f'{chr(39)}{b}_{e}{chr(39)}' if e % 2 else b * 100 + e} =\t'label {b}/{e} it''s'\n"
+                for e in range(b % 9)]
+        out.append({0: f"   {b * 100 + 99} = 'on the terminator' ;\n", 1: ";\n", 2: "/* comment; closes */\n"}
+                   .get(b % 5, ""))
+        out.append(f"   {b * 100 + 98} = 'after the terminator'\n")
+    return "".join(out)
+
+
+def test_label_lines_match_whole_text_across_splits(spark, tmp_path):
+    paths = []
+    for name, text in [("fix.sas", LABEL_TEXT), ("many.sas", _many_blocks()),
+                       ("crlf.sas", _many_blocks(25).replace("list", "other").replace("\n", "\r\n"))]:
+        (tmp_path / name).write_bytes(text.encode())
+        paths.append(str(tmp_path / name))
+
+    def rows(df):
+        return sorted((r.path.rsplit("/", 1)[-1], r.list_name, r.code, r.label) for r in df.collect())
+
+    expected = rows(parse_label_text(read_label_files(spark, paths), keep=["path"]))
+    assert len(expected) > 200
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for split_bytes in ("134217728", "250", "53"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            assert rows(parse_label_lines(spark, paths, with_path=True)) == expected, split_bytes
+        assert spark.read.text(paths).select("_metadata.file_block_start").distinct().count() > 50
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+
+
 def test_html_table_pairs(spark):
     pages = spark.createDataFrame([(1, PORTS_HTML)], "page_id long, html string")
     got = [(r.code, r.location) for r in html_table_pairs(pages, keep=["page_id"]).collect()]
