@@ -20,7 +20,7 @@ from ..operators import (Expectation, check_table, is_bounded, small_side, disti
                          explode_lookup_collect, first_per_group, lookup, lookup_default, orphan_keys, profile, spread,
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
-from ..sources import date_spine_between, html_links, parse_label_text, scan
+from ..sources import date_spine_between, html_links, parse_label_lines, parse_label_text, scan
 from . import dims, facts, staging, warehouse
 from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from .staging import stage_country_labels
@@ -782,6 +782,23 @@ SELECT l_orderkey, l_linenumber, 'shipl', 'Q' || CAST(CAST(l_quantity AS INTEGER
 """
 
 
+def q_label_file_parse(spark, sf):
+    """S6 over files: the same documents written as text files under the shared folder (each document's
+    lines stay together), then read back line by line over the file splits by ``parse_label_lines``."""
+    location = scratch_path(spark, "label_files")
+    _label_docs(_t(spark, sf, "lineitem")).select("text").write.mode("overwrite").text(location)
+    return parse_label_lines(spark, location)
+
+
+SQL_LABEL_FILE_PARSE = """
+SELECT 'flagl' AS list_name, CAST(l_linenumber AS VARCHAR) AS code, l_returnflag || '''s ' || l_linestatus AS label
+FROM lineitem
+UNION ALL
+SELECT 'shipl', 'Q' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), strftime(l_shipdate, '%Y-%m-%d') || ', ' || l_returnflag
+FROM lineitem
+"""
+
+
 # --------------------------------------------------------------------------- V6 F12
 def q_duplicate_keys(spark, sf):
     return duplicate_keys(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -943,6 +960,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prefix_strip": q_prefix_strip,
     "html_pairs": q_html_pairs,
     "label_text_parse": q_label_text_parse,
+    "label_file_parse": q_label_file_parse,
     "duplicate_keys": q_duplicate_keys,
     "required_keys": q_required_keys,
     "fact_quality": q_fact_quality,
@@ -984,6 +1002,7 @@ def oracle_sql() -> dict[str, str]:
         "prefix_strip": SQL_PREFIX_STRIP,
         "html_pairs": _sql_html_pairs(),
         "label_text_parse": SQL_LABEL_TEXT_PARSE,
+        "label_file_parse": SQL_LABEL_FILE_PARSE,
         "duplicate_keys": SQL_DUPLICATE_KEYS,
         "required_keys": SQL_REQUIRED_KEYS,
         "fact_quality": SQL_FACT_QUALITY,

@@ -60,13 +60,13 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
                        .alias("_name"),
                        line.contains(";").alias("_semi"))
     # Only headers, ';' lines and entry lines can matter: comments and blank lines stay out of the shuffle.
-    lines = lines.where(F.col("_head") | F.col("_semi") | line.rlike(ENTRY))
+    lines = lines.where(F.col("_head") | F.col("_semi") | (line.contains("=") & line.rlike(ENTRY)))
 
     split_w = Window.partitionBy("path", "_split").orderBy("_pos")
     upto = split_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = split_w.rowsBetween(Window.unboundedPreceding, -1)
     local = lines.select(
-        "path", "_split", "_pos", "_line", "_head",
+        "path", "_split", "_pos", "_line", "_head", "_semi",
         F.last(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n"))),
                ignorenulls=True).over(upto).alias("_h"),
         F.last(F.when(F.col("_semi"), F.col("_pos")), ignorenulls=True).over(before).alias("_s"))
@@ -93,8 +93,9 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
     closed = F.when(has_local, F.coalesce(F.col("_s") >= F.col("_h.p"), F.lit(False))) \
         .otherwise(F.coalesce(F.col("_in_closed"), F.lit(False)) | F.col("_s").isNotNull())
     pre = F.substring_index(F.col("_line"), ";", 1)
-    inside = j.where(~F.col("_head") & name.isNotNull() & ~closed) \
-        .select("path", name.alias("list_name"), pre.alias("_e")).where(F.col("_e").rlike(ENTRY))
+    # Lines without ';' matched the entry pattern already; a terminator line is matched up to its ';'.
+    inside = j.where(~F.col("_head") & name.isNotNull() & ~closed & (~F.col("_semi") | pre.rlike(ENTRY))) \
+        .select("path", name.alias("list_name"), pre.alias("_e"))
     if lists is not None:
         inside = inside.where(F.col("list_name").isin([x.lower() for x in lists]))
     unq = lambda c: F.trim(F.replace(c, F.lit("''"), F.lit("'")))
