@@ -59,7 +59,9 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
                        F.when(is_head, F.lower(F.regexp_extract(F.regexp_replace(line, HEAD, ""), NAME, 1)))
                        .alias("_name"),
                        line.contains(";").alias("_semi"))
-    # Only headers, ';' lines and entry lines can matter: comments and blank lines stay out of the shuffle.
+    # The split summary needs only the cheap header/';' flags (and a row for every split). The line branch
+    # keeps headers, ';' lines and entry lines: comments and blank lines stay out of its shuffle.
+    flagged = lines
     lines = lines.where(F.col("_head") | F.col("_semi") | (line.contains("=") & line.rlike(ENTRY)))
 
     split_w = Window.partitionBy("path", "_split").orderBy("_pos")
@@ -71,7 +73,7 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
                ignorenulls=True).over(upto).alias("_h"),
         F.last(F.when(F.col("_semi"), F.col("_pos")), ignorenulls=True).over(before).alias("_s"))
 
-    summary = lines.groupBy("path", "_split").agg(
+    summary = flagged.groupBy("path", "_split").agg(
         F.max(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n")))).alias("h"),
         F.max(F.when(F.col("_semi"), F.col("_pos"))).alias("s"))
     summary = summary.select(
