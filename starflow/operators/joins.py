@@ -1,9 +1,11 @@
 """Lookup joins.
 
 Broadcast policy: a side is broadcast only after ``bounded_broadcast`` has
-proven its row count is under a limit (an early-stopping ``limit(n+1)``
-count). Above the limit the frame is returned unhinted and Spark picks a
-shuffle join; AQE can still switch to a broadcast from runtime statistics.
+proven its row count is under a limit (``is_bounded``: an incremental,
+early-stopping check), or when the caller has proven it from the tables it
+comes from (``small_side(df, None)``). Above the limit the frame is returned
+unhinted and Spark picks a shuffle join; AQE can still switch to a broadcast
+from runtime statistics.
 """
 
 from __future__ import annotations
@@ -20,13 +22,37 @@ from ..functions.text import norm_key
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+# Bounds up to this many rows are decided by Spark's incremental collect (below); larger bounds by a count.
+INCREMENTAL_CHECK_ROWS = 2_000_000
+
+
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(n+1).count()`` stops reading once n+1 rows are found, so on a
-    large table this reads a few splits, not the table.
+    ``offset(max_rows).take(1)`` asks for row ``max_rows + 1`` through
+    Spark's incremental collect: it scans one partition first and widens
+    (``spark.sql.limit.scaleUpFactor``) only while too few rows have been
+    found, so a large table is decided after a few splits instead of a task
+    per split. Only a literal column is read, and at most one row reaches
+    Python. The rows passed over are gathered in the driver JVM, so bounds
+    above ``INCREMENTAL_CHECK_ROWS`` use ``limit(n+1).count()`` instead
+    (every split counted up to n+1 rows, nothing sent to the driver).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    one = df.select(F.lit(1).alias("_one"))
+    if max_rows <= INCREMENTAL_CHECK_ROWS:
+        return len(one.offset(max_rows).take(1)) == 0
+    return one.limit(max_rows + 1).count() <= max_rows
+
+
+def count_up_to(df: DataFrame, n: int) -> int:
+    """``min(rows of df, n)``: "at least n rows" is decided incrementally as in ``is_bounded``; the exact
+    count is taken only when the frame has fewer than ``n`` rows."""
+    if n <= 0:
+        return 0
+    one = df.select(F.lit(1).alias("_one"))
+    if n <= INCREMENTAL_CHECK_ROWS:
+        return n if one.offset(n - 1).take(1) else one.count()
+    return one.limit(n).count()
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

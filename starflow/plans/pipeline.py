@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import CheckResult, Expectation, check_table, enforce, schema_problems
+from ..operators import CheckResult, Expectation, check_table, count_up_to, enforce, schema_problems
 from ..sources import read_csv
 from . import dims, facts, staging, warehouse
 
@@ -67,10 +67,10 @@ def stage_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
 def staging_checks(frames: dict[str, DataFrame], th: Thresholds) -> list[CheckResult]:
     """V1-V3: schema problems raise at once; row minima are answered with early-stopping counts.
 
-    "At least N rows" needs N rows, not all of them: ``limit(N).count()``
-    stops reading once N are found, so checking the arrivals does not scan
-    the whole extract set ahead of the build. ``observed`` is therefore
-    capped at the threshold.
+    "At least N rows" needs N rows, not all of them: ``count_up_to`` asks
+    Spark's incremental collect for the N-th row (a few splits, not a task
+    per split), so checking the arrivals does not scan the whole extract set
+    ahead of the build. ``observed`` is therefore capped at the threshold.
     """
     expected = {"arrivals": schemas.ARRIVALS, "country_labels": schemas.COUNTRY_LABELS, "ports": schemas.PORTS,
                 "temperatures": schemas.TEMPERATURES, "gdp": schemas.GDP, "airports": schemas.AIRPORTS,
@@ -82,7 +82,7 @@ def staging_checks(frames: dict[str, DataFrame], th: Thresholds) -> list[CheckRe
     results = []
     for name, df in frames.items():
         need = th.staging.get(name, 0)
-        seen = df.limit(need).count() if need > 0 else 0
+        seen = count_up_to(df, need)
         results.append(CheckResult(name, "min_rows", seen, need, seen >= need))
     return results
 

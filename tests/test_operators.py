@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starflow.operators import (Expectation, bounded_broadcast, check_table, distinct_values, duplicate_keys, enforce,
+from starflow.operators import (Expectation, bounded_broadcast, check_table, count_up_to, distinct_values, duplicate_keys,
+                                enforce, small_side,
                                 explode_lookup_collect, first_per_group, is_bounded, lookup, lookup_default,
                                 orphan_keys, profile, schema_problems, spread, top_k_counts, trailing_years,
                                 union_all, weekly_mean)
@@ -97,6 +98,28 @@ def test_bounded_broadcast_checks_size(spark):
     assert "broadcast" not in j_big._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
+def test_size_checks_at_the_boundary(spark, monkeypatch):
+    from starflow.operators import joins
+    for incremental in (True, False):
+        monkeypatch.setattr(joins, "INCREMENTAL_CHECK_ROWS", 10**9 if incremental else 0)
+        df = spark.range(0, 1000, 1, 7).where(F.col("id") % 2 == 0)    # 500 rows over 7 partitions
+        assert is_bounded(df, 500) and not is_bounded(df, 499)
+        assert is_bounded(spark.range(0), 0) and not is_bounded(spark.range(1), 0)
+        assert count_up_to(df, 100) == 100 and count_up_to(df, 500) == 500 and count_up_to(df, 900) == 500
+        assert count_up_to(spark.range(0), 5) == 0 and count_up_to(df, 0) == 0
+        agg = spark.range(0, 5000, 1, 4).groupBy((F.col("id") % 37).alias("k")).count()
+        assert is_bounded(agg, 37) and not is_bounded(agg, 36)
+
+
+def test_small_side_policy(spark):
+    def hinted(df):
+        return "broadcast" in spark.range(10).join(df, "id")._jdf.queryExecution().optimizedPlan().toString().lower()
+    big = spark.range(5000)
+    assert hinted(small_side(big, None))          # proven by the caller: no count
+    assert not hinted(small_side(spark.range(3), 0))
+    assert not hinted(small_side(big, 10)) and hinted(small_side(spark.range(3), 10))
+
+
 def test_spread_only_when_under_partitioned(spark):
     one = spark.range(0, 100, numPartitions=1)
     many = spark.range(0, 100, numPartitions=64)
