@@ -75,7 +75,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     For CPU-heavy per-row work (regex parsing, hashing) on an input that
     arrives as a handful of splits (one row group per file, say). At scale a
     scan already yields far more splits than slots and this is a no-op, so
-    no shuffle is added where it buys nothing.
+    no shuffle is added where it buys nothing. Round-robin (which Spark
+    sorts per partition first) rather than a hash of a row-position id: the
+    position depends on input order, so only round-robin keeps a retried
+    task's row placement identical when the input comes out of a shuffle.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
