@@ -64,6 +64,8 @@ def test_label_lines_match_whole_text_across_splits(spark, tmp_path):
             spark.conf.set("spark.sql.files.openCostInBytes", "1")
             assert rows(parse_label_lines(spark, paths, with_path=True)) == expected, split_bytes
         assert spark.read.text(paths).select("_metadata.file_block_start").distinct().count() > 50
+        only = rows(parse_label_lines(spark, paths, lists=["LIST3", "i94prtl"], with_path=True))
+        assert only == [r for r in expected if r[1] in ("list3", "i94prtl")] and len(only) > 5
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
