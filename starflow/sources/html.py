@@ -62,9 +62,9 @@ LINK = r"(?is)<a\s[^>]*?href\s*=\s*\"([^\"]*)\"[^>]*>(.*?)</a\s*>"
 def html_links(df: DataFrame, html_col: str = "html", text_pattern: str | None = None,
                keep: Sequence[str] = ()) -> DataFrame:
     """S5 on anchors: (href, text) of every ``<a href="…">``, optionally filtered by a text regex."""
-    h = F.col(html_col)
-    pairs = F.arrays_zip(F.regexp_extract_all(h, F.lit(LINK), 1).alias("href"),
-                         F.regexp_extract_all(h, F.lit(LINK), 2).alias("text"))
-    out = spread(df).select(*keep, F.posexplode(pairs).alias("link_pos", "_p")) \
-        .select(*keep, "link_pos", F.col("_p.href").alias("href"), _clean(F.col("_p.text")).alias("text"))
+    # One scan of the page finds every anchor; href and text are then taken from each (short) match.
+    anchors = F.regexp_extract_all(F.col(html_col), F.lit(LINK), 0)
+    out = spread(df).select(*keep, F.posexplode(anchors).alias("link_pos", "_a")) \
+        .select(*keep, "link_pos", F.regexp_extract("_a", LINK, 1).alias("href"),
+                _clean(F.regexp_extract("_a", LINK, 2)).alias("text"))
     return out.where(F.col("text").rlike(text_pattern)) if text_pattern else out
