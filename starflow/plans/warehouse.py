@@ -117,6 +117,9 @@ def create_table_for(spark: SparkSession, table: str, df: DataFrame, location: s
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} LOCATION '{location}'")
 
 
+_FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro")
+
+
 def insert(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrite") -> None:
     """K7: load a frame into a catalog table.
 
@@ -132,14 +135,25 @@ def insert(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrit
     elif mode == "overwrite":
         ordered.write.insertInto(table, overwrite=True)
     elif mode == "partition_overwrite":
-        # insertInto ignores a per-write partitionOverwriteMode option and v1 Parquet tables have no
-        # writeTo().overwritePartitions(), so the session setting is switched for this write only.
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            ordered.write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        provider, location = (info.get("Provider") or "").lower(), info.get("Location")
+        if parts and location and provider in _FILE_FORMATS:
+            # insertInto ignores a per-write partitionOverwriteMode option, but a write to the table's
+            # location honours it: only the partitions present in the frame are replaced, then the new
+            # partition folders are registered in the catalog. The session's settings are left alone.
+            ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy(*parts).format(provider).save(location)
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            spark.catalog.refreshTable(table)
+        else:
+            # Unpartitioned or not a file-source table: switch the session setting for this write only.
+            prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            try:
+                ordered.write.insertInto(table, overwrite=True)
+            finally:
+                spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     else:
         raise ValueError("mode must be overwrite, append or partition_overwrite")
 

@@ -139,3 +139,18 @@ def test_write_fact_partition_overwrite(spark):
     assert spark.read.parquet(path).count() == 5
     plan = spark.read.parquet(path).where("year = 2016")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_catalog_partition_overwrite_leaves_session_alone(spark):
+    location = scratch_path(spark, "po")
+    table = f"po_{location.rsplit('-', 1)[-1]}"
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    warehouse.create_table_for(spark, table, first, location, ["p"])
+    warehouse.insert(spark, first, table, "overwrite")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    again = spark.createDataFrame([(3, "a"), (4, "c")], "k int, p string")
+    for _ in range(2):                                    # rerun-safe: the second load changes nothing
+        warehouse.insert(spark, again, table, "partition_overwrite")
+        assert sorted(tuple(r) for r in spark.table(table).collect()) == [(2, "b"), (3, "a"), (4, "c")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} == {"p=a", "p=b", "p=c"}
