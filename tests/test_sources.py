@@ -125,3 +125,14 @@ def test_html_table_pairs_rebalanced_rows(spark):
     a = sorted((r.code, r.location) for r in html_table_pairs(pages).collect())
     b = sorted((r.code, r.location) for r in html_table_pairs(pages, rebalance_rows=True).collect())
     assert a == b and len(a) == 6
+
+
+def test_label_lines_plan_groups_by_split_not_file(spark, tmp_path):
+    (tmp_path / "l.sas").write_text(LABEL_TEXT)
+    df = parse_label_lines(spark, str(tmp_path / "l.sas"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    # The line window is partitioned by (file, split): a group is at most one split, never a whole file.
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln and "_pos" in ln]
+    assert windows and all("_split" in ln for ln in windows)
