@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from starflow.llm import warc
+from starflow.llm import quality, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op2_quality": quality.op2_quality,
 }
 
 ORACLE_SQL = {
