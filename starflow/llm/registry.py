@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from starflow.llm import quality, warc
+from starflow.llm import huffman, packing, quality, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_quality": quality.op2_quality,
+    "op8_packing": packing.op8_packing,
+    "op10_token_ids": huffman.op10_token_ids,
 }
 
 ORACLE_SQL = {
