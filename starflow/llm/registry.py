@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from starflow.llm import huffman, packing, quality, warc
+from starflow.llm import huffman, packing, quality, sharding, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_quality": quality.op2_quality,
+    "op5_sharding": sharding.op5_sharding,
     "op8_packing": packing.op8_packing,
     "op10_token_ids": huffman.op10_token_ids,
 }
