@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from starflow.llm import huffman, packing, quality, sharding, warc
+from starflow.llm import huffman, lines, packing, quality, sharding, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_quality": quality.op2_quality,
+    "op4_lines": lines.op4_lines,
     "op5_sharding": sharding.op5_sharding,
     "op8_packing": packing.op8_packing,
     "op10_token_ids": huffman.op10_token_ids,
@@ -14,4 +15,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_warc": warc.OP1_SQL,
+    "op4_lines": lines.OP4_SQL,
 }
