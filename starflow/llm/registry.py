@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from starflow.llm import decontaminate, huffman, lines, packing, quality, sharding, warc
+from starflow.llm import decontaminate, huffman, lines, minhash, packing, quality, sharding, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_quality": quality.op2_quality,
     "op4_lines": lines.op4_lines,
     "op5_sharding": sharding.op5_sharding,
+    "op6_minhash": minhash.op6_minhash,
     "op8_packing": packing.op8_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_token_ids": huffman.op10_token_ids,
