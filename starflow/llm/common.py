@@ -7,8 +7,11 @@ re-read, never a recomputation of the whole plan or a lost result.
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark send this package to the Python workers, once per application, wherever the driver found it."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        made = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(made)
+        _SHIPPED.add(app)
+
+
 class Scratch:
     """Written intermediate tables of one operator run, under the shared folder.
 
@@ -35,6 +51,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.base = f"{shared_dir(spark)}/starflow/{name}-{uuid.uuid4().hex[:12]}"
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm.common import table
+from starflow.llm.common import ship, table
 from starflow.llm.words import batches_of, mix, word_hashes
 
 WINDOW = 16
@@ -123,6 +123,7 @@ class Index:
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[object, str]]]:
     """The items, a bounded block at a time."""
+    ship(items.sparkSession)
     text = F.coalesce("text", F.lit(""))
     total = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = -(-total // BLOCK_BYTES)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starflow.llm import decontaminate, huffman, lines, minhash, packing, quality, sharding, warc
+from starflow.llm import decontaminate, huffman, lines, minhash, packing, quality, repeats, sharding, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_lines": lines.op4_lines,
     "op5_sharding": sharding.op5_sharding,
     "op6_minhash": minhash.op6_minhash,
+    "op7_repeats": repeats.op7_repeats,
     "op8_packing": packing.op8_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_token_ids": huffman.op10_token_ids,
