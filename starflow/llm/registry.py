@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from starflow.llm import decontaminate, huffman, lines, minhash, packing, quality, repeats, sharding, warc
+from starflow.llm import chat, decontaminate, huffman, lines, minhash, packing, quality, repeats, sharding, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_quality": quality.op2_quality,
+    "op3_quotes": chat.op3_quotes,
     "op4_lines": lines.op4_lines,
     "op5_sharding": sharding.op5_sharding,
     "op6_minhash": minhash.op6_minhash,
@@ -18,5 +19,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_warc": warc.OP1_SQL,
+    "op3_quotes": chat.OP3_SQL,
     "op4_lines": lines.OP4_SQL,
 }
