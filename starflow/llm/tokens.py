@@ -12,12 +12,11 @@ from __future__ import annotations
 import re
 from array import array
 
-#: Words kept per worker; the cache starts anew beyond that.
-CACHE_WORDS = 800_000
-#: A text is cut at white space only below this code point rule: plain Latin letters.
+#: Words kept per worker and kind; the cache starts anew beyond that.
+CACHE_WORDS = 1_200_000
+#: Letters of words that need no more than the merges: plain Latin ones.
 _LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
-_UNSAFE = re.compile(r"\s\s|^\s|\s$")
-_PLAIN = re.compile(f" ?[{_LATIN}]+")
+_PLAIN = re.compile(f"[{_LATIN}]+")
 _END = ",.!?;:"
 
 
@@ -28,11 +27,47 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Encoder(dict):
-    """Maps a word (with its leading space, where that counts) to its ids as little-endian 32-bit bytes."""
+class _NotSafe(Exception):
+    """The text cannot be cut at its white space."""
 
-    def __init__(self, name: str):
+
+class _Words(dict):
+    """Ids (little-endian 32-bit bytes) by word; ``lead`` is the space that stands before it, if that counts."""
+
+    def __init__(self, owner: Encoder, lead: str):
         super().__init__()
+        self.owner, self.lead = owner, lead
+
+    def __missing__(self, word: str) -> bytes:
+        own = self.owner
+        if not word:
+            if own.kind == "words":
+                return b""
+            raise _NotSafe
+        if "\n" in word:
+            head, _, tail = word.partition("\n")
+            return self[head] + own.newline + own.bare[tail]
+        if len(word) > 1 and word[-1] in _END and word[-2] in _LATIN:
+            ids = self[word[:-1]] + own.bare[word[-1]]  # letters and signs never share a piece
+        elif _PLAIN.fullmatch(word):
+            text = word.lower() if own.kind == "words" else self.lead + word
+            mapped = text.encode().decode("latin-1").translate(own.letters)
+            ids = array("I", [t.id for t in own.model.tokenize(mapped)]).tobytes()
+        elif own.kind == "bytes" and word.split() != [word]:
+            raise _NotSafe
+        else:
+            ids = own.whole(self.lead + word)
+        if len(word) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+class Encoder:
+    """Encodes whole texts with one vocabulary file."""
+
+    def __init__(self, name: str):
         import json
 
         import public_tokenizers
@@ -49,32 +84,24 @@ class Encoder(dict):
         self.kind = "bytes" if byte_level and not rules.get("normalizer") else "words" if word_level else "whole"
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.lookup = self.__getitem__
+        self.bare = _Words(self, "")
+        self.spaced = _Words(self, " ") if self.kind == "bytes" else self.bare
+        self.newline = self.whole("\n") if self.kind == "bytes" else b""
 
-    def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in _END and word[-2] in _LATIN:
-            ids = self[word[:-1]] + self[word[-1]]  # letters and signs never share a piece
-        elif _PLAIN.fullmatch(word) and (self.kind == "bytes" or word[0] != " "):
-            text = word.lower() if self.kind == "words" else word
-            mapped = text.encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-        else:
-            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit values; null has none."""
         if not text:
             return b""
-        if self.kind == "words":
-            return b"".join(map(self.lookup, text.replace("\n", " ").split(" ")))
-        if self.kind == "whole" or "\0" in text or _UNSAFE.search(text):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.lookup, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
+        if self.kind == "whole":
+            return self.whole(text)
+        first, *others = text.split(" ")
+        try:
+            return self.bare[first] + b"".join(map(self.spaced.__getitem__, others))
+        except _NotSafe:
+            return self.whole(text)
 
 
 _ENCODERS: dict[str, Encoder] = {}
