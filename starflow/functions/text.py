@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,13 +62,30 @@ def join_or_unknown(arr: Column | str, sep: str = ",", default: str = "Unknown")
     return F.coalesce(F.nullif(F.concat_ws(sep, as_col(arr)), F.lit("")), F.lit(default))
 
 
-# The HTML character entities decoded in scraped cell text.
-HTML_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def unescape_html(c: Column | str) -> Column:
-    """Decode the common entities (``&amp;`` last so ``&amp;lt;`` stays ``&lt;``)."""
-    out = as_col(c)
-    for entity, char in HTML_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Decode every entity once, as an HTML reader does: decimal, hexadecimal, and named ones.
+
+    Names come from the standard library's table; unknown names and impossible numbers stay as they are, and
+    ``&nbsp;`` counts as a plain space. ``&amp;`` and its numbers come last, so ``&amp;lt;`` becomes ``&lt;``.
+    """
+    named = F.create_map(*(F.lit(x) for name, code in sorted(name2codepoint.items())
+                           for x in (name, " " if name == "nbsp" else chr(code))))
+
+    def decoded(entity: Column) -> Column:
+        body = F.substring(entity, 2, 40)
+        body = F.left(body, F.length(body) - 1)
+        number = F.when(F.lower(F.substring(body, 2, 1)) == "x", F.conv(F.substring(body, 3, 40), 16, 10)) \
+            .otherwise(F.substring(body, 2, 40)).try_cast("int")
+        real = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
+        plain = F.when(body.startswith("#"), F.when(real, F.when(number == 160, " ").otherwise(char))) \
+            .otherwise(F.try_element_at(named, body))
+        return F.coalesce(plain, entity)
+
+    found = F.transform(F.array_distinct(F.regexp_extract_all(as_col(c), F.lit(ENTITY), 0)),
+                        lambda e: F.struct((decoded(e) == "&").alias("last"), e.alias("entity"), decoded(e).alias("char")))
+    text = F.aggregate(F.array_sort(found), as_col(c), lambda acc, e: F.replace(acc, e["entity"], e["char"]))
+    return F.when(F.contains(as_col(c), F.lit("&")), text).otherwise(as_col(c))

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import iso_week
 from ..functions.text import join_or_unknown
-from .joins import DEFAULT_BROADCAST_ROWS, small_side
+from .joins import small_side
 
 
 def trailing_years(df: DataFrame, date_col: str, years: int) -> DataFrame:
     """Keep rows in the last ``years`` calendar years of the data.
 
-    The latest year is a scalar subquery (``DataFrame.scalar()``), evaluated
-    once by Spark and inlined as a literal: no driver ``collect()`` and no
-    join against the aggregate.
+    The latest date is a scalar subquery (``DataFrame.scalar()``), evaluated
+    once by Spark: no driver ``collect()`` and no join against the aggregate.
+    The rows are kept by a range on the column itself, so the range reaches
+    the Parquet scan when ``date_col`` is a stored column.
     """
-    y = F.year(F.col(date_col))
-    latest = df.select(F.max(y)).scalar()
-    return df.where((y > latest - F.lit(years)) & (y <= latest))
+    kind = df.schema[date_col].dataType
+    first = F.make_date(F.year(F.max(date_col)) - F.lit(years - 1), F.lit(1), F.lit(1)).cast(kind)
+    return df.where(F.col(date_col) >= df.select(first).scalar())
 
 
 def weekly_mean(df: DataFrame, keys: Sequence[str | Column], date_col: str, value_col: str,
@@ -34,7 +35,7 @@ def weekly_mean(df: DataFrame, keys: Sequence[str | Column], date_col: str, valu
 def explode_lookup_collect(df: DataFrame, key_cols: Sequence[str], list_col: str, lookup_df: DataFrame,
                            lookup_key: str, lookup_value: str, out_col: str, carry: Sequence[str] = (),
                            sep: str = ",", default: str = "Unknown",
-                           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           small: bool = False) -> DataFrame:
     """Explode a code list, look each code up, fold back into one string per key.
 
     * ``posexplode_outer`` keeps keys whose list is null or empty (they come
@@ -48,12 +49,11 @@ def explode_lookup_collect(df: DataFrame, key_cols: Sequence[str], list_col: str
       not by the table, and the partial aggregate folds a row's exploded
       codes back together before the shuffle. A key repeated across many
       rows would gather all their lists in one group, so pass a row key.
-    * ``broadcast_rows`` follows ``small_side``: the lookup is counted
-      first unless the caller passes ``None`` (already proven small).
+    * ``small`` follows ``small_side``.
     """
     codes = df.select(*key_cols, *carry, F.posexplode_outer(F.col(list_col)).alias("_pos", "_code"))
     right = lookup_df.select(F.col(lookup_key).cast("string").alias("_code"), F.col(lookup_value).alias("_val"))
-    right = small_side(right, broadcast_rows)
+    right = small_side(right, small)
     joined = codes.join(right, on="_code", how="left")
     item = F.when(F.col("_val").isNotNull(), F.struct(F.col("_pos"), F.col("_val")))
     agg = joined.groupBy(*key_cols).agg(

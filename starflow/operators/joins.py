@@ -1,11 +1,9 @@
 """Lookup joins.
 
-Broadcast policy: a side is broadcast only after ``bounded_broadcast`` has
-proven its row count is under a limit (``is_bounded``: an incremental,
-early-stopping check), or when the caller has proven it from the tables it
-comes from (``small_side(df, None)``). Above the limit the frame is returned
-unhinted and Spark picks a shuffle join; AQE can still switch to a broadcast
-from runtime statistics.
+Broadcast policy: no job runs while a plan is built, and nothing is hinted by
+row count. Spark's file sizes decide at planning and adaptive execution decides
+from measured shuffle sizes; ``small=True`` hints a side only where its
+definition bounds it (a literal code list, a calendar).
 """
 
 from __future__ import annotations
@@ -17,60 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import norm_key
 
-# Largest lookup the operators will broadcast without asking (rows). Lookups
-# are code lists, ports, airports, countries: a few thousand rows at most.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-# Bounds up to this many rows are decided by Spark's incremental collect (below); larger bounds by a count.
-INCREMENTAL_CHECK_ROWS = 2_000_000
-
-
-def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``offset(max_rows).take(1)`` asks for row ``max_rows + 1`` through
-    Spark's incremental collect: it scans one partition first and widens
-    (``spark.sql.limit.scaleUpFactor``) only while too few rows have been
-    found, so a large table is decided after a few splits instead of a task
-    per split. Only a literal column is read, and at most one row reaches
-    Python. The rows passed over are gathered in the driver JVM, so bounds
-    above ``INCREMENTAL_CHECK_ROWS`` use ``limit(n+1).count()`` instead
-    (every split counted up to n+1 rows, nothing sent to the driver).
-    """
-    one = df.select(F.lit(1).alias("_one"))
-    if max_rows <= INCREMENTAL_CHECK_ROWS:
-        return len(one.offset(max_rows).take(1)) == 0
-    return one.limit(max_rows + 1).count() <= max_rows
-
-
-def count_up_to(df: DataFrame, n: int) -> int:
-    """``min(rows of df, n)``: "at least n rows" is decided incrementally as in ``is_bounded``; the exact
-    count is taken only when the frame has fewer than ``n`` rows."""
-    if n <= 0:
-        return 0
-    one = df.select(F.lit(1).alias("_one"))
-    if n <= INCREMENTAL_CHECK_ROWS:
-        return n if one.offset(n - 1).take(1) else one.count()
-    return one.limit(n).count()
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows; otherwise leave the join to Spark."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
-def small_side(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast policy for the small side of a join.
-
-    ``None``: the caller has already proven ``df`` small (typically from the
-    size of the base tables it is derived from), so it is hinted without a
-    counting job. ``0``: no hint, the strategy is left to Spark. ``n > 0``:
-    hinted only after ``is_bounded(df, n)`` holds.
-    """
-    if max_rows is None:
-        return F.broadcast(df)
-    return bounded_broadcast(df, max_rows) if max_rows > 0 else df
+def small_side(df: DataFrame, small: bool = False) -> DataFrame:
+    """The small side of a join: hinted when its definition bounds it, else left to Spark."""
+    return F.broadcast(df) if small else df
 
 
 def _key(c: str | Column, normalize: bool) -> Column:
@@ -79,7 +26,7 @@ def _key(c: str | Column, normalize: bool) -> Column:
 
 
 def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[str | Column], right_on: Sequence[str | Column],
-           how: str = "inner", normalize: bool = False, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+           how: str = "inner", normalize: bool = False, small: bool = False,
            prefix: str = "_k") -> DataFrame:
     """Equi-join on (possibly derived) key expressions.
 
@@ -89,21 +36,20 @@ def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[str | Column], r
     ``lower(trim())`` to both sides (case-insensitive text keys, J2/J5/J7).
     The right side is a lookup: keep it unique on its keys (a duplicated key
     repeats left rows, as any join does) and give its other columns names
-    that differ from the left's. ``broadcast_rows`` follows ``small_side``
-    (``None``: proven small by the caller, ``0``: no hint).
+    that differ from the left's. ``small`` follows ``small_side``.
     """
     if len(left_on) != len(right_on):
         raise ValueError("left_on and right_on differ in length")
     names = [f"{prefix}{i}" for i in range(len(left_on))]
     lk = left.withColumns({n: _key(c, normalize) for n, c in zip(names, left_on)})
     rk = right.withColumns({n: _key(c, normalize) for n, c in zip(names, right_on)})
-    rk = small_side(rk, broadcast_rows)
+    rk = small_side(rk, small)
     return lk.join(rk, on=names, how=how).drop(*names)
 
 
 def lookup_default(left: DataFrame, right: DataFrame, left_on: Sequence[str | Column],
                    right_on: Sequence[str | Column], defaults: dict[str, object], normalize: bool = False,
-                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   small: bool = False) -> DataFrame:
     """Left lookup whose unmatched rows get a default per looked-up column."""
-    joined = lookup(left, right, left_on, right_on, how="left", normalize=normalize, broadcast_rows=broadcast_rows)
+    joined = lookup(left, right, left_on, right_on, how="left", normalize=normalize, small=small)
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})

@@ -28,6 +28,8 @@ class Expectation:
     non_negative     V8: these measures are neither null nor negative
     required_values  V7: column -> values that must all be present
     min_rows_where   V10: (name, predicate, minimum) row counts under a predicate
+    max_length       column -> most characters its values may have
+    domain           column -> the only values it may have (nulls are left to not_null)
     """
 
     min_rows: int = 0
@@ -35,6 +37,8 @@ class Expectation:
     non_negative: Sequence[str] = ()
     required_values: dict[str, Sequence[object]] = field(default_factory=dict)
     min_rows_where: Sequence[tuple[str, Column, int]] = ()
+    max_length: dict[str, int] = field(default_factory=dict)
+    domain: dict[str, Sequence[object]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -63,8 +67,7 @@ def schema_problems(df: DataFrame, expected: T.StructType | Sequence[str]) -> li
 
 
 def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence[str] | None = None,
-                references: dict[str, tuple[DataFrame, str]] | None = None,
-                broadcast_rows: int = 10_000_000) -> DataFrame:
+                references: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """Evaluate all expectations of one table in one aggregate pass.
 
     With ``key``, the key-uniqueness check (V6) joins the same pass: rows are
@@ -75,22 +78,23 @@ def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence
 
     ``references`` maps a foreign-key column to ``(dimension, key column)``;
     each gets an ``orphan_<fk>`` check (null keys count as orphans) in the
-    same pass: the distinct dimension keys are left-joined as a broadcast
-    (once proven under ``broadcast_rows``), so the table is read once and
-    not shuffled for it.
+    same pass: the distinct dimension keys are left-joined, and Spark
+    broadcasts those of a dimension by its measured size.
     """
-    from .joins import bounded_broadcast  # local import: joins has no quality dependency
-
     refs = references or {}
     for i, (fk, (dim, pk)) in enumerate(refs.items()):
         keys_df = dim.select(F.col(pk).alias(f"_ref{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
-        df = df.join(bounded_broadcast(keys_df, broadcast_rows), F.col(fk) == F.col(f"_ref{i}"), "left")
+        df = df.join(keys_df, F.col(fk) == F.col(f"_ref{i}"), "left")
     # (name, per-row predicate or None, final aggregate builder, threshold, op)
     row_preds: list[tuple[str, Column, int, str]] = []
     for c in exp.not_null:
         row_preds.append((f"null_{c}", F.col(c).isNull(), 0, "=="))
     for c in exp.non_negative:
         row_preds.append((f"invalid_{c}", F.col(c).isNull() | (F.col(c) < 0) | F.isnan(F.col(c)), 0, "=="))
+    for c, most in exp.max_length.items():
+        row_preds.append((f"length_{c}", F.coalesce(F.length(F.col(c)) > most, F.lit(False)), 0, "=="))
+    for c, allowed in exp.domain.items():
+        row_preds.append((f"domain_{c}", F.coalesce(~F.col(c).isin(list(allowed)), F.lit(False)), 0, "=="))
     for name, pred, minimum in exp.min_rows_where:
         row_preds.append((name, pred, minimum, ">="))
     for i, fk in enumerate(refs):

@@ -26,12 +26,12 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
                     descending: bool = False, method: str = "aggregate") -> DataFrame:
     """The first row of each group by ``order_by``.
 
-    ``aggregate`` (default): a hash aggregate of ``min(struct(order_by...,
-    rest...))`` (``max`` when ``descending``); ties are broken by the
-    remaining columns, so the result is deterministic. The partial
-    aggregate runs map-side, so a group holding a third of the table
-    collapses to one row per task before the shuffle and no task ever sorts
-    or buffers a whole group.
+    ``aggregate`` (default): ``min(struct(order_by..., rest...))`` (``max``
+    when ``descending``); ties are broken by the remaining columns, so the
+    result is deterministic. A struct with strings cannot be a hash buffer, so
+    Spark sorts each partition by key and aggregates the sorted runs, before
+    and after the shuffle: a group holding a third of the table collapses to
+    one row per task before the shuffle, and no task gathers a whole group.
 
     ``window``: ``row_number()`` over the group ordered by ``order_by`` (which
     may mix directions, e.g. ``F.col("a").desc()``), keeping ``rn = 1``;
@@ -67,22 +67,3 @@ def distinct_values(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """Distinct values (aggregate with map-side partial dedup)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     return df.select(*cols).distinct()
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition *only* when the input has fewer partitions than the cluster has slots.
-
-    For CPU-heavy per-row work (regex parsing, hashing) on an input that
-    arrives as a handful of splits (one row group per file, say). At scale a
-    scan already yields far more splits than slots and this is a no-op, so
-    no shuffle is added where it buys nothing. Round-robin (which Spark
-    sorts per partition first) rather than a hash of a row-position id: the
-    position depends on input order, so only round-robin keeps a retried
-    task's row placement identical when the input comes out of a shuffle.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan alone
-        return df
-    return df.repartition(target) if current < target else df

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import date_columns, norm_key
 from ..operators import explode_lookup_collect, lookup_default, small_side
-from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from ..sources import date_spine, date_spine_between
 
 UNKNOWN_COUNTRY = "UNK"
@@ -45,7 +44,10 @@ def dim_date_for_keys(spark: SparkSession, min_key: int | None, max_key: int | N
     start = end - dt.timedelta(days=days)
 
     def as_date(k: int) -> dt.date:
-        return dt.date(k // 10000, k // 100 % 100, k % 100)
+        try:
+            return dt.date(k // 10000, k // 100 % 100, k % 100)
+        except ValueError:
+            raise ValueError(f"fact_ingress.date_id: {k} is no date") from None
 
     if min_key is not None:
         start = min(start, as_date(min_key))
@@ -55,23 +57,22 @@ def dim_date_for_keys(spark: SparkSession, min_key: int | None, max_key: int | N
 
 
 def dim_country(countries: DataFrame, languages: DataFrame, gdp: DataFrame, unknown_member: bool = False,
-                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                small: bool = False) -> DataFrame:
     """country_id (alpha-3), name, language names joined by ',', GDP per capita (0 when missing).
 
     Language codes are exploded with ``explode_outer`` so a country with no
     language list stays, as ``Unknown`` (Q3). GDP joins case-insensitively
     (J2); it is first reduced to one row per name key so a duplicated name
-    cannot duplicate a country. The language list and the reduced GDP table
-    are broadcast under the ``small_side`` policy (``None`` when the caller
-    has proven them small).
+    cannot duplicate a country. ``small`` hints the language list and the
+    reduced GDP table for broadcasting (``small_side``).
     """
     langs = explode_lookup_collect(
         countries.select(F.col("alpha3").alias("country_id"), "name", "languages"),
         key_cols=["country_id"], list_col="languages", lookup_df=languages, lookup_key="alpha3",
-        lookup_value="name", out_col="languages", carry=["name"], broadcast_rows=broadcast_rows)
+        lookup_value="name", out_col="languages", carry=["name"], small=small)
     g = gdp.groupBy(norm_key("country").alias("_gk")).agg(F.max("gdp_per_capita").alias("gdp_per_capita"))
-    g = small_side(g, broadcast_rows)
-    out = lookup_default(langs, g, ["name"], ["_gk"], {"gdp_per_capita": 0.0}, normalize=True, broadcast_rows=0) \
+    g = small_side(g, small)
+    out = lookup_default(langs, g, ["name"], ["_gk"], {"gdp_per_capita": 0.0}, normalize=True) \
         .select("country_id", "name", "languages", F.col("gdp_per_capita").cast("double").alias("gdp_per_capita"))
     if unknown_member:
         spark = countries.sparkSession

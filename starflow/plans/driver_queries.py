@@ -10,48 +10,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (age_bucket, age_from_birth_year, clean_number, date_columns, date_key, default_code,
                          from_day_number, iso_week, norm_key, random_id, split_list, split_location, split_once,
                          stable_id, strip_literal, temperature_bucket)
-from ..operators import (Expectation, check_table, is_bounded, small_side, distinct_values, duplicate_keys,
-                         explode_lookup_collect, first_per_group, lookup, lookup_default, orphan_keys, profile, spread,
+from ..operators import (Expectation, check_table, distinct_values, duplicate_keys,
+                         explode_lookup_collect, first_per_group, lookup, lookup_default, profile,
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
-from ..sources import date_spine_between, html_links, parse_label_lines, parse_label_text, scan
+from ..sources import date_spine_between, html_links, html_table_pairs, parse_label_lines, parse_label_text, read_preamble_csv, scan
 from . import dims, facts, staging, warehouse
-from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from .staging import stage_country_labels
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A fresh scan of one driver table; the footer-inferred schema is reused after the first read."""
-    path = f"{sf.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-_BOUNDED: dict[tuple[str, str, int], bool] = {}
-
-
-def _bounded(spark: SparkSession, sf: str, name: str, max_rows: int = 1_000_000) -> bool:
-    """Size check of a base table, remembered per (table, bound) for the build of one query set."""
-    key = (sf.rstrip("/"), name, max_rows)
-    if key not in _BOUNDED:
-        _BOUNDED[key] = is_bounded(_t(spark, sf, name), max_rows)
-    return _BOUNDED[key]
+    """A fresh scan of one driver table."""
+    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
 # --------------------------------------------------------------------------- shared derivations
@@ -169,8 +147,8 @@ SELECT user_id, week_of_year, {_temp_case('mv')} AS temperature_bucket FROM m
 
 # --------------------------------------------------------------------------- A3 F6 J10
 def q_trailing_years_mean(spark, sf):
-    li = _t(spark, sf, "lineitem").select("l_returnflag", F.col("l_shipdate").cast("date").alias("d"), "l_quantity")
-    recent = trailing_years(li, "d", 5)
+    li = _t(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_quantity")
+    recent = trailing_years(li, "l_shipdate", 5).withColumn("d", F.col("l_shipdate").cast("date"))
     m = weekly_mean(recent, ["l_returnflag"], "d", "l_quantity", "mean_qty")
     return m.select("l_returnflag", F.col("week_of_year").cast("int").alias("week_of_year"), "mean_qty")
 
@@ -235,8 +213,8 @@ def q_dim_country_build(spark, sf):
                          split_list(_code_list()).alias("languages"))
     languages = _t(spark, sf, "nation").select(F.col("n_name").alias("name"), F.lit(None).cast("string").alias("alpha2"),
                                               F.col("n_nationkey").cast("string").alias("alpha3"))
-    gdp = c.where(F.col("c_mktsegment") == "BUILDING").select(F.upper("c_name").alias("country"),
-                                                             F.col("c_acctbal").alias("gdp_per_capita"))
+    known = F.when(F.col("c_mktsegment") == "BUILDING", F.upper("c_name")).otherwise(F.concat(F.lit("?"), F.col("c_name")))
+    gdp = c.select(known.alias("country"), F.col("c_acctbal").alias("gdp_per_capita"))
     return dims.dim_country(countries, languages, gdp)
 
 
@@ -265,13 +243,11 @@ def q_left_join_default(spark, sf):
     s = _t(spark, sf, "supplier").select(
         "s_suppkey", F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string")).alias("country"))
     n, r = _t(spark, sf, "nation"), _t(spark, sf, "region")
-    g = n.join(r, n["n_regionkey"] == r["r_regionkey"]).where(F.col("r_name") != "ASIA") \
-        .select(F.upper("n_name").alias("gdp_country"),
+    known = F.when(F.col("r_name") != "ASIA", F.upper("n_name")).otherwise(F.concat(F.lit("?"), F.col("n_name")))
+    g = n.join(r, n["n_regionkey"] == r["r_regionkey"]) \
+        .select(known.alias("gdp_country"),
                 (F.col("n_nationkey") * 100 + F.col("n_regionkey")).cast("double").alias("gdp_per_capita"))
-    # g has at most |nation| rows: broadcast without counting it once nation is proven small.
-    rows = None if _bounded(spark, sf, "nation", 1000) else DEFAULT_BROADCAST_ROWS
-    out = lookup_default(s, g, ["country"], ["gdp_country"], {"gdp_per_capita": 0.0}, normalize=True,
-                         broadcast_rows=rows)
+    out = lookup_default(s, g, ["country"], ["gdp_country"], {"gdp_per_capita": 0.0}, normalize=True)
     return out.select("s_suppkey", "country", "gdp_per_capita")
 
 
@@ -307,9 +283,10 @@ GROUP BY rep_partkey
 
 # --------------------------------------------------------------------------- J5
 def _week_bands(ev: DataFrame) -> DataFrame:
-    """History: weekly band per event type from the first half of each month (exact decimal means)."""
-    hist = ev.where(F.dayofmonth("ts") <= 15).withColumn("v", F.col("value").cast("decimal(12,2)"))
-    m = weekly_mean(hist, [norm_key("event_type").alias("k")], "ts", "v", "mean_value")
+    """History: weekly band per event type (exact decimal means); late days of a month count under a key of their own."""
+    early = F.when(F.dayofmonth("ts") <= 15, norm_key("event_type")).otherwise(F.lit("(late)"))
+    hist = ev.withColumn("v", F.col("value").cast("decimal(12,2)"))
+    m = weekly_mean(hist, [early.alias("k")], "ts", "v", "mean_value")
     return m.select("k", F.col("week_of_year").cast("int").alias("w"),
                     temperature_bucket(F.col("mean_value") - 40).alias("temperature_bucket"))
 
@@ -343,8 +320,7 @@ def _nation_labels(n: DataFrame) -> DataFrame:
 
 def q_cross_type_key_join(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("i94cit"))
-    labels = small_side(stage_country_labels(_nation_labels(_t(spark, sf, "nation"))),
-                        None if _bounded(spark, sf, "nation", 1000) else DEFAULT_BROADCAST_ROWS)
+    labels = stage_country_labels(_nation_labels(_t(spark, sf, "nation")))
     j = c.join(labels, c["i94cit"].try_cast("int") == labels["value"])
     return j.select("c_custkey", F.col("description").alias("n_name"))
 
@@ -359,17 +335,15 @@ JOIN nation ON CAST(CAST(c_nationkey AS DOUBLE) AS INTEGER) = TRY_CAST(lpad(CAST
 def q_label_chain_join(spark, sf):
     n, r = _t(spark, sf, "nation"), _t(spark, sf, "region")
     nr = n.join(r, n["n_regionkey"] == r["r_regionkey"])
-    labels = stage_country_labels(nr.where(F.col("r_name") != "AFRICA")
-                                  .select(F.col("n_nationkey").cast("string").alias("value"),
-                                          F.upper("n_name").alias("description")))
-    countries = nr.where(F.col("r_name") != "EUROPE").select(
-        F.lower("n_name").alias("name"),
+    shift = F.when(F.col("r_name") == "AFRICA", 1000).otherwise(0)  # codes that no customer has
+    labels = stage_country_labels(nr.select((F.col("n_nationkey") + shift).cast("string").alias("value"),
+                                            F.upper("n_name").alias("description")))
+    countries = nr.select(
+        F.when(F.col("r_name") == "EUROPE", F.concat(F.lit("?"), F.col("n_name"))).otherwise(F.lower("n_name")).alias("name"),
         F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("alpha3"))
     c = _t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("i94cit"))
-    # labels and countries have at most |nation| rows each.
-    rows = None if _bounded(spark, sf, "nation", 1000) else DEFAULT_BROADCAST_ROWS
-    j = lookup(c, labels, [F.col("i94cit").try_cast("int")], ["value"], how="left", broadcast_rows=rows)
-    j = lookup(j, countries, ["description"], ["name"], how="left", normalize=True, broadcast_rows=rows)
+    j = lookup(c, labels, [F.col("i94cit").try_cast("int")], ["value"], how="left")
+    j = lookup(j, countries, ["description"], ["name"], how="left", normalize=True)
     return j.select("c_custkey", "description", F.col("alpha3").alias("country_id"))
 
 
@@ -386,27 +360,29 @@ LEFT JOIN k ON lower(trim(l.description)) = lower(trim(k.name))
 
 
 # --------------------------------------------------------------------------- C12 J3-J7 X20
-def build_fact(spark, sf) -> DataFrame:
+def build_fact(spark, sf, ship_from: str | None = None, ship_before: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Seven-column fact over lineitem: orders+customer joined first (the smaller pair), then lineitem once.
 
-    The orders side is broadcast only when orders and customer are both proven
-    under the broadcast bound (an orders->customer join cannot outgrow orders);
-    otherwise both joins are left to Spark as shuffle joins on their keys.
+    ``ship_from`` and ``ship_before`` are a range on the stored ship date, so it reaches the scan of lineitem
+    and only those line items meet the orders. All joins are left to Spark's sizes and skew handling.
     """
     customer = _t(spark, sf, "customer")
     orders = _t(spark, sf, "orders")
     c = customer.select("c_custkey", "c_nationkey", _birth_year().alias("biryear"))
     n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
-    cn = c.join(F.broadcast(n) if _bounded(spark, sf, "nation", 1000) else n, c["c_nationkey"] == n["n_nationkey"])
+    cn = c.join(n, c["c_nationkey"] == n["n_nationkey"])
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_date"))
     oc = o.join(cn, o["o_custkey"] == cn["c_custkey"])
-    if _bounded(spark, sf, "orders") and _bounded(spark, sf, "customer"):
-        oc = F.broadcast(oc)
-    li = spread(_t(spark, sf, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                                  "l_quantity", F.col("l_shipdate").cast("date").alias("ship_date"))
+    li = _t(spark, sf, "lineitem")
+    for text, after in ((ship_from, True), (ship_before, False)):
+        if text:
+            bound = F.lit(text).cast(li.schema["l_shipdate"].dataType)
+            li = li.where(F.col("l_shipdate") >= bound if after else F.col("l_shipdate") < bound)
+    li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                   F.col("l_shipdate").cast("date").alias("ship_date"))
     f = li.join(oc, li["l_orderkey"] == oc["o_orderkey"])
     return f.select(
-        stable_id("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("ingress_id"),
+        *keep, stable_id("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("ingress_id"),
         date_key("ship_date").alias("date_id"),
         F.col("n_name").alias("country_id"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("airport_id"),
@@ -471,8 +447,8 @@ def q_fact_ingress_build(spark, sf):
     arrivals = staging.clean_arrivals(raw)
     nr = _nr(spark, sf)
     state = F.upper(F.substring("r_name", 1, 2))
-    ports = nr.where(F.col("r_name") != "MIDDLE EAST").select(
-        _port_code("n_nationkey").alias("code"), F.upper("n_name").alias("municipality"), state.alias("state"))
+    place = F.when(F.col("r_name") == "MIDDLE EAST", F.lit("nowhere")).otherwise(F.upper("n_name"))
+    ports = nr.select(_port_code("n_nationkey").alias("code"), place.alias("municipality"), state.alias("state"))
     s = _t(spark, sf, "supplier")
     airports = first_per_group(
         s.join(nr, s["s_nationkey"] == nr["n_nationkey"]).select(
@@ -487,23 +463,17 @@ def q_fact_ingress_build(spark, sf):
                          temperature_bucket(F.col("m") / 10000).alias("temperature_bucket"))
     labels = stage_country_labels(_nation_labels(_t(spark, sf, "nation")).select(
         "value", F.upper("description").alias("description")))
-    countries = nr.where(F.col("r_name") != "EUROPE").select(
-        F.initcap("n_name").alias("name"), F.lit(None).cast("string").alias("alpha2"),
+    title = F.when(F.col("r_name") == "EUROPE", F.concat(F.lit("?"), F.col("n_name"))).otherwise(F.initcap("n_name"))
+    countries = nr.select(
+        title.alias("name"), F.lit(None).cast("string").alias("alpha2"),
         F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("alpha3"),
         split_list(F.concat(F.col("n_regionkey").cast("string"), F.lit(",9"))).alias("languages"))
     languages = _t(spark, sf, "region").select(F.col("r_name").alias("name"), F.lit(None).cast("string").alias("alpha2"),
                                               F.col("r_regionkey").cast("string").alias("alpha3"))
     cn = c.join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     gdp = cn.groupBy(F.upper("n_name").alias("country")).agg(F.max("c_acctbal").alias("gdp_per_capita"))
-    # Every lookup map here is keyed by values drawn from nation and region: ports, airports (one per
-    # (state, municipality) group), GDP names, labels and countries have at most |nation| rows each, the
-    # port->airport and origin maps at most |nation|^2, the weekly temperatures at most 53 * |nation|. With
-    # both base tables proven under 1,000 rows the maps stay under 1,000,000, so they are broadcast
-    # without counting each derived map (which would recompute the orders x customer history).
-    proven = _bounded(spark, sf, "nation", 1000) and _bounded(spark, sf, "region", 1000)
-    rows = None if proven else facts.LOOKUP_MAX_ROWS
-    country = dims.dim_country(countries, languages, gdp, broadcast_rows=rows)
-    fact = facts.fact_ingress(arrivals, ports, airports, temps, labels, country, lookup_rows=rows)
+    country = dims.dim_country(countries, languages, gdp)
+    fact = facts.fact_ingress(arrivals, ports, airports, temps, labels, country)
     return fact.select("date_id", "country_id", "airport_id", "gender", "age_bucket", "temperature_bucket")
 
 
@@ -556,23 +526,19 @@ def _star_dims(spark, sf):
                   F.lit("Unknown").alias("languages"), F.col("n_nationkey").cast("double").alias("gdp_per_capita"))
     s = _t(spark, sf, "supplier")
     nr = n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
-    small = _bounded(spark, sf, "nation", 1000) and _bounded(spark, sf, "region", 1000)
-    da = s.join(F.broadcast(nr) if small else nr, s["s_nationkey"] == nr["n_nationkey"]).select(
+    da = s.join(nr, s["s_nationkey"] == nr["n_nationkey"]).select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("airport_id"), F.col("s_name").alias("name"),
         F.col("n_name").alias("municipality"), F.col("r_name").alias("state"))
     return dd, dc, da
 
 
 def q_star_query(spark, sf):
-    fact = build_fact(spark, sf)
+    # The filtered month as a range on the stored date: it prunes the scan before any join.
+    fact = build_fact(spark, sf, "1997-04-01", "1997-05-01")
     dd, dc, da = _star_dims(spark, sf)
-    # dim_date is a calendar (one row per day between two order dates); dim_country has a row per nation and
-    # dim_airport a row per supplier: broadcast when those base tables are proven small, else left to Spark.
-    proven = _bounded(spark, sf, "nation", 1000) and _bounded(spark, sf, "supplier")
     j = warehouse.star_query(fact, dd, dc, da,
                              date_where=(F.col("year") == 1997) & (F.col("month") == 4),
-                             airport_where=F.col("state") == "AMERICA",
-                             broadcast_rows=None if proven else 0)
+                             airport_where=F.col("state") == "AMERICA")
     return j.groupBy("country_name", "age_bucket", "temperature_bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -589,6 +555,16 @@ GROUP BY 1, 2, 3
 """
 
 
+# --------------------------------------------------------------------------- O1 O2 O4 on the star
+def q_star_sorted_preview(spark, sf):
+    """The star query's ORDER BY ... LIMIT: the most frequent groups, ties by name."""
+    out = q_star_query(spark, sf)
+    return out.orderBy(F.col("n").desc(), "country_name", "age_bucket", "temperature_bucket").limit(20)
+
+
+SQL_STAR_SORTED_PREVIEW = f"SELECT * FROM ({SQL_STAR_QUERY}) ORDER BY n DESC, country_name, age_bucket, temperature_bucket LIMIT 20"
+
+
 # --------------------------------------------------------------------------- A6 O3
 def q_top_k_counts(spark, sf):
     return top_k_counts(_t(spark, sf, "events"), "user_id", 50, count_col="n")
@@ -735,34 +711,130 @@ def q_html_pairs(spark, sf):
         .select("page_id", "link_pos", "href", "text")
 
 
+#: The entities that the given pages hold, decoded by plain replacement.
+_PAGE_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"),
+                  ("&copy;", "©"), ("&amp;", "&"))
+
+
 def _unescape_sql(x: str) -> str:
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
-                         ("&amp;", "&")):
+    for entity, char in _PAGE_ENTITIES:
         x = f"replace({x}, '{entity}', '{char}')"
     return x
 
 
 def _sql_html_pairs() -> str:
-    from ..sources.html import LINK
-    raw = "regexp_replace(raw, '<[^>]*>', '', 'g')"
+    # Cut at "<a " and read each piece up to its "</a": no pattern shared with the operator.
+    text = _unescape_sql("regexp_replace(substr(body, 1, strpos(body, '</a') - 1), '<[^>]*>', '', 'g')")
     return f"""
-WITH x AS (SELECT page_id, regexp_extract_all(html, '{LINK}', 1) AS hrefs,
-                  regexp_extract_all(html, '{LINK}', 2) AS texts FROM pages),
-y AS (SELECT page_id, unnest(range(len(hrefs))) AS link_pos, unnest(hrefs) AS href, unnest(texts) AS raw FROM x),
-z AS (SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, href, trim({_unescape_sql(raw)}) AS text FROM y)
+WITH p AS (SELECT page_id, unnest(string_split(html, '<a ')[2:]) AS a, unnest(range(len(string_split(html, '<a ')) - 1)) AS i FROM pages),
+t AS (SELECT page_id, i, substr(a, 1, strpos(a, '>') - 1) AS attrs, substr(a, strpos(a, '>') + 1) AS body FROM p),
+h AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS k FROM t WHERE strpos(attrs, 'href=') > 0 AND strpos(body, '</a') > 0),
+z AS (SELECT page_id, CAST(k AS INTEGER) AS link_pos,
+             {_unescape_sql("trim(split_part(attrs, 'href=', 2), chr(34))")} AS href, trim({text}) AS text FROM h)
 SELECT * FROM z WHERE regexp_matches(text, '{LINK_TEXT}')
 """
 
 
+def _port_letters(key: str):
+    k = F.col(key)
+    return F.concat(*(F.char((F.floor(k / step) % 26 + 65).cast("int")) for step in (676, 26, 1)))
+
+
+def q_html_table_pairs(spark, sf):
+    """A page per customer with a table of a header row, a row of two pairs and a row that is no pair; entities in
+    each of their forms, attributes on tags, tags inside cells."""
+    c = _t(spark, sf, "customer")
+    cell = lambda x: F.concat(F.lit("<TD class=x>"), x, F.lit("</td>"))
+    code = _port_letters("c_custkey")
+    one = F.concat(F.col("c_name"), F.lit(", A&amp;B &#233;&eacute;&#xE9; &amp;lt; &unknown; &lt;b&gt;"))
+    two = F.concat(F.lit("<b>"), F.col("c_mktsegment"), F.lit("</b>&nbsp;&#39;x&#39; &middot;"))
+    html = F.concat(F.lit("<table><tr><th>Code</th><th>Place</th></tr>\n<tr id='1'>"), cell(code), cell(one), cell(F.reverse(code)),
+                    cell(two), F.lit("</tr><tr><td>no code</td><td>none</td></tr></table>"))
+    pages = c.select("c_custkey", html.alias("html"))
+    return html_table_pairs(pages, "html", keep=["c_custkey"])
+
+
+SQL_HTML_TABLE_PAIRS = """
+WITH c AS (SELECT *, chr(CAST(65 + (c_custkey // 676) % 26 AS INTEGER)) || chr(CAST(65 + (c_custkey // 26) % 26 AS INTEGER))
+                     || chr(CAST(65 + c_custkey % 26 AS INTEGER)) AS code FROM customer)
+SELECT c_custkey, code, c_name || ', A&B ééé &lt; &unknown; <b>' AS location FROM c
+UNION ALL SELECT c_custkey, reverse(code), c_mktsegment || ' ''x'' ·' FROM c
+"""
+
+
+# --------------------------------------------------------------------------- S2 S3 S4 K8 X16
+def _written_csv(df: DataFrame, name: str, header: bool = True, encoding: str = "UTF-8") -> str:
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("header", header).option("encoding", encoding).csv(path)
+    return path
+
+
+def q_preamble_csv(spark, sf):
+    """Customers as latin-1 CSV with a title line, a header with a blank name, numbers with separators and quotes."""
+    c = _t(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("k"), F.concat(F.lit("é \"q\", "), F.col("c_name")).alias("name"),
+        F.format_number("c_acctbal", 2).alias("balance"))
+    extra = c.limit(0).sparkSession.createDataFrame([("T1: é", None, None), ("Key", "", "Balance")], c.schema)
+    path = _written_csv(extra.unionAll(c), "preamble", header=False, encoding="ISO-8859-1")
+    back = read_preamble_csv(spark, path, "k string, name string, balance string", numeric_key="k")
+    return back.select(F.col("k").cast("long").alias("c_custkey"), "name", clean_number("balance").alias("balance"))
+
+
+SQL_PREAMBLE_CSV = """
+SELECT c_custkey, 'é "q", ' || c_name AS name, TRY_CAST(replace(format('{:,.2f}', c_acctbal), ',', '') AS DOUBLE) AS balance FROM customer
+"""
+
+
+def q_csv_stage_airports(spark, sf):
+    """Suppliers written as an airports CSV, staged: the lowest ident of each state and city, whatever their case."""
+    s, n = _t(spark, sf, "supplier"), _t(spark, sf, "nation")
+    k = F.col("s_suppkey")
+    city = F.when(k % 2 == 0, F.upper("n_name")).otherwise(F.lower("n_name"))
+    raw = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(
+        F.concat(F.lit("K"), F.lpad(k.cast("string"), 7, "0")).alias("ident"), F.col("s_name").alias("name"),
+        F.when(k % 7 == 0, "CA").otherwise("US").alias("iso_country"),
+        F.concat(F.lit("US-"), F.lpad((k % 3).cast("string"), 2, "S")).alias("iso_region"), city.alias("municipality"),
+        F.when(k % 5 == 0, "heliport").otherwise("large_airport").alias("type"), F.when(k % 11 != 0, "IAT").alias("iata_code"))
+    out = staging.stage_airports(spark, _written_csv(raw, "airports"))
+    return out.select("airport_id", F.lower("municipality").alias("municipality"), "state")
+
+
+SQL_CSV_STAGE_AIRPORTS = """
+SELECT 'K' || lpad(CAST(min(s_suppkey) AS VARCHAR), 7, '0') AS airport_id, lower(n_name) AS municipality,
+       lpad(CAST(s_suppkey % 3 AS VARCHAR), 2, 'S') AS state
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+WHERE s_suppkey % 7 <> 0 AND s_suppkey % 5 <> 0 AND s_suppkey % 11 <> 0 GROUP BY s_suppkey % 3, n_name
+"""
+
+
+def q_csv_stage_temperatures(spark, sf):
+    """C4: orders written as a temperatures CSV (some values missing), staged to weekly bands of the last five years."""
+    o = _t(spark, sf, "orders")
+    raw = o.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
+                   F.when(F.col("o_orderkey") % 10 != 0, (F.col("o_custkey") % 40).cast("string")).alias("AverageTemperature"),
+                   F.concat(F.lit(" City "), F.col("o_orderpriority")).alias("City"),
+                   F.when(F.col("o_orderstatus") == "F", "Canada").otherwise("United States").alias("Country"))
+    return staging.stage_temperatures(spark, _written_csv(raw, "temperatures"))
+
+
+SQL_CSV_STAGE_TEMPERATURES = f"""
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_custkey % 40 AS DOUBLE) END AS v,
+                  lower(trim(' City ' || o_orderpriority)) AS city FROM orders WHERE o_orderstatus <> 'F'),
+m AS (SELECT city, CAST(weekofyear(d) AS INTEGER) AS week_of_year, avg(v) AS mv FROM t
+      WHERE year(d) > (SELECT max(year(d)) FROM t) - 5 GROUP BY 1, 2)
+SELECT city, week_of_year, {_temp_case('mv')} AS temperature_bucket FROM m
+"""
+
+
 # --------------------------------------------------------------------------- S6 X24
 def _label_docs(li: DataFrame) -> DataFrame:
-    """One small code-label document per line item: two blocks, terminators on the entry line or alone,
-    a doubled quote inside a label, a padded label, a comment and blank lines around the blocks."""
+    """One small code-label document per line item: two blocks, terminators on the entry line or alone, a doubled
+    quote and a terminator sign inside labels, a padded label, comments (one with a terminator sign), blank lines."""
     n = F.col("l_linenumber")
     term = F.when(n % 2 == 0, F.lit(" ;")).otherwise(F.lit("\n;"))
     text = F.concat(
-        F.lit("/* flags of this line */\n  value flagl\n   "), n.cast("string"), F.lit(" =  '"),
-        F.col("l_returnflag"), F.lit("''s "), F.col("l_linestatus"), F.lit("'"), term,
+        F.lit("/* flags of this line; */\n  value flagl /* a; b */\n   'x;y' = 'A;''B' /* ; */\n   "), n.cast("string"),
+        F.lit(" =  '"), F.col("l_returnflag"), F.lit("''s "), F.col("l_linestatus"), F.lit("'"), term,
         F.lit("\n\n/* shipping */\nvalue $shipl\n\t'Q"), F.col("l_quantity").cast("int").cast("string"),
         F.lit("'\t=\t'"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(", "), F.col("l_returnflag"),
         F.lit("     '\n;\n"))
@@ -775,6 +847,8 @@ def q_label_text_parse(spark, sf):
 
 
 SQL_LABEL_TEXT_PARSE = """
+SELECT l_orderkey, l_linenumber, 'flagl' AS list_name, 'x;y' AS code, 'A;''B' AS label FROM lineitem
+UNION ALL
 SELECT l_orderkey, l_linenumber, 'flagl' AS list_name, CAST(l_linenumber AS VARCHAR) AS code,
        l_returnflag || '''s ' || l_linestatus AS label FROM lineitem
 UNION ALL
@@ -783,28 +857,17 @@ SELECT l_orderkey, l_linenumber, 'shipl', 'Q' || CAST(CAST(l_quantity AS INTEGER
 """
 
 
-_LABEL_FILES: dict[str, str] = {}
-
-
 def q_label_file_parse(spark, sf):
     """S6 over files: the same documents written as text files under the shared folder (each document's
-    lines stay together), then read back line by line over the file splits by ``parse_label_lines``.
-
-    The files are the input of this query, not its work: they are rendered once per process and data path
-    (like the remembered base-table size checks) and rendered again if they are gone."""
-    location = _LABEL_FILES.get(sf.rstrip("/"))
-    if location is not None:
-        try:
-            return parse_label_lines(spark, location)
-        except AnalysisException:  # the scratch folder was cleared
-            pass
+    lines stay together), then read back line by line over the file splits by ``parse_label_lines``."""
     location = scratch_path(spark, "label_files")
     _label_docs(_t(spark, sf, "lineitem")).select("text").write.mode("overwrite").text(location)
-    _LABEL_FILES[sf.rstrip("/")] = location
     return parse_label_lines(spark, location)
 
 
 SQL_LABEL_FILE_PARSE = """
+SELECT 'flagl' AS list_name, 'x;y' AS code, 'A;''B' AS label FROM lineitem
+UNION ALL
 SELECT 'flagl' AS list_name, CAST(l_linenumber AS VARCHAR) AS code, l_returnflag || '''s ' || l_linestatus AS label
 FROM lineitem
 UNION ALL
@@ -844,10 +907,12 @@ SELECT 'customer', 'required_c_nationkey',
 
 # --------------------------------------------------------------------------- V2 V9 V10
 def q_fact_quality(spark, sf):
-    fact = build_fact(spark, sf)
+    # Unique by the four source keys that the id is made of: a narrow shuffle instead of one of every id.
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    fact = build_fact(spark, sf, keep=keys)
     exp = Expectation(min_rows=1000, not_null=["date_id", "country_id", "airport_id"],
                       min_rows_where=[("rows_S1", F.col("airport_id") == "S1", 100)])
-    return check_table(fact, "fact_build", exp, key="ingress_id")
+    return check_table(fact, "fact_build", exp, key=keys)
 
 
 SQL_FACT_QUALITY = f"""
@@ -872,15 +937,14 @@ def q_orphan_keys(spark, sf):
     o, c = _t(spark, sf, "orders"), _t(spark, sf, "customer")
     li, p, s = _t(spark, sf, "lineitem"), _t(spark, sf, "part"), _t(spark, sf, "supplier")
 
-    def count(name, df):
-        return df.agg(F.count(F.lit(1)).alias("observed")).select(F.lit(name).alias("check_name"), "observed")
+    def orphans(df, table, references):
+        found = check_table(df, table, Expectation(), references=references).where(F.col("check_name").startswith("orphan_"))
+        return found.select(F.replace("check_name", F.lit("orphan_"), F.lit(f"{table}.")).alias("check_name"), "observed")
 
-    return union_all([
-        count("orders.o_custkey", orphan_keys(o, c, "o_custkey", "c_custkey")),
-        count("lineitem.l_orderkey", orphan_keys(li, o, "l_orderkey", "o_orderkey")),
-        count("lineitem.l_partkey", orphan_keys(li, p, "l_partkey", "p_partkey")),
-        count("lineitem.l_suppkey", orphan_keys(li, s, "l_suppkey", "s_suppkey")),
-    ])
+    # One pass over each fact, whatever the number of its foreign keys.
+    return union_all([orphans(o, "orders", {"o_custkey": (c, "c_custkey")}),
+                      orphans(li, "lineitem", {"l_orderkey": (o, "o_orderkey"), "l_partkey": (p, "p_partkey"),
+                                               "l_suppkey": (s, "s_suppkey")})])
 
 
 SQL_ORPHAN_KEYS = """
@@ -914,14 +978,106 @@ def _sql_profile() -> str:
 
 
 # --------------------------------------------------------------------------- K4-K7 Q8
+def _table(spark, kind: str) -> tuple[str, str]:
+    location = scratch_path(spark, kind)
+    return f"starflow_{kind}_{location.rsplit('-', 1)[-1]}", location
+
+
+def _taken(spark, df: DataFrame, tables: dict[str, str]) -> DataFrame:
+    """The few rows of ``df``, read before its tables and their folders go."""
+    rows, schema = df.collect(), df.schema
+    for name, location in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        warehouse.remove(spark, location)
+    return spark.createDataFrame(rows, schema)
+
+
 def _load_customer(spark, sf, mode: str, passes: int, partition: bool) -> DataFrame:
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    location = scratch_path(spark, f"load_{mode}")
-    table = f"starflow_load_{location.rsplit('-', 1)[-1]}"
+    table, location = _table(spark, f"load_{mode}")
     warehouse.create_table_for(spark, table, c, location, ["c_mktsegment"] if partition else ())
     for _ in range(passes):
         warehouse.insert(spark, c, table, mode)
-    return spark.table(table).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    counts = spark.table(table).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    return _taken(spark, counts, {table: location})
+
+
+def q_fact_incremental_load(spark, sf):
+    """Orders loaded by month in four extracts (every fourth month each) and one extract again: all months
+    are there, none is there twice. Counts per month, read back."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", date_key(F.col("o_orderdate").cast("date")).alias("date_id"))
+    fact = warehouse.with_load_unit(o)
+    table, location = _table(spark, "months")
+    warehouse.create_table_for(spark, table, fact, location, ["month_id"])
+    for extract in (0, 1, 2, 3, 1):
+        warehouse.insert(spark, fact.where(F.col("month_id") % 4 == extract), table, "partition_overwrite")
+    counts = spark.table(table).groupBy("month_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_keys"))
+    return _taken(spark, counts, {table: location})
+
+
+SQL_FACT_INCREMENTAL_LOAD = """
+SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_id, count(*) AS n, count(DISTINCT o_orderkey) AS n_keys
+FROM orders GROUP BY 1
+"""
+
+
+def q_post_load_checks(spark, sf):
+    """Customers and nations loaded into catalog tables and checked there, in one pass per table."""
+    c, n = _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    dim, dim_at = _table(spark, "nations")
+    fact, fact_at = _table(spark, "customers")
+    warehouse.create_table_for(spark, dim, n, dim_at)
+    warehouse.create_table_for(spark, fact, c, fact_at)
+    warehouse.insert(spark, n, dim, "overwrite")
+    warehouse.insert(spark, c, fact, "overwrite")
+    nations = spark.table(dim)
+    checks = union_all([
+        check_table(nations, "nation", Expectation(min_rows=25, not_null=["n_name"], max_length={"n_name": 8},
+                                                   required_values={"n_nationkey": [0, 24, 99]}), key="n_nationkey"),
+        check_table(spark.table(fact), "customer", Expectation(
+            min_rows=100, not_null=["c_nationkey"], non_negative=["c_acctbal"], max_length={"c_name": 12},
+            domain={"c_mktsegment": ["BUILDING", "MACHINERY"]}), references={"c_nationkey": (nations, "n_nationkey")})])
+    return _taken(spark, checks, {dim: dim_at, fact: fact_at})
+
+
+def _sql_post_load_checks() -> str:
+    checks = [("nation", "row_count", "count(*)", 25, ">="), ("nation", "null_n_name", "count(*) FILTER (n_name IS NULL)", 0, "="),
+              ("nation", "length_n_name", "count(*) FILTER (length(n_name) > 8)", 0, "="),
+              ("nation", "required_n_nationkey", "count(DISTINCT n_nationkey) FILTER (n_nationkey IN (0, 24, 99))", 3, ">="),
+              ("nation", "duplicate_keys", "count(*) - count(DISTINCT n_nationkey)", 0, "="),
+              ("customer", "row_count", "count(*)", 100, ">="),
+              ("customer", "null_c_nationkey", "count(*) FILTER (c_nationkey IS NULL)", 0, "="),
+              ("customer", "invalid_c_acctbal", "count(*) FILTER (c_acctbal IS NULL OR c_acctbal < 0 OR isnan(c_acctbal))", 0, "="),
+              ("customer", "length_c_name", "count(*) FILTER (length(c_name) > 12)", 0, "="),
+              ("customer", "domain_c_mktsegment", "count(*) FILTER (c_mktsegment NOT IN ('BUILDING', 'MACHINERY'))", 0, "="),
+              ("customer", "orphan_c_nationkey", "count(*) FILTER (c_nationkey IS NULL OR c_nationkey NOT IN (SELECT n_nationkey FROM nation))", 0, "=")]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{name}' AS check_name, CAST({sql} AS BIGINT) AS observed, CAST({limit} AS BIGINT) AS threshold, "
+        f"{sql} {op} {limit} AS passed FROM {t}" for t, name, sql, limit, op in checks)
+
+
+def q_domain_checks(spark, sf):
+    """V8 and column constraints: lengths, domains, null rules and non-negative measures of orders, in one pass."""
+    o = _t(spark, sf, "orders")
+    return check_table(o, "orders", Expectation(
+        min_rows=1, not_null=["o_orderstatus"], non_negative=["o_totalprice"], max_length={"o_orderpriority": 6, "o_orderstatus": 1},
+        domain={"o_orderstatus": ["F", "O"], "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]}))
+
+
+SQL_DOMAIN_CHECKS = """
+WITH a AS (SELECT count(*) AS n, count(*) FILTER (o_orderstatus IS NULL) AS n1,
+                  count(*) FILTER (o_totalprice IS NULL OR o_totalprice < 0 OR isnan(o_totalprice)) AS n2,
+                  count(*) FILTER (length(o_orderpriority) > 6) AS n3, count(*) FILTER (length(o_orderstatus) > 1) AS n4,
+                  count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS n5,
+                  count(*) FILTER (o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS n6 FROM orders)
+SELECT 'orders' AS table_name, 'row_count' AS check_name, n AS observed, CAST(1 AS BIGINT) AS threshold, n >= 1 AS passed FROM a
+UNION ALL SELECT 'orders', 'null_o_orderstatus', n1, 0, n1 = 0 FROM a
+UNION ALL SELECT 'orders', 'invalid_o_totalprice', n2, 0, n2 = 0 FROM a
+UNION ALL SELECT 'orders', 'length_o_orderpriority', n3, 0, n3 = 0 FROM a
+UNION ALL SELECT 'orders', 'length_o_orderstatus', n4, 0, n4 = 0 FROM a
+UNION ALL SELECT 'orders', 'domain_o_orderstatus', n5, 0, n5 = 0 FROM a
+UNION ALL SELECT 'orders', 'domain_o_orderpriority', n6, 0, n6 = 0 FROM a
+"""
 
 
 def q_full_refresh_load(spark, sf):
@@ -940,9 +1096,16 @@ SQL_FULL_REFRESH_LOAD = "SELECT c_mktsegment, count(*) AS n FROM customer GROUP
 SQL_APPEND_LOAD = "SELECT c_mktsegment, 2 * count(*) AS n FROM customer GROUP BY 1"
 
 
-# --------------------------------------------------------------------------- X20 (random: rows only)
+# --------------------------------------------------------------------------- X20 D10
 def q_uuid_ids(spark, sf):
-    return _t(spark, sf, "orders").select("o_orderkey", random_id().alias("ingress_id"))
+    """Random ids of all orders, by what holds for any: how many, how many distinct, how many well formed (version 4)."""
+    ids = _t(spark, sf, "orders").select(random_id().alias("i"))
+    form = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return ids.agg(F.count("i").alias("n"), F.count_distinct("i").alias("n_distinct"),
+                   F.count_if(F.length("i") == 36).alias("n_length"), F.count_if(F.col("i").rlike(form)).alias("n_form"))
+
+
+SQL_UUID_IDS = "SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_length, count(*) AS n_form FROM orders"
 
 
 # --------------------------------------------------------------------------- registry
@@ -984,6 +1147,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_load": q_append_load,
     "partition_overwrite_load": q_partition_overwrite_load,
     "uuid_ids": q_uuid_ids,
+    "star_sorted_preview": q_star_sorted_preview,
+    "html_table_pairs": q_html_table_pairs,
+    "preamble_csv": q_preamble_csv,
+    "csv_stage_airports": q_csv_stage_airports,
+    "csv_stage_temperatures": q_csv_stage_temperatures,
+    "fact_incremental_load": q_fact_incremental_load,
+    "post_load_checks": q_post_load_checks,
+    "domain_checks": q_domain_checks,
 }
 
 
@@ -1025,4 +1196,13 @@ def oracle_sql() -> dict[str, str]:
         "full_refresh_load": SQL_FULL_REFRESH_LOAD,
         "append_load": SQL_APPEND_LOAD,
         "partition_overwrite_load": SQL_FULL_REFRESH_LOAD,
+        "uuid_ids": SQL_UUID_IDS,
+        "star_sorted_preview": SQL_STAR_SORTED_PREVIEW,
+        "html_table_pairs": SQL_HTML_TABLE_PAIRS,
+        "preamble_csv": SQL_PREAMBLE_CSV,
+        "csv_stage_airports": SQL_CSV_STAGE_AIRPORTS,
+        "csv_stage_temperatures": SQL_CSV_STAGE_TEMPERATURES,
+        "fact_incremental_load": SQL_FACT_INCREMENTAL_LOAD,
+        "post_load_checks": _sql_post_load_checks(),
+        "domain_checks": SQL_DOMAIN_CHECKS,
     }

@@ -8,40 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import iso_week, norm_key, random_id, stable_id
-from ..operators import lookup, small_side
+from ..operators import first_per_group, lookup, small_side
 from .dims import UNKNOWN_COUNTRY
 
-# Lookups are code lists (ports, airports, countries, city-weeks): proven small before broadcast.
-LOOKUP_MAX_ROWS = 2_000_000
-
-
 def port_airport_map(ports: DataFrame, airports: DataFrame) -> DataFrame:
     """J3+J4 pre-joined: port code -> airport, on (state, municipality) compared case-insensitively (Q21)."""
     p = ports.where(F.col("code").isNotNull())
     m = lookup(p, airports.select("airport_id", F.col("municipality").alias("a_municipality"),
                                   F.col("state").alias("a_state")),
-               ["state", "municipality"], ["a_state", "a_municipality"], normalize=True, broadcast_rows=0)
-    return m.select("code", "airport_id", "municipality")
+               ["state", "municipality"], ["a_state", "a_municipality"], normalize=True)
+    # A port listed twice on a page must not double its arrivals.
+    return first_per_group(m.select("code", "airport_id", "municipality"), ["code"], ["airport_id"])
 
 
 def origin_country_map(country_labels: DataFrame, countries: DataFrame) -> DataFrame:
     """J6+J7 pre-joined: origin code (int) -> country_id, labels matched to dimension names case-insensitively."""
     m = lookup(country_labels, countries.select("country_id", F.col("name").alias("c_name")),
-               ["description"], ["c_name"], normalize=True, broadcast_rows=0)
-    return m.select(F.col("value").alias("origin_code"), "country_id")
+               ["description"], ["c_name"], normalize=True)
+    return first_per_group(m.select(F.col("value").alias("origin_code"), "country_id"), ["origin_code"], ["country_id"])
 
 
 def fact_ingress(arrivals: DataFrame, ports: DataFrame, airports: DataFrame, temperatures: DataFrame,
                  country_labels: DataFrame, dim_country_df: DataFrame, unmatched: str = "drop",
-                 id_columns: Sequence[str] | None = None, lookup_rows: int | None = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Arrivals -> 7-column fact, with every lookup a broadcast hash join.
+                 id_columns: Sequence[str] | None = None, small: bool = False) -> DataFrame:
+    """Arrivals -> 7-column fact.
 
-    The arrivals stream through once with no shuffle: the three lookup maps
-    are bounded code lists, each checked for size (once, as a finished map)
-    before it is broadcast; the small joins that build the maps are left to
-    Spark. ``lookup_rows`` is the ``small_side`` policy for the maps: pass
-    ``None`` when their size is already proven from the tables they are
-    built from (no counting job), ``0`` to leave every join to Spark.
+    The three lookup maps are code lists, joined from small tables and unique
+    on their keys, so no arrival is doubled. Spark broadcasts them by size, in
+    which case the arrivals stream through once without a shuffle; ``small``
+    hints them where their definition bounds them (``small_side``).
     ``unmatched="drop"`` drops arrivals whose origin has no country (as
     executed); ``"unknown"`` keeps them under ``UNK`` (needs the dimension
     built with ``unknown_member=True``). Countries come from the dimension
@@ -50,10 +45,10 @@ def fact_ingress(arrivals: DataFrame, ports: DataFrame, airports: DataFrame, tem
     """
     if unmatched not in ("drop", "unknown"):
         raise ValueError("unmatched must be 'drop' or 'unknown'")
-    pa = small_side(port_airport_map(ports, airports), lookup_rows)
+    pa = small_side(port_airport_map(ports, airports), small)
     temps = small_side(temperatures.select(F.col("city").alias("t_city"), F.col("week_of_year").alias("t_week"),
-                                           "temperature_bucket"), lookup_rows)
-    origin = small_side(origin_country_map(country_labels, dim_country_df), lookup_rows)
+                                           "temperature_bucket"), small)
+    origin = small_side(origin_country_map(country_labels, dim_country_df), small)
 
     f = arrivals.join(pa, arrivals["i94port"] == pa["code"], "inner")
     f = f.join(temps, (norm_key(f["municipality"]) == temps["t_city"]) & (iso_week(f["arrdate"]) == temps["t_week"]),

@@ -1,16 +1,17 @@
-"""The whole run (C15): stage -> check -> build -> write -> check written tables -> load."""
+"""The whole run (C15): stage -> check -> build -> write aside -> check -> publish -> load -> check again."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import CheckResult, Expectation, check_table, count_up_to, enforce, schema_problems
+from ..operators import CheckResult, Expectation, check_table, enforce, schema_problems
 from ..sources import read_csv
 from . import dims, facts, staging, warehouse
 
@@ -64,14 +65,8 @@ def stage_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
     return frames
 
 
-def staging_checks(frames: dict[str, DataFrame], th: Thresholds) -> list[CheckResult]:
-    """V1-V3: schema problems raise at once; row minima are answered with early-stopping counts.
-
-    "At least N rows" needs N rows, not all of them: ``count_up_to`` asks
-    Spark's incremental collect for the N-th row (a few splits, not a task
-    per split), so checking the arrivals does not scan the whole extract set
-    ahead of the build. ``observed`` is therefore capped at the threshold.
-    """
+def staging_schemas(frames: dict[str, DataFrame]) -> None:
+    """V1: a staged frame without its columns or types raises before anything is computed."""
     expected = {"arrivals": schemas.ARRIVALS, "country_labels": schemas.COUNTRY_LABELS, "ports": schemas.PORTS,
                 "temperatures": schemas.TEMPERATURES, "gdp": schemas.GDP, "airports": schemas.AIRPORTS,
                 "countries": schemas.COUNTRIES, "languages": schemas.LANGUAGES}
@@ -79,10 +74,19 @@ def staging_checks(frames: dict[str, DataFrame], th: Thresholds) -> list[CheckRe
         problems = schema_problems(df, expected[name])
         if problems:
             raise ValueError(f"invalid schema on {name}: {problems}")
+
+
+def staging_checks(frames: dict[str, DataFrame], th: Thresholds, arrivals: int | None = None) -> list[CheckResult]:
+    """V1-V3: schemas, then every frame's exact row count against its minimum.
+
+    ``arrivals`` is the count that the build pass observed, so the extracts are not read for it again; the
+    lookup frames are persisted and counted.
+    """
+    staging_schemas(frames)
     results = []
     for name, df in frames.items():
         need = th.staging.get(name, 0)
-        seen = count_up_to(df, need)
+        seen = arrivals if name == "arrivals" and arrivals is not None else df.count()
         results.append(CheckResult(name, "min_rows", seen, need, seen >= need))
     return results
 
@@ -101,24 +105,26 @@ def build(frames: dict[str, DataFrame], spark: SparkSession, unmatched: str = "d
 
 
 def table_checks(tables: dict[str, DataFrame], th: Thresholds) -> DataFrame:
-    """V4-V10 on *written* tables: one aggregate pass per table.
+    """V4-V10 on *written* tables: one aggregate pass per table, lengths, domains and null rules included.
 
-    The fact pass also carries the orphan checks (broadcast left joins to the
-    dimension keys), so the fact is read once and never shuffled.
+    The fact pass also carries the orphan checks (left joins to the dimension keys), so the fact is read once.
     """
     fact = tables["fact_ingress"]
     k = schemas.TABLE_KEYS
+
+    def rules(name: str, **more) -> Expectation:
+        return Expectation(min_rows=th.tables.get(name, 0), not_null=schemas.NOT_NULL[name],
+                           max_length=schemas.MAX_LENGTH[name], **more)
+
     parts = [
-        check_table(tables["dim_date"], "dim_date", Expectation(min_rows=th.tables.get("dim_date", 0)),
-                    key=k["dim_date"]),
-        check_table(tables["dim_country"], "dim_country",
-                    Expectation(min_rows=th.tables.get("dim_country", 0), non_negative=["gdp_per_capita"]),
+        check_table(tables["dim_date"], "dim_date", rules("dim_date"), key=k["dim_date"]),
+        check_table(tables["dim_country"], "dim_country", rules("dim_country", non_negative=["gdp_per_capita"]),
                     key=k["dim_country"]),
         check_table(tables["dim_airport"], "dim_airport",
-                    Expectation(min_rows=th.tables.get("dim_airport", 0),
-                                required_values={"airport_id": list(th.major_airports)}), key=k["dim_airport"]),
-        check_table(fact, "fact_ingress", Expectation(
-            min_rows=th.tables.get("fact_ingress", 0), not_null=["date_id", "country_id", "airport_id"],
+                    rules("dim_airport", required_values={"airport_id": list(th.major_airports)}), key=k["dim_airport"]),
+        check_table(fact, "fact_ingress", rules(
+            "fact_ingress", domain={"gender": schemas.GENDER_CODES, "age_bucket": schemas.AGE_CODES,
+                                    "temperature_bucket": schemas.TEMPERATURE_CODES},
             min_rows_where=[(f"rows_{th.busiest_airport}", F.col("airport_id") == th.busiest_airport,
                              th.busiest_airport_min_rows)]),
             key=k["fact_ingress"] if th.check_fact_ids else None,
@@ -133,33 +139,59 @@ def table_checks(tables: dict[str, DataFrame], th: Thresholds) -> DataFrame:
 
 def run(spark: SparkSession, inputs: Inputs, output_root: str, thresholds: Thresholds | None = None,
         unmatched: str = "drop", load_catalog: bool = False, database: str | None = None) -> list:
-    """Stage, check, build, write Parquet, check the written tables, optionally load catalog tables.
+    """Stage, check, build, write aside, check what was written, publish, optionally load and check the catalog.
 
-    Checks run on what was written (read back), so the sources are scanned
-    once for the build and the written files cut the lineage: a lost
-    executor during the checks re-reads Parquet, not the raw sources.
+    Output files mean "this run": a checked run replaces the tables under ``output_root``, and a run that fails
+    a check leaves them as they were. Catalog tables mean "all loads so far": dimensions are refreshed, the fact
+    gets the run's months in place of their earlier load, and ``dim_date`` covers every date the fact then holds.
+    The loaded tables are checked again.
     """
     th = thresholds or Thresholds()
     frames = stage_all(spark, inputs)
-    results = enforce(staging_checks(frames, th))
-    tables = build(frames, spark, unmatched)
-    # The fact is written first; its date range is observed during that same write (no extra pass),
-    # and the date dimension then covers the standard window plus every date the fact holds.
-    dates = Observation("fact_dates")
-    fact = tables["fact_ingress"].observe(dates, F.min("date_id").alias("lo"), F.max("date_id").alias("hi"))
-    warehouse.write_fact(fact, f"{output_root}/fact_ingress")
-    seen = dates.get
-    tables["dim_date"] = dims.dim_date_for_keys(spark, seen.get("lo"), seen.get("hi"))
-    for name in ("dim_date", "dim_country", "dim_airport"):
-        warehouse.write_dimension(tables[name], f"{output_root}/{name}", key=schemas.TABLE_KEYS[name])
-    written = {name: spark.read.parquet(f"{output_root}/{name}") for name in tables}
-    written["fact_ingress"] = written["fact_ingress"].drop(schemas.FACT_PARTITION)
-    results += enforce(table_checks(written, th))
+    aside = f"{output_root}/_staged-{uuid.uuid4().hex[:12]}"
+    try:
+        staging_schemas(frames)
+        results = enforce(staging_checks({n: df for n, df in frames.items() if n != "arrivals"}, th))
+        # Row count and date range are observed while the fact is written: no pass of their own.
+        staged, dates = Observation("staged_arrivals"), Observation("fact_dates")
+        seen_frames = frames | {"arrivals": frames["arrivals"].observe(staged, F.count(F.lit(1)).alias("n"))}
+        tables = build(seen_frames, spark, unmatched)
+        fact = tables["fact_ingress"].observe(dates, F.min("date_id").alias("lo"), F.max("date_id").alias("hi"))
+        warehouse.write_fact(fact, f"{aside}/fact_ingress")
+        results += enforce(staging_checks({"arrivals": frames["arrivals"]}, th, staged.get["n"]))
+        seen = dates.get
+        tables["dim_date"] = dims.dim_date_for_keys(spark, seen.get("lo"), seen.get("hi"))
+        for name in ("dim_date", "dim_country", "dim_airport"):
+            warehouse.write_dimension(tables[name], f"{aside}/{name}", key=schemas.TABLE_KEYS[name])
+        results += enforce(table_checks(_written(spark, aside, tables), th))
+        for name in tables:
+            warehouse.publish(spark, f"{aside}/{name}", f"{output_root}/{name}")
+    finally:
+        warehouse.remove(spark, aside)
+        for df in frames.values():
+            df.unpersist()
     if load_catalog:
-        warehouse.create_tables(spark, f"{output_root}/warehouse", database)
-        warehouse.truncate_dimensions(spark, database)
-        warehouse.load_dimensions(spark, {n: written[n] for n in warehouse.DIMENSIONS}, database)
-        warehouse.load_fact(spark, written["fact_ingress"], database=database)
-    for df in frames.values():
-        df.unpersist()
+        results += load(spark, _written(spark, output_root, tables), f"{output_root}/warehouse", th, database)
     return results
+
+
+def _written(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    found = {name: spark.read.parquet(f"{root}/{name}") for name in tables}
+    return found | {"fact_ingress": found["fact_ingress"].drop(schemas.FACT_PARTITION)}
+
+
+def load(spark: SparkSession, written: dict[str, DataFrame], root: str, th: Thresholds,
+         database: str | None = None) -> list[CheckResult]:
+    """Load checked tables into the catalog, then check the loaded tables."""
+    warehouse.create_tables(spark, root, database)
+    warehouse.load_fact(spark, written["fact_ingress"], database=database)
+    loaded = {n: spark.table(f"`{database}`.`{n}`" if database else f"`{n}`") for n in written}
+    span = loaded["fact_ingress"].agg(F.min("date_id").alias("lo"), F.max("date_id").alias("hi")).first()
+    calendar = dims.dim_date_for_keys(spark, span["lo"], span["hi"])
+    warehouse.load_dimensions(spark, {n: written[n] for n in warehouse.DIMENSIONS if n != "dim_date"} | {"dim_date": calendar},
+                              database)
+    after = replace(th, tables=th.tables | {"fact_ingress": min(th.tables.get("fact_ingress", 0), schemas.LOADED_FACT_MIN_ROWS)})
+    for name in written:
+        spark.catalog.refreshTable(f"`{database}`.`{name}`" if database else f"`{name}`")
+    loaded["fact_ingress"] = loaded["fact_ingress"].drop(schemas.FACT_PARTITION)
+    return [replace(r, table_name=f"loaded.{r.table_name}") for r in enforce(table_checks(loaded, after))]

@@ -29,28 +29,32 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def write_dimension(df: DataFrame, path: str, key: str | None = None) -> None:
-    """Dimensions are small: one file (no 200-way shuffle output of tiny files), rows ordered by key."""
-    one = df.coalesce(1)
-    write_parquet(one.sortWithinPartitions(key) if key else one, path)
+    """O1: rows ordered by key (a range sort, so no task holds the whole dimension)."""
+    write_parquet(df.orderBy(key) if key else df, path)
 
 
-def with_fact_year(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(schemas.FACT_PARTITION, (F.col("date_id") / 10000).cast("int"))
+def with_load_unit(fact: DataFrame) -> DataFrame:
+    """The fact with its load unit, the month of ``date_id``."""
+    return fact.withColumn(schemas.FACT_PARTITION, F.floor(F.col("date_id") / 100).cast("int"))
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = True,
                cluster: bool = False, partitions: int | None = None, max_records_per_file: int = 0) -> None:
-    """K1 for the fact: partitioned by year, rows ordered by ``date_id`` inside each file (Q6).
+    """K1 for the fact: partitioned by load unit, rows ordered by ``date_id`` inside each file (Q6).
+
+    With ``dynamic`` (default) a write replaces the months it holds and leaves
+    all others: April, May and April again give both months once. An extract
+    must therefore hold whole months, as the source's do.
 
     Default: no shuffle. Arrival extracts arrive date-clustered (one month per
-    file), so each scan split writes about one file per year, sorted by
+    file), so each scan split writes about one file per month, sorted by
     ``date_id`` for min/max skipping. ``cluster=True`` range-partitions on
     (date_id, ingress_id) first, for inputs that are not date-clustered; the
     id in the range key splits a hot day across tasks. Range partitioning
     samples its input in a separate job, so the fact is computed twice then:
     use it on a written or checkpointed fact, not on the raw join.
     """
-    df = with_fact_year(fact)
+    df = with_load_unit(fact)
     if cluster:
         n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartitionByRange(n, "date_id", "ingress_id")
@@ -63,6 +67,33 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", dynamic: boo
     w.parquet(path)
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making, on whatever file system holds it."""
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """K3: put a checked, staged table in the target's place; the old one goes only when the new one is there."""
+    fs, new = _fs(spark, staged)
+    _, place = _fs(spark, target)
+    _, old = _fs(spark, f"{target}.replaced")
+    fs.mkdirs(place.getParent())
+    fs.delete(old, True)
+    if fs.exists(place):
+        fs.rename(place, old)
+    if not fs.rename(new, place):
+        fs.rename(old, place)
+        raise OSError(f"cannot publish {target}")
+    fs.delete(old, True)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K8: CSV with header."""
     df.write.mode(mode).option("header", True).csv(path)
@@ -123,7 +154,7 @@ _FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro")
 def insert(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrite") -> None:
     """K7: load a frame into a catalog table.
 
-    ``overwrite``            full refresh (truncate + append in one atomic step)
+    ``overwrite``            full refresh (the table's files are replaced; readers should wait for it)
     ``append``               add rows (a rerun duplicates them)
     ``partition_overwrite``  replace only the partitions present in ``df`` (rerun-safe)
 
@@ -147,13 +178,7 @@ def insert(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrit
             spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
             spark.catalog.refreshTable(table)
         else:
-            # Unpartitioned or not a file-source table: switch the session setting for this write only.
-            prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            try:
-                ordered.write.insertInto(table, overwrite=True)
-            finally:
-                spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+            raise ValueError(f"{table} is no partitioned table of files")
     else:
         raise ValueError("mode must be overwrite, append or partition_overwrite")
 
@@ -161,44 +186,37 @@ def insert(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrit
 def load_dimensions(spark: SparkSession, dims: dict[str, DataFrame], database: str | None = None) -> None:
     """Full refresh of each dimension."""
     for name, df in dims.items():
-        insert(spark, df.coalesce(1), _qual(name, database), "overwrite")
+        insert(spark, df, _qual(name, database), "overwrite")
 
 
 def load_fact(spark: SparkSession, fact: DataFrame, mode: str = "partition_overwrite",
               database: str | None = None) -> None:
-    """K7/C13 for the fact: by default only the loaded years are replaced, so a rerun
-    does not duplicate rows (Q8); ``append`` adds rows as the original load did."""
-    insert(spark, with_fact_year(fact), _qual(FACT, database), mode)
+    """K7/C13 for the fact: by default the loaded months are replaced and all others stay, so neither a rerun
+    nor the next month's load doubles or loses rows (Q8); ``append`` adds rows as the original load did."""
+    insert(spark, with_load_unit(fact), _qual(FACT, database), mode)
 
 
 def star_query(fact: DataFrame, dim_date_df: DataFrame, dim_country_df: DataFrame, dim_airport_df: DataFrame,
                date_where: Column | None = None, airport_where: Column | None = None,
-               country_where: Column | None = None, broadcast_rows: int | None = 1_000_000) -> DataFrame:
+               country_where: Column | None = None) -> DataFrame:
     """The fact joined to its three dimensions, each dimension filtered first.
 
-    Star-join plan: every filtered dimension is broadcast once its row count
-    is proven under ``broadcast_rows``, so the fact streams through hash
-    joins without being shuffled; the date dimension (usually the most
-    selective filter) joins first so later joins see fewer rows. With the
-    fact stored partitioned by year, the date filter also prunes files.
-    Join keys appear once (no ``SELECT *`` duplicates). ``broadcast_rows=None``
-    means the caller has already proven the dimensions small (they are hinted
-    without another counting job); ``0`` leaves the join strategy to Spark.
+    The date dimension (usually the most selective filter) joins first, so
+    later joins see fewer rows; a calendar is small by definition and is
+    hinted, the other dimensions are left to Spark's sizes. A fact stored by
+    load unit also joins on it, so the date filter prunes its partitions.
+    Join keys appear once (no ``SELECT *`` duplicates).
     """
-    def small(df: DataFrame) -> DataFrame:
-        return small_side(df, broadcast_rows)
-
     d = dim_date_df if date_where is None else dim_date_df.where(date_where)
     a = dim_airport_df if airport_where is None else dim_airport_df.where(airport_where)
     c = dim_country_df if country_where is None else dim_country_df.where(country_where)
     a = a.select("airport_id", F.col("name").alias("airport_name"), "municipality", "state")
     c = c.select("country_id", F.col("name").alias("country_name"), "languages", "gdp_per_capita")
-    # A fact stored partitioned by year also joins on year: the dimension's date filter then prunes
-    # fact partitions (dynamic partition pruning), and the year column appears once.
-    date_keys = ["date_id"] + ([schemas.FACT_PARTITION] if schemas.FACT_PARTITION in fact.columns else [])
-    j = fact.join(small(d), date_keys)
-    j = j.join(small(a), "airport_id")
-    return j.join(small(c), "country_id")
+    date_keys = ["date_id"]
+    if schemas.FACT_PARTITION in fact.columns:
+        d, date_keys = with_load_unit(d), ["date_id", schemas.FACT_PARTITION]
+    j = fact.join(small_side(d, True), date_keys).drop(*date_keys[1:])
+    return j.join(a, "airport_id").join(c, "country_id")
 
 
 def month_at_airport(year: int, month: int, airport_id: str) -> dict[str, Column]:

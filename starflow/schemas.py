@@ -45,8 +45,9 @@ DIM_COUNTRY = _struct(("country_id", S), ("name", S), ("languages", S), ("gdp_pe
 DIM_AIRPORT = _struct(("airport_id", S), ("name", S), ("municipality", S), ("state", S))
 FACT_INGRESS = _struct(("ingress_id", S), ("date_id", T.IntegerType()), ("country_id", S), ("airport_id", S),
                        ("gender", S), ("age_bucket", S), ("temperature_bucket", S))
-# The fact is stored partitioned by year (derived from date_id); the contract columns stay the 7 above.
-FACT_PARTITION = "year"
+# The fact is stored by load unit: the month of date_id (one extract holds one month), so that a load replaces
+# exactly the months it holds. The contract columns stay the 7 above.
+FACT_PARTITION = "month_id"
 
 STAR_TABLES = {"dim_date": DIM_DATE, "dim_country": DIM_COUNTRY, "dim_airport": DIM_AIRPORT,
                "fact_ingress": FACT_INGRESS}
@@ -72,6 +73,15 @@ STAGING_MIN_ROWS = {"arrivals": 1_000_000, "temperatures": 100, "gdp": 100, "cou
                     "airports": 10, "countries": 10, "languages": 10}
 TABLE_MIN_ROWS = {"dim_country": 100, "dim_airport": 100, "dim_date": 100, "fact_ingress": 1_000_000}
 LOADED_FACT_MIN_ROWS = 100_000
+# Most characters of text columns, and columns that must not be null.
+MAX_LENGTH = {"dim_airport": {"airport_id": 4, "name": 128, "municipality": 64, "state": 2},
+              "dim_country": {"country_id": 3, "name": 128, "languages": 128},
+              "dim_date": {},
+              "fact_ingress": {"ingress_id": 36, "country_id": 3, "airport_id": 4, "gender": 1, "age_bucket": 2,
+                               "temperature_bucket": 2}}
+NOT_NULL = {"dim_airport": ["airport_id", "municipality", "state"], "dim_country": ["country_id", "languages"],
+            "dim_date": ["date_id", "year", "month", "day", "day_of_week", "week_of_year"],
+            "fact_ingress": ["date_id", "country_id", "airport_id", "gender", "age_bucket", "temperature_bucket"]}
 BUSIEST_AIRPORT_MIN_ROWS = 100_000
 
 

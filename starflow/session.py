@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -37,11 +37,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide work folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the setting is absent (unit tests on a
-    laptop) a private folder is created and registered so checkpoint() works.
+    Read from the session. Only on a local master (tests, the bench), where
+    every task shares the driver's disk, a private folder stands in for a
+    missing setting; on a cluster that would be another disk on each executor.
     """
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    if not path and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="starflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -53,6 +56,4 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder (never machine-local)."""
     base = shared_dir(spark)
-    if base.startswith("/"):
-        os.makedirs(base, exist_ok=True)
     return f"{base}/starflow/{name}-{uuid.uuid4().hex[:12]}"

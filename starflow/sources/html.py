@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions._util import as_col
 from ..functions.text import unescape_html
-from ..operators.relational import spread
 
 
 def _inner(tag: str) -> str:
@@ -47,7 +46,7 @@ def html_table_pairs(df: DataFrame, html_col: str = "html", first_cell_pattern:
     cell extraction: one very large page then no longer sits in one task
     (it costs a shuffle of the row texts, so it is off by default).
     """
-    rows = spread(df).select(*keep, F.explode(html_rows(html_col)).alias("_row"))
+    rows = df.select(*keep, F.explode(html_rows(html_col)).alias("_row"))
     if rebalance_rows:
         rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
     cells = rows.select(*keep, html_cells("_row").alias("_cells"))
@@ -56,15 +55,17 @@ def html_table_pairs(df: DataFrame, html_col: str = "html", first_cell_pattern:
     return pairs.select(*keep, F.get("_cells", F.col("_i")).alias(key), F.get("_cells", F.col("_i") + 1).alias(value))
 
 
-LINK = r"(?is)<a\s[^>]*?href\s*=\s*\"([^\"]*)\"[^>]*>(.*?)</a\s*>"
+# The attribute's value in double quotes, in single quotes, or bare.
+HREF = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+LINK = rf"(?is)<a\s(?:[^>]*?\s)?{HREF}[^>]*>(.*?)</a\s*>"
 
 
 def html_links(df: DataFrame, html_col: str = "html", text_pattern: str | None = None,
                keep: Sequence[str] = ()) -> DataFrame:
-    """S5 on anchors: (href, text) of every ``<a href="…">``, optionally filtered by a text regex."""
+    """S5 on anchors: (href, text) of every ``<a href=…>``, entities decoded in both, optionally filtered by a text regex."""
     # One scan of the page finds every anchor; href and text are then taken from each (short) match.
     anchors = F.regexp_extract_all(F.col(html_col), F.lit(LINK), 0)
-    out = spread(df).select(*keep, F.posexplode(anchors).alias("link_pos", "_a")) \
-        .select(*keep, "link_pos", F.regexp_extract("_a", LINK, 1).alias("href"),
-                _clean(F.regexp_extract("_a", LINK, 2)).alias("text"))
+    out = df.select(*keep, F.posexplode(anchors).alias("link_pos", "_a")) \
+        .select(*keep, "link_pos", unescape_html(F.concat(*(F.regexp_extract("_a", LINK, k) for k in (1, 2, 3)))).alias("href"),
+                _clean(F.regexp_extract("_a", LINK, 4)).alias("text"))
     return out.where(F.col("text").rlike(text_pattern)) if text_pattern else out

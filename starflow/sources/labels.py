@@ -12,14 +12,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.relational import spread
-
-# A file is cut into blocks at every line that starts with "value"; a block ends at its first ';'
-# (as the format defines: the terminator may sit on the last entry line or on its own line).
+# A file is cut into blocks at every line that starts with "value"; a block ends at its first ';' outside of
+# quoted strings and comments (it may sit on the last entry line or on its own line).
 BLOCK_START = r"(?im)^[ \t]*value[ \t]+"
+# A quoted string within one line (a doubled quote is an escaped quote), or a comment.
+QUOTED = r"'(?:[^'\n]|'')*+'"
+COMMENT = r"/\*(?s:.*?)\*/"
+# Everything up to the first ';' that ends a block; a quote without its pair is an ordinary character.
+BODY = rf"^((?:[^;']++|{QUOTED}|')*+)"
 NAME = r"^\$?(\w+)"
 # An entry line: 'code' or digits, '=', 'label'; a doubled quote is an escaped quote.
 # Unrolled quoted-string form ([^']*(?:''[^']*)*): linear, no per-character backtracking.
@@ -30,38 +33,50 @@ ENTRY = r"(?m)^[ \t]*(?:'([^'\n]*(?:''[^'\n]*)*)'|(-?\d+))[ \t]*=[ \t]*'([^'\n]*
 HEAD = r"(?i)^[ \t]*value[ \t]+"
 
 
+def _without_comments(c: Column) -> Column:
+    """Text without comments; what looks like one inside a quoted string stays."""
+    return F.regexp_replace(c, rf"({QUOTED})|{COMMENT}", "$1")
+
+
+def _before_end(c: Column) -> Column:
+    """The part before the ``;`` that ends a block."""
+    return F.regexp_extract(c, BODY, 1)
+
+
 def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Sequence[str] | None = None,
                       with_path: bool = False) -> DataFrame:
     """S6 over label files, splittable: ``([path,] list_name, code, label)``.
 
     Same result as ``parse_label_text(read_label_files(...))`` without
-    reading a file as one row. Each line carries its file, the start of the
-    file split it was read from and a position that grows within the split
-    (lines of one split are read in order by one task). Then:
+    reading a file as one row, for comments that end on their own line. Each
+    line carries its file, the start of the file split it was read from and a
+    position that grows within the split (lines of one split are read in
+    order by one task). Then:
 
     1. within each split (a group bounded by the split size, never by the
        file), a running window gives every line the latest block header
        before it and whether a ``;`` line closed that block since;
-    2. a one-row-per-split summary (last header, closed after it, any ``;``)
-       is scanned per file in split order to give each split the block that
-       is open when it starts, for lines before the split's first header;
+    2. a one-row-per-split summary of the same lines (last header, closed
+       after it, any ``;``) is scanned per file in split order to give each
+       split the block that is open when it starts, for lines before the
+       split's first header;
     3. lines inside an open block (the terminator line included, up to its
        ``;``) are matched against the entry pattern.
-    Non-splittable (compressed) files are one split each.
+    The text is scanned once and its kept lines are shuffled once, by split:
+    windows and summary share that exchange. Compressed files cannot be split,
+    so each is one task; unpack large ones first.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("_line"))
+        F.monotonically_increasing_id().alias("_pos"), _without_comments(F.col("value")).alias("_line"))
     line = F.col("_line")
     is_head = line.rlike(HEAD)
     lines = raw.select("path", "_split", "_pos", "_line", is_head.alias("_head"),
                        F.when(is_head, F.lower(F.regexp_extract(F.regexp_replace(line, HEAD, ""), NAME, 1)))
                        .alias("_name"),
-                       line.contains(";").alias("_semi"))
-    # The split summary needs only the cheap header/';' flags (and a row for every split). The line branch
-    # keeps headers, ';' lines and entry lines: comments and blank lines stay out of its shuffle.
-    flagged = lines
+                       (F.contains(line, F.lit(";")) & (F.length(_before_end(line)) < F.length(line))).alias("_semi"))
+    # Headers, ';' lines and entry lines; comments and blank lines change nothing and stay out of the shuffle.
     lines = lines.where(F.col("_head") | F.col("_semi") | (line.contains("=") & line.rlike(ENTRY)))
 
     split_w = Window.partitionBy("path", "_split").orderBy("_pos")
@@ -73,9 +88,11 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
                ignorenulls=True).over(upto).alias("_h"),
         F.last(F.when(F.col("_semi"), F.col("_pos")), ignorenulls=True).over(before).alias("_s"))
 
-    summary = flagged.groupBy("path", "_split").agg(
-        F.max(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n")))).alias("h"),
-        F.max(F.when(F.col("_semi"), F.col("_pos"))).alias("s"))
+    # From the windowed lines, which are already dealt by (path, split). The width reads every column of
+    # them, so that both sides have the same plan and share one scan and one exchange.
+    summary = local.groupBy("path", "_split").agg(
+        F.max("_h").alias("h"), F.max(F.when(F.col("_semi"), F.col("_pos"))).alias("s"),
+        F.max(F.greatest(F.length("_line").cast("long"), F.col("_head").cast("long"), "_s")).alias("width")).where("width >= 0")
     summary = summary.select(
         "path", "_split", F.col("h.n").alias("name"), F.col("h").isNotNull().alias("has_head"),
         F.coalesce(F.col("s") >= F.col("h.p"), F.lit(False)).alias("closed_after_head"),
@@ -89,12 +106,12 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
     carry = carry.select("path", "_split", F.col("_prev.name").alias("_in_name"),
                          (F.col("_prev.closed_after_head") | (F.col("_cs_in") > F.col("_prev._cs"))).alias("_in_closed"))
 
-    j = local.join(carry, ["path", "_split"], "left")
+    j = local.join(carry, ["path", "_split"])  # a row of carry for each split that has lines
     has_local = F.col("_h").isNotNull()
     name = F.when(has_local, F.col("_h.n")).otherwise(F.col("_in_name"))
     closed = F.when(has_local, F.coalesce(F.col("_s") >= F.col("_h.p"), F.lit(False))) \
         .otherwise(F.coalesce(F.col("_in_closed"), F.lit(False)) | F.col("_s").isNotNull())
-    pre = F.substring_index(F.col("_line"), ";", 1)
+    pre = _before_end(F.col("_line"))
     # Lines without ';' matched the entry pattern already; a terminator line is matched up to its ';'.
     inside = j.where(~F.col("_head") & name.isNotNull() & ~closed & (~F.col("_semi") | pre.rlike(ENTRY))) \
         .select("path", name.alias("list_name"), pre.alias("_e"))
@@ -108,7 +125,7 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
 
 
 def read_label_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Whole label files as rows ``(path, text)``."""
+    """Whole label files as rows ``(path, text)``: for small files only, as a file is one row of one task."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
@@ -121,10 +138,10 @@ def parse_label_text(df: DataFrame, text_col: str = "text", keep: Sequence[str]
     quotes are unescaped, code and label are trimmed. ``lists`` restricts to
     some block names (lower case, without ``$``).
     """
-    pieces = spread(df).select(*keep, F.posexplode(F.split(F.col(text_col), BLOCK_START)).alias("_i", "_b")) \
+    pieces = df.select(*keep, F.posexplode(F.split(_without_comments(F.col(text_col)), BLOCK_START)).alias("_i", "_b")) \
         .where(F.col("_i") > 0)
     named = pieces.select(*keep, F.lower(F.regexp_extract("_b", NAME, 1)).alias("list_name"),
-                          F.substring_index("_b", ";", 1).alias("_body"))
+                          _before_end(F.col("_b")).alias("_body"))
     if lists is not None:
         named = named.where(F.col("list_name").isin([x.lower() for x in lists]))
     # One scan of the block finds every entry; each (short) entry is then split into its groups.

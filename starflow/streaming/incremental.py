@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,11 +19,11 @@ def ingest_arrivals(spark: SparkSession, source_dir: str, output: str, lookups:
 
     ``lookups`` holds the staged ``ports``, ``airports``, ``temperatures``,
     ``country_labels`` and the built ``dim_country`` (static frames; they are
-    size-checked and broadcast to every micro-batch). Output is Parquet
-    partitioned by year, the same layout ``warehouse.write_fact`` produces.
+    joined to every micro-batch). Output is Parquet
+    partitioned by load unit, the same layout ``warehouse.write_fact`` produces.
     ``available_now`` processes what has landed and stops (a scheduled daily
-    run); otherwise the query keeps running. The checkpoint defaults to the
-    shared folder named by ``spark.checkpoint.dir``.
+    run); otherwise the query keeps running. The checkpoint defaults to
+    a folder of this source and output under ``spark.checkpoint.dir``. Nothing else may write to ``output``.
     """
     reader = spark.readStream.format(fmt).schema(schemas.ARRIVALS_RAW)
     if max_files_per_trigger:
@@ -29,8 +31,9 @@ def ingest_arrivals(spark: SparkSession, source_dir: str, output: str, lookups:
     raw = reader.load(source_dir)
     fact = facts.fact_ingress(staging.clean_arrivals(raw), lookups["ports"], lookups["airports"],
                               lookups["temperatures"], lookups["country_labels"], lookups["dim_country"])
-    ckpt = checkpoint or f"{shared_dir(spark)}/starflow/streams/fact_ingress"
-    writer = (warehouse.with_fact_year(fact).writeStream.format("parquet")
+    pair = hashlib.sha256(f"{source_dir}\n{output}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{shared_dir(spark)}/starflow/streams/fact_ingress-{pair}"
+    writer = (warehouse.with_load_unit(fact).writeStream.format("parquet")
               .option("checkpointLocation", ckpt).partitionBy(schemas.FACT_PARTITION).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(output)

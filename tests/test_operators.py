@@ -3,10 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starflow.operators import (Expectation, bounded_broadcast, check_table, count_up_to, distinct_values, duplicate_keys,
-                                enforce, small_side,
-                                explode_lookup_collect, first_per_group, is_bounded, lookup, lookup_default,
-                                orphan_keys, profile, schema_problems, spread, top_k_counts, trailing_years,
+from starflow.operators import (Expectation, check_table, distinct_values, duplicate_keys, enforce, small_side,
+                                explode_lookup_collect, first_per_group, lookup, lookup_default,
+                                orphan_keys, profile, schema_problems, top_k_counts, trailing_years,
                                 union_all, weekly_mean)
 from starflow import schemas
 
@@ -35,7 +34,7 @@ def test_first_per_group_lowest_key_and_hot_group(spark):
     assert got[("NY", None)] == ("K1", "b")
     assert got[("TX", "Houston")] == ("K00000", "n")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan  # aggregate, not a sort-based window
+    assert "Window" not in plan and "partial_min" in plan  # one row per task and group before the shuffle
     desc = first_per_group(df, ["state", "municipality"], ["ident"], descending=True)
     assert {(r.state, r.municipality): r.ident for r in desc.collect()}[("NY", "New York")] == "KLGA"
 
@@ -88,43 +87,25 @@ def test_lookup_normalised_and_default(spark):
     assert inner.count() == 2 and not [c for c in inner.columns if c.startswith("_k")]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(5000)
-    assert is_bounded(small, 10) and not is_bounded(big, 10)
-    j_small = spark.range(100).join(bounded_broadcast(small, 10), "id")
-    j_big = spark.range(100).join(bounded_broadcast(big, 10), "id")
-    assert "broadcast" in j_small._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert "broadcast" not in j_big._jdf.queryExecution().optimizedPlan().toString().lower()
-
-
-def test_size_checks_at_the_boundary(spark, monkeypatch):
-    from starflow.operators import joins
-    for incremental in (True, False):
-        monkeypatch.setattr(joins, "INCREMENTAL_CHECK_ROWS", 10**9 if incremental else 0)
-        df = spark.range(0, 1000, 1, 7).where(F.col("id") % 2 == 0)    # 500 rows over 7 partitions
-        assert is_bounded(df, 500) and not is_bounded(df, 499)
-        assert is_bounded(spark.range(0), 0) and not is_bounded(spark.range(1), 0)
-        assert count_up_to(df, 100) == 100 and count_up_to(df, 500) == 500 and count_up_to(df, 900) == 500
-        assert count_up_to(spark.range(0), 5) == 0 and count_up_to(df, 0) == 0
-        agg = spark.range(0, 5000, 1, 4).groupBy((F.col("id") % 37).alias("k")).count()
-        assert is_bounded(agg, 37) and not is_bounded(agg, 36)
-
-
-def test_small_side_policy(spark):
+def test_small_side_hints_only_what_is_small_by_definition(spark):
     def hinted(df):
         return "broadcast" in spark.range(10).join(df, "id")._jdf.queryExecution().optimizedPlan().toString().lower()
-    big = spark.range(5000)
-    assert hinted(small_side(big, None))          # proven by the caller: no count
-    assert not hinted(small_side(spark.range(3), 0))
-    assert not hinted(small_side(big, 10)) and hinted(small_side(spark.range(3), 10))
+    assert hinted(small_side(spark.range(5000), True)) and not hinted(small_side(spark.range(3)))
+
+
+def test_trailing_years_range_reaches_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([(dt.date(y, 1, 1), y) for y in range(2000, 2014)], "d date, y int")
+    df.write.parquet(str(tmp_path / "t"))
+    out = trailing_years(spark.read.parquet(str(tmp_path / "t")), "d", 5)
+    assert sorted(r.y for r in out.collect()) == [2009, 2010, 2011, 2012, 2013]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "DataFilters" in plan and "year(d" not in plan.split("DataFilters")[1].split("Format")[0]
 
 
-def test_spread_only_when_under_partitioned(spark):
-    one = spark.range(0, 100, numPartitions=1)
-    many = spark.range(0, 100, numPartitions=64)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    assert spread(many, 4) is many
+def test_lengths_and_domains(spark):
+    df = spark.createDataFrame([("KJFK", "M"), ("KJFKX", "Q"), (None, None)], "k string, g string")
+    got = {r.check_name: r.observed for r in check_table(df, "t", Expectation(max_length={"k": 4}, domain={"g": ["M", "F"]})).collect()}
+    assert got == {"row_count": 3, "length_k": 1, "domain_g": 1}
 
 
 def test_check_table_single_pass_and_enforce(spark):
@@ -172,7 +153,7 @@ def test_check_table_references_in_same_pass(spark):
     res = check_table(fact, "f", Expectation(min_rows=1), references={"fk": (dim, "pk")})
     got = {r.check_name: (r.observed, r.passed) for r in res.collect()}
     assert got == {"row_count": (5, True), "orphan_fk": (2, False)}
-    plan = res._jdf.queryExecution().executedPlan().toString()
+    plan = res._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     keyed = {r.check_name: r.observed
              for r in check_table(fact, "f", Expectation(), key="id", references={"fk": (dim, "pk")}).collect()}

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,9 +41,10 @@ def test_full_run_on_fixtures(spark, fixtures_dir, labels):
     out = scratch_path(spark, "run")
     results = pipeline.run(spark, make_inputs(fixtures_dir, labels=labels), out, TH)
     assert all(r.passed for r in results)
+    assert {r.table_name for r in results} >= {"arrivals", "ports", "dim_date", "fact_ingress"}
     fact = spark.read.parquet(f"{out}/fact_ingress")
     assert fact_rows(fact) == EXPECTED_FACT
-    assert {r.year for r in fact.select("year").distinct().collect()} == {2016}
+    assert {r.month_id for r in fact.select("month_id").distinct().collect()} == {201604}
     ids = [r.ingress_id for r in fact.collect()]
     assert len(set(ids)) == 8 and all(len(i) == 36 for i in ids)
     country = {r.country_id: (r.name, r.languages, r.gdp_per_capita)
@@ -81,7 +84,8 @@ def test_unknown_origin_kept_as_member(spark, fixtures_dir):
 def test_fact_plan_is_broadcast_only_and_udf_free(spark, fixtures_dir):
     frames = pipeline.stage_all(spark, make_inputs(fixtures_dir))
     fact = pipeline.build(frames, spark)["fact_ingress"]
-    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert len(fact.collect()) == 8  # adaptive execution settles the joins as it runs
+    plan = fact._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
     for node in ("BatchEvalPython", "ArrowEvalPython", "SortMergeJoin", "ShuffledHashJoin"):
         assert node not in plan
     assert plan.count("BroadcastHashJoin") >= 3
@@ -92,7 +96,7 @@ def test_catalog_load_rerun_safe(spark, fixtures_dir):
     db = "starflow_load_test"
     pipeline.run(spark, make_inputs(fixtures_dir), out, TH, load_catalog=True, database=db)
     pipeline.run(spark, make_inputs(fixtures_dir), out + "_2", TH, load_catalog=False)
-    fact = spark.read.parquet(f"{out}/fact_ingress").drop("year")
+    fact = spark.read.parquet(f"{out}/fact_ingress").drop("month_id")
     # rerun of the same load: dims refreshed, fact partitions replaced, not duplicated
     warehouse.truncate_dimensions(spark, db)
     warehouse.load_dimensions(spark, {n: spark.read.parquet(f"{out}/{n}") for n in warehouse.DIMENSIONS}, db)
@@ -107,7 +111,7 @@ def test_catalog_load_rerun_safe(spark, fixtures_dir):
     assert star.count() == 8
     assert len(star.columns) == len(set(star.columns))
     plan = star._jdf.queryExecution().executedPlan().toString().lower()
-    assert "dynamicpruning" in plan or "partitionfilters: [isnotnull(year" in plan
+    assert "dynamicpruning" in plan or "partitionfilters: [isnotnull(month_id" in plan
     warehouse.drop_tables(spark, db)
     assert not [t for t in spark.catalog.listTables(db)]
 
@@ -122,23 +126,68 @@ def test_write_csv_and_views(spark, fixtures_dir):
     assert spark.sql("SELECT count(*) AS n FROM stg_ports WHERE state IS NOT NULL").collect()[0].n == 5
 
 
-def test_write_fact_partition_overwrite(spark):
-    from starflow.plans.warehouse import write_fact
-    rows = [(f"id{i}", d, "MEX", "KJFK", "M", "AD", "VC")
-            for i, d in enumerate([20150101, 20150102, 20160101, 20160102, 20160103])]
-    cols = "ingress_id string, date_id int, country_id string, airport_id string, gender string, " \
-           "age_bucket string, temperature_bucket string"
-    fact = spark.createDataFrame(rows, cols)
+def _fact(spark, dates):
+    rows = [(f"id{i}-{d}", d, "MEX", "KJFK", "M", "AD", "VC") for i, d in enumerate(dates)]
+    return spark.createDataFrame(rows, "ingress_id string, date_id int, country_id string, airport_id string, gender string, "
+                                       "age_bucket string, temperature_bucket string")
+
+
+def _per_month(df):
+    return {r.month_id: r.n for r in df.groupBy("month_id").agg(F.count("*").alias("n")).collect()}
+
+
+def test_april_may_and_april_again_by_path_and_by_table(spark):
     path = scratch_path(spark, "fact")
-    write_fact(fact, path)
-    write_fact(fact.where("date_id >= 20160000"), path)          # rerun of one year: replaced, not duplicated
-    back = spark.read.parquet(path)
-    assert back.count() == 5
-    assert {r.year: r.n for r in back.groupBy("year").agg(F.count("*").alias("n")).collect()} == {2015: 2, 2016: 3}
-    write_fact(fact, path, cluster=True, partitions=2)
-    assert spark.read.parquet(path).count() == 5
-    plan = spark.read.parquet(path).where("year = 2016")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan
+    april, may = _fact(spark, [20160401, 20160402]), _fact(spark, [20160501, 20160502, 20160503])
+    for part in (april, may, april):
+        warehouse.write_fact(part, path)
+    assert _per_month(spark.read.parquet(path)) == {201604: 2, 201605: 3}
+    warehouse.write_fact(may, path, cluster=True, partitions=2)
+    assert _per_month(spark.read.parquet(path)) == {201604: 2, 201605: 3}
+    plan = spark.read.parquet(path).where("month_id = 201604")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_id" in plan
+    db = "starflow_months"
+    warehouse.create_tables(spark, scratch_path(spark, "months"), db)
+    for part in (april, may, april):
+        warehouse.load_fact(spark, part, database=db)
+    assert _per_month(spark.table(f"{db}.fact_ingress")) == {201604: 2, 201605: 3}
+    warehouse.drop_tables(spark, db)
+
+
+def _files(root):
+    return {str(p.relative_to(root)): p.read_bytes() for p in sorted(Path(root).rglob("*")) if p.is_file()}
+
+
+def test_failed_run_leaves_the_published_output(spark, fixtures_dir):
+    out = scratch_path(spark, "kept")
+    pipeline.run(spark, make_inputs(fixtures_dir), out, TH)
+    before = _files(out)
+    with pytest.raises(ValueError, match="null_date_id"):
+        pipeline.run(spark, make_inputs(fixtures_dir, ("arrivals_a", "arrivals_b")), out, TH)
+    assert before and _files(out) == before
+
+
+def test_runs_of_other_years_into_one_root_and_one_catalog(spark, fixtures_dir, tmp_path):
+    """A run's files are that run; the catalog holds every month loaded, and its calendar covers them all."""
+    out, db = scratch_path(spark, "years"), "starflow_years"
+    old = spark.read.parquet(f"{fixtures_dir}/arrivals_a.parquet").withColumn("arrdate", F.col("arrdate") - 2922)  # 2008
+    old.write.parquet(str(tmp_path / "old.parquet"))
+    first = make_inputs(fixtures_dir)
+    first.arrivals = [str(tmp_path / "old.parquet")]
+    pipeline.run(spark, first, out, TH, load_catalog=True, database=db)
+    results = pipeline.run(spark, make_inputs(fixtures_dir), out, TH, load_catalog=True, database=db)
+    assert _per_month(spark.read.parquet(f"{out}/fact_ingress")) == {201604: 8}
+    assert _per_month(spark.table(f"{db}.fact_ingress")) == {200803: 8, 201604: 8} or \
+        _per_month(spark.table(f"{db}.fact_ingress")) == {200804: 8, 201604: 8}
+    loaded = [r for r in results if r.table_name.startswith("loaded.")]
+    assert {r.check_name for r in loaded} >= {"orphan_date_id", "orphan_country_id", "row_count"} and all(r.passed for r in loaded)
+    warehouse.drop_tables(spark, db)
+
+
+def test_ports_listed_twice_do_not_double_arrivals(spark):
+    ports = spark.createDataFrame([("NYC", "New York", "NY")] * 2, "code string, municipality string, state string")
+    airports = spark.createDataFrame([("KJFK", "JFK", "New York", "NY")], "airport_id string, name string, municipality string, state string")
+    assert facts.port_airport_map(ports, airports).count() == 1
 
 
 def test_catalog_partition_overwrite_leaves_session_alone(spark):

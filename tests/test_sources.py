@@ -136,3 +136,23 @@ def test_label_lines_plan_groups_by_split_not_file(spark, tmp_path):
     # The line window is partitioned by (file, split): a group is at most one split, never a whole file.
     windows = [ln for ln in plan.splitlines() if "Window [" in ln and "_pos" in ln]
     assert windows and all("_split" in ln for ln in windows)
+    final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    assert final.count("FileScan text") == 1 or "ReusedExchange" in final  # one scan and one exchange of the lines
+
+
+LABEL_SIGNS = "/* a; b */ value $abc /* ; */\n 'k;1' = 'A;B' /* ; */\n 2 = 'it''s; so' ; 3 = 'not mine'\n4 = 'outside'\nvalue d\n5 = 'E'\n;\n"
+
+
+def test_terminator_signs_in_quotes_and_comments(spark, tmp_path):
+    want = [("abc", "2", "it's; so"), ("abc", "k;1", "A;B"), ("d", "5", "E")]
+    text = parse_label_text(spark.createDataFrame([(LABEL_SIGNS,)], "text string"))
+    (tmp_path / "l.sas").write_text(LABEL_SIGNS.replace("/* a; b */ value", "/* a; b */\nvalue"))
+    for df in (text, parse_label_lines(spark, str(tmp_path / "l.sas"))):
+        assert sorted((r.list_name, r.code, r.label) for r in df.collect()) == want
+
+
+def test_entities_and_attribute_forms(spark):
+    html = ("<a href='/s?a=1&amp;b=2'>Caf&eacute; &#8364;&#x20AC;</a> <a class=x href=/u>&amp;lt; &nosuch; &#0;</a>"
+            "<a data-href=\"no\" href = \"/d\">x</a><a name='n'>none</a>")
+    got = [(r.href, r.text) for r in html_links(spark.createDataFrame([(html,)], "html string")).collect()]
+    assert got == [("/s?a=1&b=2", "Café €€"), ("/u", "&lt; &nosuch; &#0;"), ("/d", "x")]

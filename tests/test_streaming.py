@@ -28,4 +28,4 @@ def test_incremental_fact_exactly_once(spark, fixtures_dir):
     q.awaitTermination(120)
     fact = spark.read.parquet(out)
     assert fact.count() == 16
-    assert {r.year for r in fact.select("year").distinct().collect()} == {2016}
+    assert {r.month_id for r in fact.select("month_id").distinct().collect()} == {201604}
