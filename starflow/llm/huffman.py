@@ -29,7 +29,7 @@ from starflow.llm.tokens import encoder
 MAX_BITS = 18
 MARK_EVERY = 256
 #: A block is closed at so many ids; a longer document has a block of its own.
-BLOCK_IDS = 65_536
+BLOCK_IDS = 1 << 18
 #: So many marked places are decoded at once.
 LANES = 4096
 
@@ -73,41 +73,44 @@ def canonical(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _encode_ids(tokenizer: str, end_id: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    """Each document's ids, and in a last row of its own how often the partition has each id."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
     end = end_id.to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        narrow = enc.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
-        for b in batches:
-            ids = [enc.encode(t.as_py()) + end for t in b.column(1)]
-            if narrow:
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], schema=schema)
+        size = max(enc.tokenizer.get_vocab_size(), end_id + 1)
+        kind = "<u2" if size <= 1 << 16 else "<u4"
+        total = np.zeros(size, np.int64)
+        for whole in batches:
+            for b in _small(whole, 1000):
+                ids = [np.frombuffer(enc.encode(t.as_py()) + end, "<u4") for t in b.column(1)]
+                total += np.bincount(np.concatenate(ids), minlength=size)
+                ids = [x.astype(kind).tobytes() for x in ids]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()),
+                                                  pa.nulls(len(ids), pa.binary())], schema=schema)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                              pa.array([total.astype("<i8").tobytes()], pa.binary())], schema=schema)
 
     return encode
 
 
 def _flat(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch of binary values, and how many each value has."""
-    sizes = np.array([len(x) for x in (v.as_buffer() if v.is_valid else b"" for v in column)], np.int64)
-    return np.frombuffer(b"".join(v.as_py() for v in column), dtype), sizes // np.dtype(dtype).itemsize
-
+    """All ids of a batch of binary values, and how many each value has, as views of the batch."""
+    column = column.cast(pa.large_binary())
+    _, at, data = column.buffers()
+    at = np.frombuffer(at, np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(dtype), np.diff(at) // np.dtype(dtype).itemsize
 
-def _count(dtype: str):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for b in batches:
-            found = np.bincount(_flat(b.column(0), dtype)[0])
-            if len(found) > len(total):
-                found, total = total, found
-            total[:len(found)] += found
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], schema=schema)
-
-    return count
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The partitions' counts as rows."""
+    for b in batches:
+        for v in b.column(0):
+            counts = np.frombuffer(v.as_py(), "<i8")
+            ids = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], names=["id", "n"])
 
 
 def pack_bits(codes: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +157,7 @@ def _encode_docs(codes, lengths, bounds: np.ndarray, dtype: str):
     return encode
 
 
-def _small(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+def _small(batch: pa.RecordBatch, rows: int = 100) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
@@ -192,12 +195,13 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, tokenizer: str, end_
     """Ids of ``docs`` (doc_id, text) with an end id each, in ascending doc_id order, in this module's format."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ids = scratch.store(docs.mapInArrow(_encode_ids(tokenizer, end_id), "doc_id long, ids binary"), "ids")
+    ids = scratch.store(docs.mapInArrow(_encode_ids(tokenizer, end_id), "doc_id long, ids binary, counts binary"), "ids")
     vocabulary = encoder(tokenizer).tokenizer.get_vocab_size()
     dtype = "<u2" if vocabulary <= 1 << 16 and end_id < 1 << 16 else "<u4"
     # At most one row per id of the vocabulary.
-    found = (ids.select("ids").mapInArrow(_count(dtype), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-             .toPandas())
+    found = (ids.select("counts").filter("counts IS NOT NULL").mapInArrow(_count, "id long, n long")
+             .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
+    ids = ids.filter("counts IS NULL").drop("counts")
     counts = np.zeros(max(vocabulary, end_id + 1), np.int64)
     counts[found["id"]] = found["n"]
     lengths = code_lengths(counts)
@@ -242,20 +246,20 @@ def decode(payload: bytes, marks: np.ndarray, counts: np.ndarray, symbols: np.nd
 
 def _advance(payload: bytes, starts: np.ndarray, lane: np.ndarray, symbols: np.ndarray, sizes: np.ndarray,
              bits: int) -> np.ndarray:
-    data = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint64)
-    windows = (data[:-4] << np.uint64(32) | data[1:-3] << np.uint64(24) | data[2:-2] << np.uint64(16)
-               | data[3:-1] << np.uint64(8) | data[4:])
+    data = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint32)
+    # Four bytes hold any code of up to 25 bits, wherever it begins in the first.
+    windows = data[:-3] << np.uint32(24) | data[1:-2] << np.uint32(16) | data[2:-1] << np.uint32(8) | data[3:]
     rank = np.argsort(-lane, kind="stable")
     at, left = starts[rank], lane[rank]
     out = np.empty((MARK_EVERY, len(lane)), np.uint32)
     active = np.searchsorted(-left, -np.arange(MARK_EVERY), side="left")
-    mask = np.uint64((1 << bits) - 1)
+    mask = np.uint32((1 << bits) - 1)
     for k in range(MARK_EVERY):
         n = active[k]
         if not n:
             break
         now = at[:n]
-        key = (windows[now >> 3] >> (40 - bits - (now & 7)).astype(np.uint64)) & mask
+        key = (windows[now >> 3] >> (32 - bits - (now & 7)).astype(np.uint32)) & mask
         out[k, :n] = symbols[key]
         now += sizes[key]
     ids = np.empty((len(lane), MARK_EVERY), np.uint32)
@@ -263,9 +267,9 @@ def _advance(payload: bytes, starts: np.ndarray, lane: np.ndarray, symbols: np.n
     return ids[np.arange(MARK_EVERY) < lane[:, None]]
 
 
-def _decode_blocks(book):
+def _decode_blocks(book, with_ids: bool):
     schema = pa.schema([("part", pa.int64()), ("first", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
-                        ("ids_crc32", pa.int64()), ("ids", pa.binary())])
+                        ("ids_crc32", pa.int64())] + [("ids", pa.binary())] * with_ids)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, length = book.value
@@ -280,32 +284,33 @@ def _decode_blocks(book):
                 counts = np.array(row["n_ids"], np.int64)
                 ids = decode(row["payload"], np.frombuffer(row["marks"], "<u8"), counts, symbols, sizes, bits)
                 ends = np.cumsum(counts)
-                raw = [ids[e - n:e].astype("<u4").tobytes() for e, n in zip(ends, counts, strict=True)]
-                n = len(raw)
+                own = [ids[e - n:e] for e, n in zip(ends, counts, strict=True)]
+                n = len(own)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["part"]] * n, pa.int64()), pa.array(row["first"] + ends - counts),
-                     pa.array(row["doc_ids"], pa.int64()), pa.array(counts), pa.array([zlib.crc32(x) for x in raw]),
-                     pa.array(raw, pa.binary())], schema=schema)
+                     pa.array(row["doc_ids"], pa.int64()), pa.array(counts), pa.array([zlib.crc32(x) for x in own]),
+                     *[pa.array([x.tobytes() for x in own], pa.binary()) for _ in range(with_ids)]], schema=schema)
 
     return read
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a folder written by ``write_ids``: doc_id, start, n_tokens, ids_crc32 and ids (32-bit values)."""
+def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Documents of a folder written by ``write_ids``: doc_id, start, n_tokens, ids_crc32, ids (32-bit values)."""
+    fields = "doc_id long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     book = spark.read.schema("id long, bits int").parquet(f"{path}/codebook").toPandas()  # the vocabulary at most
     if book.empty:
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+        return spark.createDataFrame([], f"start long, {fields}")
     order, length, _ = canonical(book["id"].to_numpy(), book["bits"].to_numpy().astype(np.int64))
     sent = spark.sparkContext.broadcast((order.astype(np.uint32), length))
     docs = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").mapInArrow(
-        _decode_blocks(sent), "part long, first long, doc_id long, n_tokens long, ids_crc32 long, ids binary")
+        _decode_blocks(sent, with_ids), f"part long, first long, {fields}")
     index = F.broadcast(spark.read.schema("part long, ahead long").parquet(f"{path}/index"))  # a row per part
     return docs.join(index, "part").select("doc_id", (F.col("ahead") + F.col("first")).alias("start"), "n_tokens",
-                                           "ids_crc32", "ids")
+                                           "ids_crc32", *["ids"] * with_ids)
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written and read back; end id 1."""
     scratch = Scratch(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents"), scratch, scratch.path("files"), "word_bpe_49k.json", 1)
-    return read_ids(spark, scratch.path("files")).drop("ids")
+    return read_ids(spark, scratch.path("files"), with_ids=False)
