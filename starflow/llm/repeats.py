@@ -6,6 +6,8 @@ the same trigger at the same place, and cut a text into phrases: each trigger's
 phrase is the bytes of all windows whose trigger it is. Neighbouring phrases
 overlap by LENGTH - 1 bytes, so no window is lost between them.
 
+Texts that are whole copies are set aside first, by digest. Then:
+
 1. Every trigger's hash goes, with its document, to one aggregate. A trigger
    that only one document has cannot lie in a repeated window; the others are
    the dictionary's. They are also kept in a bitmap of fixed size.
@@ -157,13 +159,14 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _row_key(text: bytes) -> int:
+    """Names a row among those with its id; 0 stands for the only one."""
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
 _PHRASE = "trigger long, doc_id long, row_key long, first long, n long, bytes binary"
 
 
-def _shared_phrases(bitmap):
+def _shared_phrases(bitmap, repeated_ids: bool):
     names = [f.split()[0] for f in _PHRASE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,11 +180,11 @@ def _shared_phrases(bitmap):
                 if not len(hit):
                     continue
                 text, (first, last), data = text[hit], windows[:, hit], raw.tobytes()
-                for k in np.unique(text).tolist():
+                for k in np.unique(text).tolist() if repeated_ids else ():
                     keys.setdefault(k, _row_key(texts[k]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(trigger[hit].view(np.int64)), pa.array(ids[text], pa.int64()),
-                    pa.array([keys[k] for k in text.tolist()], pa.int64()), pa.array(first + base[hit]),
+                    pa.array([keys.get(k, 0) for k in text.tolist()], pa.int64()), pa.array(first + base[hit]),
                     pa.array(last - first + 1),
                     pa.array([data[f:t + LENGTH] for f, t in zip(first.tolist(), last.tolist(), strict=True)], pa.binary()),
                 ], names=names)
@@ -223,12 +226,26 @@ def _ranges(table: pa.Table, of: np.ndarray, at: np.ndarray, repeated: np.ndarra
 
 
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partition's phrases, all of each trigger: windows in order of hash, least document of equal ones."""
-    held = list(batches)
-    if not held:
-        return
-    table = pa.Table.from_batches(held)
-    del held
+    """Phrases in order of their triggers; those of a few triggers are held at a time."""
+    held: list[pa.RecordBatch] = []  # of one trigger, whose other phrases may follow
+    for b in batches:
+        if not b.num_rows:
+            continue
+        trigger = b.column(0).to_numpy()
+        if held and held[0].column(0)[0].as_py() != trigger[0]:
+            yield from _match_some(pa.Table.from_batches(held))
+            held = []
+        if cut := int(np.searchsorted(trigger, trigger[-1], "left")):
+            yield from _match_some(pa.Table.from_batches([*held, b.slice(0, cut)]))
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield from _match_some(pa.Table.from_batches(held))
+
+
+def _match_some(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """All phrases of some triggers: windows in order of hash, least document of equal ones."""
+    table = table.combine_chunks()
     hashes, of, at = _windows(table)
     doc, trigger = table["doc_id"].to_numpy()[of], table["trigger"].to_numpy().view(np.uint64)[of]
     hashes = mix(hashes + trigger)  # equal windows have equal triggers
@@ -253,6 +270,10 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(table["first"].to_numpy()[of] + at)], names=["window", "doc_id", "row_key", "start"])
 
 
+def _by_trigger(found: DataFrame) -> DataFrame:
+    return found.repartition("trigger").sortWithinPartitions("trigger")
+
+
 def repeated_ranges(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, row_key, start, stop): byte ranges of ``docs`` (doc_id, text) that a smaller doc_id has too."""
     spark = docs.sparkSession
@@ -269,11 +290,12 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch) -> DataFrame:
     for r in blobs:
         at = (r["k"] - 1) * len(r["bits"])
         bitmap[at:at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)[:len(bitmap) - at]
-    found = docs.mapInArrow(_shared_phrases(spark.sparkContext.broadcast(bitmap.tobytes())), _PHRASE)
+    again = not docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    found = docs.mapInArrow(_shared_phrases(spark.sparkContext.broadcast(bitmap.tobytes()), again), _PHRASE)
     hot = scratch.store(triggers.filter(F.col("n") > HOT_TRIGGER).select("trigger"), "hot")
     schema = "doc_id long, row_key long, start long, stop long"
     if hot.isEmpty():
-        return found.repartition("trigger").mapInArrow(_match, schema)
+        return _by_trigger(found).mapInArrow(_match, schema)
     found = scratch.store(found, "phrases")
     cold = found.join(hot, "trigger", "left_anti").select(*found.columns)
     windows = found.join(hot, "trigger", "left_semi").select(*found.columns).mapInArrow(
@@ -281,7 +303,7 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch) -> DataFrame:
     least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
     many = (windows.join(least, "window").filter(F.col("least") < F.col("doc_id"))
             .select("doc_id", "row_key", "start", (F.col("start") + LENGTH).alias("stop")))
-    return cold.repartition("trigger").mapInArrow(_match, schema).unionAll(many)
+    return _by_trigger(cold).mapInArrow(_match, schema).unionAll(many)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +317,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if spans.is_valid:
                 key, until = _row_key(text), -1
                 for s in spans.as_py():
-                    if s["row_key"] != key:
+                    if s["row_key"] not in (0, key):
                         continue
                     if s["start"] > until:
                         n += 1
@@ -311,27 +333,48 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
+def _copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(copy_id, copy_key) of texts of LENGTH bytes or more that a smaller doc_id has as a whole."""
+    digest = F.unhex(F.md5(F.col("text").cast("binary")))
+    ids = scratch.store(docs.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
+                        .select("doc_id", digest.alias("digest")), "digests")
+    shared = ids.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+    copies = (ids.join(shared.drop("most"), "digest").filter("doc_id > least")
+              .select(F.col("doc_id").alias("copy_id"), F.col("digest").alias("copy_key")).distinct())
+    return scratch.store(copies, "copies")
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """A written table of ids for broadcasting, if its count allows; else as it is."""
+    return F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
+
+
 def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of each row of ``docs`` (doc_id, text); ``kept`` is what is left.
 
-    Only texts that lose bytes are joined with their ranges (after a broadcast of their ids, where these are
-    few); all others are passed on where they are.
+    Texts that a smaller id has as a whole lose all bytes and need no parse. Of the others, only those that lose
+    bytes are joined with their ranges; the rest is passed on where it is.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    copies = _sent(_copies(docs, scratch))
+    copied = (F.col("doc_id") == F.col("copy_id")) & (F.unhex(F.md5(F.col("text").cast("binary"))) == F.col("copy_key"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    none = F.lit(0).cast("long")
+    gone = docs.join(copies, copied, "left_semi").select(
+        "doc_id", size.alias("n_bytes"), size.alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
+    docs = docs.join(copies, copied, "left_anti")
     spans = scratch.store(
         repeated_ranges(docs, scratch).groupBy("doc_id")
         .agg(F.array_sort(F.collect_list(F.struct("start", "stop", "row_key"))).alias("spans")), "spans")
-    ids = spans.select(F.col("doc_id").alias("span_id"))
-    few = ids.count() <= MAX_SENT_IDS
-    hit = F.broadcast(ids) if few else ids
+    scratch.drop("phrases", "triggers")
+    hit = _sent(spans.select(F.col("doc_id").alias("span_id")))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     same = F.col("doc_id") == F.col("span_id")
     cut = docs.join(hit, same, "left_semi").join(spans, "doc_id").select("doc_id", "text", "spans").mapInArrow(_cut, schema)
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     whole = docs.join(hit, same, "left_anti").select(
-        "doc_id", size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"))
-    return cut.unionAll(whole)
+        "doc_id", size.alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"))
+    return cut.unionAll(whole).unionAll(gone)
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
