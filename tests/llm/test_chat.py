@@ -1,0 +1,48 @@
+from helpers import SF, collected, rows_of
+
+from starflow.llm import chat
+from starflow.llm.common import Scratch
+
+MESSAGES = [
+    (1, 0, "user", "Hello there.\n\nSecond paragraph, two lines\nof it."),
+    (1, 1, "assistant", "On turn 0, user wrote:\n> hello   THERE.\n>\n> Second paragraph, two lines\n> of it.\nAn answer."),
+    (1, 2, "user", "> On x wrote:\n>> Hello there.\n> An answer.\n\nThanks!"),
+    (1, 3, "user", "> second paragraph, two lines of it.\nonly part"),
+    (2, 0, "user", "> An answer.\nfrom elsewhere"),
+    (2, 1, "user", "> nobody said this\nown"),
+    (2, 2, "user", "> \n>\nblank quote"), (3, 0, "user", None), (3, 1, "user", "> \nx"), (3, 2, "user", ""),
+    (None, 4, "user", "> An answer.\nno conversation"), (4, None, "user", "Hello there."), (0, 0, None, "Thanks!"),
+    (5, 0, "user", "same"), (5, 0, "user", "same"), (5, 1, "user", "> same\nreply"), (6, 0, "u", "y " * 50_000 + "\n> An answer."),
+]
+
+
+def test_links_levels_and_threads(spark):
+    df = spark.createDataFrame(MESSAGES, "conv_id long, turn long, role string, text string").coalesce(1)
+    df = df.withColumn("key", df["turn"])  # a clashing name
+    scratch = Scratch(spark, "t")
+    got = {(r["conv_id"], r["turn"]): r for r in chat.threads(chat.link_quotes(df, scratch), scratch).collect()}
+    assert got[1, 1]["body"] == "An answer." and (got[1, 1]["reply_conv"], got[1, 1]["reply_turn"]) == (1, 0)
+    assert got[1, 2]["body"] == "Thanks!" and got[1, 2]["max_level"] == 2 and got[1, 2]["reply_turn"] == 1
+    assert got[1, 2]["n_quotes"] == got[1, 2]["n_linked"] == 2
+    assert got[1, 3]["reply_turn"] == 0 and got[2, 0]["reply_conv"] == 1 and got[2, 1]["reply_conv"] is None
+    assert got[2, 2]["n_quotes"] == 1 and got[2, 2]["n_linked"] == 0 and got[3, 0]["body"] == ""
+    assert got[None, 4]["reply_conv"] is None and got[6, 0]["reply_conv"] == 1
+    assert (got[5, 1]["reply_conv"], got[5, 1]["reply_turn"], got[5, 1]["depth"]) == (5, 0, 1)
+    assert [got[1, t]["depth"] for t in range(3)] == [0, 1, 2] and got[2, 0]["thread"] == got[1, 0]["thread"]
+    thread = sorted((r for r in got.values() if r["thread"] == got[1, 0]["thread"]), key=lambda r: r["position"])
+    assert [r["position"] for r in thread] == list(range(len(thread)))
+    assert [r["depth"] for r in thread] == sorted(r["depth"] for r in thread)
+
+
+def test_long_chain_and_empty_table(spark):
+    chain = [(1, 0, "u", "m0")] + [(1, t, "u", f"> m{t - 1}\nm{t}") for t in range(1, 70)]
+    df = spark.createDataFrame(chain, "conv_id long, turn long, role string, text string")
+    scratch = Scratch(spark, "t")
+    got = chat.threads(chat.link_quotes(df, scratch), scratch).collect()
+    assert sorted((r["turn"], r["depth"], r["position"]) for r in got) == [(t, t, t) for t in range(70)]
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.threads(chat.link_quotes(none, scratch), Scratch(spark, "t")).count() == 0
+
+
+def test_query_matches_sql(spark):
+    assert collected(chat.op3_quotes(spark, SF)) == rows_of(chat.OP3_SQL)
