@@ -114,24 +114,26 @@ def link_quotes(messages: DataFrame, scratch: Scratch) -> DataFrame:
 def threads(linked: DataFrame, scratch: Scratch) -> DataFrame:
     """``link_quotes``' rows with thread (the first message's row), depth, and position in reply order.
 
-    Pointer jumping: in each round every message looks up what its pointer points to, and adds the distances.
+    Pointer jumping: in each round every message that has not reached its first message looks up what its pointer
+    points to, and adds the distances.
     """
     linked = scratch.store(linked, "linked")
     firsts = (linked.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn")
               .agg(F.min("row").alias("to")).withColumnsRenamed({"conv_id": "reply_conv", "turn": "reply_turn"}))
     pointer = linked.select("row", "reply_conv", "reply_turn").join(firsts, ["reply_conv", "reply_turn"], "left")
-    pointer = scratch.store(pointer.select("row", F.coalesce("to", "row").alias("to"),
-                                           F.col("to").isNotNull().cast("long").alias("depth")), "pointer0")
-    k, moved = 0, True
-    while moved:
-        ahead = pointer.select(F.col("row").alias("to"), F.col("to").alias("then"), F.col("depth").alias("more"))
+    pointer = scratch.store(pointer.select(
+        "row", F.coalesce("to", "row").alias("to"), F.col("to").isNotNull().cast("long").alias("depth"),
+        F.col("to").isNull().alias("done")), "pointer0")
+    k = 0
+    while not (active := pointer.filter("NOT done")).isEmpty():  # only these look further
+        ahead = pointer.select(F.col("row").alias("to"), F.col("to").alias("then"), F.col("depth").alias("more"),
+                               F.col("done").alias("there"))
+        moved = active.join(ahead, "to").select("row", F.col("then").alias("to"), (F.col("depth") + F.col("more")).alias("depth"),
+                                                F.col("there").alias("done"))
         k += 1
-        pointer = scratch.store(
-            pointer.join(ahead, "to").select("row", F.col("then").alias("to"), (F.col("depth") + F.col("more")).alias("depth"),
-                                             (F.col("more") > 0).alias("moved")), f"pointer{k}")
-        moved = not pointer.filter("moved").isEmpty()
-        pointer = pointer.drop("moved")
+        pointer = scratch.store(pointer.filter("done").unionAll(moved), f"pointer{k}")
         scratch.drop(f"pointer{k - 1}")
+    pointer = pointer.drop("done")
     placed = scratch.store(linked.join(pointer.withColumnRenamed("to", "thread"), "row"), "placed")
     order = [F.col(c) for c in ("thread", "depth", "conv_id", "turn", "row")]
     ranked = scratch.store(running_totals(placed.withColumn("one", F.lit(1).cast("long")), order, "one", scratch, "ranked")
