@@ -63,15 +63,15 @@ LABEL_TEXT = """libname library 'somewhere' ;
 /* ports */
   value $i94prtl
    'NYC'\t=\t'NEW YORK, NY         '
-   'INT'\t=\t'INT''L FALLS, MN      '
-   'BAR'\t=\t'BAKER AAF - BAKER ISLAND, AK'
+   'QHB'\t=\t'QUAY''S HARBOUR, ZZ   '
+   'VGR'\t=\t'VALE - GREEN REACH, YY'
    'XXX'\t=\t'No PORT Code (XXX)'
    'TWO'\t=\t'A, B, C'
 ;
 
 value i94addrl
 \t'NY'='NEW YORK'
-\t'99'='All Other Codes' ;
+\t'88'='Somewhere Else' ;
 """
 
 PORTS_HTML = """<html><body><table>

@@ -14,9 +14,9 @@ def test_label_text_blocks(spark):
     assert got[("i94cntyl", "582")] == "MEXICO"
     assert got[("i94cntyl", "111")] == "FRANCE"
     assert got[("i94cntyl", "996")] == "No Country Code (996)"       # entry on the terminator line is kept
-    assert got[("i94prtl", "INT")] == "INT'L FALLS, MN"              # doubled quote unescaped, padding trimmed
+    assert got[("i94prtl", "QHB")] == "QUAY'S HARBOUR, ZZ"            # doubled quote unescaped, padding trimmed
     assert got[("i94prtl", "TWO")] == "A, B, C"                      # terminator on its own line
-    assert got[("i94addrl", "99")] == "All Other Codes"
+    assert got[("i94addrl", "88")] == "Somewhere Else"
     counts = {k: v for k, v in df.groupBy("list_name").count().collect()}
     assert counts == {"i94cntyl": 5, "i94prtl": 5, "i94addrl": 2}
 
@@ -25,7 +25,7 @@ def test_label_files_and_port_split(spark, fixtures_dir):
     labels = staging.stage_labels(spark, f"{fixtures_dir}/labels.sas")
     ports = {r.code: (r.port, r.state) for r in staging.ports_from_labels(labels).collect()}
     assert ports["NYC"] == ("NEW YORK", "NY")
-    assert ports["BAR"] == ("BAKER AAF - BAKER ISLAND", "AK")
+    assert ports["VGR"] == ("VALE - GREEN REACH", "YY")
     assert ports["XXX"] == ("No PORT Code (XXX)", None)
     assert ports["TWO"] == ("A", "B, C")
     c = {r.value: r.description for r in staging.stage_country_labels(labels).collect()}
