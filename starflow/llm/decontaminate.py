@@ -4,15 +4,15 @@ Fixed masks pick some of the words at neighbouring positions and ignore the
 others, so a hash still agrees where ignored words differ. Hashes of the test
 items are joined to those of all positions of the training texts; each hit names
 an alignment of an item with a text, along which words are then compared. A text
-is contaminated where 16 words in a row (all words of a shorter item) agree in at
-least four of five positions. The masks find every such place: any three of 16
-positions may differ (one in five of 6 to 15).
+is contaminated where 13 words in a row (all words of a shorter item) agree in at
+least four of five positions. The masks find every such place: any two of 13
+positions may differ (one in five of 6 to 12).
 
 The items are a stated query set: they are taken in blocks of bounded size, and
 every text meets every block. Within a block the hash table goes to all tasks.
 
-Defined results. Words are runs of other characters than ASCII white space, A-Z
-as a-z. A null or empty text has no hits. Items with fewer than six words say too
+Defined results. Words are runs of other characters than ASCII white space, in
+lower case. A null or empty text has no hits. Items with fewer than six words say too
 little and match nothing. Repeated rows and items are reported each on their own.
 Empty tables on either side give no hits. Other columns pass through the filter.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from starflow.llm.common import ship, table
 from starflow.llm.words import batches_of, mix, word_hashes
 
-WINDOW = 16
+WINDOW = 13
 #: A place counts if at most one word in so many differs.
 ONE_IN = 5
 MIN_WORDS = 6
@@ -61,7 +61,7 @@ class Index:
         self.ids, self.words = [], []
         found: list[tuple[np.ndarray, int, np.ndarray]] = []
         for ident, text in items:
-            words = word_hashes((text or "").encode("utf-8", "surrogatepass"))[0]
+            words = word_hashes((text or "").lower().encode("utf-8", "surrogatepass"))[0]
             if len(words) < MIN_WORDS:
                 continue
             for salt, mask in self.masks(len(words)):
@@ -133,7 +133,8 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[object, str]]]:
 
 
 def _texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    return [v.as_buffer().to_pybytes() if v.is_valid else b""
+    """Texts in lower case."""
+    return [v.as_buffer().to_pybytes().decode("utf-8", "replace").lower().encode() if v.is_valid else b""
             for v in batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary())]
 
 
