@@ -26,7 +26,7 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 ROUNDS = 40
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
 #: Class balance and the most votes against that a rule may cast on good texts. Without these the likelihood
 #: is highest where one kind of junk counts as good, as each kind breaks one or two rules only.
 GOOD_SHARE = 0.75
