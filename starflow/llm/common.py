@@ -111,6 +111,13 @@ def running_totals(df: DataFrame, order: list[Column], value: str, scratch: Scra
             .drop("part", "n_ahead", "v_ahead"))
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that what a task makes of their texts stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def pieces(values: list, limit: int, size=len) -> Iterator[tuple[int, int]]:
     """Bounds of runs of ``values`` whose sizes add up to ``limit`` or are one value alone."""
     start = total = 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm.common import ship, table
+from starflow.llm.common import ship, small, table
 from starflow.llm.words import batches_of, mix, word_hashes
 
 WINDOW = 13
@@ -146,7 +146,7 @@ def overlaps(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame
     def find(index) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = ["doc_id", "item_id", "first_word", "n_words", "n_same"]
-            for b in batches:
+            for b in small(batches):
                 ids, rows = b.column(0).to_pylist(), []
                 for first, _, words, begins in batches_of(_texts(b, "text")):
                     rows += [(ids[first + t], index.value.ids[i], *place)
@@ -168,7 +168,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
 
     def without(index) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in small(batches):
                 keep = np.ones(b.num_rows, bool)
                 for first, _, words, begins in batches_of(_texts(b, text)):
                     for t, *_ in index.value.hits(words, begins):

@@ -32,6 +32,8 @@ MARK_EVERY = 256
 BLOCK_IDS = 1 << 18
 #: So many marked places are decoded at once.
 LANES = 4096
+#: Words that the encoding tasks keep: more than elsewhere, as little else is in their memory.
+CACHE_WORDS = 1_200_000
 
 _BLOCKS = ("part long, first long, doc_ids array<long>, n_ids array<long>, begins array<long>, marks binary, "
            "payload binary")
@@ -78,7 +80,7 @@ def _encode_ids(tokenizer: str, end_id: int):
     end = end_id.to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, CACHE_WORDS)
         size = max(enc.tokenizer.get_vocab_size(), end_id + 1)
         kind = "<u2" if size <= 1 << 16 else "<u4"
         total = np.zeros(size, np.int64)

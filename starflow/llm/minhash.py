@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starflow.llm.common import Scratch, table
+from starflow.llm.common import Scratch, small, table
 from starflow.llm.components import components
 from starflow.llm.words import batches_of, mix
 
@@ -100,7 +100,7 @@ def _sketch(size: int):
     schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.binary()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             keys, sizes, bands = [], [], []
             for found in _sets(b, "text", size):
                 sig = signature(found).astype(np.uint64)
@@ -125,7 +125,7 @@ def _with_sets(size: int):
                         ("sig", pa.binary()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             wanted, rows = b.column(b.schema.get_field_index("cls")), []
             for k, found in enumerate(_sets(b, "text", size)):
                 if class_key(found) == wanted[k].as_py():
@@ -230,7 +230,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_class(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             keys = [class_key(s) if len(s) else None for s in _sets(b, "text", size)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())],
                                              names=[*b.schema.names, "_minhash_cls"])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm.common import Scratch, table
+from starflow.llm.common import Scratch, small, table
 from starflow.llm.tokens import encoder
 
 WINDOW = 1024
@@ -74,7 +74,7 @@ def _pack_partition(tokenizer: str, end_id: int, window: int, limit: int):
             return pa.RecordBatch.from_arrays([*arrays, pa.array([part] * len(found), pa.int64()),
                                                pa.array([is_open] * len(found), pa.bool_())], schema=schema)
 
-        for b in batches:
+        for b in small(batches, 1000):
             done: list[tuple] = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 ids = enc.encode(text.as_py()) + end

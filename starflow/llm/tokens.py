@@ -12,8 +12,8 @@ from __future__ import annotations
 import re
 from array import array
 
-#: Words kept per worker and kind; the cache starts anew beyond that.
-CACHE_WORDS = 1_200_000
+#: Words kept per worker and kind (about 250 bytes each); the cache starts anew beyond that.
+CACHE_WORDS = 600_000
 #: Letters of words that need no more than the merges: plain Latin ones.
 _LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 _PLAIN = re.compile(f"[{_LATIN}]+")
@@ -58,7 +58,7 @@ class _Words(dict):
         else:
             ids = own.whole(self.lead + word)
         if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= own.cache_words:
                 self.clear()
             self[word] = ids
         return ids
@@ -67,7 +67,7 @@ class _Words(dict):
 class Encoder:
     """Encodes whole texts with one vocabulary file."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, cache_words: int = CACHE_WORDS):
         import json
 
         import public_tokenizers
@@ -83,6 +83,7 @@ class Encoder:
         word_level = rules["model"].get("end_of_word_suffix") == "</w>" and lower
         self.kind = "bytes" if byte_level and not rules.get("normalizer") else "words" if word_level else "whole"
         self.model = self.tokenizer.model
+        self.cache_words = cache_words
         self.letters = _byte_letters()
         self.bare = _Words(self, "")
         self.spaced = _Words(self, " ") if self.kind == "bytes" else self.bare
@@ -107,8 +108,8 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(name: str) -> Encoder:
+def encoder(name: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """The worker's encoder for a vocabulary file (a name in the public set, or a path all workers see)."""
     if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(name)
+        _ENCODERS[name] = Encoder(name, cache_words)
     return _ENCODERS[name]
