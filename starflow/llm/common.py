@@ -116,16 +116,3 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Rec
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
-
-
-def pieces(values: list, limit: int, size=len) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of ``values`` whose sizes add up to ``limit`` or are one value alone."""
-    start = total = 0
-    for i, x in enumerate(values):
-        n = size(x)
-        if i > start and total + n > limit:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(values):
-        yield start, len(values)
