@@ -3,13 +3,17 @@
 Rules vote for or against a text or abstain. Expectation-maximisation over the
 counts of all vote patterns (at most three to the power of the rules, however
 many documents) estimates how often each rule is right on good and on bad
-texts; the posterior probability of a good text then replaces the demand that
-every rule be passed.
+texts, and the share of good texts; the posterior probability of a good text
+then replaces the demand that every rule be passed. A bounded sample of labelled
+documents keeps its classes through all rounds and so fixes which class is the
+good one; a rule that is often wrong on good texts is outvoted by the others.
 
 Defined results. A null or blank text has no words, so it fails the base
 rules. Repeated rows are scored alike, each on its own. A null id is kept as
 it is. An empty table gives an empty result. Columns of the input with names
-used here do not clash: all measures are in one struct column.
+used here do not clash: all measures are in one struct column. A document
+labelled both ways counts as unlabelled. Where no document of one of the classes
+is labelled, class balance and false alarms are bounded by assumption.
 """
 
 from __future__ import annotations
@@ -27,8 +31,12 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 ROUNDS = 40
 TOLERANCE = 1e-4
-#: Class balance and the most votes against that a rule may cast on good texts. Without these the likelihood
-#: is highest where one kind of junk counts as good, as each kind breaks one or two rules only.
+#: About so many labelled documents are used at most, chosen by a hash of their ids.
+LABELLED = 10_000
+#: What all unlabelled texts weigh together, as a share of the labelled ones (and a text never more than a labelled one).
+#: At equal weight the likelihood is highest where one kind of junk counts as good, as each kind breaks one or two rules only.
+UNLABELLED_WEIGHT = 0.1
+#: Without labels: class balance and the most votes against that a rule may cast on good texts, for the same reason.
 GOOD_SHARE = 0.75
 MAX_FALSE_ALARM = 0.005
 #: A text is kept from this posterior probability of being good on.
@@ -117,19 +125,20 @@ def votes(m: Column) -> dict[str, Column]:
 
 
 class Model:
-    """Each rule's accuracy on good and on bad texts where it votes, at a given share of good texts."""
+    """Each rule's accuracy on good and on bad texts where it votes, and the share of good texts."""
 
-    def __init__(self, rules: list[str], right: float = 0.8):
+    def __init__(self, rules: list[str], right: float = 0.8, share: float = GOOD_SHARE):
         self.rules = rules
         self.on_good = dict.fromkeys(rules, right)
         self.on_bad = dict.fromkeys(rules, right)
+        self.share = share
 
     def values(self) -> list[float]:
-        return [*self.on_good.values(), *self.on_bad.values()]
+        return [*self.on_good.values(), *self.on_bad.values(), self.share]
 
     def posterior(self, vote: dict[str, Column]) -> Column:
         """P(good | votes); an abstention says nothing."""
-        odds = F.lit(math.log(GOOD_SHARE / (1 - GOOD_SHARE)))
+        odds = F.lit(math.log(self.share / (1 - self.share)))
         for r in self.rules:
             g, b = self.on_good[r], self.on_bad[r]
             odds = odds + (F.when(vote[r] == 1, math.log(g / (1 - b)))
@@ -137,46 +146,90 @@ class Model:
         return 1 / (1 + F.exp(-odds))
 
 
-def fit(patterns: DataFrame, rules: list[str]) -> Model:
-    """Expectation-maximisation over a table of vote patterns and their counts ``n``.
+def estimate(patterns: DataFrame, vote: dict[str, Column], n: Column, good: Column) -> Model | None:
+    """The model at given counts and probabilities of good texts; None where nothing is counted.
 
-    The first guess: a text is most likely bad where any rule votes against it, and good elsewhere. Each round is one aggregate over the
-    pattern table that returns one row. One count is added to each side, so no accuracy reaches 0 or 1.
+    One aggregate that returns one row. One count is added to each side, so no accuracy reaches 0 or 1.
     """
-    vote = {r: F.col(r) for r in rules}
-    model, good = Model(rules), F.when(F.least(*vote.values()) == -1, 0.05).otherwise(0.999)
+    weight, bad = n * good, n * (1 - good)
+    sums = [F.sum(n).alias("n"), F.sum(weight).alias("good")]
+    for r in vote:
+        sums += [F.sum(F.when(vote[r] == 1, weight)).alias(f"g1_{r}"), F.sum(F.when(vote[r] != 0, weight)).alias(f"g_{r}"),
+                 F.sum(F.when(vote[r] == -1, bad)).alias(f"b1_{r}"), F.sum(F.when(vote[r] != 0, bad)).alias(f"b_{r}")]
+    row = patterns.agg(*sums).first()
+    if not row["n"]:
+        return None
+    ratio = lambda part, of: ((part or 0) + 1) / ((of or 0) + 2)
+    model = Model(list(vote), share=ratio(row["good"], row["n"]))
+    for r in vote:
+        model.on_good[r] = ratio(row[f"g1_{r}"], row[f"g_{r}"])
+        model.on_bad[r] = ratio(row[f"b1_{r}"], row[f"b_{r}"])
+    return model
+
+
+def fit(patterns: DataFrame, rules: list[str], label: str | None = None) -> Model:
+    """Expectation-maximisation over a table of vote patterns and their counts ``n``, by ``label`` where there is one.
+
+    ``label`` is 1 for good texts, 0 for bad ones and null for the others. Labelled texts keep their class; the first
+    guess of the others comes from them alone, and so do the accuracies and the share of good texts in the main.
+    Without labels of both classes the first guess is that a text is most likely bad where any rule votes against it,
+    and good elsewhere; the share is GOOD_SHARE, and no rule casts more than MAX_FALSE_ALARM of its votes against good texts.
+    """
+    vote, n = {r: F.col(r) for r in rules}, F.col("n")
+    known = {r["label"]: r["n"] for r in patterns.groupBy(F.col(label).alias("label")).agg(F.sum("n").alias("n")).collect()} if label else {}
+    if known.get(0) and known.get(1):
+        share = UNLABELLED_WEIGHT * (known[0] + known[1]) / max(known.get(None, 0), 1)
+        n = F.when(F.col(label).isNull(), n * min(1.0, share)).otherwise(n)
+        given = F.col(label).cast("double")
+        model = estimate(patterns.filter(given.isNotNull()), vote, F.col("n"), given)
+        good = F.coalesce(given, model.posterior(vote))
+    else:
+        given = F.lit(None).cast("double")
+        model, good = Model(rules), F.when(F.least(*vote.values()) == -1, 0.05).otherwise(0.999)
     for _ in range(ROUNDS):
-        weight, bad = F.col("n") * good, F.col("n") * (1 - good)
-        sums = [F.sum("n").alias("n")]
-        for r in rules:
-            sums += [F.sum(F.when(vote[r] == 1, weight)).alias(f"g1_{r}"), F.sum(F.when(vote[r] != 0, weight)).alias(f"g_{r}"),
-                     F.sum(F.when(vote[r] == -1, bad)).alias(f"b1_{r}"), F.sum(F.when(vote[r] != 0, bad)).alias(f"b_{r}")]
-        row = patterns.agg(*sums).first()
-        if not row["n"]:
+        before, found = model.values(), estimate(patterns, vote, n, good)
+        if found is None:
             break
-        before, model = model.values(), Model(rules)
-        for r in rules:
-            model.on_good[r] = max(1 - MAX_FALSE_ALARM, ((row[f"g1_{r}"] or 0) + 1) / ((row[f"g_{r}"] or 0) + 2))
-            model.on_bad[r] = ((row[f"b1_{r}"] or 0) + 1) / ((row[f"b_{r}"] or 0) + 2)
+        model = found
+        if not (known.get(0) and known.get(1)):
+            model.share = GOOD_SHARE
+            model.on_good = {r: max(1 - MAX_FALSE_ALARM, g) for r, g in model.on_good.items()}
         if max(abs(a - b) for a, b in zip(before, model.values(), strict=True)) < TOLERANCE:
             break
-        good = model.posterior(vote)
+        good = F.coalesce(given, model.posterior(vote))
     return model
 
 
-def score(docs: DataFrame, scratch: Scratch, text: str = "text", keep_text: bool = False) -> DataFrame:
+def sample_of(labels: DataFrame) -> DataFrame:
+    """``label_of`` and ``label`` of about LABELLED documents at most."""
+    known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").select(F.col("doc_id").alias("label_of"), "quality")
+    n = known.count()
+    if n > LABELLED:
+        known = known.filter(F.pmod(F.xxhash64("label_of"), F.lit(n)) < LABELLED)
+    return (known.groupBy("label_of").agg(F.min("quality").alias("label"), F.max("quality").alias("most"))
+            .filter("label = most").drop("most"))
+
+
+def score(docs: DataFrame, scratch: Scratch, text: str = "text", keep_text: bool = False,
+          labels: DataFrame | None = None) -> DataFrame:
     """``docs`` (without ``text`` unless asked for) with the measures, ``base_failed``, ``posterior`` and ``kept``.
 
     The new values are fields of one struct column, ``MEASURES``. Texts are read once; what is measured is written.
+    ``labels`` has ``quality`` (1 good, 0 bad) for some ``doc_id``.
     """
     measured = docs.withColumn(MEASURES, measures(F.col(text)))
     measured = scratch.store(measured if keep_text else measured.drop(text), "measured")
     m = F.col(MEASURES)
     vote = votes(m)
     rules = list(vote)
-    patterns = scratch.store(measured.select(*(c.alias(r) for r, c in vote.items()))
-                             .groupBy(*rules).agg(F.count("*").alias("n")).coalesce(1), "patterns")
-    posterior = fit(patterns, rules).posterior(vote)
+    label = F.lit(None).cast("int").alias("label")
+    asked = measured
+    if labels is not None:
+        sample = sample_of(labels)
+        asked, label = measured.join(F.broadcast(sample), measured["doc_id"] == sample["label_of"], "left"), sample["label"]
+    patterns = scratch.store(asked.select(*(c.alias(r) for r, c in vote.items()), label)
+                             .groupBy(*rules, "label").agg(F.count("*").alias("n")).coalesce(1), "patterns")
+    posterior = fit(patterns, rules, "label").posterior(vote)
     return measured.withColumn(MEASURES, m.withField("base_failed", base_failed(m)).withField("posterior", posterior)
                                .withField("kept", ~base_failed(m) & (posterior >= KEEP_FROM)))
 
@@ -184,12 +237,12 @@ def score(docs: DataFrame, scratch: Scratch, text: str = "text", keep_text: bool
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's measures and verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score(docs, Scratch(spark, "quality"))
+    scored = score(docs, Scratch(spark, "quality"), labels=table(spark, sf_dir, "labels"))
     return scored.select("doc_id", *(F.col(f"{MEASURES}.{c}").alias(c) for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are kept."""
-    scored = score(docs, Scratch(spark, "quality-stage"), keep_text=True)
+    scored = score(docs, Scratch(spark, "quality-stage"), keep_text=True, labels=table(spark, sf_dir, "labels"))
     return scored.filter(F.col(MEASURES)["kept"]).select(*docs.columns)

@@ -73,3 +73,28 @@ def test_empty_table_clashing_columns_and_native_plan(spark):
     out = quality.stage(spark, df, SF)
     assert out.columns == df.columns and [r["kept"] for r in out.collect()] == ["mine", "mine"]
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_lone_vote_against_is_outvoted_where_labels_show_false_alarms(spark):
+    plain, junk = " ".join(f"word{k}" for k in range(60)), " ".join(["ab #$%"] * 40)
+    texts = [plain] * 30 + [plain.upper()] * 20 + [junk] * 15 + [junk.upper()] * 5
+    rows = [(i, f"{t} x{i}") for i, t in enumerate(texts * 2)]  # the second half is not labelled
+    docs = spark.createDataFrame([*rows, (None, plain)], "doc_id long, text string")
+    known = [(i, int(i < 50)) for i in range(70)] + [(100, 0), (100, 1), (101, None), (None, 0)]
+    labels = spark.createDataFrame(known, "doc_id long, quality int")
+    out = quality.score(docs, Scratch(spark, "t"), labels=labels).select("doc_id", F.col(f"{quality.MEASURES}.*")).collect()
+    assert {r["doc_id"]: r["kept"] for r in out} == {None: True} | {i: i % 70 < 50 or "#" not in t for i, t in rows}
+    assert len(out) == 141 and not any(r["base_failed"] for r in out if r["doc_id"] is not None and r["doc_id"] % 70 < 50)
+
+
+def test_share_and_accuracies_come_from_the_labels_and_the_sample_is_bounded(spark, monkeypatch):
+    patterns = [((-1, 1), 1, 30), ((1, 1), 1, 70), ((-1, -1), 0, 90), ((1, -1), 0, 10), ((-1, 1), None, 100_000)]
+    df = spark.createDataFrame([(*v, y, n) for v, y, n in patterns], "a int, b int, label int, n long")
+    model = quality.fit(df, ["a", "b"], "label")
+    assert abs(model.share - 0.55) < 0.02 and 0.5 < model.on_good["a"] < 0.71
+    vote = {r: F.col(r) for r in "ab"}
+    posterior = {(r["a"], r["b"]): r["p"] for r in df.select("a", "b", model.posterior(vote).alias("p")).collect()}
+    assert posterior[-1, 1] > 0.5 > posterior[1, -1]
+    monkeypatch.setattr(quality, "LABELLED", 100)
+    sample = quality.sample_of(spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality")))
+    assert 50 < sample.count() < 200
