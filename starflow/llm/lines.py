@@ -26,6 +26,8 @@ from starflow.llm.common import SPACES, Scratch, table
 #: A line in more than this share of a host's pages, and in so many at least, is boilerplate.
 MAX_RATIO = 0.05
 MIN_PAGES = 10
+#: In the pipeline the ratio decides at every size of a host: so many pages are repetition, if not all are copies of one text.
+REPEATED_PAGES = 3
 RESULT = "_line_dedup"
 
 
@@ -38,22 +40,31 @@ def _key(line: Column) -> Column:
     return F.btrim(line, F.lit(SPACES))
 
 
-def boilerplate(docs: DataFrame, host: Column, text: str, max_ratio: float, min_pages: int) -> DataFrame:
-    """Per host with boilerplate: ``b_host`` and ``b_lines``, the hashes of its lines above the ratio."""
+def boilerplate(docs: DataFrame, host: Column, text: str, max_ratio: float, min_pages: int,
+                copies_count: bool = True) -> DataFrame:
+    """Per host with boilerplate: ``b_host`` and ``b_lines``, the hashes of its lines above the ratio.
+
+    Unless ``copies_count``, a line that only copies of one text hold is none.
+    """
     pages = docs.select(host.cast("string").alias("b_host"), F.col(text).alias("text")).filter("b_host IS NOT NULL")
     totals = pages.groupBy("b_host").agg(F.count("*").alias("pages"))
     own = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), lambda x: _key(x) != ""),
                                        lambda x: F.xxhash64(_key(x))))
-    counts = (pages.select("b_host", F.explode(own).alias("line")).groupBy("b_host", "line")
-              .agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages))
-    return (counts.join(totals, "b_host").filter(F.col("n") > F.col("pages") * max_ratio)
+    if copies_count:
+        counts = pages.select("b_host", F.explode(own).alias("line")).groupBy("b_host", "line").agg(F.count("*").alias("n"))
+    else:
+        held = pages.select("b_host", F.xxhash64("text").alias("page"), F.explode(own).alias("line"))
+        counts = (held.groupBy("b_host", "line").agg(F.count("*").alias("n"), F.min("page").alias("a"), F.max("page").alias("b"))
+                  .filter("a < b").drop("a", "b"))
+    return (counts.filter(F.col("n") >= min_pages)
+            .join(totals, "b_host").filter(F.col("n") > F.col("pages") * max_ratio)
             .groupBy("b_host").agg(F.collect_list("line").alias("b_lines")))
 
 
 def drop_boilerplate(docs: DataFrame, scratch: Scratch, host: Column, text: str = "text",
-                     max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                     max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_count: bool = True) -> DataFrame:
     """``docs`` without boilerplate lines in ``text``; the struct column ``RESULT`` has n_lines and n_dropped."""
-    found = scratch.store(boilerplate(docs, host, text, max_ratio, min_pages), "boilerplate")
+    found = scratch.store(boilerplate(docs, host, text, max_ratio, min_pages, copies_count), "boilerplate")
     lines = F.split(F.col(text), "\n")
     kept = F.when(F.col("b_lines").isNull(), lines).otherwise(F.filter(
         lines, lambda x: (_key(x) == "") | ~F.array_contains(F.col("b_lines"), F.xxhash64(_key(x)))))
@@ -104,7 +115,8 @@ FROM cut LEFT JOIN held h ON cut.source = h.source
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without their source's boilerplate lines; n_chars, where there is one, follows the text."""
-    out = drop_boilerplate(docs, Scratch(spark, "lines-stage"), F.col("source")).select(*docs.columns)
+    out = drop_boilerplate(docs, Scratch(spark, "lines-stage"), F.col("source"), min_pages=REPEATED_PAGES,
+                           copies_count=False).select(*docs.columns)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType))
     return out

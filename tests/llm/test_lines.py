@@ -39,3 +39,14 @@ def test_stage_columns_host_and_native_plan(spark):
 
 def test_query_matches_sql(spark):
     assert collected(lines.op4_lines(spark, SF)) == rows_of(lines.OP4_SQL)
+
+
+def test_the_ratio_decides_on_small_hosts_in_the_pipeline(spark):
+    rows = [(k, "nine", f"Footer\nbody {k}") for k in range(9)]
+    rows += [(100 + k, "fifty", f"Footer\nbody {k}" if k < 9 else f"Rare\nbody {k}" if k < 11 else f"body {k}") for k in range(50)]
+    rows += [(200, "copies", "Same\ntext")] * 4 + [(201, "copies", "other")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = {r["doc_id"]: r["text"] for r in lines.stage(spark, df, SF).collect()}
+    assert out[5] == "body 5" and out[105] == "body 5" and out[140] == "body 40"
+    assert out[110] == "Rare\nbody 10"  # on two pages only
+    assert out[200] == "Same\ntext"  # copies of one page say nothing of the site
