@@ -13,7 +13,9 @@ every text meets every block. Within a block the hash table goes to all tasks.
 
 Defined results. Words are runs of other characters than ASCII white space, in
 lower case. A null or empty text has no hits. Items with fewer than six words say too
-little and match nothing. Repeated rows and items are reported each on their own.
+little inside other words: with ``short_items`` (as the query and the pipeline have it) they
+match where a whole line or the whole text has exactly their words, else nothing. Items
+without words match nothing. Repeated rows and items are reported each on their own.
 Empty tables on either side give no hits. Other columns pass through the filter.
 """
 
@@ -57,12 +59,16 @@ def seeds(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
 class Index:
     """A block of items: their words, and a sorted table of seed hashes."""
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], short_items: bool = False):
         self.ids, self.words = [], []
+        self.short: dict[tuple[bytes, ...], list[object]] = {}
         found: list[tuple[np.ndarray, int, np.ndarray]] = []
         for ident, text in items:
-            words = word_hashes((text or "").lower().encode("utf-8", "surrogatepass"))[0]
+            lower = (text or "").lower().encode("utf-8", "surrogatepass")
+            words = word_hashes(lower)[0]
             if len(words) < MIN_WORDS:
+                if short_items and len(words):
+                    self.short.setdefault(tuple(lower.split()), []).append(ident)
                 continue
             for salt, mask in self.masks(len(words)):
                 hashes = seeds(words, mask, salt)
@@ -108,6 +114,19 @@ class Index:
         for (t, i), (start, compared, agree) in sorted(best.items()):
             yield t, i, start - int(begins[t]), compared, agree
 
+    def whole(self, text: bytes) -> Iterator[tuple[object, int, int]]:
+        """(item, first word, words) of the short items that are the whole of ``text`` or of a line; the first place of each."""
+        if not self.short:
+            return
+        seen, at = set(), 0
+        for part in [text, *text.split(b"\n")]:
+            words = tuple(part.split(None, MIN_WORDS - 1))
+            if words in self.short and words not in seen:
+                seen.add(words)
+                for ident in self.short[words]:
+                    yield ident, len(text[:at].split()), len(words)
+            at += 0 if part is text else len(part) + 1
+
     def compare(self, item: int, words: np.ndarray, start: int, low: int, high: int) -> tuple[int, int, int] | None:
         """The best window of an alignment that counts: its first word, its length and how many words agree."""
         own = self.words[item]
@@ -138,7 +157,7 @@ def _texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
             for v in batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary())]
 
 
-def overlaps(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+def overlaps(docs: DataFrame, items: DataFrame, text: str = "text", short_items: bool = False) -> DataFrame:
     """One row per text and item that overlap: doc_id, item_id, first_word, n_words, n_same."""
     schema = "doc_id long, item_id long, first_word long, n_words long, n_same long"
     docs, items = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")), items.withColumn("item_id", F.col("item_id").cast("long"))
@@ -147,8 +166,9 @@ def overlaps(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = ["doc_id", "item_id", "first_word", "n_words", "n_same"]
             for b in small(batches):
-                ids, rows = b.column(0).to_pylist(), []
-                for first, _, words, begins in batches_of(_texts(b, "text")):
+                ids, texts = b.column(0).to_pylist(), _texts(b, "text")
+                rows = [(i, item, at, n, n) for i, t in zip(ids, texts, strict=True) for item, at, n in index.value.whole(t)]
+                for first, _, words, begins in batches_of(texts):
                     rows += [(ids[first + t], index.value.ids[i], *place)
                              for t, i, *place in index.value.hits(words, begins)]
                 if rows:
@@ -158,19 +178,20 @@ def overlaps(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame
 
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(items):
-        index = docs.sparkSession.sparkContext.broadcast(Index(block))
+        index = docs.sparkSession.sparkContext.broadcast(Index(block, short_items))
         out = out.unionAll(docs.mapInArrow(find(index), schema))
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", short_items: bool = False) -> DataFrame:
     """The rows of ``docs`` whose text overlaps no item, unchanged."""
 
     def without(index) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in small(batches):
-                keep = np.ones(b.num_rows, bool)
-                for first, _, words, begins in batches_of(_texts(b, text)):
+                texts = _texts(b, text)
+                keep = np.array([next(index.value.whole(t), None) is None for t in texts], bool)
+                for first, _, words, begins in batches_of(texts):
                     for t, *_ in index.value.hits(words, begins):
                         keep[first + t] = False
                 yield b.filter(pa.array(keep))
@@ -178,16 +199,16 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
         return run
 
     for block in _blocks(items):
-        index = docs.sparkSession.sparkContext.broadcast(Index(block))
+        index = docs.sparkSession.sparkContext.broadcast(Index(block, short_items))
         docs = docs.mapInArrow(without(index), docs.schema)
     return docs
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that overlap."""
-    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that overlap no benchmark item."""
-    return clean(docs, table(spark, sf_dir, "benchmark"))
+    return clean(docs, table(spark, sf_dir, "benchmark"), short_items=True)

@@ -99,3 +99,13 @@ def test_word_hashes_over_stretches():
         own, seen = words(text), {}
         assert len(found) == len(own) and all(seen.setdefault(w, h) == h for w, h in zip(own, found, strict=True))
         assert len(set(seen.values())) == len(seen)
+
+
+def test_short_items_match_a_whole_line_or_text(spark):
+    items = spark.createDataFrame([(1, "Who  won?"), (2, "Yes"), (3, " who WON?"), (4, " \n"), (5, "a b c d e")], "item_id long, text string")
+    docs = [(1, "so\twe ask\n WHO won? \nyes, it is"), (2, "who won? nobody"), (3, "Yes"), (4, "who\nwon?"), (5, "a b c d e f"),
+            (6, None), (7, ""), (8, "x\n\na b\tc d e\r\nyes\nyes")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(tuple(r) for r in dc.overlaps(d, items, short_items=True).collect())
+    assert got == [(1, 1, 3, 2, 2), (1, 3, 3, 2, 2), (3, 2, 0, 1, 1), (4, 1, 0, 2, 2), (4, 3, 0, 2, 2), (8, 2, 6, 1, 1), (8, 5, 1, 5, 5)]
+    assert sorted(r["doc_id"] for r in dc.clean(d, items, short_items=True).collect()) == [2, 5, 6, 7]
