@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starflow.llm import chat, decontaminate, huffman, lines, minhash, packing, quality, repeats, sharding, warc
+from starflow.llm import chat, decontaminate, huffman, lines, minhash, packing, quality, repeats, runs, sharding, spelling, urls, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,10 +15,15 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_token_ids": huffman.op10_token_ids,
+    "op11_runs": runs.op11_runs,
+    "op12_urls": urls.op12_urls,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 ORACLE_SQL = {
     "op1_warc": warc.OP1_SQL,
     "op3_quotes": chat.OP3_SQL,
     "op4_lines": lines.OP4_SQL,
+    "op11_runs": runs.OP11_SQL,
+    "op13_spelling": spelling.OP13_SQL,
 }

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starflow.llm.common import ship, small, table
+from starflow.llm.crc import CRC_SQL, bytes_sql, crc_sql
 from starflow.llm.words import mix
 
 #: Fixed by the data contract: words, and the least length of a run.
@@ -236,3 +237,31 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "n_runs", (-F.col("_top.s")).alias("start"), F.col("_top.n").alias("length"),
              (-F.col("_top.q")).alias("period"), F.expr("1000 * _top.n div -_top.q").alias("exponent_milli"),
              "runs_sha256", "collapsed_sha256")
+
+
+#: Every pair of equal windows of half the least length, joined into stretches by distance: what the runs are by definition.
+_HALF = MIN_LENGTH // 2
+OP11_SQL = f"""
+WITH {CRC_SQL},
+  base AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws,
+                  {crc_sql(bytes_sql("CAST(doc_id AS VARCHAR)"))} AS h FROM documents, bits),
+  sized AS (SELECT *, len(ws) AS n, h // 10 AS g, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) ELSE 0 END AS a FROM base),
+  texts AS (SELECT r, doc_id, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i:
+                   CASE WHEN i < a THEN ws[i + 1] ELSE ws[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) ELSE ws END AS ws FROM sized),
+  words AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM texts),
+  grams AS (SELECT r, i, {" || ' ' || ".join(["word"] + [f"lead(word, {k}) OVER w" for k in range(1, _HALF)])} AS gram
+            FROM words WINDOW w AS (PARTITION BY r ORDER BY i)),
+  pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.r = y.r AND x.gram = y.gram AND x.i < y.i),
+  parts AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS part FROM pairs),
+  found AS (SELECT r, q, min(i) AS start, max(i) - min(i) + {_HALF} + q AS length FROM parts GROUP BY r, q, part
+            HAVING max(i) - min(i) + {_HALF} + q >= greatest({MIN_LENGTH}, 2 * q)),
+  runs AS (SELECT r, start, length, min(q) AS period FROM found GROUP BY r, start, length),
+  again AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+  kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN again USING (r, i) GROUP BY r),
+  listed AS (SELECT r, count(*) AS n_runs, first({{'s': start, 'n': length, 'q': period}} ORDER BY length DESC, start, period) AS top,
+                    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+             FROM runs GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.n AS length, top.q AS period,
+       1000 * top.n // top.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflow.llm.common import Scratch, small, table
+from starflow.llm.crc import CRC_SQL, bytes_sql, crc_sql
 from starflow.llm.words import mix
 
 #: Blocks of 64 bits in a filter at most, words a block, and the length from which words share a shard.
@@ -253,26 +254,6 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(_vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text")), Scratch(spark, "spelling"))
 
 
-#: CRC-32 of a list of bytes, from a table of remainders made of the polynomial.
-CRC_SQL = """
-  bits AS (SELECT list(r ORDER BY b) AS crc_table FROM (
-    SELECT b, list_reduce([CAST(b AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
-                          lambda r, x: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END) AS r
-    FROM range(256) t(b)))
-"""
-
-
-def crc_sql(byte_list: str) -> str:
-    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {byte_list}), "
-            f"lambda c, x: xor(c // 256, crc_table[xor(c, x) % 256 + 1])), 4294967295)")
-
-
-def bytes_sql(text: str) -> str:
-    """UTF-8 bytes of a text of code points up to U+00FF."""
-    return (f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] "
-            f"ELSE [CAST(192 + ord(c) // 64 AS BIGINT), CAST(128 + ord(c) % 64 AS BIGINT)] END))")
-
-
 OP13_SQL = f"""
 WITH RECURSIVE {CRC_SQL},
   runs AS (SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS n

@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from helpers import SF, WORD
+from helpers import SF, WORD, collected, rows_of
 from pyspark.sql import functions as F
 
 from starflow.llm import runs
@@ -85,7 +85,9 @@ def expected(doc_id, text, plant):
 
 def test_query_equals_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    got = {r["doc_id"]: tuple(r)[1:] for r in runs.op11_runs(spark, SF).collect()}
+    df = runs.op11_runs(spark, SF)
+    got = {r["doc_id"]: tuple(r)[1:] for r in df.collect()}
+    assert collected(df) == rows_of(runs.OP11_SQL)
     assert got == {d: expected(d, t, True) for d, t in texts.items()}
     assert sum(r[0] > 0 for r in got.values()) > 10
 
