@@ -30,8 +30,8 @@ def origin_country_map(country_labels: DataFrame, countries: DataFrame) -> DataF
 
 def fact_ingress(arrivals: DataFrame, ports: DataFrame, airports: DataFrame, temperatures: DataFrame,
                  country_labels: DataFrame, dim_country_df: DataFrame, unmatched: str = "drop",
-                 id_columns: Sequence[str] | None = None, small: bool = False) -> DataFrame:
-    """Arrivals -> 7-column fact.
+                 id_columns: Sequence[str] | None = None, small: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Arrivals -> 7-column fact, and ``keep``, columns of the arrivals that go through (their extract).
 
     The three lookup maps are code lists, joined from small tables and unique
     on their keys, so no arrival is doubled. Spark broadcasts them by size, in
@@ -60,4 +60,4 @@ def fact_ingress(arrivals: DataFrame, ports: DataFrame, airports: DataFrame, tem
             .withColumn("country_id", F.coalesce("country_id", F.lit(UNKNOWN_COUNTRY)))
     ident = stable_id(*id_columns) if id_columns else random_id()
     return f.select(ident.alias("ingress_id"), "date_id", "country_id", "airport_id", "gender", "age_bucket",
-                    "temperature_bucket")
+                    "temperature_bucket", *keep)

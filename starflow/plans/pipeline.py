@@ -1,8 +1,7 @@
-"""The whole run (C15): stage -> check -> build -> write aside -> check -> publish -> load -> check again."""
+"""The whole run (C15): stage -> check -> build -> write a version -> check it -> publish -> load the same way."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
@@ -14,6 +13,7 @@ from .. import schemas
 from ..operators import CheckResult, Expectation, check_table, enforce, schema_problems
 from ..sources import read_csv
 from . import dims, facts, staging, warehouse
+from .versions import EXTRACT
 
 
 @dataclass
@@ -27,6 +27,7 @@ class Inputs:
     countries: str
     languages: str
     arrivals_format: str = "parquet"
+    extracts: Sequence[str] | None = None   # ids of the arrivals' extracts, one for each path; default: the paths
     ports_pages_format: str = "parquet"
 
 
@@ -50,7 +51,8 @@ def stage_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
                                                        schema=schemas.COUNTRY_LABELS_RAW))
     pages = spark.read.format(inputs.ports_pages_format).load(inputs.ports_pages)
     frames = {
-        "arrivals": staging.stage_arrivals(spark, inputs.arrivals, inputs.arrivals_format),
+        "arrivals": staging.stage_extracts(spark, dict(zip(inputs.extracts or inputs.arrivals, inputs.arrivals, strict=True)),
+                                           inputs.arrivals_format),
         "country_labels": labels,
         "ports": staging.stage_ports(pages),
         "temperatures": staging.stage_temperatures(spark, inputs.temperatures),
@@ -100,7 +102,7 @@ def build(frames: dict[str, DataFrame], spark: SparkSession, unmatched: str = "d
         "dim_airport": dims.dim_airport(frames["airports"]),
         "fact_ingress": facts.fact_ingress(frames["arrivals"], frames["ports"], frames["airports"],
                                            frames["temperatures"], frames["country_labels"], country,
-                                           unmatched=unmatched),
+                                           unmatched=unmatched, keep=[c for c in (EXTRACT,) if c in frames["arrivals"].columns]),
     }
 
 
@@ -139,16 +141,16 @@ def table_checks(tables: dict[str, DataFrame], th: Thresholds) -> DataFrame:
 
 def run(spark: SparkSession, inputs: Inputs, output_root: str, thresholds: Thresholds | None = None,
         unmatched: str = "drop", load_catalog: bool = False, database: str | None = None) -> list:
-    """Stage, check, build, write aside, check what was written, publish, optionally load and check the catalog.
+    """Stage, check, build, write a new version, check what was written, publish it, optionally load the catalog.
 
-    Output files mean "this run": a checked run replaces the tables under ``output_root``, and a run that fails
-    a check leaves them as they were. Catalog tables mean "all loads so far": dimensions are refreshed, the fact
-    gets the run's months in place of their earlier load, and ``dim_date`` covers every date the fact then holds.
-    The loaded tables are checked again.
+    The output under ``output_root`` means "this run" (``read_output`` reads it): a checked run becomes the newest
+    version of all four tables at once, and a run that fails a check leaves no trace. Catalog tables mean "all
+    loads so far": dimensions are refreshed, the run's extracts replace their earlier loads, and ``dim_date``
+    covers every date the fact then holds; that load too is checked before it is in.
     """
     th = thresholds or Thresholds()
     frames = stage_all(spark, inputs)
-    aside = f"{output_root}/_staged-{uuid.uuid4().hex[:12]}"
+    store = warehouse.star_store(spark, output_root)
     try:
         staging_schemas(frames)
         results = enforce(staging_checks({n: df for n, df in frames.items() if n != "arrivals"}, th))
@@ -157,41 +159,41 @@ def run(spark: SparkSession, inputs: Inputs, output_root: str, thresholds: Thres
         seen_frames = frames | {"arrivals": frames["arrivals"].observe(staged, F.count(F.lit(1)).alias("n"))}
         tables = build(seen_frames, spark, unmatched)
         fact = tables["fact_ingress"].observe(dates, F.min("date_id").alias("lo"), F.max("date_id").alias("hi"))
-        warehouse.write_fact(fact, f"{aside}/fact_ingress")
-        results += enforce(staging_checks({"arrivals": frames["arrivals"]}, th, staged.get["n"]))
-        seen = dates.get
-        tables["dim_date"] = dims.dim_date_for_keys(spark, seen.get("lo"), seen.get("hi"))
-        for name in ("dim_date", "dim_country", "dim_airport"):
-            warehouse.write_dimension(tables[name], f"{aside}/{name}", key=schemas.TABLE_KEYS[name])
-        results += enforce(table_checks(_written(spark, aside, tables), th))
-        for name in tables:
-            warehouse.publish(spark, f"{aside}/{name}", f"{output_root}/{name}")
+        with store.begin() as draft:
+            draft.replace("fact_ingress", warehouse.with_load_unit(fact))
+            results += enforce(staging_checks({"arrivals": frames["arrivals"]}, th, staged.get["n"]))
+            seen = dates.get
+            tables["dim_date"] = dims.dim_date_for_keys(spark, seen.get("lo"), seen.get("hi"))
+            for name in warehouse.DIMENSIONS:
+                draft.replace(name, tables[name].orderBy(schemas.TABLE_KEYS[name]))
+            results += enforce(table_checks(draft.read_all(), th))
+        store.expire()
     finally:
-        warehouse.remove(spark, aside)
         for df in frames.values():
             df.unpersist()
     if load_catalog:
-        results += load(spark, _written(spark, output_root, tables), f"{output_root}/warehouse", th, database)
+        results += load(spark, store.read_all(), f"{output_root}/warehouse", th, database)
     return results
 
 
-def _written(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    found = {name: spark.read.parquet(f"{root}/{name}") for name in tables}
-    return found | {"fact_ingress": found["fact_ingress"].drop(schemas.FACT_PARTITION)}
+def read_output(spark: SparkSession, output_root: str) -> dict[str, DataFrame]:
+    """The star tables that the last checked run left, all of one version."""
+    return warehouse.star_store(spark, output_root).read_all()
 
 
 def load(spark: SparkSession, written: dict[str, DataFrame], root: str, th: Thresholds,
          database: str | None = None) -> list[CheckResult]:
-    """Load checked tables into the catalog, then check the loaded tables."""
+    """Write the load, check the tables as they will be, and only then let the catalog see them."""
     warehouse.create_tables(spark, root, database)
-    warehouse.load_fact(spark, written["fact_ingress"], database=database)
-    loaded = {n: spark.table(f"`{database}`.`{n}`" if database else f"`{n}`") for n in written}
-    span = loaded["fact_ingress"].agg(F.min("date_id").alias("lo"), F.max("date_id").alias("hi")).first()
-    calendar = dims.dim_date_for_keys(spark, span["lo"], span["hi"])
-    warehouse.load_dimensions(spark, {n: written[n] for n in warehouse.DIMENSIONS if n != "dim_date"} | {"dim_date": calendar},
-                              database)
+    store = warehouse.catalog_store(spark, database)
     after = replace(th, tables=th.tables | {"fact_ingress": min(th.tables.get("fact_ingress", 0), schemas.LOADED_FACT_MIN_ROWS)})
-    for name in written:
-        spark.catalog.refreshTable(f"`{database}`.`{name}`" if database else f"`{name}`")
-    loaded["fact_ingress"] = loaded["fact_ingress"].drop(schemas.FACT_PARTITION)
-    return [replace(r, table_name=f"loaded.{r.table_name}") for r in enforce(table_checks(loaded, after))]
+    with store.begin() as draft:
+        warehouse.add_extract(draft, written["fact_ingress"])
+        span = draft.read("fact_ingress").agg(F.min("date_id").alias("lo"), F.max("date_id").alias("hi")).first()
+        calendar = dims.dim_date_for_keys(spark, span["lo"], span["hi"])
+        for name in warehouse.DIMENSIONS:
+            draft.replace(name, calendar if name == "dim_date" else written[name])
+        results = enforce(table_checks(draft.read_all(), after))
+    warehouse.attach(spark, store, database)
+    store.expire()
+    return [replace(r, table_name=f"loaded.{r.table_name}") for r in results]

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import (age_bucket, age_from_birth_year, clean_number, date_key, default_code, from_day_number,
                          norm_key, split_list, split_location, split_once, strip_literal, temperature_bucket)
-from ..operators import first_per_group, trailing_years, weekly_mean
+from ..operators import first_per_group, trailing_years, union_all, weekly_mean
 from ..sources import html_table_pairs, parse_label_text, read_csv, read_preamble_csv, scan
+from .versions import EXTRACT
 
 AIR = 1  # i94mode code for air travel
 
@@ -31,6 +32,12 @@ def stage_arrivals(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
     return df.repartition("year", "i94port") if repartition else df
 
 
+def stage_extracts(spark: SparkSession, extracts: dict[str, str], fmt: str = "parquet",
+                   options: dict[str, str] | None = None) -> DataFrame:
+    """C1 for named extracts (id -> path or glob): the arrivals of all, each row with its ``extract_id``."""
+    return union_all([stage_arrivals(spark, path, fmt, options).withColumn(EXTRACT, F.lit(name)) for name, path in extracts.items()])
+
+
 def clean_arrivals(raw: DataFrame) -> DataFrame:
     """C1 without the scan: works on a batch or a streaming frame of raw extract rows."""
     arr = from_day_number(F.col("arrdate"))

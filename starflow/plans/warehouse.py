@@ -1,7 +1,8 @@
-"""Sinks, catalog tables, loads and the star query."""
+"""Sinks, catalog tables, loads and the star query (K1-K9, C13, C16, C17); ``versions`` holds what loads are made of."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.joins import small_side
+from .versions import EXTRACT, Draft, Store, filesystem, remove
 
 DIMENSIONS = ("dim_airport", "dim_country", "dim_date")
 FACT = "fact_ingress"
@@ -40,11 +42,12 @@ def with_load_unit(fact: DataFrame) -> DataFrame:
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = True,
                cluster: bool = False, partitions: int | None = None, max_records_per_file: int = 0) -> None:
-    """K1 for the fact: partitioned by load unit, rows ordered by ``date_id`` inside each file (Q6).
+    """K1 for the fact as plain files: partitioned by load unit, rows ordered by ``date_id`` inside each file (Q6).
 
-    With ``dynamic`` (default) a write replaces the months it holds and leaves
-    all others: April, May and April again give both months once. An extract
-    must therefore hold whole months, as the source's do.
+    With ``dynamic`` (default) a write replaces the months it holds and leaves all others. It must hold them
+    whole: into a folder that has rows already the load is written aside first, and if it has fewer rows of a
+    month than are there, nothing is replaced and an error says so. Loads that share months go to a store
+    (``star_store``), by extract.
 
     Default: no shuffle. Arrival extracts arrive date-clustered (one month per
     file), so each scan split writes about one file per month, sorted by
@@ -55,6 +58,30 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", dynamic: boo
     use it on a written or checkpointed fact, not on the raw join.
     """
     df = with_load_unit(fact)
+    spark, month = df.sparkSession, schemas.FACT_PARTITION
+    if mode == "overwrite" and dynamic and _has_rows(spark, path):
+        aside = f"{path.rstrip('/')}/_aside-{uuid.uuid4().hex[:12]}"   # hidden from readers by its first character
+        try:
+            _write_by_month(df, aside, "errorifexists", False, False, None, max_records_per_file)
+            new = spark.read.schema(df.schema).parquet(aside)
+            there = spark.read.parquet(path).groupBy(month).agg(F.count("*").alias("there"))
+            less = new.groupBy(month).agg(F.count("*").alias("n")).join(there, month).where("n < there").collect()
+            if less:
+                raise ValueError(f"{path}: the load holds {less[0]['n']} rows of {less[0][month]}, {less[0]['there']} are there")
+            _write_by_month(new, path, mode, True, cluster, partitions, max_records_per_file)
+        finally:
+            remove(spark, aside)
+    else:
+        _write_by_month(df, path, mode, dynamic, cluster, partitions, max_records_per_file)
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    fs, where = filesystem(spark, path)
+    return fs.exists(where) and any(s.getPath().getName().startswith(f"{schemas.FACT_PARTITION}=") for s in fs.listStatus(where))
+
+
+def _write_by_month(df: DataFrame, path: str, mode: str, dynamic: bool, cluster: bool, partitions: int | None,
+                    max_records_per_file: int) -> None:
     if cluster:
         n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartitionByRange(n, "date_id", "ingress_id")
@@ -67,33 +94,6 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", dynamic: boo
     w.parquet(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this library's own making, on whatever file system holds it."""
-    fs, where = _fs(spark, path)
-    fs.delete(where, True)
-
-
-def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """K3: put a checked, staged table in the target's place; the old one goes only when the new one is there."""
-    fs, new = _fs(spark, staged)
-    _, place = _fs(spark, target)
-    _, old = _fs(spark, f"{target}.replaced")
-    fs.mkdirs(place.getParent())
-    fs.delete(old, True)
-    if fs.exists(place):
-        fs.rename(place, old)
-    if not fs.rename(new, place):
-        fs.rename(old, place)
-        raise OSError(f"cannot publish {target}")
-    fs.delete(old, True)
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K8: CSV with header."""
     df.write.mode(mode).option("header", True).csv(path)
@@ -109,6 +109,12 @@ def _qual(name: str, database: str | None) -> str:
     return f"`{database}`.`{name}`" if database else f"`{name}`"
 
 
+def star_store(spark: SparkSession, root: str) -> Store:
+    """The star tables under ``root``: dimensions replaced by each load, the fact loaded by extract and month."""
+    return Store(spark, root, schemas.STAR_TABLES, {FACT: schemas.FACT_PARTITION},
+                 {FACT: ["date_id"], **{d: [schemas.TABLE_KEYS[d]] for d in DIMENSIONS}})
+
+
 def create_tables(spark: SparkSession, root: str, database: str | None = None) -> None:
     """Create the star tables if missing, as Parquet tables under ``root``; DDL from the StructTypes."""
     if database:
@@ -117,21 +123,68 @@ def create_tables(spark: SparkSession, root: str, database: str | None = None) -
         cols = schemas.ddl_columns(schema)
         part = ""
         if name == FACT:
-            cols += f", `{schemas.FACT_PARTITION}` int"
-            part = f" PARTITIONED BY (`{schemas.FACT_PARTITION}`)"
+            cols += f", `{EXTRACT}` string, `{schemas.FACT_PARTITION}` int"
+            part = f" PARTITIONED BY (`{EXTRACT}`, `{schemas.FACT_PARTITION}`)"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {_qual(name, database)} ({cols}) USING parquet{part} "
-                  f"LOCATION '{root}/{name}'")
+                  f"LOCATION '{root}/{name}' TBLPROPERTIES ('{_ROOT}' = '{root}', '{_VERSION}' = '0')")
 
 
-def truncate_dimensions(spark: SparkSession, database: str | None = None) -> None:
-    """K5: empty the dimensions (never the fact).
+_ROOT, _VERSION = "starflow.root", "starflow.version"
 
-    The tables live at an explicit location (external), where ``TRUNCATE``
-    is not allowed; overwriting with an empty frame has the same effect.
+
+def _property(spark: SparkSession, table: str, key: str) -> str:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}[key]
+
+
+def catalog_store(spark: SparkSession, database: str | None = None) -> Store:
+    """The store behind the catalog's star tables."""
+    return star_store(spark, _property(spark, _qual(FACT, database), _ROOT))
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def attach(spark: SparkSession, store: Store, database: str | None = None) -> None:
+    """Point the catalog's star tables at the store's newest version; only locations change, no file does.
+
+    The fact's partitions of unchanged extracts stay as they are; changed ones get their new folders, new
+    ones are added, and gone ones are dropped last. Each table changes by itself: a reader that needs all four
+    of one version takes them from ``store.read_all()``.
     """
+    now, fact = store.current(), _qual(FACT, database)
     for name in DIMENSIONS:
-        t = _qual(name, database)
-        spark.createDataFrame([], spark.table(t).schema).write.insertInto(t, overwrite=True)
+        for part in now["tables"].get(name, []):
+            spark.sql(f"ALTER TABLE {_qual(name, database)} SET LOCATION {_literal(store.folder(name, part))}")
+    seen = int(_property(spark, fact, _VERSION))
+    old = (store._manifest(seen) if seen in store._numbers() else None) or {"tables": {}}
+
+    def folders(manifest: dict) -> dict[tuple[str, str], str]:
+        return {(p["extract"], unit): f"{store.folder(FACT, p)}/{schemas.FACT_PARTITION}={unit}"
+                for p in manifest["tables"].get(FACT, []) for unit in p["units"]}
+
+    spec = lambda key: f"PARTITION ({EXTRACT} = {_literal(key[0])}, {schemas.FACT_PARTITION} = {int(key[1])})"
+    before, after = folders(old), folders(now)
+    if not old["tables"]:   # what was attached is not known any more
+        for r in spark.sql(f"SHOW PARTITIONS {fact}").collect():
+            extract, unit = r["partition"].rsplit("/", 1)
+            unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+            before[unescape(extract.split("=", 1)[1]), unit.split("=")[1]] = ""
+    for key, folder in after.items():
+        if key not in before:
+            spark.sql(f"ALTER TABLE {fact} ADD IF NOT EXISTS {spec(key)} LOCATION {_literal(folder)}")
+        elif before[key] != folder:
+            spark.sql(f"ALTER TABLE {fact} {spec(key)} SET LOCATION {_literal(folder)}")
+    for key in before.keys() - after.keys():
+        spark.sql(f"ALTER TABLE {fact} DROP IF EXISTS {spec(key)}")
+    spark.sql(f"ALTER TABLE {fact} SET TBLPROPERTIES ('{_VERSION}' = '{now['version']}')")
+    for name in (*DIMENSIONS, FACT):
+        spark.catalog.refreshTable(_qual(name, database))
+
+
+def truncate_dimensions(spark: SparkSession, database: str | None = None) -> None:
+    """K5: empty the dimensions (never the fact)."""
+    load_dimensions(spark, {n: spark.createDataFrame([], schemas.STAR_TABLES[n]) for n in DIMENSIONS}, database)
 
 
 def drop_tables(spark: SparkSession, database: str | None = None) -> None:
@@ -184,16 +237,39 @@ def insert(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrit
 
 
 def load_dimensions(spark: SparkSession, dims: dict[str, DataFrame], database: str | None = None) -> None:
-    """Full refresh of each dimension."""
-    for name, df in dims.items():
-        insert(spark, df, _qual(name, database), "overwrite")
+    """Full refresh of each dimension, all of them in one version."""
+    store = catalog_store(spark, database)
+    with store.begin() as draft:
+        for name, df in dims.items():
+            draft.replace(name, df)
+    attach(spark, store, database)
 
 
 def load_fact(spark: SparkSession, fact: DataFrame, mode: str = "partition_overwrite",
-              database: str | None = None) -> None:
-    """K7/C13 for the fact: by default the loaded months are replaced and all others stay, so neither a rerun
-    nor the next month's load doubles or loses rows (Q8); ``append`` adds rows as the original load did."""
-    insert(spark, with_load_unit(fact), _qual(FACT, database), mode)
+              database: str | None = None, extract: str | None = None) -> None:
+    """K7/C13 for the fact: an extract replaces its own earlier load, and nothing else (Q8).
+
+    The extract's id is ``extract``, or the rows carry theirs in ``extract_id``. Rows without either are taken
+    as whole months, each an extract of its own; a load that would leave a month with fewer rows raises, as
+    it may not hold the month whole. ``append`` adds the rows as an extract of a new id, as the original load did.
+    """
+    if mode not in ("append", "partition_overwrite"):
+        raise ValueError("mode must be append or partition_overwrite")
+    store = catalog_store(spark, database)
+    with store.begin() as draft:
+        add_extract(draft, fact, f"append-{uuid.uuid4().hex[:12]}" if mode == "append" else extract)
+    attach(spark, store, database)
+
+
+def add_extract(draft: Draft, fact: DataFrame, extract: str | None = None) -> None:
+    """Put the fact rows of one extract, or of those that the rows name, into a load."""
+    rows = with_load_unit(fact)
+    named = extract is not None or EXTRACT in fact.columns
+    if extract is not None:
+        rows = rows.withColumn(EXTRACT, F.lit(extract))
+    elif not named:
+        rows = rows.withColumn(EXTRACT, F.concat(F.lit("month-"), F.coalesce(F.col(schemas.FACT_PARTITION).cast("string"), F.lit("none"))))
+    draft.load(FACT, rows, [extract] if extract is not None else (), may_shrink=named)
 
 
 def star_query(fact: DataFrame, dim_date_df: DataFrame, dim_country_df: DataFrame, dim_airport_df: DataFrame,

@@ -42,20 +42,20 @@ def test_full_run_on_fixtures(spark, fixtures_dir, labels):
     results = pipeline.run(spark, make_inputs(fixtures_dir, labels=labels), out, TH)
     assert all(r.passed for r in results)
     assert {r.table_name for r in results} >= {"arrivals", "ports", "dim_date", "fact_ingress"}
-    fact = spark.read.parquet(f"{out}/fact_ingress")
+    fact = pipeline.read_output(spark, out)["fact_ingress"]
     assert fact_rows(fact) == EXPECTED_FACT
     assert {r.month_id for r in fact.select("month_id").distinct().collect()} == {201604}
     ids = [r.ingress_id for r in fact.collect()]
     assert len(set(ids)) == 8 and all(len(i) == 36 for i in ids)
     country = {r.country_id: (r.name, r.languages, r.gdp_per_capita)
-               for r in spark.read.parquet(f"{out}/dim_country").collect()}
+               for r in pipeline.read_output(spark, out)["dim_country"].collect()}
     assert country == {"MEX": ("Mexico", "Spanish", 8910.0), "FRA": ("France", "French,English", 38000.0),
                        "ESP": ("Spain", "Spanish", 0.0), "NLX": ("Nolang", "Unknown", 0.0)}
     airport = {r.airport_id: (r.name, r.municipality, r.state)
-               for r in spark.read.parquet(f"{out}/dim_airport").collect()}
+               for r in pipeline.read_output(spark, out)["dim_airport"].collect()}
     assert airport == {"KJFK": ("John F Kennedy Intl", "New York", "NY"), "KMIA": ("Miami Intl", "Miami", "FL"),
                        "PANC": ("Anchorage Intl", "Anchorage", "AK")}
-    dd = spark.read.parquet(f"{out}/dim_date")
+    dd = pipeline.read_output(spark, out)["dim_date"]
     assert dd.where("date_id = 20160401").collect()[0].asDict() == {
         "date_id": 20160401, "year": 2016, "month": 4, "day": 1, "day_of_week": 5, "week_of_year": 13}
     assert dd.count() >= 3661
@@ -96,10 +96,10 @@ def test_catalog_load_rerun_safe(spark, fixtures_dir):
     db = "starflow_load_test"
     pipeline.run(spark, make_inputs(fixtures_dir), out, TH, load_catalog=True, database=db)
     pipeline.run(spark, make_inputs(fixtures_dir), out + "_2", TH, load_catalog=False)
-    fact = spark.read.parquet(f"{out}/fact_ingress").drop("month_id")
+    fact = pipeline.read_output(spark, out)["fact_ingress"].drop("month_id")
     # rerun of the same load: dims refreshed, fact partitions replaced, not duplicated
     warehouse.truncate_dimensions(spark, db)
-    warehouse.load_dimensions(spark, {n: spark.read.parquet(f"{out}/{n}") for n in warehouse.DIMENSIONS}, db)
+    warehouse.load_dimensions(spark, {n: pipeline.read_output(spark, out)[n] for n in warehouse.DIMENSIONS}, db)
     warehouse.load_fact(spark, fact, database=db)
     assert spark.table(f"{db}.fact_ingress").count() == 8
     assert spark.table(f"{db}.dim_airport").count() == 3
@@ -176,7 +176,7 @@ def test_runs_of_other_years_into_one_root_and_one_catalog(spark, fixtures_dir,
     first.arrivals = [str(tmp_path / "old.parquet")]
     pipeline.run(spark, first, out, TH, load_catalog=True, database=db)
     results = pipeline.run(spark, make_inputs(fixtures_dir), out, TH, load_catalog=True, database=db)
-    assert _per_month(spark.read.parquet(f"{out}/fact_ingress")) == {201604: 8}
+    assert _per_month(pipeline.read_output(spark, out)["fact_ingress"]) == {201604: 8}
     assert _per_month(spark.table(f"{db}.fact_ingress")) == {200803: 8, 201604: 8} or \
         _per_month(spark.table(f"{db}.fact_ingress")) == {200804: 8, 201604: 8}
     loaded = [r for r in results if r.table_name.startswith("loaded.")]
