@@ -21,41 +21,13 @@ from ..operators import (Expectation, check_table, distinct_values, duplicate_ke
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
 from ..sources import date_spine_between, html_links, html_table_pairs, parse_label_lines, parse_label_text, read_preamble_csv, scan
-from . import dims, facts, staging, warehouse
+from . import dims, facts, load_queries, staging, warehouse
+from .query_helpers import _BIRTH_SQL, _age_case, _birth_year, _date_key_sql, _port_letters, _t, _table, _taken, _temp_case, _written_csv
 from .staging import stage_country_labels
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
 
 
-def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A fresh scan of one driver table."""
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
-
-
-# --------------------------------------------------------------------------- shared derivations
-def _birth_year(custkey: str = "c_custkey"):
-    """Synthetic birth year (double, some null) derived from the customer key: ages span -14..81."""
-    k = F.col(custkey)
-    return F.when(k % 23 == 0, F.lit(None)).otherwise(F.lit(1920) + k % 90).cast("double")
-
-
-_BIRTH_SQL = "CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE CAST(1920 + c_custkey % 90 AS DOUBLE) END"
-
-
-def _age_case(x: str) -> str:
-    return (f"CASE WHEN {x} IS NULL THEN 'UN' WHEN {x} < 12 THEN 'CH' WHEN {x} < 18 THEN 'TE' "
-            f"WHEN {x} <= 65 THEN 'AD' ELSE 'OA' END")
-
-
-def _temp_case(x: str) -> str:
-    return (f"CASE WHEN {x} IS NULL OR isnan({x}) THEN 'UN' WHEN {x} < 5 THEN 'VC' WHEN {x} < 15 THEN 'CO' "
-            f"WHEN {x} < 25 THEN 'MI' WHEN {x} < 35 THEN 'HO' ELSE 'VH' END")
-
-
-def _date_key_sql(d: str) -> str:
-    return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
-
-
 # --------------------------------------------------------------------------- S8 / C9
 def q_dim_date_spine(spark, sf):
     o = _t(spark, sf, "orders")
@@ -735,11 +707,6 @@ SELECT * FROM z WHERE regexp_matches(text, '{LINK_TEXT}')
 """
 
 
-def _port_letters(key: str):
-    k = F.col(key)
-    return F.concat(*(F.char((F.floor(k / step) % 26 + 65).cast("int")) for step in (676, 26, 1)))
-
-
 def q_html_table_pairs(spark, sf):
     """A page per customer with a table of a header row, a row of two pairs and a row that is no pair; entities in
     each of their forms, attributes on tags, tags inside cells."""
@@ -763,12 +730,6 @@ UNION ALL SELECT c_custkey, reverse(code), c_mktsegment || ' ''x'' ·' FROM c
 
 
 # --------------------------------------------------------------------------- S2 S3 S4 K8 X16
-def _written_csv(df: DataFrame, name: str, header: bool = True, encoding: str = "UTF-8") -> str:
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("header", header).option("encoding", encoding).csv(path)
-    return path
-
-
 def q_preamble_csv(spark, sf):
     """Customers as latin-1 CSV with a title line, a header with a blank name, numbers with separators and quotes."""
     c = _t(spark, sf, "customer").select(
@@ -829,12 +790,13 @@ SELECT city, week_of_year, {_temp_case('mv')} AS temperature_bucket FROM m
 # --------------------------------------------------------------------------- S6 X24
 def _label_docs(li: DataFrame) -> DataFrame:
     """One small code-label document per line item: two blocks, terminators on the entry line or alone, a doubled
-    quote and a terminator sign inside labels, a padded label, comments (one with a terminator sign), blank lines."""
+    quote and a terminator sign inside labels, a padded label, comments (with a terminator sign, with what looks like a
+    header and an entry over several lines, between two lines of an entry), blank lines."""
     n = F.col("l_linenumber")
     term = F.when(n % 2 == 0, F.lit(" ;")).otherwise(F.lit("\n;"))
     text = F.concat(
         F.lit("/* flags of this line; */\n  value flagl /* a; b */\n   'x;y' = 'A;''B' /* ; */\n   "), n.cast("string"),
-        F.lit(" =  '"), F.col("l_returnflag"), F.lit("''s "), F.col("l_linestatus"), F.lit("'"), term,
+        F.lit(" =  '"), F.col("l_returnflag"), F.lit("''s "), F.col("l_linestatus"), F.lit("' /* to be\n  9 = 'no' ;\nvalue gone\n 8='no'*/"), term,
         F.lit("\n\n/* shipping */\nvalue $shipl\n\t'Q"), F.col("l_quantity").cast("int").cast("string"),
         F.lit("'\t=\t'"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(", "), F.col("l_returnflag"),
         F.lit("     '\n;\n"))
@@ -978,20 +940,6 @@ def _sql_profile() -> str:
 
 
 # --------------------------------------------------------------------------- K4-K7 Q8
-def _table(spark, kind: str) -> tuple[str, str]:
-    location = scratch_path(spark, kind)
-    return f"starflow_{kind}_{location.rsplit('-', 1)[-1]}", location
-
-
-def _taken(spark, df: DataFrame, tables: dict[str, str]) -> DataFrame:
-    """The few rows of ``df``, read before its tables and their folders go."""
-    rows, schema = df.collect(), df.schema
-    for name, location in tables.items():
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        warehouse.remove(spark, location)
-    return spark.createDataFrame(rows, schema)
-
-
 def _load_customer(spark, sf, mode: str, passes: int, partition: bool) -> DataFrame:
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     table, location = _table(spark, f"load_{mode}")
@@ -1002,25 +950,6 @@ def _load_customer(spark, sf, mode: str, passes: int, partition: bool) -> DataFr
     return _taken(spark, counts, {table: location})
 
 
-def q_fact_incremental_load(spark, sf):
-    """Orders loaded by month in four extracts (every fourth month each) and one extract again: all months
-    are there, none is there twice. Counts per month, read back."""
-    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", date_key(F.col("o_orderdate").cast("date")).alias("date_id"))
-    fact = warehouse.with_load_unit(o)
-    table, location = _table(spark, "months")
-    warehouse.create_table_for(spark, table, fact, location, ["month_id"])
-    for extract in (0, 1, 2, 3, 1):
-        warehouse.insert(spark, fact.where(F.col("month_id") % 4 == extract), table, "partition_overwrite")
-    counts = spark.table(table).groupBy("month_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_keys"))
-    return _taken(spark, counts, {table: location})
-
-
-SQL_FACT_INCREMENTAL_LOAD = """
-SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_id, count(*) AS n, count(DISTINCT o_orderkey) AS n_keys
-FROM orders GROUP BY 1
-"""
-
-
 def q_post_load_checks(spark, sf):
     """Customers and nations loaded into catalog tables and checked there, in one pass per table."""
     c, n = _t(spark, sf, "customer"), _t(spark, sf, "nation")
@@ -1152,10 +1081,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preamble_csv": q_preamble_csv,
     "csv_stage_airports": q_csv_stage_airports,
     "csv_stage_temperatures": q_csv_stage_temperatures,
-    "fact_incremental_load": q_fact_incremental_load,
     "post_load_checks": q_post_load_checks,
     "domain_checks": q_domain_checks,
-}
+} | load_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
@@ -1202,7 +1130,6 @@ def oracle_sql() -> dict[str, str]:
         "preamble_csv": SQL_PREAMBLE_CSV,
         "csv_stage_airports": SQL_CSV_STAGE_AIRPORTS,
         "csv_stage_temperatures": SQL_CSV_STAGE_TEMPERATURES,
-        "fact_incremental_load": SQL_FACT_INCREMENTAL_LOAD,
         "post_load_checks": _sql_post_load_checks(),
         "domain_checks": SQL_DOMAIN_CHECKS,
-    }
+    } | load_queries.ORACLE_SQL

@@ -16,92 +16,142 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A file is cut into blocks at every line that starts with "value"; a block ends at its first ';' outside of
-# quoted strings and comments (it may sit on the last entry line or on its own line).
-BLOCK_START = r"(?im)^[ \t]*value[ \t]+"
-# A quoted string within one line (a doubled quote is an escaped quote), or a comment.
+# quoted strings and comments (it may sit on the last entry line or on its own line). (?d): lines end at \n only.
+HEAD = r"(?i)^[ \t]*value[ \t]+"
+BLOCK_START = r"(?imd)^[ \t]*value[ \t]+"
+# A quoted string within one line (a doubled quote is an escaped quote), or a comment, over any number of
+# lines; one that is never closed runs to the end.
 QUOTED = r"'(?:[^'\n]|'')*+'"
-COMMENT = r"/\*(?s:.*?)\*/"
+COMMENT = r"/\*(?s:.*?)(?:\*/|\z)"
+CLOSED_COMMENT = r"/\*(?s:.*?)\*/"
 # Everything up to the first ';' that ends a block; a quote without its pair is an ordinary character.
-BODY = rf"^((?:[^;']++|{QUOTED}|')*+)"
+BODY = rf"^((?:[^';]++|{QUOTED}|')*+)"
 NAME = r"^\$?(\w+)"
 # An entry line: 'code' or digits, '=', 'label'; a doubled quote is an escaped quote.
 # Unrolled quoted-string form ([^']*(?:''[^']*)*): linear, no per-character backtracking.
-# Multiline and confined to one line, so all entries of a block come out of one scan per group.
-ENTRY = r"(?m)^[ \t]*(?:'([^'\n]*(?:''[^'\n]*)*)'|(-?\d+))[ \t]*=[ \t]*'([^'\n]*(?:''[^'\n]*)*)'"
-
-
-HEAD = r"(?i)^[ \t]*value[ \t]+"
+# Multiline and confined to one line, so all entries of a block come out of one scan.
+ENTRY = r"(?md)^[ \t]*(?:'([^'\n]*(?:''[^'\n]*)*)'|(-?\d+))[ \t]*=[ \t]*'([^'\n]*(?:''[^'\n]*)*)'"
 
 
-def _without_comments(c: Column) -> Column:
+def _without_comments(c: Column, comment: str = COMMENT) -> Column:
     """Text without comments; what looks like one inside a quoted string stays."""
-    return F.regexp_replace(c, rf"({QUOTED})|{COMMENT}", "$1")
+    return F.when(F.contains(c, F.lit("/*")), F.regexp_replace(c, rf"({QUOTED})|{comment}", "$1")).otherwise(c)
 
 
 def _before_end(c: Column) -> Column:
     """The part before the ``;`` that ends a block."""
-    return F.regexp_extract(c, BODY, 1)
+    return F.when(F.contains(c, F.lit(";")), F.regexp_extract(c, BODY, 1)).otherwise(c)
+
+
+def _code_and_label(entry: Column) -> tuple[Column, Column]:
+    """Of text that begins with an entry line: its code and its label, unescaped and trimmed."""
+    # One pass; exactly one of the two code groups takes part in a match, the other adds nothing.
+    parts = F.split(F.regexp_replace(F.regexp_extract(entry, ENTRY, 0), ENTRY, "$1$2\u0001$3"), "\u0001", 2)
+    clean = lambda k: F.trim(F.replace(F.get(parts, k), F.lit("''"), F.lit("'")))
+    return clean(0), clean(1)
+
+
+def _state_before(const: Column, turns: Column) -> Column:
+    """Whether a line or split begins inside a comment, if it is known from what comes before it.
+
+    Each line or split is a function from (inside a comment?) before it to after it: constant, identity, or
+    a turn. Composed: the last constant, turned as often as there were turns since; null where none came.
+    """
+    return F.when(const.isNotNull(), const["v"] != ((turns - const["t"]) % 2 == 1))
 
 
 def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Sequence[str] | None = None,
                       with_path: bool = False) -> DataFrame:
     """S6 over label files, splittable: ``([path,] list_name, code, label)``.
 
-    Same result as ``parse_label_text(read_label_files(...))`` without
-    reading a file as one row, for comments that end on their own line. Each
-    line carries its file, the start of the file split it was read from and a
-    position that grows within the split (lines of one split are read in
-    order by one task). Then:
-
-    1. within each split (a group bounded by the split size, never by the
-       file), a running window gives every line the latest block header
-       before it and whether a ``;`` line closed that block since;
-    2. a one-row-per-split summary of the same lines (last header, closed
-       after it, any ``;``) is scanned per file in split order to give each
-       split the block that is open when it starts, for lines before the
-       split's first header;
-    3. lines inside an open block (the terminator line included, up to its
-       ``;``) are matched against the entry pattern.
-    The text is scanned once and its kept lines are shuffled once, by split:
-    windows and summary share that exchange. Compressed files cannot be split,
-    so each is one task; unpack large ones first.
+    Same result as ``parse_label_text(read_label_files(...))`` without reading a file as one row. Each line
+    carries its file, the start of the file split it was read from and a position that grows within the split
+    (lines of one split are read in order by one task). The kept lines are shuffled once, by split (a group
+    bounded by the split size, never by the file). Then, three times, windows within the splits settle what
+    they can by themselves, one row per split says what it does to the next, these rows are scanned per file,
+    and each split gets what it begins with:
+
+    1. comments: each line maps "inside a comment or not" before it to after it; such functions are composed
+       over lines and over splits, which gives every line the state that it begins in;
+    2. lines that a comment over several lines joins into one;
+    3. blocks: the latest header before a line, and whether a ``;`` closed that block since.
+
+    Lines inside an open block (the terminator line included, up to its ``;``) are matched against the entry
+    pattern. The text is scanned once; windows and per-split rows share the one exchange of lines. Compressed
+    files cannot be split, so each is one task; unpack large ones first.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    line = F.col("_raw")
     raw = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_pos"), _without_comments(F.col("value")).alias("_line"))
+        F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("_raw"))
+    opens, closes = F.contains(line, F.lit("/*")), F.contains(line, F.lit("*/"))
+    rest = F.expr("substring(_raw, instr(_raw, '*/') + 2)")
+    # What is left of the line, and whether it ends inside a comment, if it begins outside (n) or inside (c) of one.
+    kept = raw.where(opens | closes | F.contains(line, F.lit(";")) | line.rlike(HEAD) | (line.contains("=") & line.rlike(ENTRY)))
+    lines = kept.select(
+        "path", "_split", "_pos", _without_comments(line).alias("_n"), F.when(closes, _without_comments(rest)).alias("_c"),
+        (opens & (_without_comments(line, CLOSED_COMMENT) != _without_comments(line))).alias("_fn"),
+        F.when(closes, _without_comments(rest, CLOSED_COMMENT) != _without_comments(rest)).otherwise(True).alias("_fc"))
+
+    split_w, file_w = Window.partitionBy("path", "_split").orderBy("_pos"), Window.partitionBy("path").orderBy("_split")
+    first, now = Window.unboundedPreceding, Window.currentRow
+    upto, before, whole = split_w.rowsBetween(first, now), split_w.rowsBetween(first, -1), Window.partitionBy("path", "_split")
+    splits_before, splits_upto = file_w.rowsBetween(first, -1), file_w.rowsBetween(first, now)
+
+    # 1. Comments.
+    turn = (F.col("_fn") & ~F.col("_fc")).cast("int")
+    lines = lines.withColumn("_t", F.sum(turn).over(upto))
+    const = F.when(F.col("_fn") == F.col("_fc"), F.struct(F.col("_fn").alias("v"), F.col("_t").alias("t")))
+    lines = lines.withColumns({"_k": F.last(const, ignorenulls=True).over(before), "_tb": F.col("_t") - turn})
+    # The width reads every column of the lines, so that both sides have one plan and share scan and exchange.
+    width = F.max(F.length("_n") + F.coalesce(F.length("_c"), F.lit(0)) + F.coalesce(F.col("_k.t"), F.col("_tb")))
+    does = lines.groupBy("path", "_split").agg(
+        F.max_by(const, F.when(const.isNotNull(), F.col("_pos"))).alias("k"), F.max("_t").alias("t"), width.alias("width")).where("width >= 0")
+    does = does.select("path", "_split", F.col("k").isNotNull().alias("fixed"),
+                       F.coalesce(F.col("k.v") != ((F.col("t") - F.col("k.t")) % 2 == 1), F.col("t") % 2 == 1).alias("v"))
+    turned = (~F.col("fixed") & F.col("v")).cast("int")
+    does = does.withColumn("t", F.sum(turned).over(splits_upto))
+    does = does.withColumn("k", F.last(F.when(F.col("fixed"), F.struct("v", "t")), ignorenulls=True).over(splits_before))
+    turns = F.col("t") - turned
+    begins = does.select("path", "_split", F.coalesce(_state_before(F.col("k"), turns), turns % 2 == 1).alias("_in"))
+    lines = lines.join(begins, ["path", "_split"])
+    inside = F.coalesce(_state_before(F.col("_k"), F.col("_tb")), F.col("_in") != (F.col("_tb") % 2 == 1))
+
+    # 2. Lines as they are without comments: what begins inside of one goes to the line in which it began.
+    lines = lines.select("path", "_split", "_pos", inside.alias("_inside"), F.when(inside, F.col("_c")).otherwise(F.col("_n")).alias("_piece"))
+    lines = lines.withColumn("_line_pos", F.last(F.when(~F.col("_inside"), F.col("_pos")), ignorenulls=True).over(upto))
+    joined = Window.partitionBy("path", "_split", "_line_pos").orderBy("_pos").rowsBetween(now, Window.unboundedFollowing)
+    lines = lines.withColumns({"_text": F.array_join(F.collect_list("_piece").over(joined), ""),
+                               "_last": F.max("_line_pos").over(whole) == F.col("_pos")})
+    orphan = F.when(F.col("_line_pos").isNull() & F.col("_piece").isNotNull(), F.struct("_pos", "_piece"))
+    heads = lines.groupBy("path", "_split").agg(
+        F.array_join(F.array_sort(F.collect_list(orphan))["_piece"], "").alias("text"), F.count("_line_pos").alias("n"))
+    heads = heads.withColumn("g", F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).over(splits_upto))
+    ends = heads.select("path", (F.col("g") - F.when(F.col("n") > 0, 1).otherwise(0)).alias("g"), "_split", "text").where("text <> ''") \
+        .groupBy("path", "g").agg(F.array_join(F.array_sort(F.collect_list(F.struct("_split", "text")))["text"], "").alias("_more"))
+    more = heads.where("n > 0").join(ends, ["path", "g"]).select("path", "_split", "_more")
+    lines = lines.where(~F.col("_inside")).join(more, ["path", "_split"], "left")
+    whole_line = F.when(F.col("_last"), F.concat("_text", F.coalesce("_more", F.lit("")))).otherwise(F.col("_text"))
+    lines = lines.select("path", "_split", "_pos", whole_line.alias("_line"))
+
+    # 3. Blocks.
     line = F.col("_line")
-    is_head = line.rlike(HEAD)
-    lines = raw.select("path", "_split", "_pos", "_line", is_head.alias("_head"),
-                       F.when(is_head, F.lower(F.regexp_extract(F.regexp_replace(line, HEAD, ""), NAME, 1)))
-                       .alias("_name"),
-                       (F.contains(line, F.lit(";")) & (F.length(_before_end(line)) < F.length(line))).alias("_semi"))
-    # Headers, ';' lines and entry lines; comments and blank lines change nothing and stay out of the shuffle.
-    lines = lines.where(F.col("_head") | F.col("_semi") | (line.contains("=") & line.rlike(ENTRY)))
-
-    split_w = Window.partitionBy("path", "_split").orderBy("_pos")
-    upto = split_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = split_w.rowsBetween(Window.unboundedPreceding, -1)
+    is_head, after = line.rlike(HEAD), F.regexp_replace(F.col("_line"), HEAD, "")
+    lines = lines.select("path", "_split", "_pos", F.when(is_head, after).otherwise(line).alias("_line"), is_head.alias("_head"),
+                         F.when(is_head, F.lower(F.regexp_extract(after, NAME, 1))).alias("_name"),
+                         (F.contains(line, F.lit(";")) & (F.length(_before_end(line)) < F.length(line))).alias("_semi"))
     local = lines.select(
         "path", "_split", "_pos", "_line", "_head", "_semi",
-        F.last(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n"))),
-               ignorenulls=True).over(upto).alias("_h"),
+        F.last(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n"))), ignorenulls=True).over(upto).alias("_h"),
         F.last(F.when(F.col("_semi"), F.col("_pos")), ignorenulls=True).over(before).alias("_s"))
-
-    # From the windowed lines, which are already dealt by (path, split). The width reads every column of
-    # them, so that both sides have the same plan and share one scan and one exchange.
-    summary = local.groupBy("path", "_split").agg(
-        F.max("_h").alias("h"), F.max(F.when(F.col("_semi"), F.col("_pos"))).alias("s"),
-        F.max(F.greatest(F.length("_line").cast("long"), F.col("_head").cast("long"), "_s")).alias("width")).where("width >= 0")
+    summary = local.groupBy("path", "_split").agg(F.max("_h").alias("h"), F.max(F.when(F.col("_semi"), F.col("_pos"))).alias("s"))
     summary = summary.select(
         "path", "_split", F.col("h.n").alias("name"), F.col("h").isNotNull().alias("has_head"),
         F.coalesce(F.col("s") >= F.col("h.p"), F.lit(False)).alias("closed_after_head"),
         F.col("s").isNotNull().cast("int").alias("any_semi"))
-    file_w = Window.partitionBy("path").orderBy("_split")
-    semis = F.sum("any_semi").over(file_w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summary = summary.withColumn("_cs", semis)
-    prev = F.last(F.when(F.col("has_head"), F.struct("name", "closed_after_head", "_cs")), ignorenulls=True) \
-        .over(file_w.rowsBetween(Window.unboundedPreceding, -1))
+    summary = summary.withColumn("_cs", F.sum("any_semi").over(splits_upto))
+    prev = F.last(F.when(F.col("has_head"), F.struct("name", "closed_after_head", "_cs")), ignorenulls=True).over(splits_before)
     carry = summary.select("path", "_split", prev.alias("_prev"), (F.col("_cs") - F.col("any_semi")).alias("_cs_in"))
     carry = carry.select("path", "_split", F.col("_prev.name").alias("_in_name"),
                          (F.col("_prev.closed_after_head") | (F.col("_cs_in") > F.col("_prev._cs"))).alias("_in_closed"))
@@ -112,15 +162,11 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
     closed = F.when(has_local, F.coalesce(F.col("_s") >= F.col("_h.p"), F.lit(False))) \
         .otherwise(F.coalesce(F.col("_in_closed"), F.lit(False)) | F.col("_s").isNotNull())
     pre = _before_end(F.col("_line"))
-    # Lines without ';' matched the entry pattern already; a terminator line is matched up to its ';'.
-    inside = j.where(~F.col("_head") & name.isNotNull() & ~closed & (~F.col("_semi") | pre.rlike(ENTRY))) \
-        .select("path", name.alias("list_name"), pre.alias("_e"))
+    inside = j.where(name.isNotNull() & ~closed & pre.rlike(ENTRY)).select("path", name.alias("list_name"), pre.alias("_e"))
     if lists is not None:
         inside = inside.where(F.col("list_name").isin([x.lower() for x in lists]))
-    unq = lambda c: F.trim(F.replace(c, F.lit("''"), F.lit("'")))
-    group = lambda i: F.regexp_extract("_e", ENTRY, i)
-    out = inside.select("path", "list_name", unq(F.concat(group(1), group(2))).alias("code"),
-                        unq(group(3)).alias("label"))
+    code, label = _code_and_label(F.col("_e"))
+    out = inside.select("path", "list_name", code.alias("code"), label.alias("label"))
     return out if with_path else out.drop("path")
 
 
@@ -138,16 +184,14 @@ def parse_label_text(df: DataFrame, text_col: str = "text", keep: Sequence[str]
     quotes are unescaped, code and label are trimmed. ``lists`` restricts to
     some block names (lower case, without ``$``).
     """
-    pieces = df.select(*keep, F.posexplode(F.split(_without_comments(F.col(text_col)), BLOCK_START)).alias("_i", "_b")) \
-        .where(F.col("_i") > 0)
+    # Line ends as \n, as a reader of lines has them.
+    text = F.when(F.contains(F.col(text_col), F.lit("\r")), F.regexp_replace(text_col, r"\r\n?", "\n")).otherwise(F.col(text_col))
+    pieces = df.select(*keep, F.posexplode(F.split(_without_comments(text), BLOCK_START)).alias("_i", "_b")).where(F.col("_i") > 0)
     named = pieces.select(*keep, F.lower(F.regexp_extract("_b", NAME, 1)).alias("list_name"),
                           _before_end(F.col("_b")).alias("_body"))
     if lists is not None:
         named = named.where(F.col("list_name").isin([x.lower() for x in lists]))
-    # One scan of the block finds every entry; each (short) entry is then split into its groups.
+    # One scan of the block finds every entry; each (short) entry is then split into its parts.
     entries = named.select(*keep, "list_name", F.explode(F.regexp_extract_all("_body", F.lit(ENTRY), 0)).alias("_e"))
-    unq = lambda c: F.trim(F.replace(c, F.lit("''"), F.lit("'")))
-    group = lambda i: F.regexp_extract("_e", ENTRY, i)
-    # Exactly one of the two code groups takes part in a match; the other comes back empty.
-    code = F.concat(group(1), group(2))
-    return entries.select(*keep, "list_name", unq(code).alias("code"), unq(group(3)).alias("label"))
+    code, label = _code_and_label(F.col("_e"))
+    return entries.select(*keep, "list_name", code.alias("code"), label.alias("label"))

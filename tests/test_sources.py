@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -156,3 +157,42 @@ def test_entities_and_attribute_forms(spark):
             "<a data-href=\"no\" href = \"/d\">x</a><a name='n'>none</a>")
     got = [(r.href, r.text) for r in html_links(spark.createDataFrame([(html,)], "html string")).collect()]
     assert got == [("/s?a=1&b=2", "Café €€"), ("/u", "&lt; &nosuch; &#0;"), ("/d", "x")]
+
+
+LABEL_PIECES = ["value abc", "  VALUE $x", "value", " value 1='h'", "1='A'", " 'b;c' = 'it''s' ", "22 =", "'q'", "/*", "*/", " /* note */", ";", "'",
+                "\t", "3='/*'", "4='*/'", "x", " 5 = 'e' /* f", "g */ 6='h'", "'*/ ' /* '"]
+
+
+def test_label_lines_with_comments_over_lines(spark, tmp_path):
+    text = "value abc\n 1='A'\n /* over two lines\nvalue old\n 9='gone' ;\n*/\n 2='B' /* to\n */ ;\n 3='out'\n"
+    (tmp_path / "c.sas").write_text(text)
+    want = [("abc", "1", "A"), ("abc", "2", "B")]
+    for df in (parse_label_text(spark.createDataFrame([(text,)], "text string")), parse_label_lines(spark, str(tmp_path / "c.sas"))):
+        assert sorted((r.list_name, r.code, r.label) for r in df.collect()) == want
+
+
+def test_label_lines_equal_whole_text_wherever_splits_fall(spark, tmp_path):
+    """Random files of headers, entries, quotes, ends and comments over any lines, read in splits of a few bytes."""
+    pick = random.Random(11)
+    paths = []
+    for k in range(120):
+        text = "".join(pick.choice(LABEL_PIECES) + ("\n" if pick.random() < 0.6 else "") for _ in range(pick.randrange(1, 30)))
+        if k % 10 == 0:
+            text = text.replace("\n", "\r\n")
+        paths.append(str(tmp_path / f"r{k}.sas"))
+        (tmp_path / f"r{k}.sas").write_bytes(("value a\n1='one'\n" * (k % 2) + text).encode())
+
+    def rows(df):
+        return sorted((r.path.rsplit("/", 1)[-1], r.list_name, r.code, r.label) for r in df.collect())
+
+    expected = rows(parse_label_text(read_label_files(spark, paths), keep=["path"]))
+    assert len(expected) > 100
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        for split_bytes in (10, 37, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+            assert rows(parse_label_lines(spark, paths, with_path=True)) == expected, split_bytes
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
