@@ -32,6 +32,9 @@ NAME = r"^\$?(\w+)"
 # Multiline and confined to one line, so all entries of a block come out of one scan.
 ENTRY = r"(?md)^[ \t]*(?:'([^'\n]*(?:''[^'\n]*)*)'|(-?\d+))[ \t]*=[ \t]*'([^'\n]*(?:''[^'\n]*)*)'"
 
+#: Lines of a file split are put together in stretches of 2 to the power of this many.
+STRETCH_BITS = 13
+
 
 def _without_comments(c: Column, comment: str = COMMENT) -> Column:
     """Text without comments; what looks like one inside a quoted string stays."""
@@ -44,130 +47,108 @@ def _before_end(c: Column) -> Column:
 
 
 def _code_and_label(entry: Column) -> tuple[Column, Column]:
-    """Of text that begins with an entry line: its code and its label, unescaped and trimmed."""
+    """Of an entry: its code and its label, unescaped and trimmed."""
     # One pass; exactly one of the two code groups takes part in a match, the other adds nothing.
-    parts = F.split(F.regexp_replace(F.regexp_extract(entry, ENTRY, 0), ENTRY, "$1$2\u0001$3"), "\u0001", 2)
+    parts = F.split(F.regexp_replace(entry, ENTRY, "$1$2\u0001$3"), "\u0001", 2)
     clean = lambda k: F.trim(F.replace(F.get(parts, k), F.lit("''"), F.lit("'")))
     return clean(0), clean(1)
 
 
 def _state_before(const: Column, turns: Column) -> Column:
-    """Whether a line or split begins inside a comment, if it is known from what comes before it.
+    """Whether a stretch begins inside a comment, from what the stretches before it do; outside at the first.
 
-    Each line or split is a function from (inside a comment?) before it to after it: constant, identity, or
-    a turn. Composed: the last constant, turned as often as there were turns since; null where none came.
+    Each is a function from (inside a comment?) before it to after it: constant, identity, or a turn.
+    Composed: the last constant, turned as often as there were turns since.
     """
-    return F.when(const.isNotNull(), const["v"] != ((turns - const["t"]) % 2 == 1))
+    return F.coalesce(const["v"] != ((turns - const["t"]) % 2 == 1), turns % 2 == 1)
 
 
 def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Sequence[str] | None = None,
                       with_path: bool = False) -> DataFrame:
     """S6 over label files, splittable: ``([path,] list_name, code, label)``.
 
-    Same result as ``parse_label_text(read_label_files(...))`` without reading a file as one row. Each line
-    carries its file, the start of the file split it was read from and a position that grows within the split
-    (lines of one split are read in order by one task). The kept lines are shuffled once, by split (a group
-    bounded by the split size, never by the file). Then, three times, windows within the splits settle what
-    they can by themselves, one row per split says what it does to the next, these rows are scanned per file,
-    and each split gets what it begins with:
-
-    1. comments: each line maps "inside a comment or not" before it to after it; such functions are composed
-       over lines and over splits, which gives every line the state that it begins in;
-    2. lines that a comment over several lines joins into one;
-    3. blocks: the latest header before a line, and whether a ``;`` closed that block since.
-
-    Lines inside an open block (the terminator line included, up to its ``;``) are matched against the entry
-    pattern. The text is scanned once; windows and per-split rows share the one exchange of lines. Compressed
-    files cannot be split, so each is one task; unpack large ones first.
+    Same result as ``parse_label_text(read_label_files(...))`` without reading a file as one row. Lines carry
+    their file, the start of the file split they were read from, and a position that grows within the split
+    (lines of one split are read in order by one task). Those that can matter are put together again in
+    stretches of a bounded number of lines: the one exchange of text. Each stretch settles what it can by
+    itself; what it does to the next is one short row, and these rows are scanned per file:
+
+    1. comments: a stretch maps "inside a comment or not" at its start to the same at its end. Composed over
+       the file, this tells each stretch how it begins, and so what is left of it without comments;
+    2. a line that a comment joins over an end of a stretch is put together in the stretch where it begins;
+    3. blocks: the list that is open at the start of a stretch, unless a ``;`` has closed it.
+
+    Blocks and entries are then cut out of the stretches with the same patterns as out of whole texts.
+    Compressed files cannot be split, so each is one task; unpack large ones first.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    line = F.col("_raw")
+    name, line, text = F.col("_metadata.file_path"), F.col("value"), F.col("_t")
     raw = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("_raw"))
-    opens, closes = F.contains(line, F.lit("/*")), F.contains(line, F.lit("*/"))
-    rest = F.expr("substring(_raw, instr(_raw, '*/') + 2)")
-    # What is left of the line, and whether it ends inside a comment, if it begins outside (n) or inside (c) of one.
-    kept = raw.where(opens | closes | F.contains(line, F.lit(";")) | line.rlike(HEAD) | (line.contains("=") & line.rlike(ENTRY)))
-    lines = kept.select(
-        "path", "_split", "_pos", _without_comments(line).alias("_n"), F.when(closes, _without_comments(rest)).alias("_c"),
-        (opens & (_without_comments(line, CLOSED_COMMENT) != _without_comments(line))).alias("_fn"),
-        F.when(closes, _without_comments(rest, CLOSED_COMMENT) != _without_comments(rest)).otherwise(True).alias("_fc"))
-
-    split_w, file_w = Window.partitionBy("path", "_split").orderBy("_pos"), Window.partitionBy("path").orderBy("_split")
-    first, now = Window.unboundedPreceding, Window.currentRow
-    upto, before, whole = split_w.rowsBetween(first, now), split_w.rowsBetween(first, -1), Window.partitionBy("path", "_split")
-    splits_before, splits_upto = file_w.rowsBetween(first, -1), file_w.rowsBetween(first, now)
-
-    # 1. Comments.
-    turn = (F.col("_fn") & ~F.col("_fc")).cast("int")
-    lines = lines.withColumn("_t", F.sum(turn).over(upto))
-    const = F.when(F.col("_fn") == F.col("_fc"), F.struct(F.col("_fn").alias("v"), F.col("_t").alias("t")))
-    lines = lines.withColumns({"_k": F.last(const, ignorenulls=True).over(before), "_tb": F.col("_t") - turn})
-    # The width reads every column of the lines, so that both sides have one plan and share scan and exchange.
-    width = F.max(F.length("_n") + F.coalesce(F.length("_c"), F.lit(0)) + F.coalesce(F.col("_k.t"), F.col("_tb")))
-    does = lines.groupBy("path", "_split").agg(
-        F.max_by(const, F.when(const.isNotNull(), F.col("_pos"))).alias("k"), F.max("_t").alias("t"), width.alias("width")).where("width >= 0")
-    does = does.select("path", "_split", F.col("k").isNotNull().alias("fixed"),
-                       F.coalesce(F.col("k.v") != ((F.col("t") - F.col("k.t")) % 2 == 1), F.col("t") % 2 == 1).alias("v"))
-    turned = (~F.col("fixed") & F.col("v")).cast("int")
-    does = does.withColumn("t", F.sum(turned).over(splits_upto))
-    does = does.withColumn("k", F.last(F.when(F.col("fixed"), F.struct("v", "t")), ignorenulls=True).over(splits_before))
-    turns = F.col("t") - turned
-    begins = does.select("path", "_split", F.coalesce(_state_before(F.col("k"), turns), turns % 2 == 1).alias("_in"))
-    lines = lines.join(begins, ["path", "_split"])
-    inside = F.coalesce(_state_before(F.col("_k"), F.col("_tb")), F.col("_in") != (F.col("_tb") % 2 == 1))
-
-    # 2. Lines as they are without comments: what begins inside of one goes to the line in which it began.
-    lines = lines.select("path", "_split", "_pos", inside.alias("_inside"), F.when(inside, F.col("_c")).otherwise(F.col("_n")).alias("_piece"))
-    lines = lines.withColumn("_line_pos", F.last(F.when(~F.col("_inside"), F.col("_pos")), ignorenulls=True).over(upto))
-    joined = Window.partitionBy("path", "_split", "_line_pos").orderBy("_pos").rowsBetween(now, Window.unboundedFollowing)
-    lines = lines.withColumns({"_text": F.array_join(F.collect_list("_piece").over(joined), ""),
-                               "_last": F.max("_line_pos").over(whole) == F.col("_pos")})
-    orphan = F.when(F.col("_line_pos").isNull() & F.col("_piece").isNotNull(), F.struct("_pos", "_piece"))
-    heads = lines.groupBy("path", "_split").agg(
-        F.array_join(F.array_sort(F.collect_list(orphan))["_piece"], "").alias("text"), F.count("_line_pos").alias("n"))
-    heads = heads.withColumn("g", F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).over(splits_upto))
-    ends = heads.select("path", (F.col("g") - F.when(F.col("n") > 0, 1).otherwise(0)).alias("g"), "_split", "text").where("text <> ''") \
-        .groupBy("path", "g").agg(F.array_join(F.array_sort(F.collect_list(F.struct("_split", "text")))["text"], "").alias("_more"))
-    more = heads.where("n > 0").join(ends, ["path", "g"]).select("path", "_split", "_more")
-    lines = lines.where(~F.col("_inside")).join(more, ["path", "_split"], "left")
-    whole_line = F.when(F.col("_last"), F.concat("_text", F.coalesce("_more", F.lit("")))).otherwise(F.col("_text"))
-    lines = lines.select("path", "_split", "_pos", whole_line.alias("_line"))
-
-    # 3. Blocks.
-    line = F.col("_line")
-    is_head, after = line.rlike(HEAD), F.regexp_replace(F.col("_line"), HEAD, "")
-    lines = lines.select("path", "_split", "_pos", F.when(is_head, after).otherwise(line).alias("_line"), is_head.alias("_head"),
-                         F.when(is_head, F.lower(F.regexp_extract(after, NAME, 1))).alias("_name"),
-                         (F.contains(line, F.lit(";")) & (F.length(_before_end(line)) < F.length(line))).alias("_semi"))
-    local = lines.select(
-        "path", "_split", "_pos", "_line", "_head", "_semi",
-        F.last(F.when(F.col("_head"), F.struct(F.col("_pos").alias("p"), F.col("_name").alias("n"))), ignorenulls=True).over(upto).alias("_h"),
-        F.last(F.when(F.col("_semi"), F.col("_pos")), ignorenulls=True).over(before).alias("_s"))
-    summary = local.groupBy("path", "_split").agg(F.max("_h").alias("h"), F.max(F.when(F.col("_semi"), F.col("_pos"))).alias("s"))
-    summary = summary.select(
-        "path", "_split", F.col("h.n").alias("name"), F.col("h").isNotNull().alias("has_head"),
-        F.coalesce(F.col("s") >= F.col("h.p"), F.lit(False)).alias("closed_after_head"),
-        F.col("s").isNotNull().cast("int").alias("any_semi"))
-    summary = summary.withColumn("_cs", F.sum("any_semi").over(splits_upto))
-    prev = F.last(F.when(F.col("has_head"), F.struct("name", "closed_after_head", "_cs")), ignorenulls=True).over(splits_before)
-    carry = summary.select("path", "_split", prev.alias("_prev"), (F.col("_cs") - F.col("any_semi")).alias("_cs_in"))
-    carry = carry.select("path", "_split", F.col("_prev.name").alias("_in_name"),
-                         (F.col("_prev.closed_after_head") | (F.col("_cs_in") > F.col("_prev._cs"))).alias("_in_closed"))
-
-    j = local.join(carry, ["path", "_split"])  # a row of carry for each split that has lines
-    has_local = F.col("_h").isNotNull()
-    name = F.when(has_local, F.col("_h.n")).otherwise(F.col("_in_name"))
-    closed = F.when(has_local, F.coalesce(F.col("_s") >= F.col("_h.p"), F.lit(False))) \
-        .otherwise(F.coalesce(F.col("_in_closed"), F.lit(False)) | F.col("_s").isNotNull())
-    pre = _before_end(F.col("_line"))
-    inside = j.where(name.isNotNull() & ~closed & pre.rlike(ENTRY)).select("path", name.alias("list_name"), pre.alias("_e"))
+        F.xxhash64(name).alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_pos"),
+        "value", *([name.alias("path")] if with_path else []))
+    shown = ["path"] if with_path else []
+    marks = F.contains(line, F.lit(";")) | F.contains(line, F.lit("/*")) | F.contains(line, F.lit("*/"))
+    kept = raw.where(marks | line.rlike(HEAD) | (line.contains("=") & line.rlike(ENTRY)))
+    order = ["_at", "_stretch"]
+    keys = ["_file", *order]
+    stretches = kept.withColumn("_stretch", F.shiftright("_pos", STRETCH_BITS)).groupBy(*keys, *shown).agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("_pos", "value")))["value"], "\n").alias("_t"))
+
+    by_file = Window.partitionBy("_file").orderBy(*order)
+    before = by_file.rowsBetween(Window.unboundedPreceding, -1)
+    upto = by_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    # 1. Comments: does the stretch end inside of one, if it begins outside (n) or inside (c)?
+    rest = F.expr("substring(_t, instr(_t, '*/') + 2)")
+    closes = F.contains(text, F.lit("*/"))
+
+    def ends_inside(x: Column) -> Column:
+        tail = F.substring_index(x, "*/", -1)   # an open comment begins after the last end of one, or with its slash
+        return (F.contains(tail, F.lit("/*")) | F.startswith(tail, F.lit("*"))) & (_without_comments(x, CLOSED_COMMENT) != _without_comments(x))
+
+    does = stretches.select(*keys, ends_inside(text).alias("n"), F.when(closes, ends_inside(rest)).otherwise(True).alias("c"))
+    turn = (F.col("n") & ~F.col("c")).cast("int")
+    does = does.withColumn("t", F.sum(turn).over(upto))
+    const = F.when(F.col("n") == F.col("c"), F.struct(F.col("n").alias("v"), "t"))
+    does = does.withColumn("_in", _state_before(F.last(const, ignorenulls=True).over(before), F.col("t") - turn))
+    begins = does.select(*keys, "_in", F.when(F.col("_in"), F.col("c")).otherwise(F.col("n")).alias("_out"))
+    left = F.when(~F.col("_in"), _without_comments(text)).when(closes, _without_comments(rest)).otherwise("")
+    clean = stretches.join(begins, keys).select(*keys, *shown, "_in", F.concat(left, F.when(F.col("_out"), "").otherwise("\n")).alias("_t"))
+
+    # 2. What comes before the first line end of a stretch that begins inside a comment belongs to an earlier line.
+    first_line = F.when(F.col("_in"), F.regexp_extract("_t", r"^[^\n]*\n?", 0)).otherwise("")
+    parts = clean.select(*keys, *shown, first_line.alias("_first"), F.substring("_t", F.length(first_line) + 1, F.length("_t")).alias("_t"), "_in")
+    own = (~F.col("_in") | (text != "")).cast("int")
+    heads = parts.select(*keys, "_first", own.alias("own")).withColumn("g", F.sum("own").over(upto))
+    more = heads.where("_first <> ''").groupBy("_file", (F.col("g") - F.col("own")).alias("g")).agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct(*order, "_first")))["_first"], "").alias("_more"))
+    more = heads.where("own = 1").join(more, ["_file", "g"]).select(*keys, "_more")
+    whole = parts.where(own == 1).join(more, keys, "left").select(*keys, *shown, F.concat("_t", F.coalesce("_more", F.lit(""))).alias("_t"))
+
+    # 3. Blocks: the first piece of a stretch belongs to the block that is open at its start.
+    cut = whole.select(*keys, *shown, F.split("_t", BLOCK_START).alias("_pieces"))
+    ended = lambda piece: (_before_end(piece) != piece)
+    last = F.element_at("_pieces", -1)
+    open_at_end = cut.select(*keys, (F.size("_pieces") > 1).alias("head"), F.lower(F.regexp_extract(last, NAME, 1)).alias("name"),
+                             ended(last).alias("closed"), ended(F.get("_pieces", 0)).cast("int").alias("ends"))
+    open_at_end = open_at_end.withColumn("ends_upto", F.sum("ends").over(upto))
+    latest = F.last(F.when(F.col("head"), F.struct("name", "closed", "ends_upto")), ignorenulls=True).over(before)
+    carry = open_at_end.withColumn("l", latest).select(
+        *keys, F.when(~(F.col("l.closed") | (F.col("ends_upto") - F.col("ends") > F.col("l.ends_upto"))), F.col("l.name")).alias("_open"))
+    pieces = cut.join(carry, keys).select(*shown, "_open", F.posexplode("_pieces").alias("_i", "_b"))
+    named = pieces.select(*shown, F.when(F.col("_i") == 0, F.col("_open")).otherwise(F.lower(F.regexp_extract("_b", NAME, 1))).alias("list_name"),
+                          _before_end(F.col("_b")).alias("_body")).where(F.col("list_name").isNotNull())
+    return _entries(named, shown, lists)
+
+
+def _entries(named: DataFrame, keep: Sequence[str], lists: Sequence[str] | None) -> DataFrame:
+    """The entries of blocks (list_name, _body)."""
     if lists is not None:
-        inside = inside.where(F.col("list_name").isin([x.lower() for x in lists]))
+        named = named.where(F.col("list_name").isin([x.lower() for x in lists]))
+    # One scan of the block finds every entry; each (short) entry is then split into its parts.
+    entries = named.select(*keep, "list_name", F.explode(F.regexp_extract_all("_body", F.lit(ENTRY), 0)).alias("_e"))
     code, label = _code_and_label(F.col("_e"))
-    out = inside.select("path", "list_name", code.alias("code"), label.alias("label"))
-    return out if with_path else out.drop("path")
+    return entries.select(*keep, "list_name", code.alias("code"), label.alias("label"))
 
 
 def read_label_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -189,9 +170,4 @@ def parse_label_text(df: DataFrame, text_col: str = "text", keep: Sequence[str]
     pieces = df.select(*keep, F.posexplode(F.split(_without_comments(text), BLOCK_START)).alias("_i", "_b")).where(F.col("_i") > 0)
     named = pieces.select(*keep, F.lower(F.regexp_extract("_b", NAME, 1)).alias("list_name"),
                           _before_end(F.col("_b")).alias("_body"))
-    if lists is not None:
-        named = named.where(F.col("list_name").isin([x.lower() for x in lists]))
-    # One scan of the block finds every entry; each (short) entry is then split into its parts.
-    entries = named.select(*keep, "list_name", F.explode(F.regexp_extract_all("_body", F.lit(ENTRY), 0)).alias("_e"))
-    code, label = _code_and_label(F.col("_e"))
-    return entries.select(*keep, "list_name", code.alias("code"), label.alias("label"))
+    return _entries(named, keep, lists)

@@ -134,9 +134,11 @@ def test_label_lines_plan_groups_by_split_not_file(spark, tmp_path):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
-    # The line window is partitioned by (file, split): a group is at most one split, never a whole file.
-    windows = [ln for ln in plan.splitlines() if "Window [" in ln and "_pos" in ln]
-    assert windows and all("_split" in ln for ln in windows)
+    # Lines are grouped by stretches of a file split, never by file, and the windows over a file see no text.
+    groups = [ln for ln in plan.splitlines() if "Aggregate(" in ln and "collect_list(struct(_pos" in ln]
+    assert groups and all("_at" in ln and "_stretch" in ln for ln in groups)
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln]
+    assert windows and not any("value#" in ln or "_t#" in ln for ln in windows)
     final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
     assert final.count("FileScan text") == 1 or "ReusedExchange" in final  # one scan and one exchange of the lines
 
