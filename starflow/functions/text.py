@@ -62,30 +62,27 @@ def join_or_unknown(arr: Column | str, sep: str = ",", default: str = "Unknown")
     return F.coalesce(F.nullif(F.concat_ws(sep, as_col(arr)), F.lit("")), F.lit(default))
 
 
-ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-
-
 def unescape_html(c: Column | str) -> Column:
     """Decode every entity once, as an HTML reader does: decimal, hexadecimal, and named ones.
 
     Names come from the standard library's table; unknown names and impossible numbers stay as they are, and
-    ``&nbsp;`` counts as a plain space. ``&amp;`` and its numbers come last, so ``&amp;lt;`` becomes ``&lt;``.
+    ``&nbsp;`` counts as a plain space. The text is cut at each ``&``, and each piece is looked at once.
     """
+    text = as_col(c)
     named = F.create_map(*(F.lit(x) for name, code in sorted(name2codepoint.items())
                            for x in (name, " " if name == "nbsp" else chr(code))))
 
-    def decoded(entity: Column) -> Column:
-        body = F.substring(entity, 2, 40)
-        body = F.left(body, F.length(body) - 1)
-        number = F.when(F.lower(F.substring(body, 2, 1)) == "x", F.conv(F.substring(body, 3, 40), 16, 10)) \
-            .otherwise(F.substring(body, 2, 40)).try_cast("int")
-        real = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
-        plain = F.when(body.startswith("#"), F.when(real, F.when(number == 160, " ").otherwise(char))) \
-            .otherwise(F.try_element_at(named, body))
-        return F.coalesce(plain, entity)
-
-    found = F.transform(F.array_distinct(F.regexp_extract_all(as_col(c), F.lit(ENTITY), 0)),
-                        lambda e: F.struct((decoded(e) == "&").alias("last"), e.alias("entity"), decoded(e).alias("char")))
-    text = F.aggregate(F.array_sort(found), as_col(c), lambda acc, e: F.replace(acc, e["entity"], e["char"]))
-    return F.when(F.contains(as_col(c), F.lit("&")), text).otherwise(as_col(c))
+    def decoded(piece: Column) -> Column:
+        body = F.substring_index(piece, ";", 1)
+        number = F.when(body.rlike("^#[0-9]{1,7}$"), F.substring(body, 2, 7)) \
+            .when(body.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(body, 3, 6), 16, 10)).try_cast("int")
+        real = (number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)) & (number != 160)
+        char = F.when(real, F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")).when(number == 160, " ")
+        found = F.when(F.contains(piece, F.lit(";")), F.when(F.startswith(body, F.lit("#")), char)
+                       .when(body == "amp", "&").when(body == "lt", "<").when(body == "gt", ">").when(body == "nbsp", " ")   # most are one of these
+                       .otherwise(F.try_element_at(named, body)))
+        return F.coalesce(F.concat(found, F.substring(piece, F.length(body) + 2, F.length(piece))), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    whole = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)

@@ -709,14 +709,17 @@ SELECT * FROM z WHERE regexp_matches(text, '{LINK_TEXT}')
 
 def q_html_table_pairs(spark, sf):
     """A page per customer with a table of a header row, a row of two pairs and a row that is no pair; entities in
-    each of their forms, attributes on tags, tags inside cells."""
+    each of their forms, attributes on tags, tags inside cells; a table inside an unclosed cell, unclosed itself."""
     c = _t(spark, sf, "customer")
     cell = lambda x: F.concat(F.lit("<TD class=x>"), x, F.lit("</td>"))
     code = _port_letters("c_custkey")
     one = F.concat(F.col("c_name"), F.lit(", A&amp;B &#233;&eacute;&#xE9; &amp;lt; &unknown; &lt;b&gt;"))
     two = F.concat(F.lit("<b>"), F.col("c_mktsegment"), F.lit("</b>&nbsp;&#39;x&#39; &middot;"))
+    # A layout table of one unclosed cell for every second customer: inside it, unclosed cells and rows.
+    inner = F.concat(F.lit("<table><tr><td>layout<table><tr><td>Q"), F.substring(code, 2, 2), F.lit("<td>"), F.col("c_name"),
+                     F.lit(" <i>inner</i><tr><td>none<!-- <td>x --><td>AAA</table>"))
     html = F.concat(F.lit("<table><tr><th>Code</th><th>Place</th></tr>\n<tr id='1'>"), cell(code), cell(one), cell(F.reverse(code)),
-                    cell(two), F.lit("</tr><tr><td>no code</td><td>none</td></tr></table>"))
+                    cell(two), F.lit("</tr><tr><td>no code</td><td>none</td></tr></table>"), F.when(F.col("c_custkey") % 2 == 0, inner).otherwise(""))
     pages = c.select("c_custkey", html.alias("html"))
     return html_table_pairs(pages, "html", keep=["c_custkey"])
 
@@ -726,6 +729,7 @@ WITH c AS (SELECT *, chr(CAST(65 + (c_custkey // 676) % 26 AS INTEGER)) || chr(C
                      || chr(CAST(65 + c_custkey % 26 AS INTEGER)) AS code FROM customer)
 SELECT c_custkey, code, c_name || ', A&B ééé &lt; &unknown; <b>' AS location FROM c
 UNION ALL SELECT c_custkey, reverse(code), c_mktsegment || ' ''x'' ·' FROM c
+UNION ALL SELECT c_custkey, 'Q' || code[2:], c_name || ' inner' FROM c WHERE c_custkey % 2 = 0
 """
 
 

@@ -1,12 +1,15 @@
 import datetime as dt
 import random
+import re
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
 from fixtures import LABEL_TEXT, PORTS_HTML
 from starflow.plans import staging
-from starflow.sources import (date_spine, html_links, html_table_pairs, parse_label_lines, parse_label_text,
+from starflow.sources import (date_spine, html_links, html_rows, html_table_pairs, parse_label_lines, parse_label_text,
                               read_label_files, read_preamble_csv, scan)
+from starflow.sources.html import NESTED, _clean
 
 
 def test_label_text_blocks(spark):
@@ -198,3 +201,86 @@ def test_label_lines_equal_whole_text_wherever_splits_fall(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+class _Tables(HTMLParser):
+    """Rows and cells by the rules of the HTML standard, event by event."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.rows = [{"cells": [], "kind": "", "text": ""}], []
+
+    def _end_cell(self):
+        top = self.stack[-1]
+        if top["kind"] == "td":
+            top["cells"].append(top["text"])
+        top["kind"], top["text"] = "", ""
+
+    def _end_row(self):
+        self._end_cell()
+        top = self.stack[-1]
+        if top["cells"]:
+            self.rows.append([c.replace("\xa0", " ").strip(" ") for c in top["cells"]])
+        top["cells"] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            if self.stack[-1]["kind"]:
+                self.stack.append({"cells": [], "kind": "", "text": ""})
+            else:
+                self._end_row()
+        elif tag == "tr":
+            self._end_row()
+        elif tag in ("td", "th"):
+            self._end_cell()
+            self.stack[-1]["kind"] = tag
+
+    def handle_endtag(self, tag):
+        if tag in ("tr", "table"):
+            self._end_row()
+            if tag == "table" and len(self.stack) > 1:
+                self.stack.pop()
+        elif tag in ("td", "th"):
+            self._end_cell()
+
+    def handle_data(self, data):
+        for table in self.stack:
+            if table["kind"]:
+                table["text"] += data
+
+
+def _read(html):
+    reader = _Tables()
+    reader.feed(html)
+    reader.close()
+    while len(reader.stack) > 1:
+        reader.handle_endtag("table")
+    reader._end_row()
+    return sorted(reader.rows)
+
+
+HTML_PIECES = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "<td class='a b'>", "</td>", "<TH>", "</th>", "a ", "b&amp;lt;", "<b>x</b>",
+               "&eacute;&#65;&#x42;", " ", "<!-- <td>no</td> -->", "<br/>", "<trx>y</trx>", "NYC", "<table><tr><td>q", "&nbsp;"]
+
+
+def test_html_tables_unclosed_and_nested(spark):
+    rows = spark.createDataFrame([("<table><tr><td>NYC<td>New York<tr><td>X<table><tr><td>MIA<td>Miami</table>y<td>Z",)], "html string")
+    got = sorted(r[0] for r in rows.select(F.explode(html_rows("html")).alias("c")).select(F.transform("c", _clean)).collect() if r[0])
+    assert got == [["MIA", "Miami"], ["NYC", "New York"], ["XMIAMiamiy", "Z"]]
+    assert [(r.code, r.location) for r in html_table_pairs(rows).orderBy("code").collect()] == [("MIA", "Miami"), ("NYC", "New York")]
+
+
+def test_html_tables_equal_an_html_reader(spark):
+    pick = random.Random(4)
+    pages = [(k, "".join(pick.choice(HTML_PIECES) for _ in range(pick.randrange(0, 40)))) for k in range(400)] + [(-1, None), (-2, "")]
+    rows = spark.createDataFrame(pages, "k int, html string").select("k", F.explode(html_rows("html")).alias("c"))
+    got = {}
+    for r in rows.where(F.size("c") > 0).select("k", F.transform("c", _clean).alias("c")).collect():
+        got.setdefault(r.k, []).append(r.c)
+    assert {k: sorted(v) for k, v in got.items()} == {k: _read(h) for k, h in pages if h and _read(h)}
+    assert 50 < sum(bool(re.search(NESTED, h or "")) for _, h in pages) < 350
+
+
+def test_a_page_of_many_rows(spark):
+    html = "<table>" + "".join(f"<tr><td>AAA<td>place {k}" for k in range(20_000)) + "</table>"
+    assert html_table_pairs(spark.createDataFrame([(html,)], "html string")).distinct().count() == 20_000
