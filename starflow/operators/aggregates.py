@@ -61,3 +61,21 @@ def explode_lookup_collect(df: DataFrame, key_cols: Sequence[str], list_col: str
         F.array_sort(F.collect_list(item)).alias("_items"),
     )
     return agg.select(*key_cols, *carry, join_or_unknown(F.col("_items._val"), sep, default).alias(out_col))
+
+
+def lookup_list(df: DataFrame, list_col: str, lookup_df: DataFrame, lookup_key: str, lookup_value: str, out_col: str,
+                sep: str = ",", default: str = "Unknown") -> DataFrame:
+    """J1/A5/X18/X19 for a lookup that is a code list: each code of a list replaced in place, the names joined by ``sep``.
+
+    The lookup is one map value, from a scalar subquery that Spark evaluates once; rows stay rows, so nothing of
+    ``df`` is exploded or shuffled. A code is found by going through the map, and the map goes to every task, so
+    this is for lists of some hundreds of codes; ``explode_lookup_collect`` joins larger ones. Codes that are not
+    in the map (or have no value) are left out, a list without any becomes ``default``, repeated and null codes of
+    the lookup give their least value and nothing. Rows are not merged by key, as ``explode_lookup_collect`` does.
+    """
+    pairs = lookup_df.select(F.col(lookup_key).cast("string").alias("k"), F.col(lookup_value).cast("string").alias("v")) \
+        .where("k IS NOT NULL AND v IS NOT NULL").groupBy("k").agg(F.min("v").alias("v"))
+    names = pairs.agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m")).scalar()
+    found = F.filter(F.transform(F.col(list_col), lambda c: F.try_element_at(F.col("_names"), c.cast("string"))), lambda v: v.isNotNull())
+    # The subquery is a column first, as lambda functions may not hold one.
+    return df.withColumn("_names", names).withColumn(out_col, join_or_unknown(found, sep, default)).drop("_names")

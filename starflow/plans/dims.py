@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import date_columns, norm_key
-from ..operators import explode_lookup_collect, lookup_default, small_side
+from ..operators import explode_lookup_collect, lookup_default, lookup_list, small_side
 from ..sources import date_spine, date_spine_between
 
 UNKNOWN_COUNTRY = "UNK"
@@ -57,19 +57,22 @@ def dim_date_for_keys(spark: SparkSession, min_key: int | None, max_key: int | N
 
 
 def dim_country(countries: DataFrame, languages: DataFrame, gdp: DataFrame, unknown_member: bool = False,
-                small: bool = False) -> DataFrame:
+                small: bool = False, languages_as_map: bool = True) -> DataFrame:
     """country_id (alpha-3), name, language names joined by ',', GDP per capita (0 when missing).
 
-    Language codes are exploded with ``explode_outer`` so a country with no
-    language list stays, as ``Unknown`` (Q3). GDP joins case-insensitively
+    Languages are a code list and so one map value, by which the codes are
+    replaced in place (``lookup_list``); without ``languages_as_map`` they are
+    joined. A country with no language list stays, as ``Unknown`` (Q3). GDP joins case-insensitively
     (J2); it is first reduced to one row per name key so a duplicated name
     cannot duplicate a country. ``small`` hints the language list and the
     reduced GDP table for broadcasting (``small_side``).
     """
-    langs = explode_lookup_collect(
-        countries.select(F.col("alpha3").alias("country_id"), "name", "languages"),
-        key_cols=["country_id"], list_col="languages", lookup_df=languages, lookup_key="alpha3",
-        lookup_value="name", out_col="languages", carry=["name"], small=small)
+    listed = countries.select(F.col("alpha3").alias("country_id"), "name", "languages")
+    if languages_as_map:
+        langs = lookup_list(listed, "languages", languages, "alpha3", "name", "languages")
+    else:
+        langs = explode_lookup_collect(listed, key_cols=["country_id"], list_col="languages", lookup_df=languages, lookup_key="alpha3",
+                                       lookup_value="name", out_col="languages", carry=["name"], small=small)
     g = gdp.groupBy(norm_key("country").alias("_gk")).agg(F.max("gdp_per_capita").alias("gdp_per_capita"))
     g = small_side(g, small)
     out = lookup_default(langs, g, ["name"], ["_gk"], {"gdp_per_capita": 0.0}, normalize=True) \

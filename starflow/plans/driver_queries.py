@@ -17,7 +17,7 @@ from ..functions import (age_bucket, age_from_birth_year, clean_number, date_col
                          from_day_number, iso_week, norm_key, random_id, split_list, split_location, split_once,
                          stable_id, strip_literal, temperature_bucket)
 from ..operators import (Expectation, check_table, distinct_values, duplicate_keys,
-                         explode_lookup_collect, first_per_group, lookup, lookup_default, profile,
+                         explode_lookup_collect, first_per_group, lookup, lookup_default, lookup_list, profile,
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
 from ..sources import date_spine_between, html_links, html_table_pairs, parse_label_lines, parse_label_text, read_preamble_csv, scan
@@ -160,6 +160,12 @@ def q_explode_lookup_collect(spark, sf):
                                   "nation_names")
 
 
+def q_lookup_list(spark, sf):
+    """The same with the nations as one map value, in place."""
+    c = _t(spark, sf, "customer").select("c_custkey", split_list(_code_list()).alias("codes"))
+    return lookup_list(c, "codes", _t(spark, sf, "nation"), "n_nationkey", "n_name", "nation_names").drop("codes")
+
+
 SQL_EXPLODE_LOOKUP_COLLECT = """
 WITH c AS (SELECT c_custkey,
                   CASE WHEN c_acctbal >= 0 THEN concat_ws(',', CAST(c_nationkey AS VARCHAR),
@@ -1051,6 +1057,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trailing_years_mean": q_trailing_years_mean,
     "first_per_group": q_first_per_group,
     "explode_lookup_collect": q_explode_lookup_collect,
+    "lookup_list": q_lookup_list,
     "dim_country_build": q_dim_country_build,
     "left_join_default": q_left_join_default,
     "composite_key_join": q_composite_key_join,
@@ -1100,6 +1107,7 @@ def oracle_sql() -> dict[str, str]:
         "trailing_years_mean": SQL_TRAILING_YEARS_MEAN,
         "first_per_group": SQL_FIRST_PER_GROUP,
         "explode_lookup_collect": SQL_EXPLODE_LOOKUP_COLLECT,
+        "lookup_list": SQL_EXPLODE_LOOKUP_COLLECT,
         "dim_country_build": SQL_DIM_COUNTRY_BUILD,
         "left_join_default": SQL_LEFT_JOIN_DEFAULT,
         "composite_key_join": SQL_COMPOSITE_KEY_JOIN,

@@ -21,7 +21,7 @@ from __future__ import annotations
 import copy
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,11 +57,13 @@ class Store:
 
     ``tables`` gives the stored columns of each table. Tables named in ``units`` are loaded by extract and
     stored by extract and by that column (an int, part of the frames that are loaded), ordered by ``sort``.
+    ``rules`` puts column rules into what is written (frame, table name); rows that break them fail the write.
     """
 
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, T.StructType],
-                 units: dict[str, str] | None = None, sort: dict[str, Sequence[str]] | None = None):
-        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables
+                 units: dict[str, str] | None = None, sort: dict[str, Sequence[str]] | None = None,
+                 rules: Callable[[DataFrame, str], DataFrame] = lambda df, name: df):
+        self.spark, self.root, self.tables, self.rules = spark, root.rstrip("/"), tables, rules
         self.units, self.sort = units or {}, sort or {}
 
     # ------------------------------------------------------------------ versions
@@ -201,7 +203,7 @@ class Draft:
         load = f"{self.manifest['version']:09d}-{uuid.uuid4().hex[:8]}"
         path = f"{store.root}/{name}/{LOAD}={load}"
         self._written.append(path)
-        rows = df.select(*store.stored(name).names)
+        rows = store.rules(df.select(*store.stored(name).names), name)
         order = [*([EXTRACT, unit] if unit else []), *store.sort.get(name, ())]
         if order:
             rows = rows.sortWithinPartitions(*order)

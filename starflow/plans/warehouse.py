@@ -109,18 +109,22 @@ def _qual(name: str, database: str | None) -> str:
     return f"`{database}`.`{name}`" if database else f"`{name}`"
 
 
-def star_store(spark: SparkSession, root: str) -> Store:
+def star_store(spark: SparkSession, root: str, **options) -> Store:
     """The star tables under ``root``: dimensions replaced by each load, the fact loaded by extract and month."""
     return Store(spark, root, schemas.STAR_TABLES, {FACT: schemas.FACT_PARTITION},
-                 {FACT: ["date_id"], **{d: [schemas.TABLE_KEYS[d]] for d in DIMENSIONS}})
+                 {FACT: ["date_id"], **{d: [schemas.TABLE_KEYS[d]] for d in DIMENSIONS}}, **options)
 
 
 def create_tables(spark: SparkSession, root: str, database: str | None = None) -> None:
-    """Create the star tables if missing, as Parquet tables under ``root``; DDL from the StructTypes."""
+    """Create the star tables if missing, as Parquet tables under ``root``.
+
+    The DDL has their widths and null rules (``schemas.constraints``). Loads write files, not rows through the
+    catalog, so the store that writes them holds the same rules (``catalog_store``).
+    """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name, schema in schemas.STAR_TABLES.items():
-        cols = schemas.ddl_columns(schema)
+        cols = schemas.ddl_columns(schema, name)
         part = ""
         if name == FACT:
             cols += f", `{EXTRACT}` string, `{schemas.FACT_PARTITION}` int"
@@ -137,8 +141,8 @@ def _property(spark: SparkSession, table: str, key: str) -> str:
 
 
 def catalog_store(spark: SparkSession, database: str | None = None) -> Store:
-    """The store behind the catalog's star tables."""
-    return star_store(spark, _property(spark, _qual(FACT, database), _ROOT))
+    """The store behind the catalog's star tables: it refuses nulls and texts that their DDL refuses."""
+    return star_store(spark, _property(spark, _qual(FACT, database), _ROOT), rules=schemas.enforced)
 
 
 def _literal(text: str) -> str:

@@ -5,6 +5,8 @@ Each schema is declared once as a StructType; DDL and checks derive from it.
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S = T.StringType()
@@ -85,6 +87,35 @@ NOT_NULL = {"dim_airport": ["airport_id", "municipality", "state"], "dim_country
 BUSIEST_AIRPORT_MIN_ROWS = 100_000
 
 
-def ddl_columns(schema: T.StructType) -> str:
-    """Column list for CREATE TABLE derived from the StructType."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+#: Text columns of fixed width; other limited ones vary up to their limit.
+FIXED_WIDTH = ("airport_id", "state", "country_id", "ingress_id", "gender", "age_bucket", "temperature_bucket")
+
+
+def constraints(table: str) -> dict[str, tuple[int | None, bool]]:
+    """Most characters (or None), and whether nulls are refused, for each column of a star table; keys are never null."""
+    lengths = MAX_LENGTH[table]
+    return {f.name: (lengths.get(f.name), f.name in NOT_NULL[table] or f.name == TABLE_KEYS[table]) for f in STAR_TABLES[table].fields}
+
+
+def ddl_columns(schema: T.StructType, table: str | None = None) -> str:
+    """Column list for CREATE TABLE derived from the StructType, with a star table's lengths and null rules."""
+    rules, out = constraints(table) if table else {}, []
+    for f in schema.fields:
+        length, required = rules.get(f.name, (None, False))
+        kind = f"{'char' if f.name in FIXED_WIDTH else 'varchar'}({length})" if length else f.dataType.simpleString()
+        out.append(f"`{f.name}` {kind}{' NOT NULL' if required else ''}")
+    return ", ".join(out)
+
+
+def enforced(df: DataFrame, table: str) -> DataFrame:
+    """The frame with a star table's column rules in its columns: the write of a null or a too long text fails."""
+    def checked(name: str, length: int | None, required: bool) -> Column:
+        value = c = F.col(name)
+        if length:
+            value = F.when(F.char_length(c) > length, F.raise_error(F.concat(F.lit(f"{table}.{name} is longer than {length}: "), c))).otherwise(value)
+        if required:
+            value = F.when(c.isNull(), F.raise_error(F.lit(f"{table}.{name} is null"))).otherwise(value)
+        return value.alias(name)
+
+    rules = constraints(table)
+    return df.select(*[checked(c, *rules[c]) if c in rules else F.col(c) for c in df.columns])

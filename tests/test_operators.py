@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starflow.operators import (Expectation, check_table, distinct_values, duplicate_keys, enforce, small_side,
-                                explode_lookup_collect, first_per_group, lookup, lookup_default,
+                                explode_lookup_collect, first_per_group, lookup, lookup_default, lookup_list,
                                 orphan_keys, profile, schema_problems, top_k_counts, trailing_years,
                                 union_all, weekly_mean)
 from starflow import schemas
@@ -171,3 +171,15 @@ def test_first_per_group_window_method(spark):
     assert "WindowGroupLimit" in win2._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         first_per_group(df, ["state"], [F.col("rank")])
+
+
+def test_lookup_list_in_place(spark):
+    rows = [(1, ["a", "b"]), (2, ["b", "zz", "a", "a"]), (3, None), (4, []), (5, [None, "zz"]), (1, ["c", "d"])]
+    df = spark.createDataFrame(rows, "k int, codes array<string>")
+    names = spark.createDataFrame([("a", "Alpha"), ("b", "Beta"), ("a", "Zeta"), ("c", None), (None, "None")], "code string, name string")
+    out = lookup_list(df, "codes", names, "code", "name", "names")
+    assert [r.names for r in out.collect()] == ["Alpha,Beta", "Beta,Alpha,Alpha", "Unknown", "Unknown", "Unknown", "Unknown"]
+    assert out.columns == ["k", "codes", "names"]
+    assert [r.codes for r in lookup_list(df, "codes", names.limit(0), "code", "name", "codes").collect()] == ["Unknown"] * 6
+    main = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Exchange" not in main and "Generate" not in main and "Join" not in main

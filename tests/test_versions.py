@@ -246,3 +246,26 @@ def test_run_names_extracts_and_reruns_replace_them(spark, fixtures_dir):
     pipeline.run(spark, twice, out, TH, load_catalog=True, database=db)
     assert {r["extract_id"]: r["count"] for r in spark.table(f"{db}.fact_ingress").groupBy("extract_id").count().collect()} == {"april": 8, "again": 8}
     warehouse.drop_tables(spark, db)
+
+
+def test_column_rules_in_the_ddl_and_on_write(spark):
+    db = "starflow_rules"
+    warehouse.create_tables(spark, scratch_path(spark, "rules"), db)
+    ddl = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE {db}.dim_airport").collect()}
+    assert ddl == {"airport_id": "char(4)", "name": "varchar(128)", "municipality": "varchar(64)", "state": "char(2)"}
+    fact_ddl = spark.sql(f"SHOW CREATE TABLE {db}.fact_ingress").collect()[0][0]
+    assert "ingress_id CHAR(36)" in fact_ddl and "gender CHAR(1)" in fact_ddl
+    good = ("KJFK", "Kennedy", "New York", "NY")
+    schema = "airport_id string, name string, municipality string, state string"
+    warehouse.load_dimensions(spark, {"dim_airport": spark.createDataFrame([good, ("KX", None, "é" * 64, "N")], schema)}, db)
+    for bad, why in ((("KJFKX", "x", "x", "NY"), "airport_id is longer than 4"), ((None, "x", "x", "NY"), "airport_id is null"),
+                     (("KMIA", "x" * 129, "x", "NY"), "name is longer than 128"), (("KMIA", "x", None, "NY"), "municipality is null")):
+        with pytest.raises(Exception, match=why):
+            warehouse.load_dimensions(spark, {"dim_airport": spark.createDataFrame([good, bad], schema)}, db)
+    assert {r.airport_id.strip() for r in spark.table(f"{db}.dim_airport").collect()} == {"KJFK", "KX"}
+    with pytest.raises(Exception, match="gender is longer than 1"):
+        warehouse.load_fact(spark, _star_fact(spark, [20160401]).withColumn("gender", F.lit("MM")), database=db, extract="x")
+    with pytest.raises(Exception, match="ingress_id is null"):
+        warehouse.load_fact(spark, _star_fact(spark, [20160401]).withColumn("ingress_id", F.lit(None).cast("string")), database=db, extract="x")
+    assert spark.table(f"{db}.fact_ingress").count() == 0
+    warehouse.drop_tables(spark, db)
