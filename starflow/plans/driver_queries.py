@@ -12,7 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schemas
 from ..functions import (age_bucket, age_from_birth_year, clean_number, date_columns, date_key, default_code,
                          from_day_number, iso_week, norm_key, random_id, split_list, split_location, split_once,
                          stable_id, strip_literal, temperature_bucket)
@@ -21,7 +23,7 @@ from ..operators import (Expectation, check_table, distinct_values, duplicate_ke
                          top_k_counts, trailing_years, union_all, weekly_mean)
 from ..session import scratch_path
 from ..sources import date_spine_between, html_links, html_table_pairs, parse_label_lines, parse_label_text, read_preamble_csv, scan
-from . import dims, facts, load_queries, staging, warehouse
+from . import dims, facts, load_queries, staging, versions, warehouse
 from .query_helpers import _BIRTH_SQL, _age_case, _birth_year, _date_key_sql, _port_letters, _t, _table, _taken, _temp_case, _written_csv
 from .staging import stage_country_labels
 
@@ -533,6 +535,27 @@ GROUP BY 1, 2, 3
 """
 
 
+# --------------------------------------------------------------------------- C17 J9 on a stored fact
+def _stored_star(spark, sf) -> tuple[DataFrame, versions.Store]:
+    """The star query over a fact stored by year of delivery and month, in files ordered by airport, so that the month
+    of the date dimension prunes partitions as the query runs, and an airport's rows lie together."""
+    fact = warehouse.with_load_unit(build_fact(spark, sf)).withColumn(
+        versions.EXTRACT, F.floor(F.col("date_id") / 10000).cast("string"))
+    columns = T.StructType([f for f in fact.schema.fields if f.name not in (versions.EXTRACT, schemas.FACT_PARTITION)])
+    store = versions.Store(spark, scratch_path(spark, "star"), {"fact": columns}, {"fact": schemas.FACT_PARTITION}, {"fact": ["airport_id", "date_id"]})
+    with store.begin() as draft:
+        draft.load("fact", fact)
+    dd, dc, da = _star_dims(spark, sf)
+    j = warehouse.star_query(store.read("fact"), dd, dc, da, date_where=(F.col("year") == 1997) & (F.col("month") == 4),
+                             airport_where=F.col("state") == "AMERICA")
+    return j.groupBy("country_name", "age_bucket", "temperature_bucket").agg(F.count(F.lit(1)).alias("n")), store
+
+
+def q_star_query_stored(spark, sf):
+    star, store = _stored_star(spark, sf)
+    return load_queries.rows_then_gone(star, store.root)
+
+
 # --------------------------------------------------------------------------- O1 O2 O4 on the star
 def q_star_sorted_preview(spark, sf):
     """The star query's ORDER BY ... LIMIT: the most frequent groups, ties by name."""
@@ -1067,6 +1090,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_build": q_fact_build,
     "fact_ingress_build": q_fact_ingress_build,
     "star_query": q_star_query,
+    "star_query_stored": q_star_query_stored,
     "top_k_counts": q_top_k_counts,
     "conditional_counts": q_conditional_counts,
     "distinct_values": q_distinct_values,
@@ -1117,6 +1141,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_build": SQL_FACT_BUILD,
         "fact_ingress_build": SQL_FACT_INGRESS_BUILD,
         "star_query": SQL_STAR_QUERY,
+        "star_query_stored": SQL_STAR_QUERY,
         "top_k_counts": SQL_TOP_K_COUNTS,
         "conditional_counts": SQL_CONDITIONAL_COUNTS,
         "distinct_values": SQL_DISTINCT_VALUES,

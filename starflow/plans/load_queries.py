@@ -16,7 +16,7 @@ from . import pipeline, staging, versions, warehouse
 from .query_helpers import _BIRTH_SQL, _age_case, _birth_year, _date_key_sql, _port_letters, _t, _temp_case, _written_csv
 
 
-def _rows_then_gone(df: DataFrame, *folders: str) -> DataFrame:
+def rows_then_gone(df: DataFrame, *folders: str) -> DataFrame:
     """The few rows of ``df``, read before the folders that it reads go."""
     rows, schema = df.collect(), df.schema
     for folder in folders:
@@ -48,7 +48,7 @@ def q_fact_incremental_load(spark, sf):
     store.expire(1)
     counts = store.read("orders").groupBy(schemas.FACT_PARTITION).agg(
         F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("n_keys"), F.count_distinct(extract).alias("n_extracts"))
-    return _rows_then_gone(counts, store.root)
+    return rows_then_gone(counts, store.root)
 
 
 SQL_FACT_INCREMENTAL_LOAD = """
@@ -173,7 +173,7 @@ def _whole_run(spark, sf, after: Callable[[str, str], None] = lambda root, datab
     try:
         pipeline.run(spark, inputs, f"{root}/star", THRESHOLDS, load_catalog=True, database=database)
         after(f"{root}/star", database)
-        return _rows_then_gone(_loaded(spark, database), root, inputs.temperatures, inputs.gdp, inputs.airports, inputs.countries, inputs.languages)
+        return rows_then_gone(_loaded(spark, database), root, inputs.temperatures, inputs.gdp, inputs.airports, inputs.countries, inputs.languages)
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
 
@@ -242,7 +242,7 @@ FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAS
 def q_csv_stage_gdp(spark, sf):
     """GDP per country from a latin-1 CSV with a preamble; aggregate regions, other years and series dropped."""
     path = _written_csv(_gdp(spark, sf), "gdp", header=False, encoding="ISO-8859-1")
-    return _rows_then_gone(staging.stage_gdp(spark, path), path)
+    return rows_then_gone(staging.stage_gdp(spark, path), path)
 
 
 SQL_CSV_STAGE_GDP = "SELECT upper(n_name) AS country, CAST(n_nationkey * 1234.5 AS DOUBLE) AS gdp_per_capita FROM nation"
@@ -254,7 +254,7 @@ def q_csv_stage_countries(spark, sf):
     paths = _written_csv(_countries(nations), "countries"), _written_csv(_languages(spark, sf), "languages")
     c = staging.stage_countries(spark, paths[0]).select("alpha3", "name", F.explode_outer("languages").alias("code"))
     names = staging.stage_languages(spark, paths[1]).select(F.col("alpha3").alias("code"), F.col("name").alias("language"))
-    return _rows_then_gone(c.join(names, "code", "left").select("alpha3", "name", "code", "language"), *paths)
+    return rows_then_gone(c.join(names, "code", "left").select("alpha3", "name", "code", "language"), *paths)
 
 
 SQL_CSV_STAGE_COUNTRIES = """

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starflow.plans import pipeline, versions, warehouse
+from starflow.plans import driver_queries, pipeline, versions, warehouse
 from starflow.session import scratch_path
 from test_pipeline import TH, make_inputs
 
@@ -269,3 +269,13 @@ def test_column_rules_in_the_ddl_and_on_write(spark):
         warehouse.load_fact(spark, _star_fact(spark, [20160401]).withColumn("ingress_id", F.lit(None).cast("string")), database=db, extract="x")
     assert spark.table(f"{db}.fact_ingress").count() == 0
     warehouse.drop_tables(spark, db)
+
+
+def test_star_query_prunes_a_stored_fact(spark):
+    star, store = driver_queries._stored_star(spark, "/root/testdata/sf0.001")
+    rows = star.collect()
+    plan = star._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "ingress_id" not in line and "date_id" in line)
+    assert rows and "dynamicpruning" in scan and "month_id" in scan.split("PartitionFilters")[1]
+    months = store.read("fact").select("month_id").distinct().count()
+    assert months > 50 and len(store.ledger().collect()) >= 6
