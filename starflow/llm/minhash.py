@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starflow.llm.common import Scratch, small, table
+from starflow.llm.common import Scratch, fresh, small, table
 from starflow.llm.components import components
 from starflow.llm.words import batches_of, mix
 
@@ -228,12 +228,12 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", _kept().alias("kept"))
 
 
-def _with_class(size: int):
+def _with_class(size: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             keys = [class_key(s) if len(s) else None for s in _sets(b, "text", size)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())],
-                                             names=[*b.schema.names, "_minhash_cls"])
+                                             names=[*b.schema.names, name])
 
     return run
 
@@ -245,17 +245,15 @@ def one_of_each(docs: DataFrame, scratch: Scratch, words: int = 5) -> DataFrame:
     so rows then go by the class of their text, and one row of each group stays.
     """
     found = scratch.store(groups(docs, scratch, words), "found")
+    cls, root, ident = (fresh(docs, f"_minhash_{n}") for n in ("cls", "root", "id"))
     if found.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").isEmpty():
-        goes = scratch.store(found.filter(~_kept()).select(F.col("doc_id").alias("_minhash_id")), "goes")
-        return docs.join(_sent(goes), F.col("doc_id") == F.col("_minhash_id"), "left_anti")
-    named = docs.mapInArrow(_with_class(words), T.StructType([*docs.schema.fields]).add("_minhash_cls", "binary"))
-    group = found.filter("n_shingles > 0").select(
-        F.col("cls").alias("_minhash_cls"), F.col("root").alias("_minhash_root"),
-        F.col("component_id").alias("_minhash_id")).distinct()
-    rows = named.join(scratch.store(group, "named"), "_minhash_cls", "left")
-    empty = rows.filter("_minhash_cls IS NULL")
-    first = (rows.filter(F.col("_minhash_cls").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_minhash_id")))
-             .dropDuplicates(["_minhash_root"]))
+        goes = scratch.store(found.filter(~_kept()).select(F.col("doc_id").alias(ident)), "goes")
+        return docs.join(_sent(goes), F.col("doc_id") == F.col(ident), "left_anti")
+    named = docs.mapInArrow(_with_class(words, cls), T.StructType([*docs.schema.fields]).add(cls, "binary"))
+    group = found.filter("n_shingles > 0").select(F.col("cls").alias(cls), F.col("root").alias(root), F.col("component_id").alias(ident)).distinct()
+    rows = named.join(scratch.store(group, "named"), cls, "left")
+    empty = rows.filter(F.col(cls).isNull())
+    first = rows.filter(F.col(cls).isNotNull() & F.col("doc_id").eqNullSafe(F.col(ident))).dropDuplicates([root])
     return empty.unionAll(first).select(*docs.columns)
 
 

@@ -47,11 +47,13 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def with_revisits(pages: DataFrame, scratch: Scratch, min_bytes: int = 0) -> DataFrame:
-    """``pages`` (id, url, payload) with payload_bytes, digest and, for revisits, refers_to (the largest equal id).
+    """id, url and payload of ``pages``, with payload_bytes, digest and, for revisits, refers_to (the largest equal id).
+
+    Other columns, of whatever name, have no place in a record and are left out.
 
     Equal payloads are counted before any join, and only ids that revisit another are joined back.
     """
-    pages = pages.withColumn("payload", F.coalesce("payload", F.lit("")))
+    pages = pages.select("id", "url", F.coalesce("payload", F.lit("")).alias("payload"))
     sized = pages.withColumns({"payload_bytes": F.octet_length("payload").cast("long"),
                                "digest": base32_sha1(F.col("payload").cast("binary"))})
     ids = scratch.store(sized.filter(F.col("payload_bytes") >= min_bytes).select("id", "digest"), "digests")
@@ -158,6 +160,31 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(key, rows, at)
 
 
+def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of splits with their places from the split's first piece; a row without ``at`` gives a split's length."""
+    def row(key, at, total, value) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{"file": key[0], "block": key[1], "at": at, "total": total, "value": value}], schema=schema)
+
+    schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("total", pa.int64()), ("value", pa.binary())])
+    key, at = None, 0
+    for b in batches:
+        for file, block, value in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (file, block) != key:
+                if key is not None:
+                    yield row(key, None, at, None)
+                key, at = (file, block), 0
+            yield row(key, at, None, value)
+            at += len(value) + _M
+    if key is not None:
+        yield row(key, None, at, None)
+
+
+def _based(totals: DataFrame) -> DataFrame:
+    """file, block, and the length of all the file's splits before it."""
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("file", "block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+
+
 def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
     """Follow the chain from where it enters a split; ``true`` marks its records."""
     pdf = pdf.sort_values("at")
@@ -171,9 +198,11 @@ def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _assemble(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One record from its pieces."""
-    pdf = pdf.sort_values("seg")
+    """One record from its pieces, which must follow one another without a gap."""
+    pdf = pdf.sort_values("at")
     value = MAGIC.encode().join(bytes(v) for v in pdf["value"])
+    if len(value) + _M != int(pdf["until"].iloc[0] - pdf["owner"].iloc[0]):
+        raise RuntimeError(f"{pdf['file'].iloc[0]} was read in other splits while its records were put together; read it again")
     first = value.find(END.encode()) + len(END)
     payload = value[first:first + int(pdf["length"].iloc[0])]
     return pd.DataFrame({"file": pdf["file"].iloc[:1], "owner": pdf["owner"].iloc[:1], "payload": [payload],
@@ -189,11 +218,8 @@ def read_warc(spark: SparkSession, path: str, scratch: Scratch, payload: bool =
            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                    F.monotonically_increasing_id().alias("seg"), F.col("value").cast("binary").alias("value")))
     links = scratch.store(seg.mapInArrow(_links, _LINKS), "links")
-    per_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = scratch.store(
-        links.filter(F.col("at").isNull()).select("file", "block", "total")
-        .withColumn("base", F.coalesce(F.sum("total").over(per_file), F.lit(0))), "blocks")  # a row per split
-    placed = (links.filter(F.col("at").isNotNull()).drop("total").join(blocks.drop("total"), ["file", "block"])
+    blocks = scratch.store(_based(links.filter(F.col("at").isNull())), "blocks")  # a row per split
+    placed = (links.filter(F.col("at").isNotNull()).drop("total").join(blocks, ["file", "block"])
               .withColumns({c: F.when(F.col(c) >= 0, F.col(c) + F.col("base")) for c in ("at", "next", "leave")})
               .drop("base"))
     reached = _entries(blocks, placed, scratch)
@@ -215,10 +241,14 @@ def read_warc(spark: SparkSession, path: str, scratch: Scratch, payload: bool =
         .withColumns({"owner": F.last(F.when(F.col("true"), F.col("at")), True).over(last),
                       "length": F.last(F.when(F.col("true"), F.col("payload_bytes")), True).over(last),
                       "until": F.last(F.when(F.col("true"), F.col("next")), True).over(last)})
-        .filter(F.col("at") < F.col("until")).select("file", "seg", "owner", "length"), "parts")
+        .filter(F.col("at") < F.col("until")).select("file", "at", "owner", "length", "until"), "parts")
     if not payload and parts.isEmpty():
         return records.select(*keep)
-    again = (seg.join(parts, ["file", "seg"]).select("file", "owner", "seg", "length", "value")
+    # Pieces go by file and byte: the second reading may be in other splits than the first.
+    pieces = seg.select("file", "block", "value").mapInArrow(_offsets, "file string, block long, at long, total long, value binary")
+    based = _based(pieces.filter(F.col("at").isNull()))
+    pieces = pieces.filter(F.col("at").isNotNull()).join(based, ["file", "block"]).select("file", (F.col("at") + F.col("base")).alias("at"), "value")
+    again = (pieces.join(parts, ["file", "at"]).select("file", "owner", "at", "length", "until", "value")
              .groupBy("file", "owner").applyInPandas(_assemble, "file string, owner long, payload binary, "
                                                                 "p_digest string"))
     whole = (records.join(again, (records["file"] == again["file"]) & (records["at"] == again["owner"]), "left")

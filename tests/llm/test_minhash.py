@@ -76,3 +76,13 @@ def test_signature_share_estimates_similarity():
     x = rng.integers(0, 1 << 63, 3000, np.uint64)
     a, b = minhash.signature(x[:2700]), minhash.signature(x[300:])
     assert abs((a == b).mean() - 0.8) < 0.15
+
+
+def test_stage_with_clashing_names(spark):
+    text = "one two three four five six seven eight"
+    rows = [(1, text, "a", "b", "c"), (2, text, "a", "b", "c"), (3, "other words", "a", "b", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _minhash_id string, _minhash_cls string, _minhash_root string")
+    for docs, ids in ((df, [1, 3]), (df.unionAll(df), [1, 3])):
+        out = minhash.stage(spark, docs, "")
+        assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == ids
+        assert all(r["_minhash_id"] == "a" for r in out.collect())

@@ -54,3 +54,33 @@ def test_empty_table(spark):
 
 def test_query_matches_sql(spark):
     assert collected(warc.op1_warc(spark, SF)) == rows_of(warc.OP1_SQL)
+
+
+class _OtherSplits(Scratch):
+    """Changes the size of splits after the first reading."""
+
+    def store(self, df, name):
+        out = super().store(df, name)
+        if name == "parts":
+            self.spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        return out
+
+
+def test_second_reading_in_other_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    scratch = _OtherSplits(spark, "t")
+    df = spark.createDataFrame(PAGES, "id long, url string, payload string").repartition(2)
+    warc.write_warc(warc.with_revisits(df, Scratch(spark, "t")), scratch.path("a"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+    try:
+        got = warc.read_warc(spark, scratch.path("a"), scratch).select("digest", "id", "kind", "payload_bytes", "refers_to").collect()
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "700"
+        assert sorted((tuple(r) for r in got), key=repr) == expected(PAGES)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_clashing_columns_have_no_place_in_a_record(spark):
+    df = spark.createDataFrame([(1, "u", "p", "x", "y", "z")], "id long, url string, payload string, digest string, refers_to string, r_id string")
+    out = warc.with_revisits(df, Scratch(spark, "t"))
+    assert sorted(out.columns) == ["digest", "id", "payload", "payload_bytes", "refers_to", "url"] and out.first()["refers_to"] is None
