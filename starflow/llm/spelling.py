@@ -39,6 +39,8 @@ WORDS_A_BLOCK = 4
 LONG = 256
 #: Edits generated at a time.
 EDITS = 1 << 20
+#: Words that a task generates edits for: some hundreds of probes a word make a small table much work.
+WORDS_A_TASK = 20_000
 #: A word's form occurs at least so many times as often.
 RATIO = 10
 _BITS = 5
@@ -184,9 +186,10 @@ def near_pairs(words: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     letters = words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c")).where("c <> ''").distinct()
     letters = np.array(sorted(ord(r["c"]) for r in letters.collect()), np.uint32)
     layout = Layout(counts, blocks)
-    found = _positives(words, layout, 0, letters)
+    dealt = words.repartition(-(-max(1, sum(counts.values())) // WORDS_A_TASK), "number")
+    found = _positives(dealt, layout, 0, letters)
     for which in range(1, layout.filters):
-        found = found.unionAll(_positives(words, layout, which, letters))
+        found = found.unionAll(_positives(dealt, layout, which, letters))
     right = words.select(F.col("number").alias("b"), F.col("word").alias("word_b"), "hash")
     left = words.select(F.col("number").alias("a"), F.col("word").alias("word_a"))
     hits = found.join(right, "hash").where("number <> b")   # the filter's false positives end here
