@@ -74,7 +74,8 @@ def test_building_a_plan_starts_no_job_but_schema_reads(spark):
     """Each read of a table looks at one file's schema; queries that write tables or files of their own aside."""
     tracker = spark.sparkContext.statusTracker()
     writes = {"full_refresh_load", "append_load", "partition_overwrite_load", "fact_incremental_load", "post_load_checks",
-              "label_file_parse", "preamble_csv", "csv_stage_airports", "csv_stage_temperatures"}
+              "label_file_parse", "preamble_csv", "csv_stage_airports", "csv_stage_temperatures", "csv_stage_gdp", "csv_stage_countries",
+              "whole_run", "failed_load_kept", "star_query_stored"}
 
     def jobs(group, build):
         spark.sparkContext.setJobGroup(group, group)
