@@ -138,6 +138,23 @@ def test_profile_is_type_aware(spark):
     assert got["i"] == ("int", 3, 1, 1, 0, 0)
 
 
+def test_profile_counts_distinct_values_without_expand(spark):
+    df = spark.range(0, 3000, 1, 4).select(
+        (F.col("id") % 7 - 3).alias("column"), F.when(F.col("id") % 5 > 0, F.col("id").cast("string")).alias("v"),
+        (F.col("id") % 3 * F.lit(-0.0)).alias("zero"), F.timestamp_seconds(F.col("id") % 11).alias("at"),
+        (F.col("id") % 13).cast("decimal(30,4)").alias("h1"), F.array(F.col("id") % 2).alias("a.b"))
+    out = profile(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert [r.column_name for r in out.collect()] == df.columns
+    exact = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
+    assert {r.column_name: r.distinct for r in out.collect()} == exact.asDict()
+    assert {(r.column_name, r.nulls) for r in out.collect() if r.nulls} == {("v", 600)}
+    assert all(r.rows == 3000 for r in out.collect())
+    none = profile(df.limit(0), columns=["v", "at"])
+    assert [tuple(r)[2:] for r in none.collect()] == [(0, 0, 0, 0, 0)] * 2
+
+
 def test_schema_problems(spark):
     df = spark.createDataFrame([(1, "x")], "value int, description string")
     assert schema_problems(df, schemas.COUNTRY_LABELS) == []
