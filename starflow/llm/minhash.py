@@ -2,7 +2,7 @@
 
 1. Each text's set of distinct word shingles (as 64-bit hashes) gives a class key
    (a digest of the whole set), 128 universal hash minima and 32 band keys. Texts
-   with equal sets are one class from here on.
+   with equal sets are one class from here on, and classes go by a number.
 2. In each bucket of a band every class is tied to the least class there, so a
    bucket of n classes gives n - 1 ties and no pairs. Components of these ties are
    candidate clusters: two classes that share any bucket are in one cluster.
@@ -15,6 +15,9 @@
 
 A pair of similarity 0.8 shares no band with a probability below 1e-7.
 
+Texts are found again by their ids; those of ids that name no single text (null
+or repeated) by their class.
+
 Defined results. A null, empty or blank text has an empty set, and is a group of
 its own. Repeated rows are members of one group. Null ids belong to groups but
 give no group id; ``kept`` is false for them unless the whole group has no id. An
@@ -120,8 +123,8 @@ def _sketch(size: int):
 
 
 def _with_sets(size: int):
-    """(root, pair of blocks, cls, sig, members) of rows whose text has the class looked for (ids may be repeated)."""
-    schema = pa.schema([("root", pa.binary()), ("block", pa.int64()), ("blocks", pa.int64()), ("cls", pa.binary()),
+    """(root, block, blocks, num, sig, members) of rows whose text has the class looked for."""
+    schema = pa.schema([("root", pa.int64()), ("block", pa.int64()), ("blocks", pa.int64()), ("num", pa.int64()),
                         ("sig", pa.binary()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +134,7 @@ def _with_sets(size: int):
                 if class_key(found) == wanted[k].as_py():
                     rows.append((k, signature(found).astype(np.uint8).tobytes(), found.tobytes()))
             if rows:
-                own = b.select(["root", "block", "blocks", "cls"]).take(pa.array([k for k, _, _ in rows]))
+                own = b.select(["root", "block", "blocks", "num"]).take(pa.array([k for k, _, _ in rows]))
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array([x for _, x, _ in rows], pa.binary()),
                                                   pa.array([x for _, _, x in rows], pa.binary())], schema=schema)
 
@@ -141,7 +144,7 @@ def _with_sets(size: int):
 def _link(percent: int):
     """Links of one cluster, or of one pair of its blocks: a row (u, v) for each class but one of a group."""
     def run(found: pa.Table) -> pa.Table:
-        rows = dict(zip(found["cls"].to_pylist(), zip(found["sig"].to_pylist(), found["members"].to_pylist(),
+        rows = dict(zip(found["num"].to_pylist(), zip(found["sig"].to_pylist(), found["members"].to_pylist(),
                                                       strict=True), strict=True))
         order = sorted(rows, key=lambda c: (len(rows[c][1]), c))
         sets = [np.frombuffer(rows[c][1], np.uint64) for c in order]
@@ -172,8 +175,8 @@ def _link(percent: int):
                     if group[j] != group[i]:
                         links.append((order[i], order[j]))
                         group[group == group[j]] = group[i]
-        return pa.table({"u": pa.array([u for u, _ in links], pa.binary()),
-                         "v": pa.array([v for _, v in links], pa.binary())})
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()),
+                         "v": pa.array([v for _, v in links], pa.int64())})
 
     return run
 
@@ -183,6 +186,25 @@ def _sent(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
 
 
+def _texts(docs: DataFrame, sketch: DataFrame, wanted: DataFrame, scratch: Scratch, words: int) -> DataFrame:
+    """``docs``' texts with the rows of ``wanted`` (written) that they stand for, one text a class.
+
+    By id, but for ids that are null or on several rows: a join by such an id would be a product, so those rows'
+    classes are made again and joined.
+    """
+    vague = scratch.store(sketch.filter("n > 0").groupBy("doc_id").agg(F.count("*").alias("rows"))
+                          .filter("doc_id IS NULL OR rows > 1").select(F.col("doc_id").alias("vague_id")), "vague")
+    if vague.isEmpty():
+        return docs.join(_sent(wanted), F.col("doc_id") == F.col("first_id"))
+    is_vague = F.col("first_id").eqNullSafe(F.col("vague_id"))
+    by_id = scratch.store(wanted.join(vague, is_vague, "left_anti"), "by-id")
+    by_class = scratch.store(wanted.join(vague, is_vague, "left_semi"), "by-class")
+    again = (docs.join(vague, F.col("doc_id").eqNullSafe(F.col("vague_id")), "left_semi")
+             .mapInArrow(_with_class(words, "cls"), "doc_id long, text string, cls binary"))
+    return docs.join(_sent(by_id), F.col("doc_id") == F.col("first_id")).unionByName(
+        again.join(by_class, "cls").dropDuplicates(["cls"]))
+
+
 def groups(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, cls, root, component_id) of each row of ``docs`` (doc_id, text).
 
@@ -191,25 +213,29 @@ def groups(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int = PER
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sketch = scratch.store(docs.mapInArrow(_sketch(words), "doc_id long, cls binary, n long, bands array<long>"), "sketch")
     classes = scratch.store(sketch.filter("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    keys = classes.select("cls", F.explode("bands").alias("key"))
-    least = keys.groupBy("key").agg(F.min("cls").alias("v"), F.count("*").alias("many")).filter("many > 1").drop("many")
-    ties = keys.join(least, "key").select(F.col("cls").alias("u"), "v").filter("u <> v")
+        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .withColumn("num", F.monotonically_increasing_id()), "classes")
+    keys = classes.select("num", F.explode("bands").alias("key"))
+    # Written, so that the join below may split a bucket of very many classes.
+    least = scratch.store(keys.groupBy("key").agg(F.min("num").alias("v"), F.count("*").alias("many"))
+                          .filter("many > 1").drop("many"), "least")
+    ties = keys.join(least, "key").select(F.col("num").alias("u"), "v").filter("u <> v")
     clusters = components(ties, scratch, "clusters")
-    members = scratch.store(clusters.join(classes.drop("bands"), F.col("node") == F.col("cls")).drop("node"), "members")
+    scratch.drop("least")
+    members = scratch.store(clusters.join(classes.drop("bands"), F.col("node") == F.col("num")).drop("node"), "members")
     blocks = members.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    wanted = scratch.store(members.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    wanted = scratch.store(members.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")))
                            .drop("n"), "wanted")
-    texts = docs.join(_sent(wanted), docs["doc_id"].eqNullSafe(wanted["first_id"]))
-    sets = texts.mapInArrow(_with_sets(words), "root binary, block long, blocks long, cls binary, sig binary, members binary")
+    sets = _texts(docs, sketch, wanted, scratch, words).mapInArrow(
+        _with_sets(words), "root long, block long, blocks long, num long, sig binary, members binary")
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(
         F.least(k, F.col("block")).alias("a"), F.greatest(k, F.col("block")).alias("b")))
     links = scratch.store(
-        sets.withColumn("pair", F.explode(pairs)).select("root", "pair", "cls", "sig", "members")
-        .groupBy("root", "pair").applyInArrow(_link(percent), "u binary, v binary"), "links")
+        sets.withColumn("pair", F.explode(pairs)).select("root", "pair", "num", "sig", "members")
+        .groupBy("root", "pair").applyInArrow(_link(percent), "u long, v long"), "links")
     grouped = components(links, scratch, "groups")
-    rooted = classes.select("cls", "first_id").join(grouped, F.col("cls") == F.col("node"), "left")
-    rooted = scratch.store(rooted.select("cls", "first_id", F.coalesce("root", "cls").alias("root")), "rooted")
+    rooted = classes.select("num", "cls", "first_id").join(grouped, F.col("num") == F.col("node"), "left")
+    rooted = scratch.store(rooted.select("cls", "first_id", F.coalesce("root", "num").alias("root")), "rooted")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = scratch.store(rooted.drop("first_id").join(ids, "root"), "labels")
     joined = sketch.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(labels, "cls", "left")

@@ -2,10 +2,11 @@ import random
 
 import numpy as np
 from helpers import SF, duck, near_groups, shingle_set
+from pyspark.sql import functions as F
 
 from starflow.llm import minhash
 from starflow.llm.common import Scratch
-from starflow.llm.components import components
+from starflow.llm.components import _large_star, _small_star, components
 
 
 def expected(rows, size):
@@ -71,6 +72,48 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {k: 0 for k in range(61)} | {1000 + k: 1000 for k in range(90)}
 
 
+def test_a_node_with_many_neighbours_is_split(spark):
+    """With the sizes that count as skewed set low, both joins are split."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "40",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    scratch = Scratch(spark, "t")
+    def star(centre):
+        return scratch.store(spark.range(1, 40_000, 1, 16).select(
+            F.when(F.col("id") % 3 > 0, centre).otherwise(F.col("id") * 100_000 + 7).alias("u"), F.col("id").alias("v")), f"star{centre}")
+
+    # The steps' joins are on nodes with larger and with smaller neighbours.
+    stars = [(_large_star, star(0)), (_small_star, star(50_000))]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for step, edges in stars:
+            out = step(edges, scratch, step.__name__)
+            assert len(out.collect()) == 39_999
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_null_and_repeated_ids(spark):
+    """Ids that name no single text: groups are still those of the texts, and no join by id is a product."""
+    rng = random.Random(9)
+    near = list(family(rng, 30, 60, 2))
+    rows = [(None, t) for t in near[:20]] + [(7, t) for t in near[20:]] + [(8, "a b c d e")] * 50
+    rows += [(7, "p q r s t u v w"), (9, "p q r s t u v w"), (None, None), (10, near[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = minhash.groups(df, Scratch(spark, "t"), 4).collect()
+    group = near_groups(rows, 4)
+    least = {}
+    for (i, _), g in zip(rows, group, strict=True):
+        least[g] = min((x for x in (i, least.get(g)) if x is not None), default=None)
+    want = [(i, len(shingle_set(t, 4)), least[g] if t else i) for (i, t), g in zip(rows, group, strict=True)]
+    assert sorted(map(repr, want)) == sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got)
+
+
 def test_signature_share_estimates_similarity():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 3000, np.uint64)
