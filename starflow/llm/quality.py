@@ -1,12 +1,13 @@
 """Quality by weak supervision, in DataFrame expressions only.
 
-Rules vote for or against a text or abstain. Expectation-maximisation over the
-counts of all vote patterns (at most three to the power of the rules, however
-many documents) estimates how often each rule is right on good and on bad
+Ten rules, overlapping and each wrong at times, vote for or against a text or
+abstain. Expectation-maximisation over the counts of all vote patterns (at most
+three to the power of the rules, however many documents) estimates how often each rule is right on good and on bad
 texts, and the share of good texts; the posterior probability of a good text
 then replaces the demand that every rule be passed. A bounded sample of labelled
 documents keeps its classes through all rounds and so fixes which class is the
-good one; a rule that is often wrong on good texts is outvoted by the others.
+good one; all other documents weigh as much as those. A rule that is often wrong
+on good texts is outvoted by the others.
 
 Defined results. A null or blank text has no words, so it fails the base
 rules. Repeated rows are scored alike, each on its own. A null id is kept as
@@ -33,10 +34,8 @@ ROUNDS = 40
 TOLERANCE = 1e-4
 #: About so many labelled documents are used at most, chosen by a hash of their ids.
 LABELLED = 10_000
-#: What all unlabelled texts weigh together, as a share of the labelled ones (and a text never more than a labelled one).
-#: At equal weight the likelihood is highest where one kind of junk counts as good, as each kind breaks one or two rules only.
-UNLABELLED_WEIGHT = 0.1
-#: Without labels: class balance and the most votes against that a rule may cast on good texts, for the same reason.
+#: Without labels: class balance and the most votes against that a rule may cast on good texts, as the likelihood alone
+#: may take a kind of junk that breaks few rules for good.
 GOOD_SHARE = 0.75
 MAX_FALSE_ALARM = 0.005
 #: A text is kept from this posterior probability of being good on.
@@ -44,6 +43,8 @@ KEEP_FROM = 0.5
 
 _BREAK = r"[\x20\x09-\x0D]+"
 MEASURES = "_quality_measures"
+#: A line that ends as sentences, headings, quotes and lists do.
+ENDED = r'[.!?:;…"”»)][\x20\x09-\x0D]*$'
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -98,7 +99,11 @@ def measures(text: Column) -> Column:
         _count_of(text, r"[#*$%&|<>]").alias("n_symbols"),
         long(F.size(rows) - F.size(F.array_distinct(rows))).alias("n_dup_lines"),
         repeat_words(w).alias("n_repeat_words"), long(F.size(rows)).alias("n_lines"),
-        _count_of(text, r"\p{Lu}").alias("n_capitals"), _count_of(text, "[!?]").alias("n_cries"))))
+        _count_of(text, r"\p{Lu}").alias("n_capitals"), _count_of(text, "[!?]").alias("n_cries"),
+        long(F.size(F.filter(w, lambda x: x.rlike(r"\p{L}")))).alias("n_letter_words"),
+        long(F.size(F.filter(w, lambda x: F.length(x) <= 3))).alias("n_short_words"),
+        long(F.size(F.filter(w, lambda x, k: x == F.get(w, k - 1)))).alias("n_stutters"),
+        long(F.size(F.filter(rows, lambda line: line.rlike(ENDED)))).alias("n_ended_lines"))))
 
 
 def base_failed(m: Column) -> Column:
@@ -121,6 +126,12 @@ def votes(m: Column) -> dict[str, Column]:
         "shouting": vote(loud[0] | loud[1], quiet, some),
         "repetition": vote(again[0] | again[1], 10 * m["n_repeat_words"] <= n, some),
         "word_length": vote((chars < 2 * n) | (chars > 14 * n), (chars >= 3 * n) & (chars <= 10 * n), some),
+        "mean_word": vote((chars < 4 * n) | (chars > 7 * n), (10 * chars >= 45 * n) & (chars <= 6 * n), some),
+        "short_words": vote((10 * m["n_short_words"] < n) | (2 * m["n_short_words"] > n),
+                            (5 * m["n_short_words"] >= n) & (5 * m["n_short_words"] <= 2 * n), some),
+        "letters": vote(10 * m["n_letter_words"] < 8 * n, 20 * m["n_letter_words"] >= 19 * n, some),
+        "stutter": vote(20 * m["n_stutters"] > n, 100 * m["n_stutters"] <= n, some),
+        "line_ends": vote(10 * m["n_ended_lines"] < 9 * m["n_lines"], m["n_ended_lines"] == m["n_lines"], some),
     }
 
 
@@ -167,19 +178,18 @@ def estimate(patterns: DataFrame, vote: dict[str, Column], n: Column, good: Colu
     return model
 
 
-def fit(patterns: DataFrame, rules: list[str], label: str | None = None) -> Model:
+def fit(patterns: DataFrame, rules: list[str], label: str | None = None, weight: float = 1.0) -> Model:
     """Expectation-maximisation over a table of vote patterns and their counts ``n``, by ``label`` where there is one.
 
     ``label`` is 1 for good texts, 0 for bad ones and null for the others. Labelled texts keep their class; the first
-    guess of the others comes from them alone, and so do the accuracies and the share of good texts in the main.
+    guess of the others comes from them alone, and after it another text counts as ``weight`` labelled ones.
     Without labels of both classes the first guess is that a text is most likely bad where any rule votes against it,
     and good elsewhere; the share is GOOD_SHARE, and no rule casts more than MAX_FALSE_ALARM of its votes against good texts.
     """
     vote, n = {r: F.col(r) for r in rules}, F.col("n")
     known = {r["label"]: r["n"] for r in patterns.groupBy(F.col(label).alias("label")).agg(F.sum("n").alias("n")).collect()} if label else {}
     if known.get(0) and known.get(1):
-        share = UNLABELLED_WEIGHT * (known[0] + known[1]) / max(known.get(None, 0), 1)
-        n = F.when(F.col(label).isNull(), n * min(1.0, share)).otherwise(n)
+        n = F.when(F.col(label).isNull(), n * weight).otherwise(n)
         given = F.col(label).cast("double")
         model = estimate(patterns.filter(given.isNotNull()), vote, F.col("n"), given)
         good = F.coalesce(given, model.posterior(vote))

@@ -65,10 +65,71 @@ def test_fit_matches_numpy_and_no_rule_decides_alone(spark):
     assert np.allclose(list(model.on_bad.values()), bad, atol=1e-3)
 
 
+def test_more_measures_match_plain_python(spark):
+    texts = [*TEXTS, "So so it it is (is) 12 3.5 — ok", "Ends.\nDoes not\n\n \n\"Quoted\"  \nlist:\n» mark »\t", "." * 50_000 + " x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = ["n_letter_words", "n_short_words", "n_stutters", "n_lines", "n_ended_lines"]
+    got = df.select("doc_id", quality.measures(F.col("text")).alias("m")).select("doc_id", *[f"m.{c}" for c in names]).collect()
+    for r in got:
+        text = texts[r["doc_id"]] or ""
+        w, rows = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+        ended = sum(WORD.findall(x)[-1][-1] in '.!?:;…"”»)' for x in rows)
+        assert tuple(r)[1:] == (sum(any(c.isalpha() for c in x) for x in w), sum(len(x) <= 3 for x in w),
+                                sum(a == b for a, b in zip(w, w[1:])), len(rows), ended)
+
+
+def test_fit_with_labels_matches_numpy(spark):
+    """All texts weigh the same; the labelled ones keep their classes."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(4000) < 0.7
+    votes = np.stack([np.where(rng.random(4000) < 0.2, 0, np.where((rng.random(4000) < right) == truth, 1, -1))
+                      for right in (0.9, 0.8, 0.75, 0.7)], axis=1)
+    label = np.where(rng.random(4000) < 0.1, truth.astype(int), -1)
+    counts = Counter((*map(int, v), None if y < 0 else int(y)) for v, y in zip(votes, label, strict=True))
+    df = spark.createDataFrame([(*k, n) for k, n in counts.items()], "a int, b int, c int, d int, label int, n long")
+    model = quality.fit(df, list("abcd"), "label")
+
+    def estimated(v, q):
+        ratio = lambda part, of: (part + 1) / (of + 2)
+        asked = v != 0
+        return (ratio(q.sum(), len(q)), [ratio(q[v[:, j] == 1].sum(), q[asked[:, j]].sum()) for j in range(4)],
+                [ratio((1 - q)[v[:, j] == -1].sum(), (1 - q)[asked[:, j]].sum()) for j in range(4)])
+
+    def posterior(share, good, bad):
+        good, bad = np.array(good), np.array(bad)
+        odds = np.log(share / (1 - share)) + ((votes == 1) * np.log(good / (1 - bad)) + (votes == -1) * np.log((1 - good) / bad)).sum(1)
+        return np.where(label >= 0, label, 1 / (1 + np.exp(-odds)))
+
+    q = posterior(*estimated(votes[label >= 0], label[label >= 0].astype(float)))
+    for _ in range(quality.ROUNDS):
+        share, good, bad = estimated(votes, q)
+        q = posterior(share, good, bad)
+    assert np.allclose([model.share, *model.on_good.values(), *model.on_bad.values()], [share, *good, *bad], atol=5e-3)
+    assert ((q >= 0.5) == truth)[label < 0].mean() > 0.88
+
+
+def test_held_out_labels_and_all_must_pass(spark):
+    """With half of the labels, on the other half: better than the demand that every rule be passed."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    given = labels.filter("doc_id % 2 = 0")
+    m = F.col(quality.MEASURES)
+    strict = ~m["base_failed"] & (F.least(*quality.votes(m).values()) >= 0)
+    found = quality.score(docs, Scratch(spark, "t"), labels=given).select("doc_id", m["kept"].alias("kept"), strict.alias("strict"),
+                                                                          m["base_failed"].alias("base"))
+    rows = found.join(labels.filter("doc_id % 2 = 1"), "doc_id", "left").collect()
+    good, bad = ([r for r in rows if r["quality"] == y] for y in (1, 0))
+    assert len(good) > 100 and len(bad) > 15
+    assert sum(r["kept"] for r in bad) <= 0.02 * len(bad)
+    lost = [sum(not r[c] and not r["base"] for r in good) for c in ("kept", "strict")]
+    assert lost[0] <= 0.01 * len(good) and lost[0] <= lost[1]
+    assert sum(r["kept"] != r["strict"] for r in rows) > 0
+
+
 def test_empty_table_clashing_columns_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string, kept string")
     assert quality.score(df, Scratch(spark, "t")).count() == 0
-    rows = [(1, "plain words of a text " + " ".join(f"w{i}" for i in range(60)), "mine")] * 2 + [(None, None, None)]
+    rows = [(1, "Plain words of a text: " + ", ".join(f"word{i} the other" for i in range(30)) + ".", "mine")] * 2 + [(None, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, kept string")
     out = quality.stage(spark, df, SF)
     assert out.columns == df.columns and [r["kept"] for r in out.collect()] == ["mine", "mine"]
@@ -90,7 +151,7 @@ def test_a_lone_vote_against_is_outvoted_where_labels_show_false_alarms(spark):
 def test_share_and_accuracies_come_from_the_labels_and_the_sample_is_bounded(spark, monkeypatch):
     patterns = [((-1, 1), 1, 30), ((1, 1), 1, 70), ((-1, -1), 0, 90), ((1, -1), 0, 10), ((-1, 1), None, 100_000)]
     df = spark.createDataFrame([(*v, y, n) for v, y, n in patterns], "a int, b int, label int, n long")
-    model = quality.fit(df, ["a", "b"], "label")
+    model = quality.fit(df, ["a", "b"], "label", weight=0.1 * 200 / 100_000)
     assert abs(model.share - 0.55) < 0.02 and 0.5 < model.on_good["a"] < 0.71
     vote = {r: F.col(r) for r in "ab"}
     posterior = {(r["a"], r["b"]): r["p"] for r in df.select("a", "b", model.posterior(vote).alias("p")).collect()}
