@@ -3,7 +3,9 @@
 Quote levels are the leading ``>`` marks of lines. Neighbouring lines of a level
 are a passage; lines that announce one ("On ... wrote:") go with it. The
 normalised text of a passage (lower case, single spaces) is hashed, as a whole
-and by paragraph, and joined to the hashes of all messages' own texts. A message
+and by paragraph, line and sentence (the latter two from three words on), and
+joined to the hashes of all messages' own texts; the longest part that is found
+decides, so a passage cut down to a line or rewrapped is linked too. A message
 answers the message its outermost linked passage comes from. Answers are
 followed to the first message of their thread by pointer jumping, and threads
 come out in reply order without quotes.
@@ -35,6 +37,9 @@ from starflow.llm.common import Scratch, running_totals, table
 
 _MARK = re.compile(r"(?:>[ \t]?)+")
 _ANNOUNCES = re.compile(r"On .* wrote:\s*")
+_SENTENCE = re.compile(r"[^.!?]+[.!?]*")
+#: Lines and sentences of fewer words say too little to tell where they come from.
+PART_WORDS = 3
 _PARSED = ("conv_id long, turn long, role string, body string, keys array<binary>, "
            "passages array<struct<level:int,keys:array<binary>>>, row long")
 
@@ -64,9 +69,14 @@ def passages(text: str) -> tuple[str, list[tuple[int, str]]]:
 
 
 def keys(text: str) -> list[bytes]:
-    """Hashes of a text as a whole, then of its paragraphs where it has several; none without words."""
-    parts = [" ".join(p.lower().split()) for p in [text, *re.split(r"\n\s*\n", text)]]
-    parts = [p for p in dict.fromkeys(parts) if p]
+    """Hashes of a text as a whole and of its paragraphs, lines and sentences, longest first; none without words."""
+    def plain(part: str) -> str:
+        return " ".join(part.lower().split())
+
+    whole = plain(text)
+    small = [*map(plain, text.split("\n")), *(x.strip() for x in _SENTENCE.findall(whole))]
+    parts = [whole, *map(plain, re.split(r"\n\s*\n", text)), *(p for p in small if p.count(" ") >= PART_WORDS - 1)]
+    parts = sorted(filter(None, dict.fromkeys(parts)), key=len, reverse=True)
     return [hashlib.blake2b(p.encode("utf-8", "surrogatepass"), digest_size=16).digest() for p in parts]
 
 
@@ -94,7 +104,9 @@ def link_quotes(messages: DataFrame, scratch: Scratch) -> DataFrame:
     originals = (known.select(F.explode("keys").alias("key"), "conv_id", "turn").groupBy("key", "conv_id")
                  .agg(F.min("turn").alias("own_turn")))
     originals = scratch.store(originals, "originals")
-    first = originals.groupBy("key").agg(F.min(F.struct("conv_id", F.col("own_turn").alias("turn"))).alias("first"))
+    # What joins read is written, so that a passage quoted very often may be split over tasks.
+    first = scratch.store(originals.groupBy("key").agg(
+        F.min(F.struct("conv_id", F.col("own_turn").alias("turn"))).alias("first")), "first")
     asked = (known.select("row", "conv_id", "turn", F.posexplode("passages").alias("passage", "p"))
              .select("row", "conv_id", "turn", "passage", "p.level", F.posexplode("p.keys").alias("part", "key")))
     here = F.col("own_turn") < F.col("turn")
@@ -118,12 +130,16 @@ def threads(linked: DataFrame, scratch: Scratch) -> DataFrame:
     points to, and adds the distances.
     """
     linked = scratch.store(linked, "linked")
-    firsts = (linked.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn")
-              .agg(F.min("row").alias("to")).withColumnsRenamed({"conv_id": "reply_conv", "turn": "reply_turn"}))
-    pointer = linked.select("row", "reply_conv", "reply_turn").join(firsts, ["reply_conv", "reply_turn"], "left")
-    pointer = scratch.store(pointer.select(
-        "row", F.coalesce("to", "row").alias("to"), F.col("to").isNotNull().cast("long").alias("depth"),
-        F.col("to").isNull().alias("done")), "pointer0")
+    firsts = scratch.store(
+        linked.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.min("row").alias("to"))
+        .withColumnsRenamed({"conv_id": "reply_conv", "turn": "reply_turn"}), "firsts")
+    answers = F.col("reply_conv").isNotNull()
+    one, none = (F.lit(k).cast("long").alias("depth") for k in (1, 0))
+    # Messages that answer nothing share the null key; they are not joined. Every target is a row of ``firsts``.
+    pointer = scratch.store(
+        linked.filter(answers).join(firsts, ["reply_conv", "reply_turn"]).select("row", "to", one, F.lit(False).alias("done"))
+        .unionAll(linked.filter(~answers).select("row", F.col("row").alias("to"), none, F.lit(True).alias("done"))), "pointer0")
+    scratch.drop("firsts")
     k = 0
     while not (active := pointer.filter("NOT done")).isEmpty():  # only these look further
         ahead = pointer.select(F.col("row").alias("to"), F.col("to").alias("then"), F.col("depth").alias("more"),
@@ -138,27 +154,34 @@ def threads(linked: DataFrame, scratch: Scratch) -> DataFrame:
     order = [F.col(c) for c in ("thread", "depth", "conv_id", "turn", "row")]
     ranked = scratch.store(running_totals(placed.withColumn("one", F.lit(1).cast("long")), order, "one", scratch, "ranked")
                            .drop("one", "before"), "in-order")
-    starts = ranked.groupBy("thread").agg(F.min("rank").alias("start"))
+    starts = scratch.store(ranked.groupBy("thread").agg(F.min("rank").alias("start")), "starts")
     return (ranked.join(starts, "thread").withColumn("position", F.col("rank") - F.col("start"))
             .drop("rank", "start", "row"))
 
 
 def as_mail(messages: DataFrame) -> DataFrame:
-    """``messages`` as mail: each quotes the message before it, and that message's own quote, one level deeper."""
+    """``messages`` as mail: each quotes the message before it, and that one's own quotes, up to three levels deep.
+
+    In every third turn the first level is cut to the first line that has PART_WORDS words (all of it, if none has).
+    """
     def before(k: int) -> DataFrame:
         return messages.groupBy("conv_id", (F.col("turn") + k).alias("turn")).agg(
             F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))).alias(f"m{k}"))
 
-    def quoted(k: int, mark: str):
+    def quoted(k: int):
+        mark, lines = ">" * k, F.split(F.col(f"m{k}.text"), "\n")
         said = F.concat(F.lit(mark[:-1] + " " if k > 1 else ""), F.lit("On turn "), (F.col("turn") - k).cast("string"),
                         F.lit(", "), F.col(f"m{k}.role"), F.lit(" wrote:"))
-        lines = F.transform(F.split(F.col(f"m{k}.text"), "\n"), lambda x: F.concat(F.lit(mark + " "), x))
-        return said, F.array_join(lines, "\n")
+        if k == 1:
+            line = F.get(F.filter(lines, lambda x: F.size(F.split(F.trim(x), r"\s+")) >= PART_WORDS), F.lit(0))
+            lines = F.when((F.col("turn") % 3 == 2) & line.isNotNull(), F.array(line)).otherwise(lines)
+        return said, F.array_join(F.transform(lines, lambda x: F.concat(F.lit(mark + " "), x)), "\n")
 
-    said1, one = quoted(1, ">")
-    said2, two = quoted(2, ">>")
-    joined = messages.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
-    return joined.withColumn("text", F.concat_ws("\n", said1, said2, two, one, "text")).drop("m1", "m2")
+    joined = messages
+    for k in (1, 2, 3):
+        joined = joined.join(before(k), ["conv_id", "turn"], "left")
+    said, text = zip(*(quoted(k) for k in (1, 2, 3)), strict=True)
+    return joined.withColumn("text", F.concat_ws("\n", *said, *reversed(text), "text")).drop("m1", "m2", "m3")
 
 
 def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,14 +198,21 @@ def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Over tables whose (conv_id, turn) are unique and whose texts have words and no quotes or blank lines of their own.
 OP3_SQL = r"""
 WITH RECURSIVE m AS (
-  SELECT conv_id, turn, role, trim(text, chr(10)) AS body, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm FROM conversations
-), own AS (SELECT conv_id, norm, min(turn) AS turn FROM m GROUP BY ALL
+  SELECT conv_id, turn, role, trim(text, chr(10)) AS body, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm,
+         list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))),
+                     lambda x: len(string_split(x, ' ')) >= 3) AS lines FROM conversations
+), parts AS (
+  SELECT conv_id, turn, norm FROM m UNION ALL SELECT conv_id, turn, unnest(lines) FROM m UNION ALL
+  SELECT conv_id, turn, s FROM (SELECT conv_id, turn, unnest(list_transform(regexp_extract_all(norm, '[^.!?]+[.!?]*'), lambda x: trim(x))) AS s FROM m)
+  WHERE len(string_split(s, ' ')) >= 3
+), own AS (SELECT conv_id, norm, min(turn) AS turn FROM parts GROUP BY ALL
 ), firsts AS (SELECT norm, min((conv_id, turn)) AS first FROM own GROUP BY norm
 ), q AS (
-  SELECT a.conv_id, a.turn, k.k AS level, coalesce(
+  SELECT a.conv_id, a.turn, k AS level, coalesce(
       CASE WHEN o.turn < a.turn THEN (a.conv_id, o.turn) END, CASE WHEN f.first < (a.conv_id, a.turn) THEN f.first END) AS target
-  FROM m a JOIN (SELECT unnest([1, 2]) AS k) k ON true JOIN m b ON b.conv_id = a.conv_id AND b.turn = a.turn - k.k
-  LEFT JOIN own o ON o.conv_id = a.conv_id AND o.norm = b.norm LEFT JOIN firsts f ON f.norm = b.norm
+  FROM (SELECT a.conv_id, a.turn, k, CASE WHEN k = 1 AND a.turn % 3 = 2 AND len(b.lines) > 0 THEN b.lines[1] ELSE b.norm END AS norm
+        FROM m a JOIN (SELECT unnest([1, 2, 3]) AS k) ON true JOIN m b ON b.conv_id = a.conv_id AND b.turn = a.turn - k) a
+  LEFT JOIN own o ON o.conv_id = a.conv_id AND o.norm = a.norm LEFT JOIN firsts f ON f.norm = a.norm
 ), l AS (
   SELECT conv_id, turn, count(*) AS n_quotes, count(target) AS n_linked, max(level) AS max_level,
          arg_min(target, level) FILTER (target IS NOT NULL) AS target FROM q GROUP BY conv_id, turn

@@ -34,6 +34,31 @@ def test_links_levels_and_threads(spark):
     assert [r["depth"] for r in thread] == sorted(r["depth"] for r in thread)
 
 
+def test_part_quotes(spark):
+    """One line, a rewrapped sentence and inline answers are linked; the longest part decides, two words never do."""
+    rows = [(1, 0, "u", "We meet on Monday.\nBring the red book. It is on the\nsecond shelf. See you!"),
+            (1, 1, "v", "See you!\nI have another red book here.\nWe meet on Monday."),
+            (1, 2, "u", "> bring the red book. It is on the\nyes"), (1, 3, "u", "> It is on the second\n> shelf.\nno"),
+            (1, 4, "u", "> See you!\nbye"), (1, 5, "u", "> See you! I have\n> another red book here.\n> We meet on Monday.\nlonger"),
+            (1, 6, "u", "> We meet on Monday.\nfine\n> I have another red book here.\ngood"),
+            (2, 0, "u", "> I have another red book here.\n> unknown words follow it\nelsewhere")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    scratch = Scratch(spark, "t")
+    got = {(r["conv_id"], r["turn"]): r for r in chat.threads(chat.link_quotes(df, scratch), scratch).collect()}
+    replies = {k: (r["reply_conv"], r["reply_turn"]) for k, r in got.items()}
+    assert replies == {(1, 0): (None, None), (1, 1): (None, None), (1, 2): (1, 0), (1, 3): (1, 0), (1, 4): (None, None),
+                       (1, 5): (1, 1), (1, 6): (1, 0), (2, 0): (1, 1)}
+    assert got[1, 6]["n_quotes"] == got[1, 6]["n_linked"] == 2 and got[1, 6]["body"] == "fine\ngood"
+
+
+def test_mail_is_three_levels_deep(spark):
+    rows = [(1, t, "u", f"ok\nmessage number {t}\nand more") for t in range(6)]
+    mail = {r["turn"]: r["text"] for r in chat.as_mail(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert mail[0] == rows[0][3]
+    assert mail[2].split("\n")[-4:] == ["> message number 1", "ok", "message number 2", "and more"]
+    assert [max(level for level, _ in chat.split_levels(mail[t])) for t in range(6)] == [0, 1, 2, 3, 3, 3]
+
+
 def test_long_chain_and_empty_table(spark):
     chain = [(1, 0, "u", "m0")] + [(1, t, "u", f"> m{t - 1}\nm{t}") for t in range(1, 70)]
     df = spark.createDataFrame(chain, "conv_id long, turn long, role string, text string")
