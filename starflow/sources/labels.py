@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 # A file is cut into blocks at every line that starts with "value"; a block ends at its first ';' outside of
 # quoted strings and comments (it may sit on the last entry line or on its own line). (?d): lines end at \n only.
-HEAD = r"(?i)^[ \t]*value[ \t]+"
 BLOCK_START = r"(?imd)^[ \t]*value[ \t]+"
 # A quoted string within one line (a doubled quote is an escaped quote), or a comment, over any number of
 # lines; one that is never closed runs to the end.
 QUOTED = r"'(?:[^'\n]|'')*+'"
 COMMENT = r"/\*(?s:.*?)(?:\*/|\z)"
 CLOSED_COMMENT = r"/\*(?s:.*?)\*/"
+# From the start of a text to its first line end outside of comments.
+LINE = rf"^(?:{QUOTED}|{COMMENT}|[^'/\n]++|['/])*+\n?"
 # Everything up to the first ';' that ends a block; a quote without its pair is an ordinary character.
 BODY = rf"^((?:[^';]++|{QUOTED}|')*+)"
 NAME = r"^\$?(\w+)"
@@ -87,46 +88,68 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
         F.xxhash64(name).alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_pos"),
         "value", *([name.alias("path")] if with_path else []))
     shown = ["path"] if with_path else []
-    marks = F.contains(line, F.lit(";")) | F.contains(line, F.lit("/*")) | F.contains(line, F.lit("*/"))
-    kept = raw.where(marks | line.rlike(HEAD) | (line.contains("=") & line.rlike(ENTRY)))
+    # What an entry, the end of a block, a comment or a header cannot do without; the patterns run once, on stretches.
+    signs = [F.contains(line, F.lit(x)) for x in ("=", ";", "/*", "*/")]
+    kept = raw.where(signs[0] | signs[1] | signs[2] | signs[3] | F.startswith(F.lower(F.ltrim(line, F.lit(" \t"))), F.lit("value")))
     order = ["_at", "_stretch"]
     keys = ["_file", *order]
     stretches = kept.withColumn("_stretch", F.shiftright("_pos", STRETCH_BITS)).groupBy(*keys, *shown).agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct("_pos", "value")))["value"], "\n").alias("_t"))
+        F.array_join(F.sort_array(F.collect_list(F.struct("_pos", "value")))["value"], "\n").alias("_t"))
+    # Once more by hash, as whole strings: each reader below then takes them as they are, and none puts lines together again.
+    stretches = stretches.repartition(*reversed(keys))
 
     by_file = Window.partitionBy("_file").orderBy(*order)
     before = by_file.rowsBetween(Window.unboundedPreceding, -1)
     upto = by_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # 1. Comments: does the stretch end inside of one, if it begins outside (n) or inside (c)?
+    # 1. Comments: does the stretch end inside of one, if it begins outside (n) or inside (c)? Only what follows the last
+    # end of a comment can tell that one is open: it begins there, with that end's slash, or with its star (/*/).
     rest = F.expr("substring(_t, instr(_t, '*/') + 2)")
     closes = F.contains(text, F.lit("*/"))
+    tail = F.col("_tail")
+    line_end = F.substring_index(tail, "\n", 1)
 
     def ends_inside(x: Column) -> Column:
-        tail = F.substring_index(x, "*/", -1)   # an open comment begins after the last end of one, or with its slash
-        return (F.contains(tail, F.lit("/*")) | F.startswith(tail, F.lit("*"))) & (_without_comments(x, CLOSED_COMMENT) != _without_comments(x))
-
-    does = stretches.select(*keys, ends_inside(text).alias("n"), F.when(closes, ends_inside(rest)).otherwise(True).alias("c"))
+        return _without_comments(x, CLOSED_COMMENT) != _without_comments(x)
+
+    # At the first line end after the last end of a comment none is open and no string either, if none begins before it.
+    plain = ~(F.contains(line_end, F.lit("/*")) | F.startswith(tail, F.lit("*")) | F.contains(text, F.lit("/*/")))
+    lines_left = F.expr("substring(_tail, length(substring_index(_tail, '\n', 1)) + 2)")
+    does = stretches.select(*keys, "_t", closes.alias("_closes"), F.substring_index(text, "*/", -1).alias("_tail")).select(
+        *keys, "_t", "_closes", F.when(plain, F.contains(tail, F.lit("/*")) & ends_inside(lines_left)).alias("_open"))
+    # If it begins inside, what comes before its first line end outside of comments belongs to an earlier line.
+    does = does.select(
+        *keys, F.coalesce("_open", ends_inside(text)).alias("n"), F.when(F.col("_closes"), F.coalesce("_open", ends_inside(rest))).otherwise(True).alias("c"),
+        F.when(F.col("_closes"), F.instr(text, "*/") + 1).alias("_skip"), F.when(F.col("_closes"), F.regexp_extract(rest, LINE, 0)).alias("_line"))
+    does = does.select(*keys, "n", "c", (F.col("_skip") + F.length("_line")).alias("_skip"), F.endswith("_line", F.lit("\n")).alias("_ends"),
+                       _without_comments(F.col("_line")).alias("_line"))
     turn = (F.col("n") & ~F.col("c")).cast("int")
     does = does.withColumn("t", F.sum(turn).over(upto))
     const = F.when(F.col("n") == F.col("c"), F.struct(F.col("n").alias("v"), "t"))
     does = does.withColumn("_in", _state_before(F.last(const, ignorenulls=True).over(before), F.col("t") - turn))
-    begins = does.select(*keys, "_in", F.when(F.col("_in"), F.col("c")).otherwise(F.col("n")).alias("_out"))
-    left = F.when(~F.col("_in"), _without_comments(text)).when(closes, _without_comments(rest)).otherwise("")
-    clean = stretches.join(begins, keys).select(*keys, *shown, "_in", F.concat(left, F.when(F.col("_out"), "").otherwise("\n")).alias("_t"))
-
-    # 2. What comes before the first line end of a stretch that begins inside a comment belongs to an earlier line.
-    first_line = F.when(F.col("_in"), F.regexp_extract("_t", r"^[^\n]*\n?", 0)).otherwise("")
-    parts = clean.select(*keys, *shown, first_line.alias("_first"), F.substring("_t", F.length(first_line) + 1, F.length("_t")).alias("_t"), "_in")
-    own = (~F.col("_in") | (text != "")).cast("int")
-    heads = parts.select(*keys, "_first", own.alias("own")).withColumn("g", F.sum("own").over(upto))
-    more = heads.where("_first <> ''").groupBy("_file", (F.col("g") - F.col("own")).alias("g")).agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct(*order, "_first")))["_first"], "").alias("_more"))
-    more = heads.where("own = 1").join(more, ["_file", "g"]).select(*keys, "_more")
-    whole = parts.where(own == 1).join(more, keys, "left").select(*keys, *shown, F.concat("_t", F.coalesce("_more", F.lit(""))).alias("_t"))
+
+    # 2. A stretch that has no line of its own gives all it has to the one where its line begins.
+    out = F.when(F.col("_in"), F.col("c")).otherwise(F.col("n"))
+    own = (~F.col("_in") | F.coalesce("_ends", F.lit(False))).cast("int")
+    first = F.when(F.col("_in"), F.concat("_line", F.when(F.col("_ends") | F.col("c"), "").otherwise("\n")))
+    heads = does.select(*keys, out.alias("_out"), F.when(F.col("_in"), F.col("_skip")).otherwise(0).alias("_skip"),
+                        first.alias("_first"), own.alias("own")).withColumn("g", F.sum("own").over(upto))
+    # One grouping for both: what a stretch is, by its own number, and what it gives, by the number of the one it goes to.
+    is_own = F.when(F.col("own") == 1, F.struct(*order, "_skip", "_out"))
+    gives = F.when(F.col("_first") != "", F.struct(*order, "_first"))
+    both = heads.select("_file", F.explode(F.array(F.struct(F.col("g"), is_own.alias("o"), F.lit(None).cast("struct<_at:bigint,_stretch:bigint,_first:string>").alias("f")),
+                                                   F.struct((F.col("g") - F.col("own")).alias("g"), F.lit(None).cast("struct<_at:bigint,_stretch:bigint,_skip:int,_out:boolean>").alias("o"),
+                                                            gives.alias("f")))).alias("r")).select("_file", "r.*")
+    begins = both.where("o is not null or f is not null").groupBy("_file", "g").agg(
+        F.max("o").alias("o"), F.array_join(F.array_sort(F.collect_list("f"))["_first"], "").alias("_more")) \
+        .where("o is not null").select("_file", "o.*", "_more")
+    # Hashed on the side of one short row a stretch: texts are never sorted or sent about again.
+    left = F.when(F.col("_skip") == 0, text).otherwise(F.expr("substring(_t, _skip + 1)"))
+    whole = stretches.join(begins.hint("shuffle_hash"), keys).select(*keys, *shown, F.concat(
+        _without_comments(left), F.when(F.col("_out"), "").otherwise("\n"), F.col("_more")).alias("_t"))
 
     # 3. Blocks: the first piece of a stretch belongs to the block that is open at its start.
-    cut = whole.select(*keys, *shown, F.split("_t", BLOCK_START).alias("_pieces"))
+    cut = whole.select(*keys, F.split("_t", BLOCK_START).alias("_pieces"))
     ended = lambda piece: (_before_end(piece) != piece)
     last = F.element_at("_pieces", -1)
     open_at_end = cut.select(*keys, (F.size("_pieces") > 1).alias("head"), F.lower(F.regexp_extract(last, NAME, 1)).alias("name"),
@@ -135,9 +158,11 @@ def parse_label_lines(spark: SparkSession, paths: str | Sequence[str], lists: Se
     latest = F.last(F.when(F.col("head"), F.struct("name", "closed", "ends_upto")), ignorenulls=True).over(before)
     carry = open_at_end.withColumn("l", latest).select(
         *keys, F.when(~(F.col("l.closed") | (F.col("ends_upto") - F.col("ends") > F.col("l.ends_upto"))), F.col("l.name")).alias("_open"))
-    pieces = cut.join(carry, keys).select(*shown, "_open", F.posexplode("_pieces").alias("_i", "_b"))
+    # The text is cut within the explode: over a column of pieces, an inferred filter (not empty) would cut it twice.
+    pieces = whole.join(carry.hint("shuffle_hash"), keys).select(*shown, "_open", F.posexplode(F.split("_t", BLOCK_START)).alias("_i", "_b"))
+    pieces = pieces.where((F.col("_i") > 0) | F.col("_open").isNotNull())
     named = pieces.select(*shown, F.when(F.col("_i") == 0, F.col("_open")).otherwise(F.lower(F.regexp_extract("_b", NAME, 1))).alias("list_name"),
-                          _before_end(F.col("_b")).alias("_body")).where(F.col("list_name").isNotNull())
+                          _before_end(F.col("_b")).alias("_body"))
     return _entries(named, shown, lists)
 
 

@@ -284,3 +284,30 @@ def test_html_tables_equal_an_html_reader(spark):
 def test_a_page_of_many_rows(spark):
     html = "<table>" + "".join(f"<tr><td>AAA<td>place {k}" for k in range(20_000)) + "</table>"
     assert html_table_pairs(spark.createDataFrame([(html,)], "html string")).distinct().count() == 20_000
+
+
+def test_label_comment_opened_by_slash_star_slash(spark, tmp_path):
+    """``/*/`` opens a comment and does not close it, also where a file split ends inside of it."""
+    text = "value abc\n1='A' /*/ x\n2='no'\n3='no' */\n4='B'\n;\n"
+    (tmp_path / "c.sas").write_text(text)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        for split_bytes in (7, 25, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+            got = sorted((r.list_name, r.code, r.label) for r in parse_label_lines(spark, str(tmp_path / "c.sas")).collect())
+            assert got == [("abc", "1", "A"), ("abc", "4", "B")], split_bytes
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_label_lines_are_put_together_once(spark, tmp_path):
+    """However many steps read the stretches, one task each puts their lines together: later steps read finished texts."""
+    (tmp_path / "l.sas").write_text(LABEL_TEXT)
+    df = parse_label_lines(spark, str(tmp_path / "l.sas"))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    assert final.count("FileScan text") == 1 and "ReusedExchange" in final
+    assert sum("ObjectHashAggregate(" in ln and "collect_list(struct(_pos" in ln for ln in final.splitlines()) == 2  # partial, final
+    assert "SortMergeJoin" not in final  # no sort of the texts
