@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fixtures import LABEL_TEXT, PORTS_HTML
 from starflow.plans import staging
+from starflow.plans.driver_queries import q_html_table_pairs
 from starflow.sources import (date_spine, html_links, html_rows, html_table_pairs, parse_label_lines, parse_label_text,
                               read_label_files, read_preamble_csv, scan)
 from starflow.sources.html import NESTED, _clean
@@ -311,3 +312,12 @@ def test_label_lines_are_put_together_once(spark, tmp_path):
     assert final.count("FileScan text") == 1 and "ReusedExchange" in final
     assert sum("ObjectHashAggregate(" in ln and "collect_list(struct(_pos" in ln for ln in final.splitlines()) == 2  # partial, final
     assert "SortMergeJoin" not in final  # no sort of the texts
+
+
+def test_html_pages_are_dealt_out_before_they_are_made(spark, tmp_path):
+    """A table of one file and one row group is rendered and parsed by many tasks, null and repeated keys too."""
+    rows = [(k % 300 if k % 50 else None, f"N{k}", "AUTO") for k in range(400)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_mktsegment string").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    got = q_html_table_pairs(spark, str(tmp_path))
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+    assert got.where("location like '%inner'").count() == sum(1 for k, _, _ in rows if k is not None and k % 2 == 0)
