@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,15 +66,24 @@ def schema_problems(df: DataFrame, expected: T.StructType | Sequence[str]) -> li
     return problems
 
 
+def key_parts(spark: SparkSession) -> int:
+    """Parts for ``check_table`` of a large table with a key of its own per row: several a core, the session's at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+
+
 def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence[str] | None = None,
-                references: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+                references: dict[str, tuple[DataFrame, str]] | None = None, key_partitions: int | None = None) -> DataFrame:
     """Evaluate all expectations of one table in one aggregate pass.
 
     With ``key``, the key-uniqueness check (V6) joins the same pass: rows are
     first counted per key (partial aggregation map-side, so a hot key costs
     one row per task), then one final aggregate sums the per-key counts and
     counts keys seen more than once. ``required_values`` must then be on key
-    columns.
+    columns. Where nearly every row has a key of its own, counting before the
+    shuffle only fills memory: ``key_partitions`` then deals narrow rows (key
+    and predicates) into this many parts first, which adaptive execution does
+    not merge, and a task counts the keys of one part (a hot key's rows all
+    meet in its part).
 
     ``references`` maps a foreign-key column to ``(dimension, key column)``;
     each gets an ``orphan_<fk>`` check (null keys count as orphans) in the
@@ -113,8 +122,11 @@ def check_table(df: DataFrame, table: str, exp: Expectation, key: str | Sequence
         bad = [c for c in exp.required_values if c not in keys]
         if bad:
             raise ValueError(f"required_values on non-key columns {bad} cannot share the keyed pass")
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                        *[F.count_if(p).alias(f"_p{i}") for i, (_, p, _, _) in enumerate(row_preds)])
+        facts = df.select(*keys, *[p.alias(f"_p{i}") for i, (_, p, _, _) in enumerate(row_preds)])
+        if key_partitions:
+            facts = facts.repartition(key_partitions, *keys)
+        per_key = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                           *[F.count_if(f"_p{i}").alias(f"_p{i}") for i in range(len(row_preds))])
         total = lambda c: F.coalesce(F.sum(c), F.lit(0))
         checks.append(("row_count", total("_n"), exp.min_rows, ">="))
         checks += [(n, total(f"_p{i}"), t, op) for i, (n, _, t, op) in enumerate(row_preds)]

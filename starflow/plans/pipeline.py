@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import CheckResult, Expectation, check_table, enforce, schema_problems
+from ..operators import CheckResult, Expectation, check_table, enforce, key_parts, schema_problems
 from ..sources import read_csv
 from . import dims, facts, staging, warehouse
 from .versions import EXTRACT
@@ -129,7 +129,7 @@ def table_checks(tables: dict[str, DataFrame], th: Thresholds) -> DataFrame:
                                     "temperature_bucket": schemas.TEMPERATURE_CODES},
             min_rows_where=[(f"rows_{th.busiest_airport}", F.col("airport_id") == th.busiest_airport,
                              th.busiest_airport_min_rows)]),
-            key=k["fact_ingress"] if th.check_fact_ids else None,
+            key=k["fact_ingress"] if th.check_fact_ids else None, key_partitions=key_parts(fact.sparkSession),
             references={fk: (tables[dim], k[dim]) for fk, dim in
                         (("date_id", "dim_date"), ("country_id", "dim_country"), ("airport_id", "dim_airport"))}),
     ]

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from starflow.operators import (Expectation, check_table, distinct_values, dupli
                                 orphan_keys, profile, schema_problems, top_k_counts, trailing_years,
                                 union_all, weekly_mean)
 from starflow import schemas
+from starflow.plans.driver_queries import q_fact_quality
 
 
 def rows(df, *order):
@@ -200,3 +202,31 @@ def test_lookup_list_in_place(spark):
     assert [r.codes for r in lookup_list(df, "codes", names.limit(0), "code", "name", "codes").collect()] == ["Unknown"] * 6
     main = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
     assert "Exchange" not in main and "Generate" not in main and "Join" not in main
+
+
+def test_keyed_check_dealt_by_key_before_it_counts(spark):
+    """Null, repeated and hot keys come out the same; keys are counted after the deal only, in parts that stay apart."""
+    rows = [(k % 40 if k % 7 else None, k % 3, float(k % 11) if k % 5 else None) for k in range(500)] + [(1, 1, 2.0)] * 200
+    df = spark.createDataFrame(rows, "a int, b int, m double").repartition(6)
+    exp = Expectation(min_rows=1, not_null=["a", "m"], min_rows_where=[("rows_b1", F.col("b") == 1, 5)])
+    dealt = check_table(df, "t", exp, key=["a", "b"], key_partitions=13)
+    assert sorted(dealt.collect()) == sorted(check_table(df, "t", exp, key=["a", "b"]).collect())
+    empty = check_table(df.where("b > 9"), "t", exp, key=["a", "b"], key_partitions=13)
+    assert sorted(empty.collect()) == sorted(check_table(df.where("b > 9"), "t", exp, key=["a", "b"]).collect())
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(a#\d+, b#\d+, 13\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"Aggregate\(keys=\[a#", plan.split("REPARTITION_BY_NUM")[1].split("\n\n")[0])
+
+
+def test_fact_quality_counts_keys_in_parts(spark, tmp_path):
+    day = dt.datetime(1997, 3, 4)
+    tables = {"customer": ([(1, 0)], "c_custkey long, c_nationkey int"), "nation": ([(0, "FRANCE")], "n_nationkey int, n_name string"),
+              "orders": ([(k, 1, "F", day) for k in range(9)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz"),
+              "lineitem": ([(k % 9, 1, 1, k % 3, 5.0, day) for k in range(30)],
+                           "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    df = q_fact_quality(spark, str(tmp_path))
+    assert {r.check_name: r.observed for r in df.collect()} == {
+        "row_count": 30, "null_date_id": 0, "null_country_id": 0, "null_airport_id": 0, "rows_S1": 30, "duplicate_keys": 9}
+    assert re.search(r"hashpartitioning\(l_orderkey.*\), REPARTITION_BY_NUM", df._jdf.queryExecution().executedPlan().toString())
