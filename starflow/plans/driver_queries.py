@@ -740,7 +740,8 @@ def q_html_table_pairs(spark, sf):
     """A page per customer with a table of a header row, a row of two pairs and a row that is no pair; entities in
     each of their forms, attributes on tags, tags inside cells; a table inside an unclosed cell, unclosed itself."""
     # Dealt out before the pages are made: a file of few row groups would have them made and parsed in as few tasks.
-    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment").repartition(3 * spark.sparkContext.defaultParallelism)
+    used = ["c_custkey", "c_name", "c_mktsegment"]
+    c = _t(spark, sf, "customer").select(*used).repartition(3 * spark.sparkContext.defaultParallelism, *used)
     cell = lambda x: F.concat(F.lit("<TD class=x>"), x, F.lit("</td>"))
     code = _port_letters("c_custkey")
     one = F.concat(F.col("c_name"), F.lit(", A&amp;B &#233;&eacute;&#xE9; &amp;lt; &unknown; &lt;b&gt;"))
