@@ -21,7 +21,7 @@ from ..functions import (age_bucket, age_from_birth_year, clean_number, date_col
 from ..operators import (Expectation, check_table, distinct_values, duplicate_keys,
                          explode_lookup_collect, first_per_group, key_parts, lookup, lookup_default, lookup_list, profile,
                          top_k_counts, trailing_years, union_all, weekly_mean)
-from ..session import scratch_path
+from ..session import exchanges_dropped, scratch_path
 from ..sources import date_spine_between, html_links, html_table_pairs, parse_label_lines, parse_label_text, read_preamble_csv, scan
 from . import dims, facts, load_queries, staging, versions, warehouse
 from .query_helpers import _BIRTH_SQL, _age_case, _birth_year, _date_key_sql, _port_letters, _t, _table, _taken, _temp_case, _written_csv
@@ -854,12 +854,34 @@ SELECT l_orderkey, l_linenumber, 'shipl', 'Q' || CAST(CAST(l_quantity AS INTEGER
 """
 
 
+#: Documents a core that are written and parsed at one time: their text and the exchange of their lines take 0.4 kB each on disk.
+LABEL_DOCS_A_CORE = 2_000_000
+
+
 def q_label_file_parse(spark, sf):
     """S6 over files: the same documents written as text files under the shared folder (each document's
-    lines stay together), then read back line by line over the file splits by ``parse_label_lines``."""
-    location = scratch_path(spark, "label_files")
-    _label_docs(_t(spark, sf, "lineitem")).select("text").write.mode("overwrite").text(location)
-    return parse_label_lines(spark, location)
+    lines stay together), then read back line by line over the file splits by ``parse_label_lines``.
+
+    More documents than the cores take at one time are written and parsed in parts, one after the other: the entries of
+    a part are stored, its text files and exchanges go before the next is written."""
+    li = _t(spark, sf, "lineitem")
+    parts = -(-li.count() // (LABEL_DOCS_A_CORE * spark.sparkContext.defaultParallelism)) or 1
+
+    def written(rows):
+        location = scratch_path(spark, "label_files")
+        _label_docs(rows).select("text").write.mode("overwrite").text(location)
+        return location
+
+    if parts == 1:
+        return parse_label_lines(spark, written(li))
+    stored = scratch_path(spark, "label_entries")
+    with exchanges_dropped(spark):
+        for part in range(parts):
+            # By place in its file: every row has one, whatever its keys, and the parts are of one size.
+            location = written(li.where(F.col("_metadata.row_index") % parts == part))
+            parse_label_lines(spark, location).write.parquet(f"{stored}/{part}")
+            warehouse.remove(spark, location)
+    return spark.read.parquet(*(f"{stored}/{part}" for part in range(parts)))
 
 
 SQL_LABEL_FILE_PARSE = """

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,3 +59,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder (never machine-local)."""
     base = shared_dir(spark)
     return f"{base}/starflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def exchanges_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside it, a query's exchanges leave the disk when the query ends, not when the driver collects its garbage.
+
+    For queries that run one after the other and are each run once; the frame of one that has ended can't be run again cheaply.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

@@ -1,12 +1,13 @@
 import datetime as dt
 import random
 import re
+import time
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
 from fixtures import LABEL_TEXT, PORTS_HTML
-from starflow.plans import staging
+from starflow.plans import driver_queries, staging
 from starflow.plans.driver_queries import q_html_table_pairs
 from starflow.sources import (date_spine, html_links, html_rows, html_table_pairs, parse_label_lines, parse_label_text,
                               read_label_files, read_preamble_csv, scan)
@@ -321,3 +322,40 @@ def test_html_pages_are_dealt_out_before_they_are_made(spark, tmp_path):
     got = q_html_table_pairs(spark, str(tmp_path))
     assert got.select(F.spark_partition_id()).distinct().count() > 1
     assert got.where("location like '%inner'").count() == sum(1 for k, _, _ in rows if k is not None and k % 2 == 0)
+
+
+def test_label_documents_are_written_and_parsed_in_parts(spark, tmp_path, monkeypatch):
+    """One part's text lies on disk at a time, its exchanges go with it; all rows are parsed, whatever their keys."""
+    cores, day = spark.sparkContext.defaultParallelism, dt.datetime(1996, 2, 29)
+    rows = [(k // 4 if k % 3 else None, k % 4 + 1, float(k % 7), "ARN"[k % 3], "OF"[k % 2], day) for k in range(cores)]
+    rows += rows[:3] + [(7, None, 1.0, "A", "O", day), (7, 1, 1.0, None, "O", None)] + [rows[-1]] * 4   # repeated; texts that are null
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, "
+                                "l_shipdate timestamp").coalesce(2).write.parquet(str(tmp_path / "lineitem.parquet"))
+    docs = driver_queries._label_docs(spark.read.parquet(str(tmp_path / "lineitem.parquet")))
+    expected = sorted((r.list_name, r.code, r.label) for r in parse_label_text(docs).collect())
+    n_docs = docs.where("text is not null").count()
+    assert len(expected) == 3 * n_docs == 3 * (len(rows) - 2)
+
+    parsed, shared = [], tmp_path / "shared"
+
+    def parse(spark, path):
+        parsed.append((len(list(shared.glob("label_files-*"))), spark.read.text(path).where("value like '%shipping%'").count()))
+        return parse_label_lines(spark, path)
+
+    def exchanges():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return set(re.findall(r"shuffle_\d+", blocks))
+
+    monkeypatch.setattr(driver_queries, "parse_label_lines", parse)
+    monkeypatch.setattr(driver_queries, "scratch_path", lambda _, name: f"{shared}/{name}-{len(parsed)}")
+    monkeypatch.setattr(driver_queries, "LABEL_DOCS_A_CORE", 1, raising=False)
+    before = exchanges()
+    df = driver_queries.q_label_file_parse(spark, str(tmp_path))
+    until = time.time() + 20
+    while len(exchanges() - before) > 1 and time.time() < until:   # they go in the background
+        time.sleep(0.1)
+    assert len(exchanges() - before) <= 1   # that of counting the rows
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert sorted((r.list_name, r.code, r.label) for r in df.collect()) == expected
+    assert len(parsed) == -(-len(rows) // cores) and sum(n for _, n in parsed) == n_docs
+    assert all(there == 1 and n <= cores + 2 for there, n in parsed)   # no text but that of this part
